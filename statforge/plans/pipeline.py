@@ -1,0 +1,99 @@
+"""End-to-end clustering: profile -> variables -> sample k -> fit -> assign.
+
+One function replaces the driver script of shell and HDFS steps. Each step is
+a Spark job over the same line frame; what crosses to the driver is bounded by
+the parameters: the moments (2 x record width), the k sampled rows and the
+k x d centroids per iteration.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from statforge.functions.parse import TAB, split_fields
+from statforge.operators import kmeans as km
+from statforge.operators import order
+from statforge.operators import project as proj
+from statforge.plans import jobs
+from statforge.sources.params import moments_to_lists
+from statforge.sources.text import cut_fields, skip_header
+
+# The variables the driver script clusters on (1-based columns).
+PIPELINE_VARIABLES_1BASED = (21, 24, 26)
+
+
+@dataclass
+class PipelineResult:
+    moments: DataFrame
+    variables: list[int]
+    init_centers_raw: list[list[float]]
+    fit: km.KMeansResult
+    assignments: DataFrame
+
+    def cluster_sizes(self) -> DataFrame:
+        """``DataFrame[cluster, n]`` over the assignment (one aggregation)."""
+        return self.assignments.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sample_centers(
+    lines: DataFrame,
+    k: int,
+    variables: Sequence[int],
+    seed: int = 0,
+    delimiter: str = TAB,
+) -> list[list[float]]:
+    """``shuf -n k | cut -f vars``: k random lines, their chosen fields as numbers.
+
+    The draw ranks lines by a hash of their text, so it does not depend on the
+    cluster layout; at most k rows per task reach the final merge.
+    """
+    picked = order.sample_k(lines, k, key=F.col("value"), seed=seed)
+    cut = picked.select(cut_fields(split_fields(F.col("value"), delimiter), [v + 1 for v in variables], TAB).alias("c"))
+    rows = cut.collect()
+    centers = []
+    for r in rows:
+        vals = [float(x) for x in r["c"].split(TAB)]
+        if len(vals) != len(variables):
+            raise ValueError("sampled row lacks a chosen variable")
+        centers.append(vals)
+    return centers
+
+
+def cluster_pipeline(
+    lines: DataFrame,
+    k: int,
+    max_iter: int,
+    variables: Sequence[int] | None = None,
+    moments: DataFrame | None = None,
+    seed: int = 0,
+    tol: float = km.TOLERANCE,
+    header: bool = False,
+    init_centers_raw: Sequence[Sequence[float]] | None = None,
+    delimiter: str = TAB,
+) -> PipelineResult:
+    """Run the whole clustering on tab records.
+
+    ``variables`` are 0-based column indices (default: the script's fixed
+    three). ``moments`` reuses a stored profile (for example of a larger table
+    than ``lines``, I9); otherwise the profile of ``lines`` is computed.
+    ``header=True`` drops the header line first.
+    """
+    if header:
+        lines = skip_header(lines)
+    chosen = list(variables) if variables is not None else [v - 1 for v in PIPELINE_VARIABLES_1BASED]
+    if moments is None:
+        moments = jobs.column_moments(lines, delimiter=delimiter)
+    means, stds = moments_to_lists(moments)
+    proj.check_moments(chosen, means, stds)
+    start = (
+        [list(map(float, c)) for c in init_centers_raw]
+        if init_centers_raw is not None
+        else sample_centers(lines, k, chosen, seed=seed, delimiter=delimiter)
+    )
+    result = jobs.kmeans_standardised(lines, start, chosen, means, stds, max_iter=max_iter, tol=tol, delimiter=delimiter)
+    assigned = jobs.assign_clusters(lines, result.centers, chosen, moments=(means, stds), delimiter=delimiter)
+    return PipelineResult(moments, chosen, start, result, assigned)

@@ -1,0 +1,8 @@
+"""Streaming: deliberately empty.
+
+Every job in the workload is a bounded batch over text files (no watermark,
+window, state or late-data handling exists in it), so there is no streaming
+operator to provide. The batch plans in ``statforge.plans`` are ordinary
+DataFrames and could be fed by ``readStream`` sources unchanged where a user
+wants that, but this package adds nothing of its own.
+"""
