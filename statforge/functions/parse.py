@@ -20,16 +20,13 @@ LAYOUTS = {"comma": COMMA, "tab": TAB, "whitespace": WHITESPACE}
 # Integer text: optional sign, ASCII digits, nothing else (no blanks, no ".0").
 _INT_TEXT = r"^[+-]?[0-9]+$"
 
-# Floating-point text accepted by Java's Double.parseDouble: optional blanks
-# (chars <= U+0020) around a decimal or hexadecimal significand with optional
-# exponent and f/F/d/D suffix, or the exact words NaN / Infinity, each with an
-# optional sign. Spark's cast trims the same blanks itself.
-_DOUBLE_TEXT = (
-    r"^[\x00-\x20]*[+-]?(NaN|Infinity|("
-    r"([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
-    r"|0[xX]([0-9a-fA-F]+\.?|[0-9a-fA-F]*\.[0-9a-fA-F]+)[pP][+-]?[0-9]+"
-    r")[fFdD]?)[\x00-\x20]*$"
-)
+# Non-finite literals Java accepts: exactly NaN / Infinity, optional sign,
+# optional blanks (chars <= U+0020) around. Spark's cast also accepts "nan",
+# "inf", "+inf", "INFINITY", ...; every finite result it gives is one Java
+# gives too (it trims the same blanks and falls back to Java's parser).
+_JAVA_NON_FINITE = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*$"
+# Text that spells a non-finite value at all (no finite number contains these).
+_NON_FINITE_WORD = r"(?i)(nan|inf)"
 
 # Delimiters whose trailing runs can be stripped with a plain character trim.
 _TRIM_SETS = {",": ",", "\t": "\t", r"\s+": " \t\n\x0b\f\r"}
@@ -86,13 +83,15 @@ def last_field(fields: Column | str) -> Column:
 
 
 def parse_int(text: Column | str, bits: int = 32) -> Column:
-    """Strict integer parse: optional sign and digits only; NULL otherwise.
+    """Strict integer parse: optional sign and ASCII digits only; NULL otherwise.
 
-    Out-of-range values give NULL (``try_cast``), like a parse failure.
+    ``try_cast`` runs first (out-of-range gives NULL); the pattern check only
+    runs on values it accepted, to reject the blanks it trims.
     """
     c = _col(text)
     target = "int" if bits == 32 else "bigint"
-    return F.when(c.rlike(_INT_TEXT), c.try_cast(target))
+    v = c.try_cast(target)
+    return F.when(v.isNotNull() & c.rlike(_INT_TEXT), v)
 
 
 def parse_long(text: Column | str) -> Column:
@@ -102,11 +101,18 @@ def parse_long(text: Column | str) -> Column:
 def parse_double(text: Column | str) -> Column:
     """Strict floating-point parse with Java's grammar; NULL when it fails.
 
-    ``try_cast`` alone is too lenient (it takes ``nan``, ``inf``, ``+inf``), so
-    the text is first matched against the Java grammar.
+    ``try_cast`` does the parsing. It is more lenient than Java only for the
+    non-finite spellings, so the pattern checks run only when the result is
+    NaN or infinite (an overflow such as ``1e999`` is a valid infinity).
     """
     c = _col(text)
-    return F.when(c.rlike(_DOUBLE_TEXT), c.try_cast("double"))
+    d = c.try_cast("double")
+    finite = ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
+    return (
+        F.when(d.isNull(), F.lit(None).cast("double"))
+        .when(finite, d)
+        .when(~c.rlike(_NON_FINITE_WORD) | c.rlike(_JAVA_NON_FINITE), d)
+    )
 
 
 def or_fail(raw: Column, parsed: Column, what: str, cast: str = "double") -> Column:

@@ -79,7 +79,7 @@ def profile_values(fields: Column | str, width: int, on_bad: str = "fail") -> li
     out = []
     for i in range(width):
         x = F.when(F.size(arr) > i, parse_double_or_nan(F.get(arr, i))).otherwise(F.lit(0.0))
-        if i == 0 and on_bad == "fail":
+        if on_bad == "fail":
             x = F.when(F.size(arr) <= width, x).otherwise(
                 F.raise_error(F.lit(f"record wider than {width} fields")).cast("double")
             )
@@ -87,30 +87,40 @@ def profile_values(fields: Column | str, width: int, on_bad: str = "fail") -> li
     return out
 
 
-def column_profile(df: DataFrame, fields: str = "fields", width: int | None = None, on_bad: str = "fail") -> DataFrame:
+def column_profile(
+    df: DataFrame,
+    fields: str = "fields",
+    width: int | None = None,
+    on_bad: str = "fail",
+    columns: Sequence[int] | None = None,
+) -> DataFrame:
     """Mean and population std dev of every column in one pass.
 
     Returns the long form ``DataFrame[col_idx INT, mean DOUBLE, std DOUBLE]``:
-    one global aggregate with 2 x width buffers, then an unpivot of its single
-    row. ``width`` defaults to the first record's width (one row fetched).
-    Empty input gives no rows.
+    one global aggregate with two buffers per column (partial aggregation in
+    every task, one row per task through the exchange), then an unpivot of its
+    single row. ``width`` defaults to the first record's width (one row
+    fetched). ``columns`` restricts the work to those column positions. Empty
+    input gives no rows.
     """
     if width is None:
         first = df.select(F.size(fields).alias("w")).first()
         if first is None:
             return df.sparkSession.createDataFrame([], "col_idx INT, mean DOUBLE, std DOUBLE")
         width = int(first["w"])
+    wanted = list(range(width)) if columns is None else [int(c) for c in columns]
     src = df
     if on_bad == "drop":
         src = src.where(F.size(fields) <= width)
     xs = profile_values(fields, width, on_bad)
     aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, x in enumerate(xs):
+    for i in wanted:
+        x = xs[i] if i < width else F.lit(0.0)
         aggs.append(F.avg(x).alias(f"m{i}"))
         aggs.append(F.stddev_pop(x).alias(f"s{i}"))
     wide = src.agg(*aggs).where(F.col("_n") > 0)
     rows = F.array(
-        *[F.struct(F.lit(i).alias("col_idx"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std")) for i in range(width)]
+        *[F.struct(F.lit(i).alias("col_idx"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std")) for i in wanted]
     )
     return wide.select(F.inline(rows))
 

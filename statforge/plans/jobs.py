@@ -243,9 +243,16 @@ def ngram_volume_stddev(unigrams: DataFrame, bigrams: DataFrame, on_bad: str = "
 # ---------------------------------------------------------------------------
 # Whole-table profile and row subset (tab records).
 # ---------------------------------------------------------------------------
-def column_moments(lines: DataFrame, width: int | None = None, delimiter: str = TAB, on_bad: str = "fail") -> DataFrame:
-    """``DataFrame[col_idx, mean, std]`` over every column; text fields count as NaN."""
-    return agg.column_profile(_fields(lines, delimiter), "fields", width, on_bad)
+def column_moments(
+    lines: DataFrame,
+    width: int | None = None,
+    delimiter: str = TAB,
+    on_bad: str = "fail",
+    columns: Sequence[int] | None = None,
+) -> DataFrame:
+    """``DataFrame[col_idx, mean, std]`` over every column (or the listed
+    ones); text fields count as NaN."""
+    return agg.column_profile(_fields(lines, delimiter), "fields", width, on_bad, columns)
 
 
 def subset_rows(

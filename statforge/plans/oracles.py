@@ -181,7 +181,7 @@ def _embeddings_sql(k: int) -> str:
 def _profile_sql() -> str:
     numeric = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     parts = [
-        f"SELECT {i} AS col_idx, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_pop(CAST({c} AS DOUBLE)), 6) AS std FROM lineitem"
+        f"SELECT {i} AS col_idx, round(avg(CAST({c} AS DOUBLE)), 8) AS mean, round(stddev_pop(CAST({c} AS DOUBLE)), 6) AS std FROM lineitem"
         for i, c in enumerate(numeric)
     ]
     parts += [f"SELECT {i} AS col_idx, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std" for i in (8, 9, 10)]
@@ -204,7 +204,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "csv_flag_mean": (
             "SELECT concat_ws(', ', l_returnflag, l_linestatus, CAST(year(l_shipdate) AS VARCHAR), CAST(l_linenumber AS VARCHAR)) "
-            "AS group_key, round(avg(l_extendedprice), 4) AS mean_value FROM lineitem WHERE l_discount < 0.05 GROUP BY 1"
+            "AS group_key, avg(l_quantity) AS mean_value FROM lineitem WHERE l_discount < 0.05 GROUP BY 1"
         ),
         "fixed_width_max": (
             "SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, greatest(max(t), -9999) AS max_value FROM ("
@@ -219,10 +219,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "group_max_floor": (
             "SELECT c_mktsegment || '#' || CAST(c_nationkey AS VARCHAR) AS key, "
-            "round(greatest(max(c_acctbal - 9500.0), 0.0), 4) AS max_value FROM customer GROUP BY 1"
+            "greatest(max(c_acctbal - 9500.0), 0.0) AS max_value FROM customer GROUP BY 1"
         ),
         "range_bucket_max": (
-            "SELECT p_name AS key, round(greatest(max(p_retailprice - 975.0), 0.0), 4) AS max_value, "
+            "SELECT p_name AS key, greatest(max(p_retailprice - 975.0), 0.0) AS max_value, "
             "CASE WHEN substr(p_name, 1, 1) < 'f' THEN 0 WHEN substr(p_name, 1, 1) < 'k' THEN 1 "
             "WHEN substr(p_name, 1, 1) < 'p' THEN 2 WHEN substr(p_name, 1, 1) < 'u' THEN 3 ELSE 4 END AS bucket "
             "FROM part GROUP BY p_name"
@@ -235,7 +235,7 @@ def oracle_sql() -> dict[str, str]:
             "lower(split_part(p_name, ' ', 2)) AS w1, CAST(floor(p_retailprice) AS BIGINT) AS v FROM part WHERE p_type <> 'PROMO'), "
             "m AS (SELECT y, s, v FROM uni JOIN subs ON contains(w0, s) "
             "UNION ALL SELECT y, s, v FROM bi JOIN subs ON contains(w0, s) OR contains(w1, s)) "
-            "SELECT y || ' | ' || s AS tag_key, round(avg(v), 4) AS mean_volumes FROM m GROUP BY 1"
+            "SELECT y || ' | ' || s AS tag_key, avg(v) AS mean_volumes FROM m GROUP BY 1"
         ),
         "union_stddev": (
             "SELECT round(stddev_pop(v), 6) AS stddev FROM (SELECT CAST(floor(c_acctbal) AS BIGINT) AS v FROM customer "

@@ -74,19 +74,22 @@ def cluster_pipeline(
     header: bool = False,
     init_centers_raw: Sequence[Sequence[float]] | None = None,
     delimiter: str = TAB,
+    profile_all: bool = False,
 ) -> PipelineResult:
     """Run the whole clustering on tab records.
 
     ``variables`` are 0-based column indices (default: the script's fixed
     three). ``moments`` reuses a stored profile (for example of a larger table
     than ``lines``, I9); otherwise the profile of ``lines`` is computed.
-    ``header=True`` drops the header line first.
+    ``header=True`` drops the header line first. The computed profile covers
+    the chosen variables only, unless ``profile_all`` asks for every column
+    (the full moments file).
     """
     if header:
         lines = skip_header(lines)
     chosen = list(variables) if variables is not None else [v - 1 for v in PIPELINE_VARIABLES_1BASED]
     if moments is None:
-        moments = jobs.column_moments(lines, delimiter=delimiter)
+        moments = jobs.column_moments(lines, delimiter=delimiter, columns=None if profile_all else chosen)
     means, stds = moments_to_lists(moments)
     proj.check_moments(chosen, means, stds)
     start = (

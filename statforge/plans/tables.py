@@ -37,7 +37,7 @@ def lineitem_tab_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_flag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comma records: 0 orderkey, 1 partkey, 2 suppkey, 3 extendedprice,
+    """Comma records: 0 orderkey, 1 partkey, 2 suppkey, 3 quantity,
     4 returnflag, 5 linestatus, 6 ship year, 7 linenumber, 8 flag.
 
     The flag is true for discounts of at least 0.05 and false otherwise, in
@@ -53,7 +53,7 @@ def lineitem_flag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ",",
         *[
             F.col(c).cast("string")
-            for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus")
+            for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
         ],
         F.year("l_shipdate").cast("string"),
         F.col("l_linenumber").cast("string"),

@@ -20,9 +20,22 @@ from statforge.sources.text import (
 )
 
 
-def read_table(spark, sf_dir: str, name: str):
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition only when a scan has fewer partitions than the
+    cluster has task slots (a single large file or gzip input). A large input
+    already has many splits and is returned unchanged, so no shuffle is added
+    at scale. Column pruning still reaches the scan below the exchange.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def read_table(spark, sf_dir: str, name: str, spread_out: bool = True):
     """One parquet test table (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_out else df
 
 
 __all__ = [
@@ -40,5 +53,6 @@ __all__ = [
     "read_variables",
     "redelimit",
     "skip_header",
+    "spread",
     "union_sources",
 ]
