@@ -157,13 +157,18 @@ def fit(
     tol: float = TOLERANCE,
     rule: str = "max_abs",
     persist: bool = True,
+    cache: str = "persist",
 ) -> KMeansResult:
     """Lloyd iterations from given starting centroids (I1, I2 once standardised).
 
     Stops when the convergence test passes or after ``max_iter`` iterations.
-    Rows with a missing or NaN feature are left out of the fit. The feature
-    frame is persisted (memory, spilling to disk) for the iterations; a lost
-    executor only recomputes its own blocks from the scan.
+    Rows with a missing or NaN feature are left out of the fit.
+
+    The parsed feature frame is kept for the iterations. ``cache="persist"``
+    keeps it in executor memory, spilling to disk; a lost executor only
+    recomputes its own blocks from their input splits. ``cache="checkpoint"``
+    writes it once to the shared checkpoint folder (``spark.checkpoint.dir``)
+    and cuts the lineage, so a lost executor never re-reads the raw input.
     """
     centers = [[float(x) for x in c] for c in init_centers]
     if not centers:
@@ -177,7 +182,13 @@ def fit(
     # Parse once into the persisted frame, then filter on the cached columns:
     # a filter below the projection would repeat every parse expression.
     cached = points.select(*features.select_list())
-    if persist:
+    if persist and cache == "checkpoint":
+        from statforge.session import checkpoint_dir
+
+        checkpoint_dir(cached.sparkSession)
+        cached = cached.checkpoint(eager=True)
+        persist = False
+    elif persist:
         cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
     data = cached.where(features.valid())
     trace: list[dict] = []

@@ -53,14 +53,24 @@ def range_partitioned(
     break_points: Sequence[str] = DEFAULT_BREAK_POINTS,
     num_partitions: int = DEFAULT_RANGE_PARTITIONS,
     bucket: str = "bucket",
+    parts_per_bucket: int = 1,
 ) -> DataFrame:
-    """Place each row in the partition its bucket names, sorted by key (O2 + O1).
-
-    ``repartitionById`` sends bucket b to partition b exactly (hash or range
-    repartitioning could merge two buckets). Run it after the aggregation so
-    only one row per key crosses this exchange.
+    """Place rows by first-character bucket, each partition sorted by key (O2 + O1).
+
+    With ``parts_per_bucket=1`` (the original layout) ``repartitionById`` sends
+    bucket b to partition b exactly (hash or range repartitioning could merge
+    two buckets). A bucket can hold a large share of all keys (one initial
+    letter may dominate), so ``parts_per_bucket > 1`` range-partitions on
+    ``(bucket, key)`` into ``num_partitions * parts_per_bucket`` partitions:
+    a hot bucket is split over several consecutive partitions, and reading the
+    partitions in order still gives buckets in order and keys sorted within
+    each bucket. Run it after the aggregation so only one row per key crosses
+    this exchange.
     """
     with_bucket = df.withColumn(bucket, first_char_bucket(key, break_points, num_partitions))
+    if parts_per_bucket > 1:
+        n = max(num_partitions, 1) * parts_per_bucket
+        return with_bucket.repartitionByRange(n, bucket, key).sortWithinPartitions(bucket, key)
     return with_bucket.repartitionById(max(num_partitions, 1), bucket).sortWithinPartitions(key)
 
 

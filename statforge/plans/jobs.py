@@ -170,14 +170,16 @@ def range_partitioned_max(
     num_partitions: int = order.DEFAULT_RANGE_PARTITIONS,
     delimiter: str = COMMA,
     on_bad: str = "fail",
+    parts_per_bucket: int = 1,
 ) -> DataFrame:
-    """``DataFrame[key, max_value, bucket]``, partition b holding bucket b in key order.
+    """``DataFrame[key, max_value, bucket]``, partition b holding bucket b in key order
+    (or, with ``parts_per_bucket > 1``, a run of partitions per bucket).
 
     The aggregation runs first at full parallelism; only one row per key then
-    moves to the ``num_partitions`` range partitions.
+    moves to the range partitions.
     """
     maxima = group_max_floor(lines, key, value, delimiter, on_bad)
-    return order.range_partitioned(maxima, "key", break_points, num_partitions)
+    return order.range_partitioned(maxima, "key", break_points, num_partitions, parts_per_bucket=parts_per_bucket)
 
 
 # ---------------------------------------------------------------------------

@@ -132,7 +132,8 @@ def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_k_raw(spark: SparkSession, sf_dir: str, columns, k: int) -> list[list[float]]:
-    rows = tables.first_rows(read_table(spark, sf_dir, "lineitem"), tables.LINEITEM_ORDER, k)
+    # a per-task top-k needs no spreading of the scan
+    rows = tables.first_rows(read_table(spark, sf_dir, "lineitem", spread_out=False), tables.LINEITEM_ORDER, k)
     return [[float(r[c]) for c in columns] for r in rows]
 
 

@@ -92,3 +92,12 @@ def test_header_skip_redelimit_cut(spark):
     assert [r["value"] for r in red.collect()] == ["0\t1\t2", "a\tb"]
     cut = lines(spark, ["a\tb\tc\td"]).select(cut_fields(split_fields(F.col("value"), "\t"), [1, 3, 9]).alias("c"))
     assert cut.first()["c"] == "a\tc"
+
+
+def test_spread_only_when_too_few_partitions(spark):
+    from statforge.sources import spread
+
+    few = spark.range(100).coalesce(1)
+    assert spread(few, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(8)
+    assert spread(many, 4) is many

@@ -168,3 +168,15 @@ def test_subset_rows(spark):
     drop = [rec("500.01", "1"), rec("1", "1000.5"), rec("1", "1", f6="O"), rec("1", "1", f13="Surgery")]
     got = [r["value"] for r in jobs.subset_rows(lines(spark, keep + drop)).collect()]
     assert sorted(got) == sorted(keep)
+
+
+def test_range_partitioned_split_hot_bucket(spark):
+    # most keys start with "B": with parts_per_bucket the hot bucket spans
+    # several partitions, and partitions in order still read sorted by (bucket, key)
+    keys = [f"B{i:03d}" for i in range(60)] + ["Abba", "Kiss", "Zappa", "Pink"]
+    recs = [f"0,t,{k},{i}.0" for i, k in enumerate(keys)]
+    out = jobs.range_partitioned_max(lines(spark, recs).repartition(4), parts_per_bucket=4)
+    parts = out.rdd.glom().map(lambda rs: [(r["bucket"], r["key"]) for r in rs]).collect()
+    flat = [x for p in parts for x in p]
+    assert flat == sorted(flat) and len(flat) == len(keys)
+    assert sum(1 for p in parts if p and all(b == 0 for b, _ in p)) >= 2

@@ -64,12 +64,10 @@ def test_standardised_fit_matches_numpy(spark):
 
 
 def test_tie_goes_to_lowest_index(spark):
-    recs = ["0 0", "2 0"]  # (1, 0) would be equidistant; here each point is nearest its own
-    res = jobs.assign_clusters(lines(spark, ["1 0"]), [[0.0, 0.0], [2.0, 0.0]], [0, 1], delimiter=r"\s+")
-    assert res.first()["cluster"] == 0
-    res = jobs.assign_clusters(lines(spark, ["1 0"]), [[2.0, 0.0], [0.0, 0.0]], [0, 1], delimiter=r"\s+")
-    assert res.first()["cluster"] == 0
-    assert recs
+    # (1, 0) is equally far from both centroids: the lower index wins either way round
+    for centers in ([[0.0, 0.0], [2.0, 0.0]], [[2.0, 0.0], [0.0, 0.0]]):
+        res = jobs.assign_clusters(lines(spark, ["1 0"]), centers, [0, 1], delimiter=r"\s+")
+        assert res.first()["cluster"] == 0
 
 
 def test_empty_cluster_keeps_centroid(spark):
@@ -142,3 +140,14 @@ def test_pipeline_header_and_given_moments(spark):
     res = cluster_pipeline(lines(spark, recs), k=3, max_iter=5, variables=[1, 2, 3], header=True, moments=full)
     assert res.assignments.count() == len(pts)
     assert res.assignments.where("cluster < 0").count() == 0
+
+
+def test_checkpointed_fit_equals_persisted_fit(spark):
+    pts = _blobs(seed=13)
+    df = spark.createDataFrame([tuple(map(float, p)) for p in pts], "x0 DOUBLE, x1 DOUBLE, x2 DOUBLE")
+    feats = km.Features(columns=("x0", "x1", "x2"))
+    start = pts[[0, 120, 240]].tolist()
+    a = km.fit(df, feats, start, max_iter=10, cache="persist")
+    b = km.fit(df, feats, start, max_iter=10, cache="checkpoint")
+    assert a.iterations == b.iterations
+    np.testing.assert_allclose(a.centers, b.centers, rtol=1e-12, atol=1e-12)
