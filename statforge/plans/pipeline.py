@@ -1,9 +1,17 @@
 """End-to-end clustering: profile -> variables -> sample k -> fit -> assign.
 
-One function replaces the driver script of shell and HDFS steps. Each step is
-a Spark job over the same line frame; what crosses to the driver is bounded by
-the parameters: the moments (2 x record width), the k sampled rows and the
-k x d centroids per iteration.
+One function replaces the driver script of shell and HDFS steps. The text is
+scanned twice in total:
+
+1. one pass parses every line once into a compact cached frame holding, per
+   line, a sample key (md5 of the line), the chosen raw features and, unless
+   moments are supplied, their profile values. The profile (one global
+   aggregate), the k-row sample (a per-task top-k) and every k-means
+   iteration then run against that cache;
+2. one map-only pass labels every original line.
+
+What reaches the driver is bounded by the parameters: the moments of the
+chosen columns, the k sampled rows and k x d centroids per iteration.
 """
 
 from __future__ import annotations
@@ -11,16 +19,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statforge.functions.parse import TAB, split_fields
+from statforge.functions.parse import TAB
 from statforge.operators import kmeans as km
-from statforge.operators import order
 from statforge.operators import project as proj
+from statforge.operators.aggregate import profile_values
 from statforge.plans import jobs
 from statforge.sources.params import moments_to_lists
-from statforge.sources.text import cut_fields, skip_header
+from statforge.sources.text import parse_delimited, skip_header
 
 # The variables the driver script clusters on (1-based columns).
 PIPELINE_VARIABLES_1BASED = (21, 24, 26)
@@ -29,6 +38,8 @@ PIPELINE_VARIABLES_1BASED = (21, 24, 26)
 @dataclass
 class PipelineResult:
     moments: DataFrame
+    means: list[float]
+    stds: list[float]
     variables: list[int]
     init_centers_raw: list[list[float]]
     fit: km.KMeansResult
@@ -39,28 +50,10 @@ class PipelineResult:
         return self.assignments.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
-def sample_centers(
-    lines: DataFrame,
-    k: int,
-    variables: Sequence[int],
-    seed: int = 0,
-    delimiter: str = TAB,
-) -> list[list[float]]:
-    """``shuf -n k | cut -f vars``: k random lines, their chosen fields as numbers.
-
-    The draw ranks lines by a hash of their text, so it does not depend on the
-    cluster layout; at most k rows per task reach the final merge.
-    """
-    picked = order.sample_k(lines, k, key=F.col("value"), seed=seed)
-    cut = picked.select(cut_fields(split_fields(F.col("value"), delimiter), [v + 1 for v in variables], TAB).alias("c"))
-    rows = cut.collect()
-    centers = []
-    for r in rows:
-        vals = [float(x) for x in r["c"].split(TAB)]
-        if len(vals) != len(variables):
-            raise ValueError("sampled row lacks a chosen variable")
-        centers.append(vals)
-    return centers
+def _sample_key(seed: int):
+    line = F.col("value")
+    salted = line if seed == 0 else F.concat(F.lit(f"{seed}:"), line)
+    return F.unhex(F.md5(salted))  # 16 bytes; orders like the hex digest
 
 
 def cluster_pipeline(
@@ -75,28 +68,78 @@ def cluster_pipeline(
     init_centers_raw: Sequence[Sequence[float]] | None = None,
     delimiter: str = TAB,
     profile_all: bool = False,
+    cache: str = "persist",
 ) -> PipelineResult:
-    """Run the whole clustering on tab records.
+    """Run the whole clustering on delimited records (tab by default).
 
     ``variables`` are 0-based column indices (default: the script's fixed
     three). ``moments`` reuses a stored profile (for example of a larger table
-    than ``lines``, I9); otherwise the profile of ``lines`` is computed.
-    ``header=True`` drops the header line first. The computed profile covers
-    the chosen variables only, unless ``profile_all`` asks for every column
-    (the full moments file).
+    than ``lines``, I9); otherwise the chosen columns are profiled in the
+    caching pass (``profile_all=True`` profiles every column in an extra pass,
+    for the full moments file). The k starting rows are drawn by the md5 of
+    their text (``seed`` salts it) unless ``init_centers_raw`` gives them.
+    ``header=True`` drops the header line first.
     """
     if header:
         lines = skip_header(lines)
+    spark = lines.sparkSession
     chosen = list(variables) if variables is not None else [v - 1 for v in PIPELINE_VARIABLES_1BASED]
-    if moments is None:
-        moments = jobs.column_moments(lines, delimiter=delimiter, columns=None if profile_all else chosen)
-    means, stds = moments_to_lists(moments)
-    proj.check_moments(chosen, means, stds)
-    start = (
-        [list(map(float, c)) for c in init_centers_raw]
-        if init_centers_raw is not None
-        else sample_centers(lines, k, chosen, seed=seed, delimiter=delimiter)
-    )
-    result = jobs.kmeans_standardised(lines, start, chosen, means, stds, max_iter=max_iter, tol=tol, delimiter=delimiter)
+    if profile_all and moments is None:
+        moments = jobs.column_moments(lines, delimiter=delimiter)
+
+    rows = parse_delimited(lines, delimiter)
+    xs = [f"x{j}" for j in range(len(chosen))]
+    cols = [_sample_key(seed).alias("_h")]
+    cols += [v.alias(n) for v, n in zip(proj.feature_columns("fields", chosen, on_bad="fail"), xs)]
+    profiled = moments is None
+    if profiled:
+        first = rows.select(F.size("fields").alias("w")).first()
+        width = int(first["w"]) if first is not None else 0
+        pv = profile_values("fields", width)
+        cols += [(pv[i] if i < width else F.lit(0.0)).alias(f"p{j}") for j, i in enumerate(chosen)]
+    cached = rows.select(*cols)
+    if cache == "checkpoint":
+        from statforge.session import checkpoint_dir
+
+        checkpoint_dir(spark)
+        cached = cached.checkpoint(eager=True)
+    else:
+        cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if profiled:
+            aggs = [F.count(F.lit(1)).alias("_n")]
+            for j in range(len(chosen)):
+                aggs += [F.avg(f"p{j}").alias(f"m{j}"), F.stddev_pop(f"p{j}").alias(f"s{j}")]
+            stats = cached.agg(*aggs).first()
+            if not stats or stats["_n"] == 0:
+                raise ValueError("no records to cluster")
+            data = [(i, float(stats[f"m{j}"]), float(stats[f"s{j}"])) for j, i in enumerate(chosen)]
+            moments = spark.createDataFrame(data, "col_idx INT, mean DOUBLE, std DOUBLE")
+            width_all = max(chosen) + 1
+            means = [float("nan")] * width_all
+            stds = [float("nan")] * width_all
+            for i, m, s in data:
+                means[i], stds[i] = m, s
+        else:
+            means, stds = moments_to_lists(moments)
+        proj.check_moments(chosen, means, stds)
+
+        if init_centers_raw is not None:
+            start = [[float(x) for x in c] for c in init_centers_raw]
+        else:
+            picked = cached.orderBy("_h", *xs).limit(k).select(*xs).collect()
+            start = []
+            for r in picked:
+                if any(r[n] is None for n in xs):
+                    raise ValueError("sampled row lacks a chosen variable")
+                start.append([float(r[n]) for n in xs])
+
+        z = proj.standardise([F.col(n) for n in xs], chosen, means, stds)
+        points = cached.select(*[c.alias(n) for c, n in zip(z, xs)])
+        std_start = proj.standardise_centers(start, chosen, means, stds)
+        result = km.fit(points, km.Features(columns=tuple(xs)), std_start, max_iter=max_iter, tol=tol, rule="squared_shift", persist=False)
+    finally:
+        if cache != "checkpoint":
+            cached.unpersist()
     assigned = jobs.assign_clusters(lines, result.centers, chosen, moments=(means, stds), delimiter=delimiter)
-    return PipelineResult(moments, chosen, start, result, assigned)
+    return PipelineResult(moments, means, stds, chosen, start, result, assigned)

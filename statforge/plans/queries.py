@@ -151,13 +151,13 @@ def _fit_raw(spark: SparkSession, sf_dir: str) -> km.KMeansResult:
     )
 
 
-def _fit_standardised(spark: SparkSession, sf_dir: str):
-    means, stds = _lineitem_moments(spark, sf_dir)
+def _fit_standardised(spark: SparkSession, sf_dir: str, variables=STD_VARIABLES):
+    """Standardised fit from the first K rows: one caching pass profiles the
+    variables and feeds every iteration."""
     start = _first_k_raw(spark, sf_dir, ("l_quantity", "l_extendedprice", "l_discount"), K)
-    result = jobs.kmeans_standardised(
-        tables.lineitem_tab_lines(spark, sf_dir), start, STD_VARIABLES, means, stds, max_iter=STD_MAX_ITER, tol=km.TOLERANCE
+    return cluster_pipeline(
+        tables.lineitem_tab_lines(spark, sf_dir), k=K, max_iter=STD_MAX_ITER, variables=variables, init_centers_raw=start
     )
-    return result, (means, stds)
 
 
 def kmeans_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,22 +165,18 @@ def kmeans_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result, _ = _fit_standardised(spark, sf_dir)
-    return _centers_df(spark, result, len(STD_VARIABLES))
+    return _centers_df(spark, _fit_standardised(spark, sf_dir).fit, len(STD_VARIABLES))
 
 
 def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result, _ = _fit_standardised(spark, sf_dir)
-    t = result.trace_frame(spark)
+    t = _fit_standardised(spark, sf_dir).fit.trace_frame(spark)
     return t.select(
         "iteration", _r(F.col("max_abs_shift")).alias("max_abs_shift"), _r(F.col("max_squared_shift")).alias("max_squared_shift"), "converged"
     )
 
 
 def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result, moments = _fit_standardised(spark, sf_dir)
-    assigned = jobs.assign_clusters(tables.lineitem_tab_lines(spark, sf_dir), result.centers, STD_VARIABLES, moments=moments)
-    return assigned.select(*_key_columns(), "cluster")
+    return _fit_standardised(spark, sf_dir).assignments.select(*_key_columns(), "cluster")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,11 +255,7 @@ def centroid_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         merge=True,
     )
     variables = read_variables(spark, vars_path)
-    means, stds = _lineitem_moments(spark, sf_dir)
-    start = _first_k_raw(spark, sf_dir, ("l_quantity", "l_extendedprice", "l_discount"), K)
-    result = jobs.kmeans_standardised(
-        tables.lineitem_tab_lines(spark, sf_dir), start, variables, means, stds, max_iter=STD_MAX_ITER
-    )
+    result = _fit_standardised(spark, sf_dir, variables).fit
     path = scratch_path(spark, "centroids")
     write_centroids(centroids_frame(spark, result.centers), path)
     back = read_centroids(spark, path)
