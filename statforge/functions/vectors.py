@@ -67,4 +67,18 @@ def nearest_centroid_cols(features: Sequence[Column], centers: Sequence[Sequence
 
 
 def nearest_centroid_array(vec: Column, centers: Sequence[Sequence[float]]) -> Column:
-    return argmin_index([euclidean_array(vec, c) for c in centers])
+    """Nearest centroid for an ``array<double>`` vector.
+
+    All centroids travel as one ``array<array<double>>`` literal, so the
+    expression stays small whatever k and the width are: one distance per
+    centroid by ``transform``, then the first position of the minimum (ties
+    to the lowest index; an all-NaN row gets 0).
+    """
+    lit_centers = F.lit([[float(x) for x in c] for c in centers])
+    dists = F.transform(
+        lit_centers,
+        lambda c: F.sqrt(
+            F.aggregate(F.zip_with(vec, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+        ),
+    )
+    return (F.array_position(dists, F.array_min(dists)) - F.lit(1)).cast("int")

@@ -80,7 +80,8 @@ class Features:
     def element_means(self) -> list[Column]:
         if self.array is None:
             return [F.avg(F.col(c)).alias(f"c{j}") for j, c in enumerate(self.columns)]
-        return [F.avg(F.get(F.col(self.array), j)).alias(f"c{j}") for j in range(self.dim)]
+        # one parsed SQL expression per element keeps building the plan cheap
+        return [F.expr(f"avg(get(`{self.array}`, {j})) AS c{j}") for j in range(self.dim)]
 
 
 def max_abs_shift(old: Sequence[Sequence[float]], new: Sequence[Sequence[float]]) -> float:
