@@ -19,21 +19,32 @@ MAX_PARAMETER_VALUES = 1_000_000
 
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``DataFrame[line_no, line]``: non-blank lines in file-name then line order."""
+    """``DataFrame[line_no, line]``: non-blank lines numbered in file-name then
+    line order (a directory of part files reads as one file).
+
+    Each file is one ``wholetext`` row; lines are numbered within it by
+    ``posexplode`` and shifted by the number of lines in the files before it.
+    Those per-file counts (one row per file) are the only values fetched.
+    """
     files = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     exploded = files.select("file", F.posexplode(F.split(F.col("value"), "\r?\n")).alias("pos", "line"))
     exploded = exploded.where(F.trim(F.col("line")) != "")
-    return exploded.select(
-        (F.dense_rank().over(_file_line_order()) - 1).alias("line_no"),
-        F.col("line"),
-    )
-
-
-def _file_line_order():
+    exploded = exploded.select("file", F.row_number().over(_per_file_order()).alias("n"), "line")
+    counts = sorted((r["file"], r["lines"]) for r in exploded.groupBy("file").agg(F.count(F.lit(1)).alias("lines")).collect())
+    offset, offsets = 0, {}
+    for name, lines in counts:
+        offsets[name] = offset
+        offset += lines
+    shift = F.lit(0)
+    for name, off in offsets.items():
+        shift = F.when(F.col("file") == name, F.lit(off)).otherwise(shift)
+    return exploded.select((shift + F.col("n") - 1).alias("line_no"), "line")
+
+
+def _per_file_order():
     from pyspark.sql import Window
 
-    # A parameter file has a handful of lines: a global order is cheap here.
-    return Window.orderBy("file", "pos")
+    return Window.partitionBy("file").orderBy("pos")
 
 
 def _numbers(line_col: str = "line"):

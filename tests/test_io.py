@@ -101,3 +101,11 @@ def test_spread_only_when_too_few_partitions(spark):
     assert spread(few, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(8)
     assert spread(many, 4) is many
+
+
+def test_parameter_directory_of_part_files(spark, workdir):
+    d = os.path.join(workdir, "cdir")
+    os.makedirs(d)
+    _write(os.path.join(d, "part-00001"), "5 6\n\n7 8\n")
+    _write(os.path.join(d, "part-00000"), "1 2\n3 4\n")
+    assert centroids_to_list(read_centroids(spark, d)) == [[1.0, 2.0], [3.0, 4.0], [5.0, 6.0], [7.0, 8.0]]
