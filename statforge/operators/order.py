@@ -14,13 +14,16 @@ DEFAULT_RANGE_PARTITIONS = 5
 
 
 def sorted_partitions(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition by ``key`` and sort every partition by it (O1).
-
-    This is the shuffle-sort layout of a reducer's output file: each part is
-    in key order (byte order for strings), parts are not ordered among
-    themselves.
+    """Every partition sorted by ``key`` (O1): the layout of a reducer's output
+    files, each part in key order (byte order for strings), parts not ordered
+    among themselves.
+
+    The output of a grouped aggregation is already hash-partitioned by its
+    key, so by default only the local sort is added (no exchange). With
+    ``num_partitions`` the frame is first hash-partitioned into that many
+    parts.
     """
-    out = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
+    out = df.repartition(num_partitions, key) if num_partitions else df
     return out.sortWithinPartitions(key)
 
 

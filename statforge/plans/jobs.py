@@ -85,7 +85,7 @@ def flag_group_mean(
     )
     if on_bad == "drop":
         keyed = keyed.where(pred.parsed(F.col("group_key"), F.col("v")))
-    return agg.grouped_mean(keyed, "group_key", "v", alias="mean_value")
+    return order.sorted_partitions(agg.grouped_mean(keyed, "group_key", "v", alias="mean_value"), "group_key")
 
 
 # ---------------------------------------------------------------------------
@@ -112,7 +112,7 @@ def station_year_max(
     if on_bad == "drop":
         rows = rows.where(pred.parsed(F.col("t"), F.col("q")))
     rows = rows.where(pred.not_sentinel(F.col("t"), missing) & pred.in_list(F.col("q"), quality))
-    return agg.grouped_max(rows, "year", "t", floor=floor, alias="max_value")
+    return order.sorted_partitions(agg.grouped_max(rows, "year", "t", floor=floor, alias="max_value"), "year")
 
 
 # ---------------------------------------------------------------------------
@@ -227,7 +227,7 @@ def ngram_substring_mean(
             )
         )
     union = parts[0].unionByName(parts[1])
-    return agg.grouped_mean(union, "tag_key", "volumes", alias="mean_volumes")
+    return order.sorted_partitions(agg.grouped_mean(union, "tag_key", "volumes", alias="mean_volumes"), "tag_key")
 
 
 def ngram_volume_stddev(unigrams: DataFrame, bigrams: DataFrame, on_bad: str = "fail") -> DataFrame:

@@ -60,3 +60,13 @@ def test_range_partition_by_id(spark):
     out = jobs.range_partitioned_max(lines(spark, ["0,t,Abba,1", "0,t,Zed,2"]))
     plan = _plan(out)
     assert "Exchange" in plan and "bucket" in plan
+
+
+def test_reducer_output_sorted_without_extra_exchange(spark):
+    recs = ["a 1999 1 10", "b 2000 1 20", "nu 2001 1 5", "nuk 1998 1 7"]
+    out = jobs.ngram_substring_mean(lines(spark, recs).repartition(3), lines(spark, ["nu x 1997 1 3"]), substrings=("nu",))
+    plan = _plan(out)
+    assert plan.count("Exchange") == 2  # the repartition above, and the aggregation's own
+    assert "Sort [tag_key" in plan
+    parts = out.rdd.glom().map(lambda rs: [r["tag_key"] for r in rs]).collect()
+    assert all(p == sorted(p) for p in parts)
