@@ -213,7 +213,7 @@ def kmeans_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statforge.operators.order import sample_k as _sample
 
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", spread_out=False)  # a per-task top-k needs no spreading
     return _sample(o, SAMPLE_K, key=F.col("o_orderkey")).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
