@@ -22,7 +22,6 @@ from statforge.functions.parse import (
     parse_double,
     parse_int,
     parse_long,
-    split_fields,
 )
 from statforge.operators import aggregate as agg
 from statforge.operators import kmeans as km

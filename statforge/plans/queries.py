@@ -1,9 +1,9 @@
 """Registered queries: every job run over the test tables.
 
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame whose column
-names match its SQL oracle (``statforge.plans.oracles``). Computed doubles are
-rounded (4 places for means of money values, 6 elsewhere) in both, so the
-comparison does not depend on summation order.
+names and types match its SQL oracle (``statforge.plans.oracles``). Doubles
+that depend on summation order are rounded in both (see the rounding note
+below), so the comparison does not depend on partitioning.
 """
 
 from __future__ import annotations
