@@ -69,6 +69,7 @@ def cluster_pipeline(
     delimiter: str = TAB,
     profile_all: bool = False,
     cache: str = "persist",
+    width: int | None = None,
 ) -> PipelineResult:
     """Run the whole clustering on delimited records (tab by default).
 
@@ -78,7 +79,9 @@ def cluster_pipeline(
     caching pass (``profile_all=True`` profiles every column in an extra pass,
     for the full moments file). The k starting rows are drawn by the md5 of
     their text (``seed`` salts it) unless ``init_centers_raw`` gives them.
-    ``header=True`` drops the header line first.
+    ``header=True`` drops the header line first. With ``width`` given, a record
+    wider than that fails the profile, as in the full profile job; without it
+    no probe of the first record is made (the chosen columns need none).
     """
     if header:
         lines = skip_header(lines)
@@ -93,10 +96,9 @@ def cluster_pipeline(
     cols += [v.alias(n) for v, n in zip(proj.feature_columns("fields", chosen, on_bad="fail"), xs)]
     profiled = moments is None
     if profiled:
-        first = rows.select(F.size("fields").alias("w")).first()
-        width = int(first["w"]) if first is not None else 0
-        pv = profile_values("fields", width)
-        cols += [(pv[i] if i < width else F.lit(0.0)).alias(f"p{j}") for j, i in enumerate(chosen)]
+        span = max(chosen) + 1 if width is None else max(width, max(chosen) + 1)
+        pv = profile_values("fields", span, on_bad="fail" if width is not None else "drop")
+        cols += [pv[i].alias(f"p{j}") for j, i in enumerate(chosen)]
     cached = rows.select(*cols)
     if cache == "checkpoint":
         from statforge.session import checkpoint_dir

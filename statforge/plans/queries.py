@@ -45,6 +45,7 @@ PIPELINE_K = 4
 SUBSET_PIPELINE_K = 3
 EMBED_K = 5
 SAMPLE_K = 10
+LINEITEM_WIDTH = len(tables.LINEITEM_COLUMNS)  # fields of the tab rendering (no width probe needed)
 
 
 def _r(c, places: int = 6):
@@ -96,7 +97,7 @@ def _profile_long(moments: DataFrame) -> DataFrame:
 
 
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profile_long(jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir)))
+    return _profile_long(jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH))
 
 
 def _subset_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +113,7 @@ def row_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- standardise / k-means
 def _lineitem_moments(spark: SparkSession, sf_dir: str):
     """Moments of the clustering variables (one pass, three columns)."""
-    return moments_to_lists(jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), columns=STD_VARIABLES))
+    return moments_to_lists(jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH, columns=STD_VARIABLES))
 
 
 def _key_columns(value_col: str = "value"):
@@ -156,7 +157,7 @@ def _fit_standardised(spark: SparkSession, sf_dir: str, variables=STD_VARIABLES)
     variables and feeds every iteration."""
     start = _first_k_raw(spark, sf_dir, ("l_quantity", "l_extendedprice", "l_discount"), K)
     return cluster_pipeline(
-        tables.lineitem_tab_lines(spark, sf_dir), k=K, max_iter=STD_MAX_ITER, variables=variables, init_centers_raw=start
+        tables.lineitem_tab_lines(spark, sf_dir), k=K, max_iter=STD_MAX_ITER, variables=variables, init_centers_raw=start, width=LINEITEM_WIDTH
     )
 
 
@@ -181,15 +182,15 @@ def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = cluster_pipeline(
-        tables.lineitem_tab_lines(spark, sf_dir), k=PIPELINE_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES
+        tables.lineitem_tab_lines(spark, sf_dir), k=PIPELINE_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, width=LINEITEM_WIDTH
     )
     return res.cluster_sizes()
 
 
 def pipeline_given_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), columns=STD_VARIABLES)
+    full = jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH, columns=STD_VARIABLES)
     res = cluster_pipeline(
-        _subset_lines(spark, sf_dir), k=SUBSET_PIPELINE_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, moments=full
+        _subset_lines(spark, sf_dir), k=SUBSET_PIPELINE_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, moments=full, width=LINEITEM_WIDTH
     )
     return res.cluster_sizes()
 
@@ -242,7 +243,7 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def moments_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "moments")
-    write_moments(jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir)), path)
+    write_moments(jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH), path)
     return _profile_long(read_moments(spark, path))
 
 

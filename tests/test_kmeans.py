@@ -151,3 +151,14 @@ def test_checkpointed_fit_equals_persisted_fit(spark):
     b = km.fit(df, feats, start, max_iter=10, cache="checkpoint")
     assert a.iterations == b.iterations
     np.testing.assert_allclose(a.centers, b.centers, rtol=1e-12, atol=1e-12)
+
+
+def test_pipeline_checkpoint_cache_and_width_check(spark):
+    pts = _blobs(seed=21)
+    recs = ["\t".join(["r"] + [f"{x}" for x in p]) for p in pts]
+    a = cluster_pipeline(lines(spark, recs), k=3, max_iter=20, variables=[1, 2, 3])
+    b = cluster_pipeline(lines(spark, recs), k=3, max_iter=20, variables=[1, 2, 3], cache="checkpoint", width=4)
+    assert a.init_centers_raw == b.init_centers_raw and a.fit.iterations == b.fit.iterations
+    np.testing.assert_allclose(a.fit.centers, b.fit.centers, rtol=1e-12, atol=1e-12)
+    with pytest.raises(Exception, match="wider than 4"):
+        cluster_pipeline(lines(spark, recs + ["r\t1\t2\t3\textra"]), k=3, max_iter=2, variables=[1, 2, 3], width=4)
