@@ -26,8 +26,12 @@ def spread(df, min_partitions: int | None = None):
     already has many splits and is returned unchanged, so no shuffle is added
     at scale. Column pruning still reaches the scan below the exchange.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 

@@ -126,7 +126,8 @@ def redelimit(lines: DataFrame, out_sep: str = "\t", column: str = "value") -> D
     """
     stripped = F.regexp_replace(F.col(column), "^[ \t\n]+|[ \t\n]+$", "")
     rebuilt = F.array_join(F.split(stripped, _AWK_BLANKS), out_sep)
-    return lines.select(rebuilt.alias(column)).where(F.col(column) != "")
+    # built once per line even though the filter below refers to it
+    return with_columns_once(lines.select(column), {column: rebuilt}).where(F.col(column) != "")
 
 
 def cut_fields(fields: Column | str, positions_1based: Sequence[int], sep: str = "\t") -> Column:
