@@ -109,3 +109,28 @@ def test_parameter_directory_of_part_files(spark, workdir):
     _write(os.path.join(d, "part-00001"), "5 6\n\n7 8\n")
     _write(os.path.join(d, "part-00000"), "1 2\n3 4\n")
     assert centroids_to_list(read_centroids(spark, d)) == [[1.0, 2.0], [3.0, 4.0], [5.0, 6.0], [7.0, 8.0]]
+
+
+def test_text_files_at_table_scale(spark, workdir):
+    """Profile and pipeline over text files equal the same over the rendered table."""
+    from statforge.plans import tables
+    from statforge.plans.pipeline import cluster_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    rendered = tables.lineitem_tab_lines(spark, sf)
+    path = os.path.join(workdir, "lineitem_txt")
+    sinks.write_lines(rendered.repartition(3), path)
+    text = read_lines(spark, path)
+    assert text.count() == 6000
+
+    a = {r["col_idx"]: r for r in jobs.column_moments(rendered, width=11).collect()}
+    b = {r["col_idx"]: r for r in jobs.column_moments(text).collect()}
+    for i in range(8):
+        assert a[i]["mean"] == pytest.approx(b[i]["mean"], rel=1e-12)
+        assert a[i]["std"] == pytest.approx(b[i]["std"], rel=1e-9)
+    pa = cluster_pipeline(rendered, k=3, max_iter=20, variables=[4, 5, 6])
+    pb = cluster_pipeline(text, k=3, max_iter=20, variables=[4, 5, 6])
+    assert pa.init_centers_raw == pb.init_centers_raw and pa.fit.iterations == pb.fit.iterations
+    sa = sorted(tuple(r) for r in pa.cluster_sizes().collect())
+    sb = sorted(tuple(r) for r in pb.cluster_sizes().collect())
+    assert sa == sb and sum(n for _, n in sa) == 6000
