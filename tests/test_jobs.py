@@ -180,3 +180,13 @@ def test_range_partitioned_split_hot_bucket(spark):
     flat = [x for p in parts for x in p]
     assert flat == sorted(flat) and len(flat) == len(keys)
     assert sum(1 for p in parts if p and all(b == 0 for b, _ in p)) >= 2
+
+
+def test_large_volumes_do_not_wrap(spark):
+    # the per-key sum exceeds 32 and the square sum 64 bits: means and std dev stay exact
+    uni = ["nu 1999 1 2000000000", "nu 1999 1 2000000000", "nu 1999 1 2147483647"]
+    bi = ["nu x 1999 1 4000000000"]  # beyond int: not a valid int volume, dropped from the mean
+    got = {r["tag_key"]: r["mean_volumes"] for r in jobs.ngram_substring_mean(lines(spark, uni), lines(spark, bi)).collect()}
+    assert got == {"1999 | nu": (2000000000 * 2 + 2147483647) / 3}
+    sd = jobs.ngram_volume_stddev(lines(spark, uni), lines(spark, bi)).first()["stddev"]
+    assert sd == pytest.approx(np.std([2000000000, 2000000000, 2147483647, 4000000000]), rel=1e-12)
