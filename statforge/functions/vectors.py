@@ -66,6 +66,27 @@ def nearest_centroid_cols(features: Sequence[Column], centers: Sequence[Sequence
     return argmin_index([euclidean_cols(features, c) for c in centers])
 
 
+def _double_sql(x: float) -> str:
+    """A double as Spark SQL text that parses back to exactly the same value."""
+    return f"{float(x)!r}D"
+
+
+def nearest_centroid_sql(names: Sequence[str], centers: Sequence[Sequence[float]]) -> Column:
+    """``nearest_centroid_cols`` for named columns, built as one SQL expression.
+
+    Same expression (struct minimum, ties to the lowest index), but parsed on
+    the JVM in one call: a k-means iteration rebuilds it with new centroids,
+    and assembling it from Column objects costs a round trip per node.
+    """
+    parts = []
+    for i, center in enumerate(centers):
+        if len(center) != len(names):
+            raise ValueError(f"centroid has {len(center)} values, rows have {len(names)}")
+        terms = [f"((`{n}` - {_double_sql(v)}) * (`{n}` - {_double_sql(v)}))" for n, v in zip(names, center)]
+        parts.append(f"named_struct('d', sqrt({' + '.join(terms)}), 'i', {i})")
+    return F.expr(f"array_min(array({', '.join(parts)})).i")
+
+
 def nearest_centroid_array(vec: Column, centers: Sequence[Sequence[float]]) -> Column:
     """Nearest centroid for an ``array<double>`` vector.
 

@@ -23,7 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statforge.functions.vectors import nearest_centroid_array, nearest_centroid_cols
+from statforge.functions.vectors import nearest_centroid_array, nearest_centroid_sql
 
 # Iteration cap of the raw-scale job, and the tolerance both
 # convergence tests use.
@@ -69,7 +69,7 @@ class Features:
 
     def nearest(self, centers: Sequence[Sequence[float]]) -> Column:
         if self.array is None:
-            return nearest_centroid_cols([F.col(c) for c in self.columns], centers)
+            return nearest_centroid_sql(self.columns, centers)
         return nearest_centroid_array(F.col(self.array), centers)
 
     def select_list(self) -> list[Column]:
@@ -79,7 +79,7 @@ class Features:
 
     def element_means(self) -> list[Column]:
         if self.array is None:
-            return [F.avg(F.col(c)).alias(f"c{j}") for j, c in enumerate(self.columns)]
+            return [F.expr(f"avg(`{c}`) AS c{j}") for j, c in enumerate(self.columns)]
         # one parsed SQL expression per element keeps building the plan cheap
         return [F.expr(f"avg(get(`{self.array}`, {j})) AS c{j}") for j in range(self.dim)]
 
