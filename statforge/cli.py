@@ -16,7 +16,7 @@ Jobs and arguments (paths are files or directories of text):
     kmeans-raw     IN CENTROIDS VARS OUT            final centroids (raw scale)
     kmeans         IN CENTROIDS VARS MOMENTS MAXITER OUT   final centroids (standardised)
     assign         IN CENTROIDS VARS MOMENTS OUT    cluster<TAB>line
-    pipeline       DATA K MAXITER MOMENTS OUT       moments file, OUT/centroids, OUT/assigned
+    cluster        DATA K MAXITER MOMENTS OUT       moments file, OUT/centroids, OUT/assigned
 
 Outputs replace an existing path only with ``--overwrite``.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from statforge import sinks
 from statforge.plans import jobs
-from statforge.plans.pipeline import cluster_pipeline
+from statforge.plans.clustering import run_clustering
 from statforge.session import get_session
 from statforge.sources import (
     centroids_frame,
@@ -57,7 +57,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
     job, a = args.job, args.args
     need = {
         "flag-mean": 2, "station-max": 2, "songs-project": 2, "music-max": 2, "ngram-mean": 3, "ngram-stddev": 3,
-        "moments": 2, "subset": 2, "kmeans-raw": 4, "kmeans": 6, "assign": 5, "pipeline": 5,
+        "moments": 2, "subset": 2, "kmeans-raw": 4, "kmeans": 6, "assign": 5, "clustering_end_to_end": 5,
     }
     if job not in need:
         raise SystemExit(f"unknown job {job!r}")
@@ -98,8 +98,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
         moments = moments_to_lists(read_moments(spark, a[3]))
         assigned = jobs.assign_clusters(lines, centers, read_variables(spark, a[2]), moments=moments)
         _out(jobs.assignment_lines(assigned), a[4], mode)
-    elif job == "pipeline":
-        res = cluster_pipeline(lines, k=int(a[1]), max_iter=int(a[2]), profile_all=True)
+    elif job == "clustering_end_to_end":
+        res = run_clustering(lines, k=int(a[1]), max_iter=int(a[2]), profile_all=True)
         sinks.write_moments(res.moments, a[3], mode=mode)
         sinks.write_centroids(centroids_frame(spark, res.fit.centers), f"{a[4]}/centroids", mode=mode)
         _out(jobs.assignment_lines(res.assignments), f"{a[4]}/assigned", mode)

@@ -1,5 +1,5 @@
 """Jobs composed from the operators, the registered queries and their SQL oracles."""
 
-from statforge.plans import jobs, pipeline, tables
+from statforge.plans import clustering, jobs, tables
 
-__all__ = ["jobs", "pipeline", "tables"]
+__all__ = ["clustering", "jobs", "tables"]

@@ -32,11 +32,11 @@ from statforge.sources.params import moments_to_lists
 from statforge.sources.text import parse_delimited, skip_header
 
 # The variables the driver script clusters on (1-based columns).
-PIPELINE_VARIABLES_1BASED = (21, 24, 26)
+DEFAULT_VARIABLES_1BASED = (21, 24, 26)
 
 
 @dataclass
-class PipelineResult:
+class ClusteringResult:
     moments: DataFrame
     means: list[float]
     stds: list[float]
@@ -56,7 +56,7 @@ def _sample_key(seed: int):
     return F.unhex(F.md5(salted))  # 16 bytes; orders like the hex digest
 
 
-def cluster_pipeline(
+def run_clustering(
     lines: DataFrame,
     k: int,
     max_iter: int,
@@ -70,7 +70,7 @@ def cluster_pipeline(
     profile_all: bool = False,
     cache: str = "persist",
     width: int | None = None,
-) -> PipelineResult:
+) -> ClusteringResult:
     """Run the whole clustering on delimited records (tab by default).
 
     ``variables`` are 0-based column indices (default: the script's fixed
@@ -86,7 +86,7 @@ def cluster_pipeline(
     if header:
         lines = skip_header(lines)
     spark = lines.sparkSession
-    chosen = list(variables) if variables is not None else [v - 1 for v in PIPELINE_VARIABLES_1BASED]
+    chosen = list(variables) if variables is not None else [v - 1 for v in DEFAULT_VARIABLES_1BASED]
     if profile_all and moments is None:
         moments = jobs.column_moments(lines, delimiter=delimiter)
 
@@ -144,4 +144,4 @@ def cluster_pipeline(
         if cache != "checkpoint":
             cached.unpersist()
     assigned = jobs.assign_clusters(lines, result.centers, chosen, moments=(means, stds), delimiter=delimiter)
-    return PipelineResult(moments, means, stds, chosen, start, result, assigned)
+    return ClusteringResult(moments, means, stds, chosen, start, result, assigned)

@@ -122,7 +122,7 @@ def _subset_where() -> str:
     return "l_quantity <= 25 AND l_extendedprice <= 50000 AND l_linestatus = 'O' AND l_returnflag IN ('A', 'R')"
 
 
-def _pipeline_sql(k: int, subset: bool) -> str:
+def _clustering_sql(k: int, subset: bool) -> str:
     where = f"WHERE {_subset_where()}" if subset else ""
     points = (
         "SELECT " + _ROW_ID + ", (l_quantity - m0) / s0 AS x0, (l_extendedprice - m1) / s1 AS x1, "
@@ -255,8 +255,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT p.l_orderkey, p.l_linenumber, CAST(z.cluster AS INTEGER) AS cluster "
             f"FROM ({_nearest_select(std_last, 3)}) z JOIN p ON z.id = p.id",
         ),
-        "pipeline": _pipeline_sql(q.PIPELINE_K, subset=False),
-        "pipeline_given_moments": _pipeline_sql(q.SUBSET_PIPELINE_K, subset=True),
+        "clustering_end_to_end": _clustering_sql(q.CLUSTER_K, subset=False),
+        "clustering_given_moments": _clustering_sql(q.SUBSET_CLUSTER_K, subset=True),
         "kmeans_embeddings": _embeddings_sql(q.EMBED_K),
         "sample_k": (
             f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), "

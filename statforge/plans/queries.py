@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from statforge.functions.parse import TAB, WHITESPACE, field, nan_to_null, parse_double, parse_int, parse_long, split_fields
 from statforge.operators import kmeans as km
 from statforge.plans import jobs, tables
-from statforge.plans.pipeline import cluster_pipeline
+from statforge.plans.clustering import run_clustering
 from statforge.session import scratch_path
 from statforge.sinks import key_value_lines, write_centroids, write_lines, write_moments
 from statforge.sources import read_centroids, read_lines, read_moments, read_table, read_variables
@@ -41,8 +41,8 @@ RAW_VARIABLES = (2, 3, 4)  # quantity, discount, tax of the blank-separated line
 STD_VARIABLES = (4, 5, 6)  # quantity, extendedprice, discount of the tab lineitem records
 K = 4
 STD_MAX_ITER = 20
-PIPELINE_K = 4
-SUBSET_PIPELINE_K = 3
+CLUSTER_K = 4
+SUBSET_CLUSTER_K = 3
 EMBED_K = 5
 SAMPLE_K = 10
 LINEITEM_WIDTH = len(tables.LINEITEM_COLUMNS)  # fields of the tab rendering (no width probe needed)
@@ -156,7 +156,7 @@ def _fit_standardised(spark: SparkSession, sf_dir: str, variables=STD_VARIABLES)
     """Standardised fit from the first K rows: one caching pass profiles the
     variables and feeds every iteration."""
     start = _first_k_raw(spark, sf_dir, ("l_quantity", "l_extendedprice", "l_discount"), K)
-    return cluster_pipeline(
+    return run_clustering(
         tables.lineitem_tab_lines(spark, sf_dir), k=K, max_iter=STD_MAX_ITER, variables=variables, init_centers_raw=start, width=LINEITEM_WIDTH
     )
 
@@ -180,17 +180,17 @@ def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_standardised(spark, sf_dir).assignments.select(*_key_columns(), "cluster")
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = cluster_pipeline(
-        tables.lineitem_tab_lines(spark, sf_dir), k=PIPELINE_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, width=LINEITEM_WIDTH
+def clustering_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = run_clustering(
+        tables.lineitem_tab_lines(spark, sf_dir), k=CLUSTER_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, width=LINEITEM_WIDTH
     )
     return res.cluster_sizes()
 
 
-def pipeline_given_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clustering_given_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH, columns=STD_VARIABLES)
-    res = cluster_pipeline(
-        _subset_lines(spark, sf_dir), k=SUBSET_PIPELINE_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, moments=full, width=LINEITEM_WIDTH
+    res = run_clustering(
+        _subset_lines(spark, sf_dir), k=SUBSET_CLUSTER_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, moments=full, width=LINEITEM_WIDTH
     )
     return res.cluster_sizes()
 
@@ -278,8 +278,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_standardised": kmeans_standardised,
     "kmeans_trace": kmeans_trace,
     "cluster_assign": cluster_assign,
-    "pipeline": pipeline,
-    "pipeline_given_moments": pipeline_given_moments,
+    "clustering_end_to_end": clustering_end_to_end,
+    "clustering_given_moments": clustering_given_moments,
     "kmeans_embeddings": kmeans_embeddings,
     "sample_k": sample_k,
     "redelimit": redelimit_query,

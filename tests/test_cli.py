@@ -70,10 +70,10 @@ def test_clustering_jobs(spark, workdir, capsys):
     assert _read(os.path.join(workdir, "fitraw"))[0].startswith("0.3333333333333333\t0.3333333333333333")
 
 
-def test_pipeline_job(spark, workdir):
+def test_cluster_job(spark, workdir):
     rows = ["\t".join([f"r{i}"] + [str((i * 7) % 13 + (20 if i % 2 else 0)) for _ in range(26)]) for i in range(40)]
     data = _write(os.path.join(workdir, "med.tsv"), "\n".join(rows) + "\n")
-    main(["pipeline", data, "2", "10", os.path.join(workdir, "mom"), os.path.join(workdir, "out")], spark=spark)
+    main(["clustering_end_to_end", data, "2", "10", os.path.join(workdir, "mom"), os.path.join(workdir, "out")], spark=spark)
     assert len(_read(os.path.join(workdir, "mom"))) == 2
     assert len(_read(os.path.join(workdir, "out", "centroids"))) == 2
     assert len(_read(os.path.join(workdir, "out", "assigned"))) == 40

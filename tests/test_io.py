@@ -114,7 +114,7 @@ def test_parameter_directory_of_part_files(spark, workdir):
 def test_text_files_at_table_scale(spark, workdir):
     """Profile and pipeline over text files equal the same over the rendered table."""
     from statforge.plans import tables
-    from statforge.plans.pipeline import cluster_pipeline
+    from statforge.plans.clustering import run_clustering
 
     sf = "/root/testdata/sf0.001"
     rendered = tables.lineitem_tab_lines(spark, sf)
@@ -128,8 +128,8 @@ def test_text_files_at_table_scale(spark, workdir):
     for i in range(8):
         assert a[i]["mean"] == pytest.approx(b[i]["mean"], rel=1e-12)
         assert a[i]["std"] == pytest.approx(b[i]["std"], rel=1e-9)
-    pa = cluster_pipeline(rendered, k=3, max_iter=20, variables=[4, 5, 6])
-    pb = cluster_pipeline(text, k=3, max_iter=20, variables=[4, 5, 6])
+    pa = run_clustering(rendered, k=3, max_iter=20, variables=[4, 5, 6])
+    pb = run_clustering(text, k=3, max_iter=20, variables=[4, 5, 6])
     assert pa.init_centers_raw == pb.init_centers_raw and pa.fit.iterations == pb.fit.iterations
     sa = sorted(tuple(r) for r in pa.cluster_sizes().collect())
     sb = sorted(tuple(r) for r in pb.cluster_sizes().collect())

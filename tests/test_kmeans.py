@@ -7,7 +7,7 @@ import pytest
 
 from statforge.operators import kmeans as km
 from statforge.plans import jobs
-from statforge.plans.pipeline import cluster_pipeline
+from statforge.plans.clustering import run_clustering
 from tests.conftest import lines
 
 
@@ -119,10 +119,10 @@ def test_array_features_match_columns(spark):
     np.testing.assert_allclose(res.centers, c, rtol=1e-9, atol=1e-9)
 
 
-def test_pipeline_end_to_end(spark):
+def test_clustering_end_to_end(spark):
     pts = _blobs(seed=5)
     recs = ["\t".join(["r"] + [f"{x}" for x in p]) for p in pts]
-    res = cluster_pipeline(lines(spark, recs), k=3, max_iter=20, variables=[1, 2, 3])
+    res = run_clustering(lines(spark, recs), k=3, max_iter=20, variables=[1, 2, 3])
     sizes = {r["cluster"]: r["n"] for r in res.cluster_sizes().collect()}
     assert sum(sizes.values()) == len(pts)
     # same start, checked against the NumPy loop
@@ -133,11 +133,11 @@ def test_pipeline_end_to_end(spark):
     assert res.fit.iterations == it
 
 
-def test_pipeline_header_and_given_moments(spark):
+def test_clustering_header_and_given_moments(spark):
     pts = _blobs(seed=9)
     recs = ["name\ta\tb\tc"] + ["\t".join(["r"] + [f"{x}" for x in p]) for p in pts]
     full = jobs.column_moments(lines(spark, recs[1:]))
-    res = cluster_pipeline(lines(spark, recs), k=3, max_iter=5, variables=[1, 2, 3], header=True, moments=full)
+    res = run_clustering(lines(spark, recs), k=3, max_iter=5, variables=[1, 2, 3], header=True, moments=full)
     assert res.assignments.count() == len(pts)
     assert res.assignments.where("cluster < 0").count() == 0
 
@@ -153,12 +153,12 @@ def test_checkpointed_fit_equals_persisted_fit(spark):
     np.testing.assert_allclose(a.centers, b.centers, rtol=1e-12, atol=1e-12)
 
 
-def test_pipeline_checkpoint_cache_and_width_check(spark):
+def test_clustering_checkpoint_cache_and_width_check(spark):
     pts = _blobs(seed=21)
     recs = ["\t".join(["r"] + [f"{x}" for x in p]) for p in pts]
-    a = cluster_pipeline(lines(spark, recs), k=3, max_iter=20, variables=[1, 2, 3])
-    b = cluster_pipeline(lines(spark, recs), k=3, max_iter=20, variables=[1, 2, 3], cache="checkpoint", width=4)
+    a = run_clustering(lines(spark, recs), k=3, max_iter=20, variables=[1, 2, 3])
+    b = run_clustering(lines(spark, recs), k=3, max_iter=20, variables=[1, 2, 3], cache="checkpoint", width=4)
     assert a.init_centers_raw == b.init_centers_raw and a.fit.iterations == b.fit.iterations
     np.testing.assert_allclose(a.fit.centers, b.fit.centers, rtol=1e-12, atol=1e-12)
     with pytest.raises(Exception, match="wider than 4"):
-        cluster_pipeline(lines(spark, recs + ["r\t1\t2\t3\textra"]), k=3, max_iter=2, variables=[1, 2, 3], width=4)
+        run_clustering(lines(spark, recs + ["r\t1\t2\t3\textra"]), k=3, max_iter=2, variables=[1, 2, 3], width=4)
