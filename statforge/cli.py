@@ -5,18 +5,18 @@
 
 Jobs and arguments (paths are files or directories of text):
 
-    flag-mean      IN OUT                           key<TAB>mean
-    station-max    IN OUT                           year<TAB>max
-    songs-project  IN OUT                           artist<TAB>duration<TAB>title<TAB>year
-    music-max      IN OUT                           key<TAB>max, part file b = range bucket b
-    ngram-mean     UNIGRAMS BIGRAMS OUT             "year | substring"<TAB>mean
-    ngram-stddev   UNIGRAMS BIGRAMS OUT             one value
-    moments        IN OUT                           means line, std devs line
-    subset         IN OUT                           the kept lines
-    kmeans-raw     IN CENTROIDS VARS OUT            final centroids (raw scale)
-    kmeans         IN CENTROIDS VARS MOMENTS MAXITER OUT   final centroids (standardised)
-    assign         IN CENTROIDS VARS MOMENTS OUT    cluster<TAB>line
-    cluster        DATA K MAXITER MOMENTS OUT       moments file, OUT/centroids, OUT/assigned
+    flag-mean      IN OUT                                 key<TAB>mean
+    station-max    IN OUT                                 year<TAB>max
+    year-project   IN OUT                                 artist<TAB>duration<TAB>title<TAB>year
+    range-max      IN OUT                                 key<TAB>max, part file b = range bucket b
+    substring-mean UNIGRAMS BIGRAMS OUT                   "year | substring"<TAB>mean
+    volume-stddev  UNIGRAMS BIGRAMS OUT                   one value
+    moments        IN OUT                                 means line, std devs line
+    subset         IN OUT                                 the kept lines
+    kmeans-raw     IN CENTROIDS VARS OUT                  final centroids (raw scale)
+    kmeans         IN CENTROIDS VARS MOMENTS MAXITER OUT  final centroids (standardised)
+    assign         IN CENTROIDS VARS MOMENTS OUT          cluster<TAB>line
+    cluster        DATA K MAXITER MOMENTS OUT             moments file, OUT/centroids, OUT/assigned
 
 Outputs replace an existing path only with ``--overwrite``.
 """
@@ -56,8 +56,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
     mode = "overwrite" if args.overwrite else "errorifexists"
     job, a = args.job, args.args
     need = {
-        "flag-mean": 2, "station-max": 2, "songs-project": 2, "music-max": 2, "ngram-mean": 3, "ngram-stddev": 3,
-        "moments": 2, "subset": 2, "kmeans-raw": 4, "kmeans": 6, "assign": 5, "clustering_end_to_end": 5,
+        "flag-mean": 2, "station-max": 2, "year-project": 2, "range-max": 2, "substring-mean": 3, "volume-stddev": 3,
+        "moments": 2, "subset": 2, "kmeans-raw": 4, "kmeans": 6, "assign": 5, "cluster": 5,
     }
     if job not in need:
         raise SystemExit(f"unknown job {job!r}")
@@ -68,14 +68,14 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
         _out(_kv(jobs.flag_group_mean(lines), "group_key", "mean_value"), a[1], mode)
     elif job == "station-max":
         _out(_kv(jobs.station_year_max(lines), "year", "max_value"), a[1], mode)
-    elif job == "songs-project":
+    elif job == "year-project":
         _out(jobs.projection_lines(jobs.year_range_projection(lines)), a[1], mode)
-    elif job == "music-max":
+    elif job == "range-max":
         maxima = jobs.range_partitioned_max(lines)
         _out(maxima.select(F.concat_ws("\t", "key", F.col("max_value").cast("string")).alias("value")), a[1], mode)
-    elif job == "ngram-mean":
+    elif job == "substring-mean":
         _out(_kv(jobs.ngram_substring_mean(lines, read_lines(spark, a[1])), "tag_key", "mean_volumes"), a[2], mode)
-    elif job == "ngram-stddev":
+    elif job == "volume-stddev":
         out = jobs.ngram_volume_stddev(lines, read_lines(spark, a[1]))
         _out(sinks.single_column_lines(out, "stddev"), a[2], mode, merge=True)
     elif job == "moments":
@@ -98,7 +98,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
         moments = moments_to_lists(read_moments(spark, a[3]))
         assigned = jobs.assign_clusters(lines, centers, read_variables(spark, a[2]), moments=moments)
         _out(jobs.assignment_lines(assigned), a[4], mode)
-    elif job == "clustering_end_to_end":
+    elif job == "cluster":
         res = run_clustering(lines, k=int(a[1]), max_iter=int(a[2]), profile_all=True)
         sinks.write_moments(res.moments, a[3], mode=mode)
         sinks.write_centroids(centroids_frame(spark, res.fit.centers), f"{a[4]}/centroids", mode=mode)

@@ -27,7 +27,7 @@ def _parts(path):
 
 def test_summary_jobs(spark, workdir):
     row = lambda v, k, flag: ",".join(["x"] * 3 + [v] + ["y"] * 25 + list(k) + [flag])
-    inp = _write(os.path.join(workdir, "ibm.csv"), "\n".join([row("2", "abcd", "false"), row("4", "abcd", "FALSE"), row("9", "abcd", "true")]) + "\n")
+    inp = _write(os.path.join(workdir, "flags.csv"), "\n".join([row("2", "abcd", "false"), row("4", "abcd", "FALSE"), row("9", "abcd", "true")]) + "\n")
     main(["flag-mean", inp, os.path.join(workdir, "o1")], spark=spark)
     assert _read(os.path.join(workdir, "o1")) == ["a, b, c, d\t3.0"]
 
@@ -35,20 +35,20 @@ def test_summary_jobs(spark, workdir):
     main(["station-max", _write(os.path.join(workdir, "st.txt"), st), os.path.join(workdir, "o2")], spark=spark)
     assert _read(os.path.join(workdir, "o2")) == ["1901\t317"]
 
-    songs = ",".join(["0", "Title", "Abba", "200.5"] + ["z"] * 161 + ["2004"]) + "\n"
-    songs += ",".join(["0", "T2", "Zappa", "100.0"] + ["z"] * 161 + ["1990"]) + "\n"
-    main(["songs-project", _write(os.path.join(workdir, "songs.csv"), songs), os.path.join(workdir, "o3")], spark=spark)
+    year_recs = ",".join(["0", "Title", "Abba", "200.5"] + ["z"] * 161 + ["2004"]) + "\n"
+    year_recs += ",".join(["0", "T2", "Zappa", "100.0"] + ["z"] * 161 + ["1990"]) + "\n"
+    main(["year-project", _write(os.path.join(workdir, "years.csv"), year_recs), os.path.join(workdir, "o3")], spark=spark)
     assert _read(os.path.join(workdir, "o3")) == ["Abba\t200.5\tTitle\t2004"]
 
-    music = "0,t,Abba,1.5\n0,t,Abba,2.5\n0,t,Kiss,3.0\n0,t,Zappa,-1\n"
-    main(["music-max", _write(os.path.join(workdir, "m.csv"), music), os.path.join(workdir, "o4")], spark=spark)
+    recs = "0,t,Abba,1.5\n0,t,Abba,2.5\n0,t,Kiss,3.0\n0,t,Zappa,-1\n"
+    main(["range-max", _write(os.path.join(workdir, "m.csv"), recs), os.path.join(workdir, "o4")], spark=spark)
     assert sorted(_read(os.path.join(workdir, "o4"))) == ["Abba\t2.5", "Kiss\t3.0", "Zappa\t0.0"]
 
     uni = _write(os.path.join(workdir, "uni.txt"), "nub 1999 1 10\nklan 1999 1 4\n")
     bi = _write(os.path.join(workdir, "bi.txt"), "the nut 1999 1 20\n")
-    main(["ngram-mean", uni, bi, os.path.join(workdir, "o5")], spark=spark)
+    main(["substring-mean", uni, bi, os.path.join(workdir, "o5")], spark=spark)
     assert sorted(_read(os.path.join(workdir, "o5"))) == ["1999 | kla\t4.0", "1999 | nu\t15.0"]
-    main(["ngram-stddev", uni, bi, os.path.join(workdir, "o6")], spark=spark)
+    main(["volume-stddev", uni, bi, os.path.join(workdir, "o6")], spark=spark)
     assert len(_read(os.path.join(workdir, "o6"))) == 1
 
 
@@ -73,7 +73,7 @@ def test_clustering_jobs(spark, workdir, capsys):
 def test_cluster_job(spark, workdir):
     rows = ["\t".join([f"r{i}"] + [str((i * 7) % 13 + (20 if i % 2 else 0)) for _ in range(26)]) for i in range(40)]
     data = _write(os.path.join(workdir, "med.tsv"), "\n".join(rows) + "\n")
-    main(["clustering_end_to_end", data, "2", "10", os.path.join(workdir, "mom"), os.path.join(workdir, "out")], spark=spark)
+    main(["cluster", data, "2", "10", os.path.join(workdir, "mom"), os.path.join(workdir, "out")], spark=spark)
     assert len(_read(os.path.join(workdir, "mom"))) == 2
     assert len(_read(os.path.join(workdir, "out", "centroids"))) == 2
     assert len(_read(os.path.join(workdir, "out", "assigned"))) == 40
