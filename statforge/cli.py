@@ -71,7 +71,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
     elif job == "year-project":
         _out(jobs.projection_lines(jobs.year_range_projection(lines)), a[1], mode)
     elif job == "range-max":
-        maxima = jobs.range_partitioned_max(lines)
+        maxima = jobs.range_partitioned_max(lines, parts_per_bucket=args.parts_per_bucket)
         _out(maxima.select(F.concat_ws("\t", "key", F.col("max_value").cast("string")).alias("value")), a[1], mode)
     elif job == "substring-mean":
         _out(_kv(jobs.ngram_substring_mean(lines, read_lines(spark, a[1])), "tag_key", "mean_volumes"), a[2], mode)
@@ -112,6 +112,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("job")
     p.add_argument("args", nargs="*")
     p.add_argument("--overwrite", action="store_true", help="replace existing outputs")
+    p.add_argument(
+        "--parts-per-bucket", type=int, default=1, help="range-max: split each range bucket over N ordered part files"
+    )
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     return p
 
