@@ -267,7 +267,7 @@ def oracle_sql() -> dict[str, str]:
             "p_brand, p_type, CAST(p_size AS VARCHAR)) AS value FROM part"
         ),
         "header_skip": "SELECT p_partkey AS partkey, p_name AS name, p_retailprice AS price FROM part",
-        "text_roundtrip": "SELECT n_name, n_regionkey FROM nation",
+        "text_roundtrip": "SELECT s_name, s_acctbal FROM supplier",
         "moments_file": _profile_sql(),
         "centroid_file": _with(
             _std_fit_ctes(q.K), "SELECT cid AS cluster, " + ", ".join(f"round(x{j}, 6) AS x{j}" for j in range(3)) + f" FROM c{std_last}"

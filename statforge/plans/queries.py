@@ -233,12 +233,13 @@ def header_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read_table(spark, sf_dir, "nation")
-    path = scratch_path(spark, "nation-kv")
-    write_lines(key_value_lines(nation, "n_name", "n_regionkey"), path, mode="overwrite")
+    """Key/value text output (K1) of supplier, read back (S1) and parsed."""
+    supplier = read_table(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "supplier-kv")
+    write_lines(key_value_lines(supplier, "s_name", "s_acctbal"), path, mode="overwrite")
     back = read_lines(spark, path)
     fields = split_fields(F.col("value"), TAB)
-    return back.select(field(fields, 0).alias("n_name"), parse_int(field(fields, 1)).alias("n_regionkey"))
+    return back.select(field(fields, 0).alias("s_name"), parse_double(field(fields, 1)).alias("s_acctbal"))
 
 
 def moments_file(spark: SparkSession, sf_dir: str) -> DataFrame:
