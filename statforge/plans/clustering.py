@@ -4,9 +4,9 @@ One function replaces the driver script of shell and HDFS steps. The text is
 scanned twice in total:
 
 1. one pass parses every line once into a compact cached frame holding, per
-   line, a sample key (md5 of the line), the chosen raw features and, unless
-   moments are supplied, their profile values. The profile (one global
-   aggregate), the k-row sample (a per-task top-k) and every k-means
+   line, a sample key (md5 of the line) and the chosen raw features. The
+   profile of those columns (one global aggregate, unless moments are
+   supplied), the k-row sample (a per-task top-k) and every k-means
    iteration then run against that cache;
 2. one map-only pass labels every original line.
 
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from statforge.functions.parse import TAB
 from statforge.operators import kmeans as km
 from statforge.operators import project as proj
-from statforge.operators.aggregate import profile_values
 from statforge.plans import jobs
 from statforge.sources.params import moments_to_lists
 from statforge.sources.text import parse_delimited, skip_header
@@ -92,13 +91,17 @@ def run_clustering(
 
     rows = parse_delimited(lines, delimiter)
     xs = [f"x{j}" for j in range(len(chosen))]
-    cols = [_sample_key(seed).alias("_h")]
+    key = _sample_key(seed)
+    if width is not None:
+        key = F.when(F.size("fields") <= width, key).otherwise(
+            F.raise_error(F.lit(f"record wider than {width} fields")).cast("binary")
+        )
+    cols = [key.alias("_h")]
     cols += [v.alias(n) for v, n in zip(proj.feature_columns("fields", chosen, on_bad="fail"), xs)]
     profiled = moments is None
-    if profiled:
-        span = max(chosen) + 1 if width is None else max(width, max(chosen) + 1)
-        pv = profile_values("fields", span, on_bad="fail" if width is not None else "drop")
-        cols += [pv[i].alias(f"p{j}") for j, i in enumerate(chosen)]
+    # 16 bytes + d doubles per line. The profile value of a chosen column is
+    # the feature itself, or 0 for a missing trailing field (an unparsable one
+    # fails the pass either way), so it is derived from the cache, not stored.
     cached = rows.select(*cols)
     if cache == "checkpoint":
         from statforge.session import checkpoint_dir
@@ -110,8 +113,9 @@ def run_clustering(
     try:
         if profiled:
             aggs = [F.count(F.lit(1)).alias("_n")]
-            for j in range(len(chosen)):
-                aggs += [F.avg(f"p{j}").alias(f"m{j}"), F.stddev_pop(f"p{j}").alias(f"s{j}")]
+            for j, n in enumerate(xs):
+                p = F.coalesce(F.col(n), F.lit(0.0))
+                aggs += [F.avg(p).alias(f"m{j}"), F.stddev_pop(p).alias(f"s{j}")]
             stats = cached.agg(*aggs).first()
             if not stats or stats["_n"] == 0:
                 raise ValueError("no records to cluster")
