@@ -8,7 +8,7 @@ Jobs and arguments (paths are files or directories of text):
     flag-mean      IN OUT                                 key<TAB>mean
     station-max    IN OUT                                 year<TAB>max
     year-project   IN OUT                                 artist<TAB>duration<TAB>title<TAB>year
-    range-max      IN OUT                                 key<TAB>max, part file b = range bucket b
+    range-max      IN OUT                                 key<TAB>max, buckets in ordered part files
     substring-mean UNIGRAMS BIGRAMS OUT                   "year | substring"<TAB>mean
     volume-stddev  UNIGRAMS BIGRAMS OUT                   one value
     moments        IN OUT                                 means line, std devs line
@@ -113,7 +113,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("args", nargs="*")
     p.add_argument("--overwrite", action="store_true", help="replace existing outputs")
     p.add_argument(
-        "--parts-per-bucket", type=int, default=1, help="range-max: split each range bucket over N ordered part files"
+        "--parts-per-bucket",
+        type=int,
+        default=None,
+        help="range-max: ordered part files per range bucket (1 = one file per bucket; default from shuffle partitions)",
     )
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     return p

@@ -56,20 +56,27 @@ def range_partitioned(
     break_points: Sequence[str] = DEFAULT_BREAK_POINTS,
     num_partitions: int = DEFAULT_RANGE_PARTITIONS,
     bucket: str = "bucket",
-    parts_per_bucket: int = 1,
+    parts_per_bucket: int | None = None,
 ) -> DataFrame:
     """Place rows by first-character bucket, each partition sorted by key (O2 + O1).
 
-    With ``parts_per_bucket=1`` (the original layout) ``repartitionById`` sends
-    bucket b to partition b exactly (hash or range repartitioning could merge
-    two buckets). A bucket can hold a large share of all keys (one initial
-    letter may dominate), so ``parts_per_bucket > 1`` range-partitions on
-    ``(bucket, key)`` into ``num_partitions * parts_per_bucket`` partitions:
-    a hot bucket is split over several consecutive partitions, and reading the
-    partitions in order still gives buckets in order and keys sorted within
-    each bucket. Run it after the aggregation so only one row per key crosses
-    this exchange.
+    One initial letter can hold a large share of all keys, so by default each
+    bucket is split over several consecutive partitions: a range partitioning
+    on ``(bucket, key)`` into ``num_partitions * parts_per_bucket`` parts
+    (``parts_per_bucket=None`` takes ``spark.sql.shuffle.partitions //
+    num_partitions``). Reading the partitions in order gives buckets in order
+    and keys sorted within each bucket. The range bounds are sampled from the
+    aggregated rows, whose shuffle output is reused, so the input is not
+    scanned again.
+
+    ``parts_per_bucket=1`` gives the exact reducer layout instead: bucket b is
+    partition b (``repartitionById``; hash or range repartitioning could merge
+    two buckets). Either way run it after the aggregation, so only one row per
+    key crosses this exchange.
     """
+    if parts_per_bucket is None:
+        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions") or 1)
+        parts_per_bucket = max(1, shuffle // max(num_partitions, 1))
     with_bucket = df.withColumn(bucket, first_char_bucket(key, break_points, num_partitions))
     if parts_per_bucket > 1:
         n = max(num_partitions, 1) * parts_per_bucket

@@ -169,10 +169,11 @@ def range_partitioned_max(
     num_partitions: int = order.DEFAULT_RANGE_PARTITIONS,
     delimiter: str = COMMA,
     on_bad: str = "fail",
-    parts_per_bucket: int = 1,
+    parts_per_bucket: int | None = None,
 ) -> DataFrame:
-    """``DataFrame[key, max_value, bucket]``, partition b holding bucket b in key order
-    (or, with ``parts_per_bucket > 1``, a run of partitions per bucket).
+    """``DataFrame[key, max_value, bucket]``: each range bucket on a run of
+    consecutive partitions in key order (``parts_per_bucket=1``: partition b
+    holds exactly bucket b).
 
     The aggregation runs first at full parallelism; only one row per key then
     moves to the range partitions.

@@ -97,7 +97,7 @@ def test_first_char_bucket(spark, key, bucket):
 def test_range_partitioned_max_places_buckets(spark):
     keys = ["Abba", "Blur", "Fugees", "Kiss", "Muse", "Pink", "Queen", "U2", "Zappa", "Heart"]
     recs = [f"0,t,{k},{i + 1}.0" for i, k in enumerate(keys)]
-    out = jobs.range_partitioned_max(lines(spark, recs))
+    out = jobs.range_partitioned_max(lines(spark, recs), parts_per_bucket=1)
     assert out.rdd.getNumPartitions() == 5
     rows = out.select("key", "bucket", F.spark_partition_id().alias("pid")).collect()
     assert all(r["bucket"] == r["pid"] for r in rows)
