@@ -26,6 +26,19 @@ def _xs(d: int, prefix: str = "", fmt: str = "x{j}") -> str:
     return ", ".join(f"{prefix}{fmt.format(j=j)}" for j in range(d))
 
 
+def _nearest_cte(points: str, centers: str, d: int) -> str:
+    """``SELECT id, cid`` of the nearest centroid for every point.
+
+    The k centroids of ``centers`` come as one list from an uncorrelated scalar
+    subquery; distances are summed left to right like the Spark expression,
+    and the first minimum wins (ties to the lowest index).
+    """
+    coords = ", ".join(f"x{j}" for j in range(d))
+    sq = " + ".join(f"(p.x{j} - c[{j + 1}]) * (p.x{j} - c[{j + 1}])" for j in range(d))
+    dists = f"list_transform((SELECT list([{coords}] ORDER BY cid) FROM {centers}), lambda c: sqrt({sq}))"
+    return f"SELECT id, CAST(list_position(dl, list_min(dl)) - 1 AS INTEGER) AS cid FROM (SELECT p.id, {dists} AS dl FROM {points} p) n"
+
+
 def kmeans_ctes(points_sql: str, init_sql: str, d: int, max_iter: int, tol: float, rule: str) -> list[str]:
     """CTEs ``p`` (id, x0..), ``c0`` .. ``c{max_iter}`` (cid, x0.., n, done, it)
     and ``t{i}`` (one trace row per performed iteration)."""
@@ -33,13 +46,8 @@ def kmeans_ctes(points_sql: str, init_sql: str, d: int, max_iter: int, tol: floa
     ctes.append(
         f"c0 AS (SELECT CAST(cid AS INTEGER) AS cid, {_xs(d)}, CAST(0 AS BIGINT) AS n, FALSE AS done, 0 AS it FROM ({init_sql}) i0)"
     )
-    sq = " + ".join(f"(p.x{j} - c.x{j}) * (p.x{j} - c.x{j})" for j in range(d))
     for i in range(max_iter):
-        ctes.append(f"d{i} AS (SELECT p.id, c.cid, sqrt({sq}) AS dist FROM p CROSS JOIN c{i} c)")
-        ctes.append(
-            f"a{i} AS (SELECT id, min(cid) AS cid FROM (SELECT id, cid, dist, min(dist) OVER (PARTITION BY id) AS md FROM d{i}) w "
-            f"WHERE dist = md GROUP BY id)"
-        )
+        ctes.append(f"a{i} AS ({_nearest_cte('p', f'c{i}', d)})")
         avgs = ", ".join(f"avg(p.x{j}) AS x{j}" for j in range(d))
         ctes.append(f"u{i} AS (SELECT a.cid, count(*) AS n, {avgs} FROM a{i} a JOIN p ON a.id = p.id GROUP BY a.cid)")
         news = ", ".join(f"coalesce(u.x{j}, c.x{j}) AS nx{j}" for j in range(d))
@@ -52,12 +60,12 @@ def kmeans_ctes(points_sql: str, init_sql: str, d: int, max_iter: int, tol: floa
             f"FROM c{i} c LEFT JOIN u{i} u ON c.cid = u.cid)"
         )
         ctes.append(f"s{i} AS (SELECT max({mv_abs}) AS max_abs, max({mv_sq}) AS max_sq FROM m{i})")
-        conv = "s.max_abs <= " + repr(tol) if rule == "max_abs" else "s.max_sq <= " + repr(tol)
+        measure = f"(SELECT max_abs FROM s{i})" if rule == "max_abs" else f"(SELECT max_sq FROM s{i})"
+        conv = f"{measure} <= {tol!r}"
         keep = ", ".join(f"CASE WHEN m.done THEN m.ox{j} ELSE m.nx{j} END AS x{j}" for j in range(d))
         ctes.append(
             f"c{i + 1} AS (SELECT m.cid, {keep}, CASE WHEN m.done THEN m.on_ ELSE m.nn END AS n, "
-            f"(m.done OR ({conv})) AS done, CASE WHEN m.done THEN m.it ELSE {i + 1} END AS it "
-            f"FROM m{i} m CROSS JOIN s{i} s)"
+            f"(m.done OR ({conv})) AS done, CASE WHEN m.done THEN m.it ELSE {i + 1} END AS it FROM m{i} m)"
         )
         ctes.append(
             f"t{i} AS (SELECT {i + 1} AS iteration, s.max_abs AS max_abs_shift, s.max_sq AS max_squared_shift, "
@@ -76,11 +84,7 @@ def _centers_select(last: int, d: int) -> str:
 
 
 def _nearest_select(last: int, d: int, points: str = "p") -> str:
-    sq = " + ".join(f"(p.x{j} - c.x{j}) * (p.x{j} - c.x{j})" for j in range(d))
-    return (
-        f"SELECT id, min(cid) AS cluster FROM (SELECT id, cid, dist, min(dist) OVER (PARTITION BY id) AS md FROM "
-        f"(SELECT p.id, c.cid, sqrt({sq}) AS dist FROM {points} p CROSS JOIN c{last} c) x) w WHERE dist = md GROUP BY id"
-    )
+    return _nearest_cte(points, f"c{last}", d).replace("AS cid FROM", "AS cluster FROM", 1)
 
 
 # --------------------------------------------------------------------------- point / start definitions
@@ -91,15 +95,21 @@ _MOMENTS_CTE = (
 
 _ROW_ID = "row_number() OVER (ORDER BY " + LINEITEM_ORDER_SQL + ") AS id"
 
-_STD_POINTS = (
-    "SELECT " + _ROW_ID + ", l_orderkey, l_linenumber, (l_quantity - m0) / s0 AS x0, (l_extendedprice - m1) / s1 AS x1, "
-    "(l_discount - m2) / s2 AS x2 FROM lineitem CROSS JOIN mom"
+def _mom(name: str) -> str:
+    return f"(SELECT {name} FROM mom)"
+
+
+# standardised features, moments from the one-row ``mom`` CTE
+_Z = (
+    f"(l_quantity - {_mom('m0')}) / {_mom('s0')} AS x0, (l_extendedprice - {_mom('m1')}) / {_mom('s1')} AS x1, "
+    f"(l_discount - {_mom('m2')}) / {_mom('s2')} AS x2"
 )
 
+_STD_POINTS = "SELECT " + _ROW_ID + ", l_orderkey, l_linenumber, " + _Z + " FROM lineitem"
+
 _STD_INIT_FIRST = (
-    "SELECT row_number() OVER (ORDER BY " + LINEITEM_ORDER_SQL + ") - 1 AS cid, (l_quantity - m0) / s0 AS x0, "
-    "(l_extendedprice - m1) / s1 AS x1, (l_discount - m2) / s2 AS x2 FROM (SELECT * FROM lineitem ORDER BY "
-    + LINEITEM_ORDER_SQL + " LIMIT {k}) f CROSS JOIN mom"
+    "SELECT row_number() OVER (ORDER BY " + LINEITEM_ORDER_SQL + ") - 1 AS cid, " + _Z.replace("{", "{{").replace("}", "}}")
+    + " FROM (SELECT * FROM lineitem ORDER BY " + LINEITEM_ORDER_SQL + " LIMIT {k}) f"
 )
 
 _RAW_POINTS = "SELECT " + _ROW_ID + ", l_quantity AS x0, l_discount AS x1, l_tax AS x2 FROM lineitem"
@@ -124,15 +134,11 @@ def _subset_where() -> str:
 
 def _clustering_sql(k: int, subset: bool) -> str:
     where = f"WHERE {_subset_where()}" if subset else ""
-    points = (
-        "SELECT " + _ROW_ID + ", (l_quantity - m0) / s0 AS x0, (l_extendedprice - m1) / s1 AS x1, "
-        f"(l_discount - m2) / s2 AS x2 FROM lineitem CROSS JOIN mom {where}"
-    )
+    points = "SELECT " + _ROW_ID + ", " + _Z + f" FROM lineitem {where}"
     init = (
-        "SELECT row_number() OVER (ORDER BY md5(line), line) - 1 AS cid, (l_quantity - m0) / s0 AS x0, "
-        "(l_extendedprice - m1) / s1 AS x1, (l_discount - m2) / s2 AS x2 FROM (SELECT *, "
+        "SELECT row_number() OVER (ORDER BY md5(line), line) - 1 AS cid, " + _Z + " FROM (SELECT *, "
         + LINEITEM_LINE
-        + f" AS line FROM lineitem {where} ORDER BY md5(line), line LIMIT {k}) f CROSS JOIN mom"
+        + f" AS line FROM lineitem {where} ORDER BY md5(line), line LIMIT {k}) f"
     )
     ctes = [_MOMENTS_CTE] + kmeans_ctes(points, init, 3, q.STD_MAX_ITER, TOLERANCE, "squared_shift")
     last = q.STD_MAX_ITER
@@ -147,12 +153,12 @@ def _embeddings_sql(k: int) -> str:
         f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cid, CAST(embedding AS DOUBLE[]) AS v, "
         f"CAST(0 AS BIGINT) AS n, FALSE AS done FROM (SELECT * FROM embeddings ORDER BY vec_id LIMIT {k}) f)",
     ]
-    dist = "sqrt(list_reduce(list_transform(p.v, lambda x, j: (x - c.v[j]) * (x - c.v[j])), lambda a, b: a + b))"
+    dist = "sqrt(list_reduce(list_transform(p.v, lambda x, j: (x - c[j]) * (x - c[j])), lambda a, b: a + b))"
     for i in range(max_iter):
-        ctes.append(f"d{i} AS (SELECT p.id, c.cid, {dist} AS dist FROM p CROSS JOIN c{i} c)")
+        dl = f"list_transform((SELECT list(v ORDER BY cid) FROM c{i}), lambda c: {dist})"
         ctes.append(
-            f"a{i} AS (SELECT id, min(cid) AS cid FROM (SELECT id, cid, dist, min(dist) OVER (PARTITION BY id) AS md FROM d{i}) w "
-            f"WHERE dist = md GROUP BY id)"
+            f"a{i} AS (SELECT id, CAST(list_position(dl, list_min(dl)) - 1 AS INTEGER) AS cid "
+            f"FROM (SELECT p.id, {dl} AS dl FROM p) n)"
         )
         ctes.append(
             f"e{i} AS (SELECT a.cid, unnest(generate_series(1, len(p.v))) AS j, unnest(p.v) AS x FROM a{i} a JOIN p ON a.id = p.id)"
@@ -169,7 +175,7 @@ def _embeddings_sql(k: int) -> str:
         )
         ctes.append(
             f"c{i + 1} AS (SELECT m.cid, CASE WHEN m.done THEN m.ov ELSE m.nv END AS v, CASE WHEN m.done THEN m.on_ ELSE m.nn END AS n, "
-            f"(m.done OR s.max_abs <= {tol!r}) AS done FROM m{i} m CROSS JOIN s{i} s)"
+            f"(m.done OR (SELECT max_abs FROM s{i}) <= {tol!r}) AS done FROM m{i} m)"
         )
     return _with(
         ctes,
@@ -244,8 +250,9 @@ def oracle_sql() -> dict[str, str]:
         "column_profile": _profile_sql(),
         "row_subset": f"SELECT {LINEITEM_LINE} AS value FROM lineitem WHERE {_subset_where()}",
         "standardise": (
-            f"WITH {_MOMENTS_CTE} SELECT l_orderkey, l_linenumber, round((l_quantity - m0) / s0, 6) AS z0, "
-            "round((l_extendedprice - m1) / s1, 6) AS z1, round((l_discount - m2) / s2, 6) AS z2 FROM lineitem CROSS JOIN mom"
+            f"WITH {_MOMENTS_CTE} SELECT l_orderkey, l_linenumber, round((l_quantity - {_mom('m0')}) / {_mom('s0')}, 6) AS z0, "
+            f"round((l_extendedprice - {_mom('m1')}) / {_mom('s1')}, 6) AS z1, "
+            f"round((l_discount - {_mom('m2')}) / {_mom('s2')}, 6) AS z2 FROM lineitem"
         ),
         "kmeans_raw": _with(_raw_fit_ctes(q.K), _centers_select(RAW_MAX_ITER, 3)),
         "kmeans_standardised": _with(_std_fit_ctes(q.K), _centers_select(std_last, 3)),
