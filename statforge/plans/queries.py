@@ -197,9 +197,10 @@ def clustering_given_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kmeans_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
-    width = len(emb.select("embedding").first()[0])
-    start = [[float(x) for x in r["embedding"]] for r in tables.first_rows(emb, ["vec_id"], EMBED_K)]
-    feats = km.Features(array="embedding", width=width)
+    # the first K vectors are the start; their width is the vector width
+    firsts = tables.first_rows(read_table(spark, sf_dir, "embeddings", spread_out=False), ["vec_id"], EMBED_K)
+    start = [[float(x) for x in r["embedding"]] for r in firsts]
+    feats = km.Features(array="embedding", width=len(start[0]))
     result = km.fit(emb, feats, start, max_iter=km.RAW_MAX_ITER, tol=km.TOLERANCE, rule="max_abs")
     df = result.centers_frame(spark)
     return df.select(
