@@ -271,7 +271,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "redelimit": (
             "SELECT concat_ws(chr(9), CAST(p_partkey AS VARCHAR), split_part(p_name, ' ', 1), split_part(p_name, ' ', 2), "
-            "p_brand, p_type, CAST(p_size AS VARCHAR)) AS value FROM part"
+            "p_brand, p_type, CAST(p_size AS VARCHAR)) AS value, "
+            "concat_ws(chr(9), CAST(p_partkey AS VARCHAR), split_part(p_name, ' ', 1), split_part(p_name, ' ', 2), "
+            "p_brand, p_type) AS cut FROM part"
         ),
         "header_skip": "SELECT p_partkey AS partkey, p_name AS name, p_retailprice AS price FROM part",
         "text_roundtrip": "SELECT s_name, s_acctbal FROM supplier",

@@ -21,7 +21,7 @@ from statforge.session import scratch_path
 from statforge.sinks import key_value_lines, write_centroids, write_lines, write_moments
 from statforge.sources import read_centroids, read_lines, read_moments, read_table, read_variables
 from statforge.sources.params import centroids_frame, moments_to_lists
-from statforge.sources.text import redelimit, skip_header
+from statforge.sources.text import cut_fields, redelimit, skip_header
 
 # Parameters of the test queries.
 #
@@ -220,7 +220,12 @@ def sample_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redelimit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redelimit(tables.part_padded_lines(spark, sf_dir))
+    """Blank runs to tabs (S11), then ``cut -f1-5`` (P10): both the full
+    re-delimited line and the cut one."""
+    red = redelimit(tables.part_padded_lines(spark, sf_dir))
+    return red.select(
+        F.col("value"), cut_fields(split_fields(F.col("value"), TAB, keep_trailing_empty=True), range(1, 6)).alias("cut")
+    )
 
 
 def header_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
