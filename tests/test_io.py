@@ -134,3 +134,12 @@ def test_text_files_at_table_scale(spark, workdir):
     sa = sorted(tuple(r) for r in pa.cluster_sizes().collect())
     sb = sorted(tuple(r) for r in pb.cluster_sizes().collect())
     assert sa == sb and sum(n for _, n in sa) == 6000
+
+
+def test_scratch_paths_live_under_the_session_checkpoint_dir(spark):
+    from statforge.session import checkpoint_dir, scratch_path
+
+    base = spark.sparkContext.getCheckpointDir()
+    assert base and checkpoint_dir(spark) == base
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a.startswith(base.rstrip("/") + "/") and a != b
