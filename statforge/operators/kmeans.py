@@ -16,6 +16,7 @@ A cluster holding a third of all rows is just one partial buffer per task.
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -198,7 +199,9 @@ def fit(
     iteration = 0
     try:
         while not converged and iteration < max_iter:
+            started = time.perf_counter()
             new, sizes = lloyd_step(data, features, centers)
+            seconds = time.perf_counter() - started
             sq = squared_shifts(centers, new)
             mx = max_abs_shift(centers, new)
             converged = has_converged(centers, new, rule, tol)
@@ -211,6 +214,7 @@ def fit(
                     "squared_shifts": sq,
                     "sizes": list(sizes),
                     "converged": converged,
+                    "seconds": seconds,
                 }
             )
             centers = new
