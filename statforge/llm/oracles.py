@@ -2,6 +2,25 @@
 
 from __future__ import annotations
 
+# SHA-1 in base 32: five hexadecimal digits hold four digits of five bits.
+_BASE32 = """
+array_to_string([
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + (('0x' || sha[5 * (i // 4) + 1 : 5 * (i // 4) + 5])::BIGINT >> (15 - 5 * (i % 4))) % 32]
+  for i in range(32)], '')
+"""
+
+WEB_ARCHIVE = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages
+), k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY sha) AS keeper FROM p
+)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
+FROM k
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_web_archive": WEB_ARCHIVE}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statforge.llm import pieces, secret_scan
+from statforge.llm import pieces, secret_scan, web_archive
 from statforge.llm.common import table
 
 
@@ -23,4 +23,8 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), piece_model())
 
 
-QUERIES = {f.__name__: f for f in (op4_secret_scan, op7_sentencepiece)}
+def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_archive.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op4_secret_scan, op7_sentencepiece, op10_web_archive)}
