@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statforge.llm import pieces, secret_scan, web_archive
+from statforge.llm import pieces, quality_rules, quality_svm, secret_scan, web_archive
 from statforge.llm.common import table
 
 
@@ -15,10 +15,20 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_svm.score(docs, quality_svm.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), piece_model())
 
@@ -27,4 +37,13 @@ def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web_archive.round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op4_secret_scan, op7_sentencepiece, op10_web_archive)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_quality_classifier,
+        op4_secret_scan,
+        op5_quality_rules,
+        op7_sentencepiece,
+        op10_web_archive,
+    )
+}
