@@ -35,13 +35,23 @@ from statforge.llm.common import texts_of
 #: Fixed values of the format: the blank mark.
 BLANK = "▁"
 #: Units, and pairs of pieces, kept per worker before the table starts anew.
-MEMORY = 200_000
+MEMORY = 500_000
 #: Characters of one unit matched at a time.
 BLOCK = 2048
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+class _Any(dict):
+    """At the start of a unit any piece may stand."""
+
+    def __bool__(self) -> bool:
+        return True
+
+    def get(self, key, default=None):
+        return True
+
+
 class Pieces:
     """The vocabulary of a merge-type model, its encoder and its decoder."""
 
@@ -61,13 +71,21 @@ class Pieces:
         self.score = {p: sp.get_score(i) for p, i in self.id_of.items()}
         self.longest = max(map(len, self.id_of))
         self.letters = {c for p in self.id_of for c in p}
-        self._same: dict[tuple[str, str], bool] = {}
-        self._units: dict[str, tuple[int, str, str]] = {}
+        self._same: dict[int, dict[int, bool]] = {-1: _Any()}
+        self._pairs = 0
+        self._units: dict[str, str] = {}
+        self._older: dict[str, str] = {}
+        self._odd: dict[str, str] = {}
         self._automaton = ahocorasick.Automaton()
-        for p in self.id_of:
+        for p, i in self.id_of.items():
             if self.merge(p) == [p]:  # a piece that merging never makes is never output
-                self._automaton.add_word(p, p)
+                self._automaton.add_word(p, (len(p) - 1, i))
         self._automaton.make_automaton()
+        # for each piece, the longest shorter piece that it begins with (-1: none)
+        self.length = list(map(len, self.piece))
+        self.shorter = [-1] * size
+        for p, i in self.id_of.items():
+            self.shorter[i] = next((self.id_of[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self._automaton), -1)
         # Units: blank marks with the word after them; a line end, which no piece holds, stands alone.
         self.unit = re.compile(rf"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n+")
 
@@ -86,96 +104,89 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fits(self, a: str, b: str) -> bool:
+    def fits(self, a: int, b: int) -> bool:
         """Whether merging the joined text of two pieces gives the two again."""
-        key = (a, b)
-        known = self._same.get(key)
-        if known is None:
-            if len(self._same) >= MEMORY:
-                self._same.clear()
-            known = self._same[key] = self.merge(a + b) == [a, b]
+        x, y = self.piece[a], self.piece[b]
+        known = self.merge(x + y) == [x, y]
+        if self._pairs >= MEMORY:
+            self._same, self._pairs = {-1: _Any()}, 0
+        self._same.setdefault(a, {})[b] = known
+        self._pairs += 1
         return known
 
     # ---------------------------------------------------------------- backtracking
-    def _matches(self, text: str, block: int) -> list[list[str]]:
-        """For each place of a block, the pieces that begin there, shortest first."""
-        begin = block * BLOCK
-        stop = min(begin + BLOCK, len(text))
-        out: list[list[str]] = [[] for _ in range(stop - begin)]
-        for end, p in self._automaton.iter(text, begin, min(stop + self.longest, len(text))):
-            at = end - len(p) + 1 - begin
-            if at < len(out):
-                out[at].append(p)
+    def _longest(self, text: str, begin: int, stop: int) -> list[int]:
+        """For each place of a range, the id of the longest piece that begins there (-1: none)."""
+        out = [-1] * (min(stop + self.longest, len(text)) - begin)
+        for end, (before, i) in self._automaton.iter(text, begin, begin + len(out)):
+            out[end - before - begin] = i  # a later end is a longer piece
         return out
 
-    def backtrack(self, text: str) -> list[str]:
-        """The pieces of a text all of whose characters are pieces."""
-        blocks: dict[int, list[list[str]]] = {}
-
-        def beginning(at: int) -> list[str]:
-            k = at // BLOCK
-            if k not in blocks:
-                if len(blocks) >= 3:
-                    blocks.clear()
-                blocks[k] = self._matches(text, k)
-            return blocks[k][at % BLOCK]
-
-        failed = bytearray(len(text) // 8 + 1)
-        out: list[str] = []
-        at, n, shorter_than = 0, len(text), self.longest + 1
+    def backtrack(self, text: str) -> list[int]:
+        """The ids of a text all of whose characters are pieces."""
+        n = len(text)
+        blocks = {0: self._longest(text, 0, min(n, BLOCK))}
+        failed = bytearray(n // 8 + 1)
+        ids: list[int] = []
+        fits, shorter, length = self.fits, self.shorter, self.length
+        at, last, i = 0, -1, blocks[0][0] if n else -1
         while at < n:
-            last = out[-1] if out else None
-            for p in reversed(beginning(at)):
-                if len(p) >= shorter_than:
-                    continue
-                to = at + len(p)
-                if failed[to >> 3] >> (to & 7) & 1:
-                    continue
-                if last is None or self.fits(last, p):
-                    out.append(p)
-                    at, shorter_than = to, self.longest + 1
-                    break
+            row = self._same.get(last) or {}
+            while i >= 0:
+                follows = row.get(i)
+                if follows is None:
+                    follows = fits(last, i)
+                if follows:
+                    to = at + length[i]
+                    if not failed[to >> 3] >> (to & 7) & 1:
+                        break
+                i = shorter[i]
+            if i >= 0:
+                ids.append(i)
+                at, last = to, i
+                if at < n:
+                    k = at // BLOCK
+                    if k not in blocks:
+                        if len(blocks) >= 3:
+                            blocks.clear()
+                        blocks[k] = self._longest(text, k * BLOCK, min((k + 1) * BLOCK, n))
+                    i = blocks[k][at - k * BLOCK]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                if not out:
+                if not ids:
                     raise ValueError(f"no encoding of {text[:80]!r}")
-                shorter_than = len(out.pop())
-                at -= shorter_than
-        return out
+                i = ids.pop()
+                at -= length[i]
+                last = ids[-1] if ids else -1
+                i = shorter[i]
+        return ids
 
     def _blanks(self, n: int) -> list[str]:
         return self.merge(BLANK * n)
 
     def _unit_ids(self, unit: str) -> list[int]:
         """Ids of one unit: its known stretches encoded, other characters as bytes."""
+        if unit[:2] != BLANK * 2 and self.letters.issuperset(unit):
+            return self.backtrack(unit)
         ids: list[int] = []
         word = unit.lstrip(BLANK)
         blanks = len(unit) - len(word)
-        if blanks > 1 or (blanks and not word):
+        if blanks > 1:
             # the last mark stays with the word whenever a word follows that can take it
             keep = bool(word) and word[0] in self.letters and self._joins(word)
             ids += [self.id_of[p] for p in self._blanks(blanks - keep)]
             unit = BLANK + word if keep else word
-        known: list[str] = []
-
-        def flush() -> None:
-            if known:
-                ids.extend(self.id_of[p] for p in self.backtrack("".join(known)))
-                known.clear()
-
         for stretch in self._stretches(unit):
             if stretch[0] in self.letters:
-                known.append(stretch)
-                flush()
+                ids += self.backtrack(stretch)
             else:
-                for c in stretch:
-                    ids.extend(self.id_of_byte[b] for b in c.encode("utf-8", "surrogatepass"))
+                ids += [self.id_of_byte[b] for b in stretch.encode("utf-8", "surrogatepass")]
         return ids
 
     def _joins(self, word: str) -> bool:
         """Whether a blank mark before ``word`` becomes part of the word's first piece."""
         first = next(self._stretches(word))
-        return len(self.backtrack(BLANK + first)[0]) > 1
+        return len(self.piece[self.backtrack(BLANK + first)[0]]) > 1
 
     def _stretches(self, unit: str) -> Iterator[str]:
         at = 0
@@ -185,26 +196,36 @@ class Pieces:
                 at = i
 
     # ---------------------------------------------------------------- texts
-    def _encoded(self, unit: str) -> tuple[int, str, str]:
-        """Number of ids, their text, and what they decode to."""
-        ids = self._unit_ids(unit)
-        known = (len(ids), " ".join(map(str, ids)), self.decode_marks(ids))
+    def _encoded(self, unit: str) -> str:
+        """Ids of a unit not at hand, as text; what it decodes to is noted if that is not the unit."""
+        known = self._older.get(unit) if len(unit) <= 64 else None
+        if known is None:
+            ids = self._unit_ids(unit)
+            known = " ".join(map(str, ids))
+            back = self.decode_marks(ids)
+            if back != unit.replace(BLANK, " "):
+                if len(self._odd) >= MEMORY:  # what is noted and what is at hand go together
+                    self._odd, self._units, self._older = {}, {}, {}
+                self._odd[unit] = back
         if len(unit) <= 64:
-            if len(self._units) >= MEMORY:
-                self._units.clear()
+            if len(self._units) >= MEMORY:  # units met since the last turn stay at hand for one more
+                self._older, self._units = self._units, {}
             self._units[unit] = known
         return known
 
-    def units(self, text: str) -> Iterator[tuple[int, str, str]]:
+    def units(self, text: str) -> tuple[list[str], str]:
+        """The units of a text, and all its ids as text without the end id."""
         if not text:
-            return
-        get = self._units.get
-        for unit in self.unit.findall(BLANK + text.replace(" ", BLANK)):
-            yield get(unit) or self._encoded(unit)
+            return [], ""
+        units = self.unit.findall(BLANK + text.replace(" ", BLANK))
+        get, encoded = self._units.get, self._encoded
+        if len(self._units) >= MEMORY // 2:  # the dictionary may be exchanged on the way
+            return units, " ".join([self._units.get(u) or encoded(u) for u in units])
+        return units, " ".join([get(u) or encoded(u) for u in units])
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, the end id last."""
-        return [int(i) for _, ids, _ in self.units(text) for i in ids.split()] + [self.end_id]
+        return [*map(int, self.units(text)[1].split()), self.end_id]
 
     def decode_marks(self, ids: list[int]) -> str:
         """The text of ids, blank marks as blanks; a run of byte pieces is read as UTF-8."""
@@ -228,14 +249,11 @@ class Pieces:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, and SHA-256 of the ids' text and of the decoded text."""
-        n, ids, decoded = 1, [], []
-        for k, i, d in self.units(text):
-            n += k
-            ids.append(i)
-            decoded.append(d)
-        ids.append(str(self.end_id))
-        whole = "".join(decoded).removeprefix(" ")
-        return n, hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(whole.encode("utf-8", "surrogatepass")).hexdigest()
+        units, ids = self.units(text)
+        ids = f"{ids} {self.end_id}" if ids else str(self.end_id)
+        marked = "".join([self._odd.get(u, u) for u in units]) if self._odd else "".join(units)
+        whole = marked.replace(BLANK, " ").removeprefix(" ")
+        return ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(whole.encode("utf-8", "surrogatepass")).hexdigest()
 
 
 @lru_cache(maxsize=1)
