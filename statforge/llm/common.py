@@ -203,8 +203,8 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 def whole_hash(words: np.ndarray) -> np.ndarray:
     """One hash for a sequence shorter than a shingle; its length is part of it."""
-    total = np.uint64(0x9E3779B97F4A7C15 * len(words) % 2**64) + (words * _GRAM[: len(words)]).sum(dtype=np.uint64)
-    return mix(np.array([total], dtype=np.uint64))
+    total = np.array([(words * _GRAM[: len(words)]).sum(dtype=np.uint64)], dtype=np.uint64)
+    return mix(total + np.uint64(0x9E3779B97F4A7C15 * len(words) % 2**64))
 
 
 def shingle_set(words: np.ndarray, n: int = SHINGLE_WORDS) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statforge.llm import pieces, quality_rules, quality_svm, secret_scan, web_archive
+from statforge.llm import pieces, quality_rules, quality_svm, secret_scan, shingle_join, web_archive
 from statforge.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.link_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web_archive.round_trip(table(spark, sf_dir, "pages"))
 
@@ -44,6 +48,7 @@ QUERIES = {
         op4_secret_scan,
         op5_quality_rules,
         op7_sentencepiece,
+        op9_shingle_join,
         op10_web_archive,
     )
 }
