@@ -64,6 +64,28 @@ def crc_bucket(id_col, modulus: int):
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+def summed_chunks(rows: DataFrame, parts: int, kind: str) -> np.ndarray:
+    """Sum of arrays that tasks emitted in ``parts`` pieces (``chunk int, counts binary``).
+
+    Each piece is summed as a stream, so memory is one array however many tasks
+    emitted one; only the sum, of fixed size, reaches the driver.
+    """
+    dtype = np.dtype(kind)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for chunk, counts in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                own = np.frombuffer(counts.as_buffer(), dtype)
+                total[chunk] = total[chunk] + own if chunk in total else own.copy()
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["chunk", "counts"])
+
+    dealt = rows.where("chunk IS NOT NULL").select("chunk", "counts").repartition(parts, "chunk")
+    got = {r["chunk"]: np.frombuffer(r["counts"], dtype) for r in dealt.mapInArrow(summed, "chunk int, counts binary").collect()}
+    return np.concatenate([got[k] for k in sorted(got)]) if got else np.zeros(0, dtype)
+
+
 # --------------------------------------------------------------------------- Arrow side
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``(bytes, offsets)`` of an Arrow string column, nulls as empty texts; no copy of the text."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statforge.llm import pieces, quality_rules, quality_svm, secret_scan, shingle_join, web_archive
+from statforge.llm import bilinear_lm, pieces, quality_rules, quality_svm, secret_scan, shingle_join, web_archive
 from statforge.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_svm.score(docs, quality_svm.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_quality_classifier,
+        op3_bilinear_lm,
         op4_secret_scan,
         op5_quality_rules,
         op7_sentencepiece,

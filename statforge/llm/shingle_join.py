@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statforge.llm.common import materialise, mix, shingle_set, text_buffers, word_hashes
+from statforge.llm.common import materialise, mix, shingle_set, summed_chunks, text_buffers, word_hashes
 
 #: Similarity from which two sets link, in percent.
 PERCENT = 75
@@ -223,20 +223,9 @@ def described(docs: DataFrame) -> DataFrame:
 def frequency_levels(rows: DataFrame) -> np.ndarray:
     """For each counter, how many doublings its sum lies above twice the mean (one byte each)."""
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for chunk, counts in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                own = np.frombuffer(counts.as_buffer(), np.int64)
-                total[chunk] = total[chunk] + own if chunk in total else own.copy()
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["chunk", "counts"])
-
-    sums = rows.where("chunk IS NOT NULL").select("chunk", "counts").repartition(SKETCH_CHUNKS, "chunk").mapInArrow(summed, "chunk int, counts binary")
-    counters = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), dtype=np.int64)
-    for r in sums.collect():  # the sketch, of fixed size
-        counters[r["chunk"]] += np.frombuffer(r["counts"], np.int64)
-    flat = counters.ravel()
+    flat = summed_chunks(rows, SKETCH_CHUNKS, "int64")
+    if not len(flat):  # an empty table has no tasks
+        flat = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     floor = max(2 * flat.mean(), 1.0)
     return np.ceil(np.log2(np.maximum(flat / floor, 1.0))).astype(np.uint8)
 
