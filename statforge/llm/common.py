@@ -117,6 +117,8 @@ def encoded_of(column: pa.Array) -> Iterator[bytes]:
 # --------------------------------------------------------------------------- word hashes
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
+#: For comparing prose: every ASCII character but letters and digits separates.
+PLAIN_WORDS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -150,14 +152,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _pieces(raw: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, int]]:
+def _pieces(raw: np.ndarray, cuts: np.ndarray, sep: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of about ``PIECE_BYTES`` that end at a text's end or at a separator."""
     at, end = 0, len(raw)
     while at < end:
         stop = min(at + PIECE_BYTES, end)
         while stop < end:
             k = np.searchsorted(cuts, stop, side="right") - 1
-            back = np.flatnonzero(_SEP[raw[max(at, stop - 65536) : stop]])
+            back = np.flatnonzero(sep[raw[max(at, stop - 65536) : stop]])
             if len(back):
                 stop = max(at, stop - 65536) + int(back[-1]) + 1
                 break
@@ -169,9 +171,9 @@ def _pieces(raw: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, int]]:
         at = stop
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, offsets: np.ndarray, sep: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte of every word of a small text buffer."""
-    word = ~_SEP[raw]
+    word = ~sep[raw]
     first = word.copy()
     first[1:] &= ~word[:-1]
     cuts = offsets[(offsets > 0) & (offsets < len(raw))]
@@ -185,7 +187,7 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True, sep: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each text the range of its words.
 
     Returns ``(hashes, bounds)``; the words of text ``i`` are
@@ -193,9 +195,9 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tup
     """
     values = _BYTE_LOWER if lower else _BYTE
     parts, positions = [], []
-    for at, stop in _pieces(raw, offsets):
+    for at, stop in _pieces(raw, offsets, sep):
         piece = raw[at:stop]
-        starts, ends = word_spans(piece, offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop, side="right")] - at)
+        starts, ends = word_spans(piece, offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop, side="right")] - at, sep)
         if not len(starts):
             continue
         up, down = _power_tables(len(piece) + 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statforge.llm import bilinear_lm, pieces, quality_rules, quality_svm, secret_scan, shingle_join, web_archive
+from statforge.llm import bilinear_lm, decontaminate, pieces, quality_rules, quality_svm, secret_scan, shingle_join, web_archive
 from statforge.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), piece_model())
 
@@ -52,6 +56,7 @@ QUERIES = {
         op3_bilinear_lm,
         op4_secret_scan,
         op5_quality_rules,
+        op6_decontamination,
         op7_sentencepiece,
         op9_shingle_join,
         op10_web_archive,
