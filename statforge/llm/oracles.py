@@ -21,6 +21,22 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
 FROM k
 """
 
+REPLY_TREES = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+  SELECT *, regexp_replace(regexp_replace(text, '(\\*)### ', '\\\1### ', 'g'), '<(\\*)/turn>', '<\\\1/turn>', 'g') AS escaped FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       sum(length('### ' || role || chr(10)) + length(escaped) + length('</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_web_archive": WEB_ARCHIVE}
+    return {"op8_reply_trees": REPLY_TREES, "op10_web_archive": WEB_ARCHIVE}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statforge.llm import bilinear_lm, decontaminate, pieces, quality_rules, quality_svm, secret_scan, shingle_join, web_archive
+from statforge.llm import bilinear_lm, decontaminate, pieces, quality_rules, quality_svm, reply_trees, secret_scan, shingle_join, web_archive
 from statforge.llm.common import table
 
 
@@ -41,6 +42,17 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), piece_model())
 
 
+#: Fixed value of the contract: the text of both turns of the additional conversation -7.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text")
+    )
+    return reply_trees.format_conversations(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+
+
 def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.link_groups(table(spark, sf_dir, "documents"))
 
@@ -58,6 +70,7 @@ QUERIES = {
         op5_quality_rules,
         op6_decontamination,
         op7_sentencepiece,
+        op8_reply_trees,
         op9_shingle_join,
         op10_web_archive,
     )
