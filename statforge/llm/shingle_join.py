@@ -10,11 +10,12 @@ similarity reaches ``PERCENT``. The work goes in steps, each a Spark job:
    the corpus last (their frequency comes from a fixed-size sketch of all shingles),
    so a passage that many texts hold seldom deals them together. Shingles shared by
    the very same classes deal them once.
-3. *Search.* The shingles of a set are hashed into ``GROUPS`` groups; the group
-   counts are a point. In each bucket the points are packed into an R-tree. The
-   overlap of two sets is at most the sum over the groups of the smaller count, and
-   for a node at most that with its box's upper corner, so boxes and points that
-   cannot reach the similarity are passed over.
+3. *Search.* The shingles of a set are hashed into groups, a power of two of them
+   that gives large sets two to four each; the group counts are a point. In each bucket the
+   points of one width are packed into an R-tree, those of twice the width that are
+   small enough to link folded into it. The overlap of two sets is at most the sum
+   over the groups of the smaller count, and for a node at most that with its box's
+   upper corner, so boxes and points that cannot reach the similarity are passed over.
 4. *Verification.* Surviving pairs are checked on their shingle sets.
 
 The search runs twice. First every point looks for one partner before it in the
@@ -45,8 +46,8 @@ from statforge.llm.common import materialise, mix, shingle_set, summed_chunks, t
 
 #: Similarity from which two sets link, in percent.
 PERCENT = 75
-#: Coordinates of a point.
-GROUPS = 256
+#: Least and most coordinates of a point, and shingles that a coordinate stands for.
+LEAST_GROUPS, MOST_GROUPS, LOAD = 128, 8192, 2
 #: Counters of the frequency sketch, and rows it is shipped in.
 SKETCH_BITS, SKETCH_CHUNKS = 18, 64
 #: Classes of one bucket that one task holds.
@@ -66,11 +67,23 @@ def signature(s: np.ndarray) -> int:
     return int(mix(sums * np.array([1, 3, 5], dtype=np.uint64)).sum(dtype=np.uint64).view(np.int64))
 
 
+def groups_of(n: int) -> int:
+    """Coordinates of the point of a set of ``n``: the largest power of two up to ``n / LOAD``, within limits."""
+    return min(max(1 << (max(n // LOAD, 1).bit_length() - 1), LEAST_GROUPS), MOST_GROUPS)
+
+
 def point_of(s: np.ndarray) -> np.ndarray:
-    """Group counts of a set; a set too large for the counters gets full ones, which bound nothing away."""
-    if len(s) > 65535:
-        return np.full(GROUPS, 65535, dtype=np.uint16)
-    return np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.uint16)
+    """Group counts of a set."""
+    width = groups_of(len(s))
+    counts = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    # a counter too small for its count would bound too much away; full ones bound nothing
+    return counts.astype(np.uint16) if counts.max(initial=0) < 65536 else np.full(width, 65535, np.uint16)
+
+
+def folded(point: np.ndarray) -> np.ndarray:
+    """A point in half as many groups."""
+    half = len(point) // 2
+    return np.minimum(point[:half].astype(np.int64) + point[half:], 65535).astype(np.uint16)
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -177,20 +190,49 @@ class CountTree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def search_bucket(sig: np.ndarray, sizes: np.ndarray, points: np.ndarray, part: np.ndarray | None, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
-    """Candidate pairs of one bucket: one partner each, or (given components) all pairs across them."""
+def _tree_pairs(sizes: np.ndarray, points: np.ndarray, part: np.ndarray | None, percent: int) -> Iterator[tuple[int, int]]:
+    """Candidate pairs (as row numbers) of points of one width."""
+    if len(sizes) <= LEAF:  # a single leaf
+        order = np.argsort(sizes, kind="stable")
+        p, n = points[order], sizes[order]
+        for i in range(1, len(order)):
+            bound = np.minimum(p[:i], p[i]).sum(axis=1, dtype=np.int64)
+            hit = np.flatnonzero((100 + percent) * bound >= needed(n[:i], n[i], percent))
+            if part is not None:
+                hit = hit[part[order[hit]] != part[order[i]]]
+            elif len(hit) > 1:
+                hit = hit[[np.argmax(bound[hit] / (n[hit] + n[i]))]]
+            yield from ((int(order[k]), int(order[i])) for k in hit)
+        return
     tree = CountTree(points, sizes, percent)
-    names = sig[tree.order]
-    groups = None if part is None else part[tree.order]
-    for place in range(1, len(names)):
-        if groups is None:
+    for place in range(1, len(sizes)):
+        if part is None:
             other = tree.one_before(place)
             if other >= 0:
-                yield int(names[other]), int(names[place])
+                yield int(tree.order[other]), int(tree.order[place])
         else:
             for other in tree.all_before(place):
-                if groups[other] != groups[place]:
-                    yield int(names[other]), int(names[place])
+                if part[tree.order[other]] != part[tree.order[place]]:
+                    yield int(tree.order[other]), int(tree.order[place])
+
+
+def search_bucket(sig: np.ndarray, sizes: np.ndarray, points: list[np.ndarray], part: np.ndarray | None, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
+    """Candidate pairs of one bucket: one partner each, or (given components) all pairs across them.
+
+    Linked sets differ in size by a third at most, so their points are of equal width
+    or one is twice as wide; each width's tree takes in the folded points it may need.
+    """
+    widths = np.array([len(p) for p in points])
+    for width in np.unique(widths):
+        own = np.flatnonzero(widths == width)
+        wider = np.flatnonzero((widths == 2 * width) & (percent * sizes <= 100 * sizes[own].max()))
+        rows = np.concatenate([own, wider])
+        if len(rows) < 2:
+            continue
+        flat = np.stack([points[i] for i in own] + [folded(points[i]) for i in wider])
+        for i, j in _tree_pairs(sizes[rows], flat, None if part is None else part[rows], percent):
+            if i < len(own) or j < len(own):  # two wider ones meet in their own tree
+                yield int(sig[rows[i]]), int(sig[rows[j]])
 
 
 # --------------------------------------------------------------------------- Spark steps
@@ -275,15 +317,13 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
     """Search every ``(bucket, block)``; the rows come sorted, so one is complete when the next begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[tuple] = []
         found: list[tuple[int, int]] = []
 
-        def columns(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-            points = np.frombuffer(text_buffers(b.column(4))[0], np.uint16).reshape(-1, GROUPS)
-            return (*(b.column(k).to_numpy() for k in range(4)), points, b.column(5).to_numpy())
-
-        def flush(sig, sizes, points, part) -> None:
+        def flush() -> None:
+            sig, sizes, part = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5))
             if len(sig) > 1:
+                points = [np.frombuffer(p.as_buffer(), np.uint16) for h in held for p in h[4]]
                 found.extend((min(x), max(x)) for x in search_bucket(sig, sizes, points, part if across else None, percent))
 
         def pairs() -> pa.RecordBatch:
@@ -291,24 +331,20 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
             found.clear()
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        def groups(cols: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, ...]]:
-            bucket, block = cols[0], cols[1]
-            cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
-            for at, stop in zip([0, *cut], [*cut, len(bucket)], strict=True):
-                yield tuple(c[at:stop] for c in cols)
-
         for b in batches:
             if not b.num_rows:
                 continue
-            for g in groups(columns(b)):
-                if held and (held[0][0][0], held[0][1][0]) != (g[0][0], g[1][0]):
-                    flush(*(np.concatenate([h[k] for h in held]) for k in (2, 3, 4, 5)))
+            bucket, block, sig, sizes, part = (b.column(k).to_numpy() for k in (0, 1, 2, 3, 5))
+            cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
+            for at, stop in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)], strict=True):
+                if held and held[0][:2] != (bucket[at], block[at]):
+                    flush()
                     held.clear()
-                held.append(tuple(c.copy() for c in g))
+                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy()))
             if len(found) >= 10_000:
                 yield pairs()
         if held:
-            flush(*(np.concatenate([h[k] for h in held]) for k in (2, 3, 4, 5)))
+            flush()
         if found:
             yield pairs()
 
