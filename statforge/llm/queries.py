@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statforge.llm import bilinear_lm, decontaminate, pieces, quality_rules, quality_svm, reply_trees, secret_scan, shingle_join, web_archive
+from statforge.llm import bilinear_lm, decontaminate, pieces, pii_bootstrap, quality_rules, quality_svm, reply_trees, secret_scan, shingle_join, web_archive
 from statforge.llm.common import table
 
 
@@ -16,6 +16,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_svm.score(docs, quality_svm.fit(docs, table(spark, sf_dir, "labels")))
@@ -64,6 +68,7 @@ def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_pii_bootstrap,
         op2_quality_classifier,
         op3_bilinear_lm,
         op4_secret_scan,
