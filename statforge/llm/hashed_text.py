@@ -135,7 +135,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, grams: Grams, per_class:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sets, pa.binary())], names=["doc_id", "label", "slots"])
 
     got = rows.select("doc_id", "text", "label").mapInArrow(featured, "doc_id long, label int, slots binary").toArrow()
-    slots = [np.frombuffer(x.as_py(), np.int32) for x in got["slots"]]
+    slots = [np.frombuffer(x.as_buffer(), np.int32) for x in got["slots"]]  # views, not copies
     order = sorted(range(len(slots)), key=lambda i: (got["doc_id"][i].as_py(), slots[i].tobytes()))
     label = np.array([got["label"][i].as_py() for i in order], dtype=np.int64)
     parts = [slots[i] for i in order]

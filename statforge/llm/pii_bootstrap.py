@@ -96,9 +96,14 @@ def valid(kind: str, value: Column) -> Column:
     return F.length(_digits(value)).between(9, 15)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``rid, doc_id``, per base kind its valid mentions, the failed ones of all kinds, and identifier-like tokens."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+def located(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``rid, doc_id``, per base kind its valid mentions, the failed ones of all kinds, and identifier-like tokens.
+
+    ``keep`` names columns of the documents to carry along, under ``row``.
+    """
+    kept = [F.struct(*keep).alias("row")] if keep else []
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *kept)
+    carried = ["rid", "doc_id", *(["row"] if keep else [])]
     digit = F.col("text").rlike("[0-9]")
     may = {
         "email": F.contains("text", F.lit("@")),
@@ -108,14 +113,14 @@ def located(docs: DataFrame) -> DataFrame:
         "token": digit,
     }
     forms = {**FORMS, "token": TOKEN}
-    rows = rows.select("rid", "doc_id", "text", *[_matches(forms[k], may[k]).alias(f"m_{k}") for k in forms])
-    rows = rows.select("rid", "doc_id", *[f"m_{k}" for k in forms], *[_gaps(forms[k], f"m_{k}").alias(f"g_{k}") for k in forms])
-    rows = rows.select("rid", "doc_id", *[_located(f"m_{k}", f"g_{k}").alias(f"all_{k}") for k in forms])
+    rows = rows.select(*carried, "text", *[_matches(forms[k], may[k]).alias(f"m_{k}") for k in forms])
+    rows = rows.select(*carried, *[f"m_{k}" for k in forms], *[_gaps(forms[k], f"m_{k}").alias(f"g_{k}") for k in forms])
+    rows = rows.select(*carried, *[_located(f"m_{k}", f"g_{k}").alias(f"all_{k}") for k in forms])
     passes = lambda kind: lambda x: valid(kind, x["value"])
     fails = lambda kind: lambda x: ~valid(kind, x["value"])
     good = [F.filter(f"all_{k}", passes(k)).alias(k) for k in BASE_KINDS]
     bad = [F.filter(f"all_{k}", fails(k)) for k in BASE_KINDS[1:]]
-    return rows.select("rid", "doc_id", *good, F.concat(*bad).alias("failed"), F.col("all_token").alias("token"))
+    return rows.select(*carried, *good, F.concat(*bad).alias("failed"), F.col("all_token").alias("token"))
 
 
 # --------------------------------------------------------------------------- the graph
@@ -165,16 +170,36 @@ def discovered(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return scores.where((F.col("score") >= IDENTIFIER_SCORE) & (F.col("patterns") >= IDENTIFIER_PATTERNS)).select("value", "score")
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
-    """``rid, doc_id, spans``: per row all spans by kind (the base kinds, then ``id``), then start."""
-    found = materialise(located(docs), "located")
+def find_personal_data(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``rid, doc_id, spans``, and ``row`` if asked: all spans by kind (the base kinds, then ``id``), then start."""
+    found = materialise(located(docs, keep), "located")
     seen = materialise(mentions(found), "mentions")
     new = seen.where("NOT seed AND NOT failed").join(discovered(materialise(edges(seen), "edges")), "value")
     extra = new.groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("extra"))
     span = lambda kind: lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
     base = [F.transform(k, span(k)) for k in BASE_KINDS]
     more = F.coalesce(F.transform("extra", span(KIND)), F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>"))
-    return found.join(extra, "rid", "left").select("rid", "doc_id", F.concat(*base, more).alias("spans"))
+    return found.join(extra, "rid", "left").select("rid", "doc_id", F.concat(*base, more).alias("spans"), *(["row"] if keep else []))
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """The documents, with ``<EMAIL>`` and the like in place of spans and ``n_chars`` of the new text.
+
+    Spans that overlap are replaced as one, under the name of the first of them.
+    """
+    columns = tuple(docs.columns)
+    rows = find_personal_data(docs, columns).select("spans", "row.*")
+    text = F.expr("""
+        aggregate(
+          array_sort(transform(spans, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind))),
+          named_struct('at', 0L, 'out', ''),
+          (a, s) -> named_struct(
+            'at', greatest(a.at, s.end),
+            'out', if(s.start >= a.at, concat(a.out, substring(text, cast(a.at + 1 AS int), cast(s.start - a.at AS int)), '<', upper(s.kind), '>'), a.out)),
+          a -> concat(a.out, substring(text, cast(a.at + 1 AS int))))""")
+    clean = F.when(F.size("spans") > 0, text).otherwise(F.col("text"))
+    new = {"text": clean, "n_chars": F.length(F.coalesce(clean, F.lit(""))).cast("long")}
+    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
 
 
 def span_text(spans: Column) -> Column:

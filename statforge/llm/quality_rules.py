@@ -27,7 +27,7 @@ from statforge.llm.common import gram_hashes, text_buffers, word_hashes
 from statforge.llm.hashed_text import Grams, Sample, calibrate, feature_sets, fold_of, labelled_sample, probability
 
 #: Labelled texts a class in the sample that the model is fitted on.
-PER_CLASS = 2500
+PER_CLASS = 2000
 #: Rows of this fold are left for measuring.
 FOLDS, HELD_OUT = 5, 0
 #: Limits: least words, most percent of words in repeated windows, least probability of good quality.
@@ -35,8 +35,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT, THRESHOLD = 10, 20, 0.5
 WINDOW = 5
 #: Fixed value: the characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
-#: Ridge penalty, gradient steps.
-PENALTY, STEPS = 1e-5, 120
+#: Ridge penalty, step size, passes over the sample.
+PENALTY, RATE, PASSES = 1e-5, 0.1, 15
 CALIBRATION_FOLDS = 3
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -98,25 +98,25 @@ class Model:
         return self.intercept + (float(self.weight[slots].sum()) / np.sqrt(len(slots)) if len(slots) else 0.0)
 
 
-def fit_margin(sample: Sample, width: int) -> Model:
-    """Logistic regression by accelerated gradient steps; rows are scaled to length one, classes to equal weight."""
-    lens = np.diff(sample.bounds)
-    value = np.repeat(1 / np.sqrt(np.maximum(lens, 1)), lens)
-    row = np.repeat(np.arange(len(sample)), lens)
-    y = sample.label.astype(float)
-    n1, n0 = max(y.sum(), 1.0), max((1 - y).sum(), 1.0)
-    importance = np.where(sample.label == 1, 0.5 / n1, 0.5 / n0)
-    w = look = np.zeros(width + 1)  # the last place is the intercept
-    rate = 1 / (0.25 * 2 + PENALTY)  # the loss is this smooth: rows have length one, plus the intercept
-    for k in range(STEPS):
-        margin = np.bincount(row, weights=value * look[sample.slots], minlength=len(sample)) + look[-1]
-        pull = importance * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y)
-        grad = np.bincount(sample.slots, weights=value * pull[row], minlength=width + 1) + PENALTY * look
-        grad[-1] = pull.sum()
-        new = look - 4 * rate * grad  # class weights sum to one, so longer steps stay stable
-        look = new + k / (k + 3) * (new - w)
-        w = new
-    return Model(w[:-1], float(w[-1]))
+def fit_margin(sample: Sample, width: int, seed: int = 6) -> Model:
+    """Logistic regression by adaptive stochastic steps; rows are scaled to length one, classes to equal weight."""
+    n1 = max(int(sample.label.sum()), 1)
+    n0 = max(len(sample) - n1, 1)
+    importance = np.where(sample.label == 1, 0.5 * len(sample) / n1, 0.5 * len(sample) / n0)
+    weight, square = np.zeros(width), np.full(width, 1e-8)
+    intercept, intercept_square = 0.0, 1e-8
+    rng = np.random.Generator(np.random.PCG64(seed))
+    for _ in range(PASSES):
+        for i in rng.permutation(len(sample)):
+            slots = sample.row(i)
+            value = 1 / np.sqrt(max(len(slots), 1))
+            margin = intercept + value * float(weight[slots].sum())
+            pull = importance[i] * (1 / (1 + np.exp(-min(max(margin, -500.0), 500.0))) - sample.label[i])
+            square[slots] += (pull * value) ** 2  # the slots of a row are distinct
+            weight[slots] -= RATE * (pull * value / np.sqrt(square[slots]) + PENALTY * weight[slots])
+            intercept_square += pull * pull
+            intercept -= RATE * pull / np.sqrt(intercept_square)
+    return Model(weight, float(intercept))
 
 
 def fit(docs: DataFrame, labels: DataFrame, grams: Grams = Grams(), per_class: int = PER_CLASS) -> Model | None:

@@ -27,7 +27,7 @@ from statforge.llm.common import crc_bucket, text_buffers
 from statforge.llm.hashed_text import Grams, Sample, calibrate, feature_sets, fold_of, labelled_sample, probability
 
 #: Labelled texts a class in the sample that the model is fitted on.
-PER_CLASS = 2500
+PER_CLASS = 2000
 #: The fold rule: rows whose id hashes to ``HELD_OUT`` of ``FOLDS`` are never learnt from.
 FOLDS, HELD_OUT = 5, 0
 #: A text is predicted good from this probability on.
@@ -69,10 +69,10 @@ def fit_margin(sample: Sample, width: int, seed: int = 5) -> Model:
     y = np.where(sample.label == 1, 1.0, -1.0)
     rows = []
     for i in range(len(sample)):
-        v = ratio[sample.row(i)]
+        v = ratio[sample.row(i)].astype(np.float32)
         n = np.sqrt((v * v).sum())
         rows.append(v / n if n > 0 else v)
-    diag = np.array([float(v @ v) + 1.0 for v in rows])  # the intercept is a feature of value one
+    diag = np.array([float(v @ v) + 1.0 for v in rows], dtype=float)  # the intercept is a feature of value one
     normal, intercept, dual = np.zeros(width), 0.0, np.zeros(len(sample))
     rng = np.random.Generator(np.random.PCG64(seed))
     for _ in range(PASSES):
@@ -133,3 +133,18 @@ def score(docs: DataFrame, model: Model, grams: Grams = Grams(), threshold: floa
         F.col("text").alias("text"),
     )
     return rows.mapInArrow(scored, SCHEMA)
+
+
+def filtered(docs: DataFrame, model: Model, grams: Grams = Grams(), threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that the model predicts good, in place: no text is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), model.square.astype(np.float32)))
+    intercept, slope, offset = model.intercept, model.slope, model.offset
+    at = docs.columns.index("text")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value, intercept)
+        for b in batches:
+            margins = np.array([own.margin(s) for s in feature_sets(*text_buffers(b.column(at)), grams)], dtype=float)
+            yield b.filter(pa.array(probability(margins, slope, offset) >= threshold))
+
+    return docs.mapInArrow(kept, docs.schema)
