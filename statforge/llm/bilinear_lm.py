@@ -30,6 +30,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,8 @@ DIM, STEP, NOISE, RATE, ROUNDS = 16, 2048, 48, 0.15, 1
 END = b"\n"
 #: Words counted before a task passes them on.
 FLUSH = 300_000
+#: Tokens, about, that are looked up at a time.
+GROUP = 1 << 17
 PARAMETER_CHUNKS = 16
 
 COUNTED = "word string, n long"
@@ -240,15 +243,29 @@ class Trainer:
             self.step(near[at : at + STEP], far[at : at + STEP], classes[at : at + STEP])
 
 
-def class_ids(words: list[bytes], index: dict[bytes, int], word_class: np.ndarray, own: int) -> tuple[np.ndarray, list[bytes]]:
-    """Class of every word, and the words that are not at hand."""
-    places = np.array([index.get(w, -1) for w in words], dtype=np.int64)
+def grouped(texts: Iterator[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Words of several texts at a time, the end after each, and where each text's tokens begin."""
+    words: list[bytes] = []
+    starts: list[int] = []
+    for text in texts:
+        starts.append(len(words))
+        words += words_of(text)
+        words.append(END)
+        if len(words) >= GROUP:
+            yield words, np.array(starts)
+            words, starts = [], []
+    if starts:
+        yield words, np.array(starts)
+
+
+def class_ids(words: list[bytes], index: dict[bytes, int], word_class: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place among the words at hand (-1: not there) and class of every token, and the tokens not at hand."""
+    places = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
     rare_at = np.flatnonzero(places < 0)
-    rare = [words[i] for i in rare_at]
     out = word_class[places] if len(word_class) else np.zeros(len(places), np.int32)
-    if rare:
-        out[rare_at] = [own + zlib.crc32(w) % SHARED for w in rare]
-    return out, rare
+    for i in rare_at.tolist():
+        out[i] = own + zlib.crc32(words[i]) % SHARED if words[i] != END else 0
+    return places, out, rare_at
 
 
 def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Bilinear:
@@ -263,18 +280,8 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Bilinear:
         def learned(batches: Iterator[pa.RecordBatch], flat=flat, k=k) -> Iterator[pa.RecordBatch]:
             index, word_class = at_hand.value
             trainer = Trainer(Bilinear.of(flat, len(mass)), mass, seed=1000 * TaskContext.get().partitionId() + k)
-            held: list[np.ndarray] = []
-            size = 0
-            for b in batches:
-                for text in encoded_of(b.column(0)):
-                    ids, _ = class_ids(words_of(text), index, word_class, own)
-                    held += [ids, np.zeros(1, ids.dtype)]
-                    size += len(ids) + 1
-                    if size >= 64 * STEP:
-                        trainer.learn(np.concatenate(held))
-                        held, size = [], 0
-            if held:
-                trainer.learn(np.concatenate(held))
+            for words, _ in grouped(text for b in batches for text in encoded_of(b.column(0))):
+                trainer.learn(class_ids(words, index, word_class, own)[1])
             if trainer.tokens:
                 weighted = np.append(trainer.m.flat().astype(np.float64), 1.0) * trainer.tokens
                 parts = [x.tobytes() for x in np.array_split(weighted, PARAMETER_CHUNKS)]
@@ -302,28 +309,30 @@ def scores(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Bilinea
         index, count, word_class, class_log, near_table, far_table, norm = shared.value
         log_count = np.append(np.log10(count + 1.0), 0.0)  # the last place: not at hand
         alone = np.append(word_class < own, False)
-        known_at_end = 1 if END in index else 0
-        end_log = float(log_count[index[END]]) if END in index else 0.0
         for b in batches:
             rid, word, n, doc = [], [], [], []
-            for r, doc_id, held, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), encoded_of(b.column(3)), strict=True):
-                words = words_of(text)
-                places = np.array([index.get(w, -1) for w in words], dtype=np.int64)
-                ids, rare = class_ids(words, index, word_class, own)
-                classes = np.append(ids, 0)
+            ids, doc_ids, held = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
+            row = 0
+            for words, starts in grouped(encoded_of(b.column(3))):
+                places, classes, rare_at = class_ids(words, index, word_class, own)
                 near, far = contexts(classes)
-                logs = near_table[near, classes].astype(np.float64) + far_table[far, classes] - norm[near, far]
+                logs = (near_table[near, classes].astype(np.float64) + far_table[far, classes] - norm[near, far]) * to_log10
                 inside = log_count[places]
-                score = logs.sum() * to_log10 + float(inside[~alone[places]].sum()) - float(class_log[ids].sum())
-                doc.append({"doc_id": doc_id, "held_out": held, "n_tokens": len(words) + 1, "known": len(words) - len(rare) + known_at_end, "base": float(inside.sum()) + end_log, "score": score})
-                rid.append(r)
-                word.append(b"\n%d" % r)  # no word, so it meets no count, and one for each row
-                n.append(0)
-                for w, k in Counter(rare).items():
-                    rid.append(r)
+                logs += np.where(alone[places], 0.0, inside) - class_log[classes]
+                sizes = np.diff(np.append(starts, len(words)))
+                totals = [np.add.reduceat(x, starts).tolist() for x in (logs, inside, (places >= 0).astype(np.int64))]
+                for k, (size, score, base, known) in enumerate(zip(sizes.tolist(), *totals, strict=True)):
+                    rid.append(ids[row + k])
+                    word.append(b"\n%d" % ids[row + k])  # no word, so it meets no count, and one for each row
+                    n.append(0)
+                    doc.append({"doc_id": doc_ids[row + k], "held_out": held[row + k], "n_tokens": size, "known": known, "base": base, "score": score})
+                texts = np.searchsorted(starts, rare_at, side="right") - 1
+                for (k, w), times in Counter(zip(texts.tolist(), map(words.__getitem__, rare_at.tolist()), strict=True)).items():
+                    rid.append(ids[row + k])
                     word.append(w)
-                    n.append(k)
+                    n.append(times)
                     doc.append(None)
+                row += len(starts)
             kind = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
             yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(word, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(doc, kind)], names=["rid", "word", "n", "doc"])
 
