@@ -17,8 +17,14 @@ Jobs and arguments (paths are files or directories of text):
     kmeans         IN CENTROIDS VARS MOMENTS MAXITER OUT  final centroids (standardised)
     assign         IN CENTROIDS VARS MOMENTS OUT          cluster<TAB>line
     cluster        DATA K MAXITER MOMENTS OUT             moments file, OUT/centroids, OUT/assigned
-
-Outputs replace an existing path only with ``--overwrite``.
+    sample         IN K VARS OUT                          k sampled rows, the chosen columns, as a centroid file
+    redelimit      IN OUT                                 blank runs to tabs
+    cut            IN LIST OUT                            the listed 1-based tab fields
+
+``--header`` leaves out the first line of every input file. ``cluster`` takes its
+columns from ``--vars`` (1-based, comma-separated; three fixed ones by default), and
+with ``--given-moments`` reads the file MOMENTS (of a larger table, say) instead of
+profiling the data and writing it. Outputs replace an existing path only with ``--overwrite``.
 """
 
 from __future__ import annotations
@@ -30,17 +36,22 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from statforge import sinks
+from statforge.operators.order import DEFAULT_PARTS_PER_BUCKET, sample_k
+from statforge.operators.project import feature_columns
 from statforge.plans import jobs
 from statforge.plans.clustering import run_clustering
 from statforge.session import get_session
 from statforge.sources import (
     centroids_frame,
     centroids_to_list,
+    cut_fields,
     moments_to_lists,
+    parse_delimited,
     read_centroids,
     read_lines,
     read_moments,
     read_variables,
+    redelimit,
 )
 
 
@@ -57,13 +68,14 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
     job, a = args.job, args.args
     need = {
         "flag-mean": 2, "station-max": 2, "year-project": 2, "range-max": 2, "substring-mean": 3, "volume-stddev": 3,
-        "moments": 2, "subset": 2, "kmeans-raw": 4, "kmeans": 6, "assign": 5, "cluster": 5,
+        "moments": 2, "subset": 2, "kmeans-raw": 4, "kmeans": 6, "assign": 5, "cluster": 5, "sample": 4, "redelimit": 2, "cut": 3,
     }
     if job not in need:
         raise SystemExit(f"unknown job {job!r}")
     if len(a) != need[job]:
         raise SystemExit(f"{job} takes {need[job]} arguments, got {len(a)}")
-    lines = read_lines(spark, a[0])
+    header = "each" if args.header else None
+    lines = read_lines(spark, a[0], header=header)
     if job == "flag-mean":
         _out(_kv(jobs.flag_group_mean(lines), "group_key", "mean_value"), a[1], mode)
     elif job == "station-max":
@@ -74,9 +86,9 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
         maxima = jobs.range_partitioned_max(lines, parts_per_bucket=args.parts_per_bucket)
         _out(maxima.select(F.concat_ws("\t", "key", F.col("max_value").cast("string")).alias("value")), a[1], mode)
     elif job == "substring-mean":
-        _out(_kv(jobs.ngram_substring_mean(lines, read_lines(spark, a[1])), "tag_key", "mean_volumes"), a[2], mode)
+        _out(_kv(jobs.ngram_substring_mean(lines, read_lines(spark, a[1], header=header)), "tag_key", "mean_volumes"), a[2], mode)
     elif job == "volume-stddev":
-        out = jobs.ngram_volume_stddev(lines, read_lines(spark, a[1]))
+        out = jobs.ngram_volume_stddev(lines, read_lines(spark, a[1], header=header))
         _out(sinks.single_column_lines(out, "stddev"), a[2], mode, merge=True)
     elif job == "moments":
         sinks.write_moments(jobs.column_moments(lines), a[1], mode=mode)
@@ -99,11 +111,24 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
         assigned = jobs.assign_clusters(lines, centers, read_variables(spark, a[2]), moments=moments)
         _out(jobs.assignment_lines(assigned), a[4], mode)
     elif job == "cluster":
-        res = run_clustering(lines, k=int(a[1]), max_iter=int(a[2]), profile_all=True)
-        sinks.write_moments(res.moments, a[3], mode=mode)
+        given = read_moments(spark, a[3]) if args.given_moments else None
+        variables = [int(v) - 1 for v in args.vars.split(",")] if args.vars else None
+        res = run_clustering(lines, k=int(a[1]), max_iter=int(a[2]), variables=variables, moments=given, profile_all=given is None)
+        if given is None:
+            sinks.write_moments(res.moments, a[3], mode=mode)
         sinks.write_centroids(centroids_frame(spark, res.fit.centers), f"{a[4]}/centroids", mode=mode)
         _out(jobs.assignment_lines(res.assignments), f"{a[4]}/assigned", mode)
         return res.fit.report()
+    elif job == "sample":
+        rows = parse_delimited(sample_k(lines, int(a[1]), key="value"), "tab")
+        picked = rows.select(F.array(*feature_columns("fields", read_variables(spark, a[2]))).alias("center"))
+        start = [[float(x) for x in r["center"]] for r in picked.collect()]  # k rows
+        sinks.write_centroids(centroids_frame(spark, start), a[3], mode=mode)
+    elif job == "redelimit":
+        _out(redelimit(lines), a[1], mode)
+    elif job == "cut":
+        wanted = [int(i) for i in a[1].split(",")]
+        _out(parse_delimited(lines, "tab", keep_trailing_empty=True).select(cut_fields("fields", wanted).alias("value")), a[2], mode)
     return None
 
 
@@ -115,9 +140,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument(
         "--parts-per-bucket",
         type=int,
-        default=None,
-        help="range-max: ordered part files per range bucket (1 = one file per bucket; default from shuffle partitions)",
+        default=DEFAULT_PARTS_PER_BUCKET,
+        help=f"range-max: ordered part files per range bucket (1 = one file per bucket; default {DEFAULT_PARTS_PER_BUCKET})",
     )
+    p.add_argument("--header", action="store_true", help="leave out the first line of every input file")
+    p.add_argument("--vars", default=None, help="cluster: 1-based columns, comma-separated")
+    p.add_argument("--given-moments", action="store_true", help="cluster: read MOMENTS instead of profiling the data")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     return p
 

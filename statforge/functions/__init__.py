@@ -14,34 +14,20 @@ from statforge.functions.parse import (
     parse_long,
     split_fields,
 )
-from statforge.functions.vectors import (
-    argmin_index,
-    euclidean_array,
-    euclidean_cols,
-    nearest_centroid_array,
-    nearest_centroid_cols,
-    squared_distance_array,
-    squared_distance_cols,
-)
+from statforge.functions.vectors import nearest_centroid_array
 
 __all__ = [
     "COMMA",
     "LAYOUTS",
     "TAB",
     "WHITESPACE",
-    "argmin_index",
-    "euclidean_array",
-    "euclidean_cols",
     "field",
     "last_field",
     "nan_to_null",
     "nearest_centroid_array",
-    "nearest_centroid_cols",
     "parse_double",
     "parse_double_or_nan",
     "parse_int",
     "parse_long",
     "split_fields",
-    "squared_distance_array",
-    "squared_distance_cols",
 ]

@@ -1,16 +1,9 @@
-"""Vector expressions for clustering.
-
-Two forms, chosen by the caller:
-
-* *columns*: one double column per feature. Distances are plain column
-  arithmetic, which whole-stage codegen compiles into the scan loop.
-* *array*: one ``array<double>`` column (wide vectors such as embeddings).
-  Distances use ``zip_with`` + ``aggregate`` so the generated code stays small
-  whatever the width.
+"""Nearest-centroid expression for clustering.
 
 Centroids arrive as Python lists (k x d values, bounded by the parameters) and
-are inlined as literals, so the nearest-centroid step is map-side: no join, no
-shuffle.
+are inlined as one literal, so the nearest-centroid step is map-side: no join, no
+shuffle. There is one form for every width, over an ``array<double>`` column: the
+expression stays small whatever k and d are.
 """
 
 from __future__ import annotations
@@ -21,72 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _lit_double(x: float) -> Column:
-    return F.lit(float(x)).cast("double")
-
-
-def squared_distance_cols(features: Sequence[Column], center: Sequence[float]) -> Column:
-    """Sum of squared differences, accumulated left to right."""
-    if len(features) != len(center):
-        raise ValueError(f"centroid has {len(center)} values, rows have {len(features)}")
-    total = None
-    for f, c in zip(features, center):
-        d = f - _lit_double(c)
-        term = d * d
-        total = term if total is None else total + term
-    return total
-
-
-def squared_distance_array(vec: Column, center: Sequence[float]) -> Column:
-    lit_center = F.array(*[_lit_double(c) for c in center])
-    diffs = F.zip_with(vec, lit_center, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(diffs, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
-def euclidean_cols(features: Sequence[Column], center: Sequence[float]) -> Column:
-    return F.sqrt(squared_distance_cols(features, center))
-
-
-def euclidean_array(vec: Column, center: Sequence[float]) -> Column:
-    return F.sqrt(squared_distance_array(vec, center))
-
-
-def argmin_index(distances: Sequence[Column]) -> Column:
-    """Index of the smallest distance; ties go to the lowest index.
-
-    ``array_min`` over ``struct(distance, index)`` compares the distance first
-    and the index second, which is exactly a strict ``<`` scan from index 0.
-    When every distance is NaN the lowest index wins as well.
-    """
-    pairs = [F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(distances)]
-    return F.array_min(F.array(*pairs)).getField("i")
-
-
-def nearest_centroid_cols(features: Sequence[Column], centers: Sequence[Sequence[float]]) -> Column:
-    return argmin_index([euclidean_cols(features, c) for c in centers])
-
-
-def _double_sql(x: float) -> str:
-    """A double as Spark SQL text that parses back to exactly the same value."""
-    return f"{float(x)!r}D"
-
-
-def nearest_centroid_sql(names: Sequence[str], centers: Sequence[Sequence[float]]) -> Column:
-    """``nearest_centroid_cols`` for named columns, built as one SQL expression.
-
-    Same expression (struct minimum, ties to the lowest index), but parsed on
-    the JVM in one call: a k-means iteration rebuilds it with new centroids,
-    and assembling it from Column objects costs a round trip per node.
-    """
-    parts = []
-    for i, center in enumerate(centers):
-        if len(center) != len(names):
-            raise ValueError(f"centroid has {len(center)} values, rows have {len(names)}")
-        terms = [f"((`{n}` - {_double_sql(v)}) * (`{n}` - {_double_sql(v)}))" for n, v in zip(names, center)]
-        parts.append(f"named_struct('d', sqrt({' + '.join(terms)}), 'i', {i})")
-    return F.expr(f"array_min(array({', '.join(parts)})).i")
-
-
 def nearest_centroid_array(vec: Column, centers: Sequence[Sequence[float]]) -> Column:
     """Nearest centroid for an ``array<double>`` vector.
 
@@ -95,7 +22,7 @@ def nearest_centroid_array(vec: Column, centers: Sequence[Sequence[float]]) -> C
     centroid by ``transform``, then the first position of the minimum (ties
     to the lowest index; an all-NaN row gets 0).
     """
-    lit_centers = F.lit([[float(x) for x in c] for c in centers])
+    lit_centers = F.lit([[float(x) for x in c] for c in centers])  # infinities survive as array elements
     dists = F.transform(
         lit_centers,
         lambda c: F.sqrt(

@@ -123,10 +123,3 @@ def column_profile(
         *[F.struct(F.lit(i).alias("col_idx"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std")) for i in wanted]
     )
     return wide.select(F.inline(rows))
-
-
-def cluster_means(df: DataFrame, cluster: str | Column, features: Sequence[Column]) -> DataFrame:
-    """New centroid per cluster: mean of every feature, plus the size."""
-    c = F.col(cluster) if isinstance(cluster, str) else cluster
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(f).alias(f"c{j}") for j, f in enumerate(features)]
-    return df.groupBy(c.alias("cluster")).agg(*aggs)

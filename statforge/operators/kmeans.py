@@ -24,7 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statforge.functions.vectors import nearest_centroid_array, nearest_centroid_sql
+from statforge.functions.vectors import nearest_centroid_array
 
 # Iteration cap of the raw-scale job, and the tolerance both
 # convergence tests use.
@@ -37,7 +37,7 @@ class Features:
     """Where the feature vector of a row lives.
 
     Either ``columns`` (one double column per feature) or ``array`` (one
-    ``array<double>`` column of width ``width``).
+    ``array<double>`` column of width ``width``). Both are worked on as one array.
     """
 
     columns: tuple[str, ...] = ()
@@ -48,41 +48,23 @@ class Features:
     def dim(self) -> int:
         return len(self.columns) if self.array is None else int(self.width or 0)
 
-    def valid(self) -> Column:
-        """Complete, NaN-free vector (rows failing this are left out of a fit)."""
+    def vector(self) -> Column:
         if self.array is None:
-            cond = F.lit(True)
-            for c in self.columns:
-                cond = cond & ~F.isnan(F.coalesce(F.col(c), F.lit(float("nan"))))
-            return cond
-        arr = F.col(self.array)
-        return arr.isNotNull() & (F.size(arr) == F.lit(self.dim)) & ~F.exists(arr, lambda x: x.isNull() | F.isnan(x))
+            return F.array(*[F.col(c).cast("double") for c in self.columns])
+        return F.col(self.array).cast("array<double>")
 
     def complete(self) -> Column:
-        """Vector of the right length (NaN allowed), as the assignment needs."""
-        if self.array is None:
-            cond = F.lit(True)
-            for c in self.columns:
-                cond = cond & F.col(c).isNotNull()
-            return cond
-        arr = F.col(self.array)
-        return arr.isNotNull() & (F.size(arr) == F.lit(self.dim))
-
-    def nearest(self, centers: Sequence[Sequence[float]]) -> Column:
-        if self.array is None:
-            return nearest_centroid_sql(self.columns, centers)
-        return nearest_centroid_array(F.col(self.array), centers)
+        """Vector of the right length without missing values (NaN allowed), as the assignment needs."""
+        v = self.vector()
+        return F.coalesce((F.size(v) == F.lit(self.dim)) & ~F.exists(v, lambda x: x.isNull()), F.lit(False))
 
-    def select_list(self) -> list[Column]:
-        if self.array is None:
-            return [F.col(c).cast("double").alias(c) for c in self.columns]
-        return [F.col(self.array).cast("array<double>").alias(self.array)]
+    def valid(self) -> Column:
+        """Complete and finite vector (rows failing this are left out of a fit, and counted)."""
+        unusable = lambda x: F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+        return self.complete() & ~F.exists(self.vector(), unusable)
 
-    def element_means(self) -> list[Column]:
-        if self.array is None:
-            return [F.expr(f"avg(`{c}`) AS c{j}") for j, c in enumerate(self.columns)]
-        # one parsed SQL expression per element keeps building the plan cheap
-        return [F.expr(f"avg(get(`{self.array}`, {j})) AS c{j}") for j in range(self.dim)]
+    def nearest(self, centers: Sequence[Sequence[float]]) -> Column:
+        return nearest_centroid_array(self.vector(), centers)
 
 
 def max_abs_shift(old: Sequence[Sequence[float]], new: Sequence[Sequence[float]]) -> float:
@@ -110,12 +92,12 @@ class KMeansResult:
     iterations: int
     converged: bool
     trace: list[dict] = field(default_factory=list)
+    left_out: int = 0  # rows with a missing, NaN or infinite feature
 
     def report(self) -> str:
-        """Convergence report."""
-        if self.converged:
-            return f"Number of iterations to converge: {self.iterations}."
-        return f"k-Means did not converge in {self.iterations} iterations."
+        """Convergence report (I5), and how many rows the fit could not use."""
+        state = f"converged after iteration {self.iterations}" if self.converged else f"still moving after iteration {self.iterations}"
+        return f"{state}; {self.left_out} rows left out"
 
     def centers_frame(self, spark: SparkSession) -> DataFrame:
         data = [(i, [float(x) for x in c], int(n)) for i, (c, n) in enumerate(zip(self.centers, self.sizes))]
@@ -131,24 +113,28 @@ class KMeansResult:
         )
 
 
-def lloyd_step(data: DataFrame, features: Features, centers: Sequence[Sequence[float]]) -> tuple[list[list[float]], list[int]]:
-    """One assignment + update pass; empty clusters keep their old centroid."""
+def lloyd_step(data: DataFrame, features: Features, centers: Sequence[Sequence[float]]) -> tuple[list[list[float]], list[int], int]:
+    """One assignment + update pass: new centroids, their sizes, rows left out.
+
+    Empty clusters keep their old centroid. Unusable rows are counted in the same
+    pass, as a group of their own.
+    """
     k = len(centers)
-    stats = (
-        data.select(features.nearest(centers).alias("cluster"), *features.select_list())
-        .groupBy("cluster")
-        .agg(F.count(F.lit(1)).alias("n"), *features.element_means())
-        .collect()
-    )
-    if len(stats) > k:
-        raise RuntimeError("more clusters than centroids")
+    cluster = F.when(features.valid(), features.nearest(centers)).otherwise(F.lit(-1))
+    # one parsed SQL expression per element keeps building the plan cheap
+    means = [F.expr(f"avg(get(_x, {j})) AS c{j}") for j in range(features.dim)]
+    stats = data.select(cluster.alias("cluster"), features.vector().alias("_x")).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *means).collect()
     new = [list(c) for c in centers]
     sizes = [0] * k
+    left_out = 0
     for r in stats:
         i = int(r["cluster"])
+        if i < 0:
+            left_out = int(r["n"])
+            continue
         sizes[i] = int(r["n"])
         new[i] = [float(r[f"c{j}"]) for j in range(features.dim)]
-    return new, sizes
+    return new, sizes, left_out
 
 
 def fit(
@@ -164,7 +150,8 @@ def fit(
     """Lloyd iterations from given starting centroids (I1, I2 once standardised).
 
     Stops when the convergence test passes or after ``max_iter`` iterations.
-    Rows with a missing or NaN feature are left out of the fit.
+    Rows with a missing, NaN or infinite feature are left out of the fit; the
+    result says how many.
 
     The parsed feature frame is kept for the iterations. ``cache="persist"``
     keeps it in executor memory, spilling to disk; a lost executor only
@@ -178,12 +165,11 @@ def fit(
     for c in centers:
         if len(c) != features.dim:
             raise ValueError(f"starting centroid has {len(c)} values, expected {features.dim}")
-        if any(math.isnan(x) for x in c):
-            raise ValueError("NaN in a starting centroid")
+        if not all(math.isfinite(x) for x in c):
+            raise ValueError("NaN or infinity in a starting centroid")
 
-    # Parse once into the persisted frame, then filter on the cached columns:
-    # a filter below the projection would repeat every parse expression.
-    cached = points.select(*features.select_list())
+    # Parse once into the persisted frame; the iterations read its one array.
+    cached = points.select(features.vector().alias("x"))
     if persist and cache == "checkpoint":
         from statforge.session import checkpoint_dir
 
@@ -192,7 +178,8 @@ def fit(
         persist = False
     elif persist:
         cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
-    data = cached.where(features.valid())
+    own = Features(array="x", width=features.dim)
+    left_out = 0
     trace: list[dict] = []
     sizes = [0] * len(centers)
     converged = False
@@ -200,7 +187,7 @@ def fit(
     try:
         while not converged and iteration < max_iter:
             started = time.perf_counter()
-            new, sizes = lloyd_step(data, features, centers)
+            new, sizes, left_out = lloyd_step(cached, own, centers)
             seconds = time.perf_counter() - started
             sq = squared_shifts(centers, new)
             mx = max_abs_shift(centers, new)
@@ -221,7 +208,7 @@ def fit(
     finally:
         if persist:
             cached.unpersist()
-    return KMeansResult(centers=centers, sizes=sizes, iterations=iteration, converged=converged, trace=trace)
+    return KMeansResult(centers=centers, sizes=sizes, iterations=iteration, converged=converged, trace=trace, left_out=left_out)
 
 
 def assign(

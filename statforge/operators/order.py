@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # partitioner, and its default number of partitions.
 DEFAULT_BREAK_POINTS = ("F", "K", "P", "U")
 DEFAULT_RANGE_PARTITIONS = 5
+# Partitions that the keys of one range bucket are split over by default.
+DEFAULT_PARTS_PER_BUCKET = 8
 
 
 def sorted_partitions(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
@@ -56,15 +58,14 @@ def range_partitioned(
     break_points: Sequence[str] = DEFAULT_BREAK_POINTS,
     num_partitions: int = DEFAULT_RANGE_PARTITIONS,
     bucket: str = "bucket",
-    parts_per_bucket: int | None = None,
+    parts_per_bucket: int = DEFAULT_PARTS_PER_BUCKET,
 ) -> DataFrame:
     """Place rows by first-character bucket, each partition sorted by key (O2 + O1).
 
-    One initial letter can hold a large share of all keys, so by default each
-    bucket is split over several consecutive partitions: a range partitioning
-    on ``(bucket, key)`` into ``num_partitions * parts_per_bucket`` parts
-    (``parts_per_bucket=None`` takes ``spark.sql.shuffle.partitions //
-    num_partitions``). Reading the partitions in order gives buckets in order
+    One initial letter can hold a large share of all keys, so each bucket is
+    split over several consecutive partitions: a range partitioning on
+    ``(bucket, key)`` into ``num_partitions * parts_per_bucket`` parts, whatever
+    the session's shuffle settings. Reading the partitions in order gives buckets in order
     and keys sorted within each bucket. The range bounds are sampled from the
     aggregated rows, whose shuffle output is reused, so the input is not
     scanned again.
@@ -74,9 +75,8 @@ def range_partitioned(
     two buckets). Either way run it after the aggregation, so only one row per
     key crosses this exchange.
     """
-    if parts_per_bucket is None:
-        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions") or 1)
-        parts_per_bucket = max(1, shuffle // max(num_partitions, 1))
+    if parts_per_bucket < 1:
+        raise ValueError("parts_per_bucket must be at least 1")
     with_bucket = df.withColumn(bucket, first_char_bucket(key, break_points, num_partitions))
     if parts_per_bucket > 1:
         n = max(num_partitions, 1) * parts_per_bucket
@@ -88,12 +88,12 @@ def sample_k(df: DataFrame, k: int, key: Column | str | None = None, seed: int =
     """Exactly ``k`` rows (fewer if the input is smaller), chosen at random (O3).
 
     With ``key`` the choice is reproducible on any cluster layout: rows are
-    ranked by ``md5(seed || key)``, ties broken by the key. Without it,
-    ``rand(seed)`` is used. Spark plans ``orderBy + limit`` as a per-task top-k
+    ranked by ``md5(seed || key)``, ties broken by the key. Without it, the
+    whole row (as JSON) is the key. Spark plans ``orderBy + limit`` as a per-task top-k
     followed by one merge of at most k rows per task.
     """
     if key is None:
-        return df.orderBy(F.rand(seed)).limit(k)
+        key = F.to_json(F.struct(*df.columns))
     kc = (F.col(key) if isinstance(key, str) else key).cast("string")
     salted = kc if seed == 0 else F.concat(F.lit(f"{seed}:"), kc)
     return df.orderBy(F.md5(salted), kc).limit(k)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +15,16 @@ def _arr(fields: Column | str) -> Column:
     return F.col(fields) if isinstance(fields, str) else fields
 
 
-def select_fields(
-    df: DataFrame, positions: Mapping[str, int], fields: str = "fields", on_bad: str = "fail"
-) -> DataFrame:
-    """Positional select and reorder: ``{"name": index, ...}`` -> text columns."""
-    arr = _arr(fields)
-    return df.select(*[field(arr, i, on_bad).alias(name) for name, i in positions.items()])
-
-
 def join_fields(fields: Column | str, positions: Sequence[int], sep: str = "\t", on_bad: str = "fail") -> Column:
-    """The listed fields joined into one text value (reordered projection as a line)."""
+    """The listed fields joined into one text value (reordered projection as a line).
+
+    NULL if any of them is missing, so a short record never gives a shorter value.
+    """
     arr = _arr(fields)
-    return F.concat_ws(sep, *[field(arr, i, on_bad) for i in positions])
+    parts: list[Column] = []
+    for i in positions:
+        parts += [F.lit(sep), field(arr, i, on_bad)] if parts else [field(arr, i, on_bad)]
+    return F.concat(*parts)
 
 
 def composite_key(fields: Column | str, positions: Sequence[int], sep: str = ", ", on_bad: str = "fail") -> Column:
@@ -94,20 +92,13 @@ def standardise_centers(
     return [[(c[j] - means[i]) / stds[i] for j, i in enumerate(var_indices)] for c in centers]
 
 
-def explode_matches(
-    df: DataFrame,
-    texts: Sequence[Column],
-    substrings: Sequence[str],
-    out: str = "substring",
-) -> DataFrame:
-    """One output row per substring found (case-insensitive) in any of ``texts``.
+def matching(texts: Sequence[Column], substrings: Sequence[str]) -> Column:
+    """The substrings found (case-insensitive) in any of ``texts``, as an array.
 
-    A text holding two substrings yields two rows; a substring found in two of
-    the texts still yields one row. Map-side: ``filter`` over a literal array
-    and ``explode``, no join.
+    A text holding two substrings gives both; a substring found in two of the
+    texts is given once. ``filter`` over a literal array: map-side, no join.
     """
     lowered = [F.lower(t) for t in texts]
-    candidates = F.array(*[F.lit(s) for s in substrings])
 
     def found(s: Column) -> Column:
         cond = None
@@ -116,4 +107,9 @@ def explode_matches(
             cond = c if cond is None else (cond | c)
         return F.coalesce(cond, F.lit(False))
 
-    return df.withColumn(out, F.explode(F.filter(candidates, found)))
+    return F.filter(F.array(*[F.lit(s) for s in substrings]), found)
+
+
+def explode_matches(df: DataFrame, texts: Sequence[Column], substrings: Sequence[str], out: str = "substring") -> DataFrame:
+    """One output row per substring found in any of ``texts``."""
+    return df.withColumn(out, F.explode(matching(texts, substrings)))

@@ -16,11 +16,11 @@ chosen columns, the k sampled rows and k x d centroids per iteration.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statforge.functions.parse import TAB
@@ -28,7 +28,7 @@ from statforge.operators import kmeans as km
 from statforge.operators import project as proj
 from statforge.plans import jobs
 from statforge.sources.params import moments_to_lists
-from statforge.sources.text import parse_delimited, skip_header
+from statforge.sources.text import parse_delimited
 
 # The variables the driver script clusters on (1-based columns).
 DEFAULT_VARIABLES_1BASED = (21, 24, 26)
@@ -63,12 +63,12 @@ def run_clustering(
     moments: DataFrame | None = None,
     seed: int = 0,
     tol: float = km.TOLERANCE,
-    header: bool = False,
     init_centers_raw: Sequence[Sequence[float]] | None = None,
     delimiter: str = TAB,
     profile_all: bool = False,
     cache: str = "persist",
     width: int | None = None,
+    keep: Mapping[str, Column] | None = None,
 ) -> ClusteringResult:
     """Run the whole clustering on delimited records (tab by default).
 
@@ -78,26 +78,26 @@ def run_clustering(
     caching pass (``profile_all=True`` profiles every column in an extra pass,
     for the full moments file). The k starting rows are drawn by the md5 of
     their text (``seed`` salts it) unless ``init_centers_raw`` gives them.
-    ``header=True`` drops the header line first. With ``width`` given, a record
-    wider than that fails the profile, as in the full profile job; without it
-    no probe of the first record is made (the chosen columns need none).
+    A file's header is left out when it is read (``read_lines(header=...)``).
+    With ``width`` given, a record wider than that fails the profile, as in the
+    full profile job; without it no probe of the first record is made (the
+    chosen columns need none). ``keep`` names expressions over ``value`` and
+    ``fields`` that the assignments carry instead of the line.
     """
-    if header:
-        lines = skip_header(lines)
     spark = lines.sparkSession
     chosen = list(variables) if variables is not None else [v - 1 for v in DEFAULT_VARIABLES_1BASED]
     if profile_all and moments is None:
         moments = jobs.column_moments(lines, delimiter=delimiter)
 
     rows = parse_delimited(lines, delimiter)
-    xs = [f"x{j}" for j in range(len(chosen))]
+    d = len(chosen)
     key = _sample_key(seed)
     if width is not None:
         key = F.when(F.size("fields") <= width, key).otherwise(
             F.raise_error(F.lit(f"record wider than {width} fields")).cast("binary")
         )
     cols = [key.alias("_h")]
-    cols += [v.alias(n) for v, n in zip(proj.feature_columns("fields", chosen, on_bad="fail"), xs)]
+    cols.append(F.array(*proj.feature_columns("fields", chosen, on_bad="fail")).alias("x"))
     profiled = moments is None
     # 16 bytes + d doubles per line. The profile value of a chosen column is
     # the feature itself, or 0 for a missing trailing field (an unparsable one
@@ -113,8 +113,8 @@ def run_clustering(
     try:
         if profiled:
             aggs = [F.count(F.lit(1)).alias("_n")]
-            for j, n in enumerate(xs):
-                p = F.coalesce(F.col(n), F.lit(0.0))
+            for j in range(d):
+                p = F.coalesce(F.get("x", j), F.lit(0.0))
                 aggs += [F.avg(p).alias(f"m{j}"), F.stddev_pop(p).alias(f"s{j}")]
             stats = cached.agg(*aggs).first()
             if not stats or stats["_n"] == 0:
@@ -133,19 +133,19 @@ def run_clustering(
         if init_centers_raw is not None:
             start = [[float(x) for x in c] for c in init_centers_raw]
         else:
-            picked = cached.orderBy("_h", *xs).limit(k).select(*xs).collect()
+            picked = cached.orderBy("_h", "x").limit(k).select("x").collect()
             start = []
             for r in picked:
-                if any(r[n] is None for n in xs):
+                if any(v is None for v in r["x"]):
                     raise ValueError("sampled row lacks a chosen variable")
-                start.append([float(r[n]) for n in xs])
+                start.append([float(v) for v in r["x"]])
 
-        z = proj.standardise([F.col(n) for n in xs], chosen, means, stds)
-        points = cached.select(*[c.alias(n) for c, n in zip(z, xs)])
+        z = proj.standardise([F.get("x", j) for j in range(d)], chosen, means, stds)
+        points = cached.select(F.array(*z).alias("x"))
         std_start = proj.standardise_centers(start, chosen, means, stds)
-        result = km.fit(points, km.Features(columns=tuple(xs)), std_start, max_iter=max_iter, tol=tol, rule="squared_shift", persist=False)
+        result = km.fit(points, km.Features(array="x", width=d), std_start, max_iter=max_iter, tol=tol, rule="squared_shift", persist=False)
     finally:
         if cache != "checkpoint":
             cached.unpersist()
-    assigned = jobs.assign_clusters(lines, result.centers, chosen, moments=(means, stds), delimiter=delimiter)
+    assigned = jobs.assign_clusters(lines, result.centers, chosen, moments=(means, stds), delimiter=delimiter, keep=keep)
     return ClusteringResult(moments, means, stds, chosen, start, result, assigned)

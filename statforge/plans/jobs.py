@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statforge.functions.parse import (
@@ -28,7 +28,7 @@ from statforge.operators import kmeans as km
 from statforge.operators import order
 from statforge.operators import predicates as pred
 from statforge.operators import project as proj
-from statforge.sources.text import fixed_width, parse_delimited
+from statforge.sources.text import fixed_width, parse_delimited, with_columns_once
 
 # ---------------------------------------------------------------------------
 # Default record layouts and constants of the original jobs.
@@ -73,17 +73,20 @@ def flag_group_mean(
     on_bad: str = "fail",
 ) -> DataFrame:
     """``DataFrame[group_key, mean_value]``: mean of one field per composite key,
-    over records whose last field equals ``keep_flag`` (any case)."""
-    rows = _fields(lines, delimiter).where(pred.last_field_equals_ci("fields", keep_flag))
+    over records whose last field equals ``keep_flag`` (any case).
+
+    The key is read before the flag is looked at, so a record too short for its
+    key fails the job (or is dropped) whatever its flag says.
+    """
+    rows = with_columns_once(_fields(lines, delimiter), {"group_key": proj.composite_key("fields", key_indices, ", ", on_bad)})
+    rows = rows.where(F.col("group_key").isNotNull() & pred.last_field_equals_ci("fields", keep_flag))
     raw = field("fields", value_index, on_bad)
     value = parse_double(raw)
     if on_bad == "fail":
         value = _fail_unparsed(raw, value, f"field {value_index}")
-    keyed = rows.select(
-        proj.composite_key("fields", key_indices, ", ", on_bad).alias("group_key"), value.alias("v")
-    )
+    keyed = rows.select("group_key", value.alias("v"))
     if on_bad == "drop":
-        keyed = keyed.where(pred.parsed(F.col("group_key"), F.col("v")))
+        keyed = keyed.where(pred.parsed(F.col("v")))
     return order.sorted_partitions(agg.grouped_mean(keyed, "group_key", "v", alias="mean_value"), "group_key")
 
 
@@ -169,7 +172,7 @@ def range_partitioned_max(
     num_partitions: int = order.DEFAULT_RANGE_PARTITIONS,
     delimiter: str = COMMA,
     on_bad: str = "fail",
-    parts_per_bucket: int | None = None,
+    parts_per_bucket: int = order.DEFAULT_PARTS_PER_BUCKET,
 ) -> DataFrame:
     """``DataFrame[key, max_value, bucket]``: each range bucket on a run of
     consecutive partitions in key order (``parts_per_bucket=1``: partition b
@@ -188,19 +191,27 @@ def range_partitioned_max(
 def _ngram_rows(lines: DataFrame, words: int, substrings: Sequence[str] | None, on_bad: str) -> DataFrame:
     """Common shape of a unigram (``words=1``) or bigram (``words=2``) source."""
     rows = _fields(lines, WHITESPACE)
+    mode = on_bad
     if substrings is not None:
         texts = [field("fields", i, "null") for i in range(words)]
         if words > 1 and on_bad == "fail":
             # every word must exist once a record is examined
             texts = [field("fields", i, "fail") if i > 0 else t for i, t in enumerate(texts)]
-        rows = proj.explode_matches(rows, texts, substrings, out="substring")
-    year_text = field("fields", words, on_bad)
-    volumes_text = field("fields", words + 2, on_bad)
-    return rows.select(
-        *(["substring"] if substrings is not None else []),
-        year_text.alias("year_text"),
-        volumes_text.alias("volumes_text"),
-    )
+        # found once; year and volumes are looked at (and missed) only in records with a match
+        rows = with_columns_once(rows, {"found": proj.matching(texts, substrings)}).where(F.size("found") > 0)
+        if on_bad == "fail":
+            mode = "null"
+
+    def read(index: int):
+        value = field("fields", index, mode)
+        if mode == on_bad:
+            return value
+        # filters on these values are planned below the one on "found", so the failure is tied to it here
+        missing = F.when(F.size("found") > 0, F.raise_error(F.lit(f"record has no field {index}")).cast("string"))
+        return F.coalesce(value, missing)
+
+    columns = [F.explode("found").alias("substring")] if substrings is not None else []
+    return rows.select(*columns, read(words).alias("year_text"), read(words + 2).alias("volumes_text"))
 
 
 def ngram_substring_mean(
@@ -257,7 +268,7 @@ def column_moments(
     return agg.column_profile(_fields(lines, delimiter), "fields", width, on_bad, columns)
 
 
-def subset_rows(
+def subset_records(
     lines: DataFrame,
     bounds: Mapping[int, float] = SUBSET_BOUNDS,
     equals: Mapping[int, str] = SUBSET_EQUALS,
@@ -265,8 +276,8 @@ def subset_rows(
     delimiter: str = TAB,
     on_bad: str = "fail",
 ) -> DataFrame:
-    """Whole lines (``DataFrame[value]``) within the numeric bounds (NaN passes)
-    and with the listed string values. Map-only."""
+    """``DataFrame[value, fields]``: records within the numeric bounds (NaN passes)
+    and with the listed string values, with their fields for a next step. Map-only."""
     rows = _fields(lines, delimiter)
     bound_pairs = []
     for i, b in bounds.items():
@@ -279,7 +290,12 @@ def subset_rows(
         [(field("fields", i, on_bad), v) for i, v in equals.items()],
         [(field("fields", i, on_bad), vs) for i, vs in member.items()],
     )
-    return rows.where(F.coalesce(cond, F.lit(False))).select("value")
+    return rows.where(F.coalesce(cond, F.lit(False))).select("value", "fields")
+
+
+def subset_rows(lines: DataFrame, *args, **kwargs) -> DataFrame:
+    """Whole lines (``DataFrame[value]``) of :func:`subset_records`."""
+    return subset_records(lines, *args, **kwargs).select("value")
 
 
 # ---------------------------------------------------------------------------
@@ -290,19 +306,20 @@ def feature_frame(
     variables: Sequence[int],
     delimiter: str,
     moments: tuple[Sequence[float], Sequence[float]] | None = None,
-    keep_line: bool = False,
+    keep: Mapping[str, Column] | None = None,
     on_bad: str = "fail",
 ) -> tuple[DataFrame, km.Features]:
-    """Parse the chosen columns (standardised when ``moments`` is given)."""
+    """The chosen columns (standardised when ``moments`` is given) as one array ``x``.
+
+    ``keep`` names further columns, expressions over ``value`` and ``fields``, so
+    that what else a job needs of a line comes from the same split.
+    """
     rows = _fields(lines, delimiter)
     values = proj.feature_columns("fields", variables, on_bad=on_bad)
     if moments is not None:
         values = proj.standardise(values, variables, moments[0], moments[1])
-    names = tuple(f"x{j}" for j in range(len(variables)))
-    cols = [v.alias(n) for v, n in zip(values, names)]
-    if keep_line:
-        cols = [F.col("value")] + cols
-    return rows.select(*cols), km.Features(columns=names)
+    kept = [c.alias(n) for n, c in (keep or {}).items()]
+    return rows.select(*kept, F.array(*values).alias("x")), km.Features(array="x", width=len(variables))
 
 
 def kmeans_raw(
@@ -341,10 +358,13 @@ def assign_clusters(
     variables: Sequence[int],
     moments: tuple[Sequence[float], Sequence[float]] | None = None,
     delimiter: str = TAB,
+    keep: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """``DataFrame[cluster, value]``: every original line with its cluster. Map-only."""
-    data, features = feature_frame(lines, variables, delimiter, moments=moments, keep_line=True)
-    return km.assign(data, features, centers).select("cluster", "value")
+    """``DataFrame[cluster, value]``: every original line with its cluster (or, with
+    ``keep``, these expressions over ``value`` and ``fields`` instead of the line). Map-only."""
+    kept = {"value": F.col("value")} if keep is None else keep
+    data, features = feature_frame(lines, variables, delimiter, moments=moments, keep=kept)
+    return km.assign(data, features, centers).select("cluster", *kept)
 
 
 def assignment_lines(assigned: DataFrame) -> DataFrame:

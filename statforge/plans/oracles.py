@@ -184,6 +184,14 @@ def _embeddings_sql(k: int) -> str:
     )
 
 
+def _standardised_sql() -> str:
+    return (
+        f"WITH {_MOMENTS_CTE} SELECT l_orderkey, l_linenumber, round((l_quantity - {_mom('m0')}) / {_mom('s0')}, 6) AS z0, "
+        f"round((l_extendedprice - {_mom('m1')}) / {_mom('s1')}, 6) AS z1, "
+        f"round((l_discount - {_mom('m2')}) / {_mom('s2')}, 6) AS z2 FROM lineitem"
+    )
+
+
 def _profile_sql() -> str:
     numeric = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     parts = [
@@ -249,11 +257,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "column_profile": _profile_sql(),
         "row_subset": f"SELECT {LINEITEM_LINE} AS value FROM lineitem WHERE {_subset_where()}",
-        "standardise": (
-            f"WITH {_MOMENTS_CTE} SELECT l_orderkey, l_linenumber, round((l_quantity - {_mom('m0')}) / {_mom('s0')}, 6) AS z0, "
-            f"round((l_extendedprice - {_mom('m1')}) / {_mom('s1')}, 6) AS z1, "
-            f"round((l_discount - {_mom('m2')}) / {_mom('s2')}, 6) AS z2 FROM lineitem"
-        ),
+        "standardise": _standardised_sql(),
         "kmeans_raw": _with(_raw_fit_ctes(q.K), _centers_select(RAW_MAX_ITER, 3)),
         "kmeans_standardised": _with(_std_fit_ctes(q.K), _centers_select(std_last, 3)),
         "kmeans_trace": _trace_sql(),
@@ -275,7 +279,19 @@ def oracle_sql() -> dict[str, str]:
             "concat_ws(chr(9), CAST(p_partkey AS VARCHAR), split_part(p_name, ' ', 1), split_part(p_name, ' ', 2), "
             "p_brand, p_type) AS cut FROM part"
         ),
-        "header_skip": "SELECT p_partkey AS partkey, p_name AS name, p_retailprice AS price FROM part",
+        "header_skip": (
+            "SELECT p_partkey AS partkey, p_name AS name, p_retailprice AS price FROM part "
+            "UNION ALL SELECT NULL, 'p_name', NULL"  # the data row that equals the header
+        ),
+        "value_lines": "SELECT DISTINCT concat_ws('/', o_orderpriority, o_orderstatus) AS priority_status FROM orders",
+        "range_parts": (
+            "SELECT p_name AS key, greatest(max(p_retailprice - 975.0), 0.0) AS max_value, "
+            "CASE WHEN substr(p_name, 1, 1) < 'f' THEN 0 WHEN substr(p_name, 1, 1) < 'k' THEN 1 "
+            "WHEN substr(p_name, 1, 1) < 'p' THEN 2 WHEN substr(p_name, 1, 1) < 'u' THEN 3 ELSE 4 END AS bucket, "
+            "TRUE AS in_order FROM part GROUP BY p_name"
+        ),
+        "moments_positions": _standardised_sql(),
+        "kmeans_wide_text": _embeddings_sql(q.EMBED_K),
         "text_roundtrip": "SELECT s_name, s_acctbal FROM supplier",
         "moments_file": _profile_sql(),
         "centroid_file": _with(

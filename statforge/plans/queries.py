@@ -10,18 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statforge.functions.parse import TAB, WHITESPACE, field, nan_to_null, parse_double, parse_int, parse_long, split_fields
+from statforge.functions.parse import TAB, WHITESPACE, field, nan_to_null, parse_double, parse_int, parse_long
 from statforge.operators import kmeans as km
 from statforge.plans import jobs, tables
 from statforge.plans.clustering import run_clustering
 from statforge.session import scratch_path
-from statforge.sinks import key_value_lines, write_centroids, write_lines, write_moments
+from statforge.sinks import key_value_lines, single_column_lines, write_centroids, write_lines, write_moments
 from statforge.sources import read_centroids, read_lines, read_moments, read_table, read_variables
 from statforge.sources.params import centroids_frame, moments_to_lists
-from statforge.sources.text import cut_fields, redelimit, skip_header
+from statforge.sources.text import cut_fields, parse_delimited, redelimit
 
 # Parameters of the test queries.
 #
@@ -78,7 +78,7 @@ def range_bucket_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def substring_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jobs.ngram_substring_mean(
-        tables.customer_unigram_lines(spark, sf_dir), tables.part_bigram_lines(spark, sf_dir), SUBSTRINGS
+        tables.customer_unigram_lines(spark, sf_dir, short=True), tables.part_bigram_lines(spark, sf_dir), SUBSTRINGS
     )
     return out
 
@@ -116,25 +116,19 @@ def _lineitem_moments(spark: SparkSession, sf_dir: str):
     return moments_to_lists(jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH, columns=STD_VARIABLES))
 
 
-def _key_columns(value_col: str = "value"):
-    fields = split_fields(F.col(value_col), TAB)
-    return [
-        parse_long(field(fields, 0)).alias("l_orderkey"),
-        parse_int(field(fields, 3)).alias("l_linenumber"),
-    ]
+def _keys() -> dict:
+    """The line's key as expressions over the fields of the job's one split."""
+    return {"l_orderkey": parse_long(field("fields", 0)), "l_linenumber": parse_int(field("fields", 3))}
 
 
 def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     means, stds = _lineitem_moments(spark, sf_dir)
-    data, feats = jobs.feature_frame(
-        tables.lineitem_tab_lines(spark, sf_dir), STD_VARIABLES, TAB, moments=(means, stds), keep_line=True
-    )
-    return data.select(*_key_columns(), *[_r(F.col(c)).alias(f"z{j}") for j, c in enumerate(feats.columns)])
+    data, _ = jobs.feature_frame(tables.lineitem_tab_lines(spark, sf_dir), STD_VARIABLES, TAB, moments=(means, stds), keep=_keys())
+    return data.select("l_orderkey", "l_linenumber", *[_r(F.get("x", j)).alias(f"z{j}") for j in range(len(STD_VARIABLES))])
 
 
 def _first_k_raw(spark: SparkSession, sf_dir: str, columns, k: int) -> list[list[float]]:
-    # a per-task top-k needs no spreading of the scan
-    rows = tables.first_rows(read_table(spark, sf_dir, "lineitem", spread_out=False), tables.LINEITEM_ORDER, k)
+    rows = tables.first_rows(read_table(spark, sf_dir, "lineitem"), tables.LINEITEM_ORDER, k)
     return [[float(r[c]) for c in columns] for r in rows]
 
 
@@ -152,12 +146,12 @@ def _fit_raw(spark: SparkSession, sf_dir: str) -> km.KMeansResult:
     )
 
 
-def _fit_standardised(spark: SparkSession, sf_dir: str, variables=STD_VARIABLES):
+def _fit_standardised(spark: SparkSession, sf_dir: str, variables=STD_VARIABLES, keep=None):
     """Standardised fit from the first K rows: one caching pass profiles the
     variables and feeds every iteration."""
     start = _first_k_raw(spark, sf_dir, ("l_quantity", "l_extendedprice", "l_discount"), K)
     return run_clustering(
-        tables.lineitem_tab_lines(spark, sf_dir), k=K, max_iter=STD_MAX_ITER, variables=variables, init_centers_raw=start, width=LINEITEM_WIDTH
+        tables.lineitem_tab_lines(spark, sf_dir), k=K, max_iter=STD_MAX_ITER, variables=variables, init_centers_raw=start, width=LINEITEM_WIDTH, keep=keep
     )
 
 
@@ -166,7 +160,11 @@ def kmeans_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _centers_df(spark, _fit_standardised(spark, sf_dir).fit, len(STD_VARIABLES))
+    """The job on stored moments, as the command line runs it."""
+    means, stds = _lineitem_moments(spark, sf_dir)
+    start = _first_k_raw(spark, sf_dir, ("l_quantity", "l_extendedprice", "l_discount"), K)
+    fit = jobs.kmeans_standardised(tables.lineitem_tab_lines(spark, sf_dir), start, STD_VARIABLES, means, stds, max_iter=STD_MAX_ITER)
+    return _centers_df(spark, fit, len(STD_VARIABLES))
 
 
 def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +175,7 @@ def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fit_standardised(spark, sf_dir).assignments.select(*_key_columns(), "cluster")
+    return _fit_standardised(spark, sf_dir, keep=_keys()).assignments.select("l_orderkey", "l_linenumber", "cluster")
 
 
 def clustering_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +187,9 @@ def clustering_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustering_given_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH, columns=STD_VARIABLES)
+    subset = jobs.subset_records(tables.lineitem_tab_lines(spark, sf_dir), bounds=SUBSET_BOUNDS, equals=SUBSET_EQUALS, member=SUBSET_MEMBER)
     res = run_clustering(
-        _subset_lines(spark, sf_dir), k=SUBSET_CLUSTER_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, moments=full, width=LINEITEM_WIDTH
+        subset, k=SUBSET_CLUSTER_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, moments=full, width=LINEITEM_WIDTH
     )
     return res.cluster_sizes()
 
@@ -198,12 +197,14 @@ def clustering_given_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
     # the first K vectors are the start; their width is the vector width
-    firsts = tables.first_rows(read_table(spark, sf_dir, "embeddings", spread_out=False), ["vec_id"], EMBED_K)
+    firsts = tables.first_rows(read_table(spark, sf_dir, "embeddings"), ["vec_id"], EMBED_K)
     start = [[float(x) for x in r["embedding"]] for r in firsts]
     feats = km.Features(array="embedding", width=len(start[0]))
-    result = km.fit(emb, feats, start, max_iter=km.RAW_MAX_ITER, tol=km.TOLERANCE, rule="max_abs")
-    df = result.centers_frame(spark)
-    return df.select(
+    return _vector_sums(spark, km.fit(emb, feats, start, max_iter=km.RAW_MAX_ITER, tol=km.TOLERANCE, rule="max_abs"))
+
+
+def _vector_sums(spark: SparkSession, result: km.KMeansResult) -> DataFrame:
+    return result.centers_frame(spark).select(
         "cluster",
         F.col("n").cast("bigint"),
         _r(F.aggregate("center", F.lit(0.0), lambda a, x: a + x)).alias("center_sum"),
@@ -215,7 +216,7 @@ def kmeans_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statforge.operators.order import sample_k as _sample
 
-    o = read_table(spark, sf_dir, "orders", spread_out=False)  # a per-task top-k needs no spreading
+    o = read_table(spark, sf_dir, "orders")
     return _sample(o, SAMPLE_K, key=F.col("o_orderkey")).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
@@ -223,18 +224,20 @@ def redelimit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blank runs to tabs (S11), then ``cut -f1-5`` (P10): both the full
     re-delimited line and the cut one."""
     red = redelimit(tables.part_padded_lines(spark, sf_dir))
-    return red.select(
-        F.col("value"), cut_fields(split_fields(F.col("value"), TAB, keep_trailing_empty=True), range(1, 6)).alias("cut")
-    )
+    return parse_delimited(red, "tab", keep_trailing_empty=True).select("value", cut_fields("fields", range(1, 6)).alias("cut"))
 
 
 def header_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = skip_header(tables.part_lines_with_header(spark, sf_dir), header=tables.PART_HEADER)
-    fields = split_fields(F.col("value"), TAB)
-    return lines.select(
-        parse_long(field(fields, 0)).alias("partkey"),
-        field(fields, 1).alias("name"),
-        parse_double(field(fields, 2)).alias("price"),
+    """Two headed text files of unequal size, one with a data row equal to the
+    header, written and read back without their first lines (S10)."""
+    path = scratch_path(spark, "headed")
+    for name, lines in tables.headed_part_files(spark, sf_dir).items():
+        write_lines(lines, f"{path}/{name}", merge=True, order_by="line_no")
+    rows = parse_delimited(read_lines(spark, [f"{path}/small", f"{path}/large"], header="each"), "tab")
+    return rows.select(
+        parse_long(field("fields", 0)).alias("partkey"),
+        field("fields", 1).alias("name"),
+        parse_double(field("fields", 2)).alias("price"),
     )
 
 
@@ -243,9 +246,50 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier")
     path = scratch_path(spark, "supplier-kv")
     write_lines(key_value_lines(supplier, "s_name", "s_acctbal"), path, mode="overwrite")
-    back = read_lines(spark, path)
-    fields = split_fields(F.col("value"), TAB)
-    return back.select(field(fields, 0).alias("s_name"), parse_double(field(fields, 1)).alias("s_acctbal"))
+    back = parse_delimited(read_lines(spark, path), "tab")
+    return back.select(field("fields", 0).alias("s_name"), parse_double(field("fields", 1)).alias("s_acctbal"))
+
+
+def value_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Value-only text output (K2) of the distinct order priorities and statuses, read back."""
+    orders = read_table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "values")
+    write_lines(single_column_lines(orders.select("o_orderpriority", "o_orderstatus").distinct(), F.concat_ws("/", "o_orderpriority", "o_orderstatus")), path)
+    return read_lines(spark, path).select(F.col("value").alias("priority_status"))
+
+
+def range_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range-partitioned maxima written as sorted part files, replacing an earlier
+    output at the same path (K4), and read back with each line's part file number
+    (O2: the bucket) and whether it follows its predecessor in key order (O1)."""
+    path = scratch_path(spark, "range-parts")
+    prices = tables.part_price_lines(spark, sf_dir)
+    write_lines(key_value_lines(jobs.group_max_floor(prices, key=1, value=3), "key", "max_value"), path)
+    maxima = jobs.range_partitioned_max(prices, key=2, value=3, break_points=BREAK_POINTS, parts_per_bucket=1)
+    write_lines(key_value_lines(maxima, "key", "max_value"), path, mode="overwrite")
+    part = F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1).cast("int").alias("bucket")
+    back = parse_delimited(read_lines(spark, path).select("value", part, F.monotonically_increasing_id().alias("place")), "tab")
+    rows = back.select("bucket", "place", field("fields", 0).alias("key"), parse_double(field("fields", 1)).alias("max_value"))
+    before = F.lag("key").over(Window.partitionBy("bucket").orderBy("place"))
+    return rows.select("key", "max_value", "bucket", F.coalesce(before < F.col("key"), F.lit(True)).alias("in_order"))
+
+
+def moments_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments of columns 4, 5 and 6 only, written, read back and used by column position (K5)."""
+    path = scratch_path(spark, "moments-some")
+    lines = tables.lineitem_tab_lines(spark, sf_dir)
+    write_moments(jobs.column_moments(lines, width=LINEITEM_WIDTH, columns=STD_VARIABLES), path)
+    data, _ = jobs.feature_frame(lines, STD_VARIABLES, TAB, moments=moments_to_lists(read_moments(spark, path)), keep=_keys())
+    return data.select("l_orderkey", "l_linenumber", *[_r(F.get("x", j)).alias(f"z{j}") for j in range(len(STD_VARIABLES))])
+
+
+def kmeans_wide_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw job on 64 blank-separated fields a line, rendered from the embeddings."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    firsts = tables.first_rows(vectors, ["vec_id"], EMBED_K)
+    start = [[float(x) for x in r["embedding"]] for r in firsts]
+    lines = vectors.select(F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), " ").alias("value"))
+    return _vector_sums(spark, jobs.kmeans_raw(lines, start, range(len(start[0])), max_iter=km.RAW_MAX_ITER, tol=km.TOLERANCE))
 
 
 def moments_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,6 +336,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "redelimit": redelimit_query,
     "header_skip": header_skip,
     "text_roundtrip": text_roundtrip,
+    "value_lines": value_lines,
+    "range_parts": range_parts,
+    "moments_positions": moments_positions,
+    "kmeans_wide_text": kmeans_wide_text,
     "moments_file": moments_file,
     "centroid_file": centroid_file,
 }

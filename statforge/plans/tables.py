@@ -130,22 +130,18 @@ def part_price_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_unigram_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_unigram_lines(spark: SparkSession, sf_dir: str, short: bool = False) -> DataFrame:
     """Unigram records ``word year count volumes`` (single blanks): the market
     segment, 1990 + nation (zero-padded to five digits for BUILDING), the
-    customer key, the floored balance."""
+    customer key, the floored balance. With ``short``, every customer adds a record
+    of one word that no substring of the query matches."""
     c = read_table(spark, sf_dir, "customer")
     year = (F.lit(1990) + F.col("c_nationkey")).cast("string")
     year = F.when(F.col("c_mktsegment") == "BUILDING", F.lpad(year, 5, "0")).otherwise(year)
-    return c.select(
-        F.concat_ws(
-            " ",
-            F.col("c_mktsegment"),
-            year,
-            F.col("c_custkey").cast("string"),
-            F.floor(F.col("c_acctbal")).cast("bigint").cast("string"),
-        ).alias("value")
-    )
+    line = F.concat_ws(" ", F.col("c_mktsegment"), year, F.col("c_custkey").cast("string"), F.floor(F.col("c_acctbal")).cast("bigint").cast("string"))
+    if short:
+        return c.select(F.explode(F.array(line, F.lit("xyz"))).alias("value"))
+    return c.select(line.alias("value"))
 
 
 def part_bigram_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,12 +187,20 @@ def part_padded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 PART_HEADER = "p_partkey\tp_name\tp_retailprice"
 
 
-def part_lines_with_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tab records (partkey, name, price) preceded by a header line."""
+def headed_part_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Two text files of tab records (partkey, name, price), as ``line_no, value``
+    frames that begin with the same header line: ``small`` has a tenth of the parts,
+    ``large`` the others and one data row that equals the header."""
     p = read_table(spark, sf_dir, "part")
-    body = lines_from_columns(p, ("p_partkey", "p_name", "p_retailprice"), "\t")
-    header = spark.range(1).select(F.lit(PART_HEADER).alias("value"))
-    return header.unionByName(body)
+    line = F.concat_ws("\t", F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_retailprice").cast("string"))
+    numbered = p.select(F.col("p_partkey").alias("line_no"), line.alias("value"))
+    header = spark.range(1).select(F.lit(-1).cast("long").alias("line_no"), F.lit(PART_HEADER).alias("value"))
+    small = F.col("line_no") % 10 == 0
+    again = header.withColumn("line_no", F.lit(0).cast("long"))
+    return {
+        "small": header.unionByName(numbered.where(small)),
+        "large": header.unionByName(again).unionByName(numbered.where(~small)),
+    }
 
 
 def first_rows(df: DataFrame, order_cols, k: int) -> list:

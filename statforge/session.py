@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale as much as locally: AQE re-plans shuffles at
-# runtime (coalesces tiny partitions, splits skewed ones), Arrow keeps the few
-# pandas hand-offs vectorised, UTC keeps timestamp text stable.
+# runtime (coalesces tiny partitions, splits skewed ones), UTC keeps timestamp
+# text stable.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -48,8 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a folder every
-    executor can reach). Only when the session has none (local tests) a fresh
-    scratch folder is created and registered.
+    executor can reach); a session without one uses a folder in its warehouse,
+    which executors share as well. No folder is made up on the local machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,14 +55,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="statforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = f"{warehouse.rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
-    import uuid
-
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/statforge-{name}-{uuid.uuid4().hex[:12]}"

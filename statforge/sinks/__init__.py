@@ -31,17 +31,19 @@ def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists", merge:
     """Write a one-column frame as text.
 
     ``mode="overwrite"`` replaces an existing output (K4); the default refuses
-    to, like a single job does. ``merge=True`` writes one file (K3) and is
-    meant for bounded results only.
+    to, like a single job does. ``merge=True`` writes one file (K3), its lines
+    sorted by ``order_by``; it is for results that the job's parameters bound
+    (k centroids, two moments lines, one statistic), not for row-level output.
     """
     out = lines
-    if order_by is not None:
+    if merge:
+        out = out.repartition(1)
+        if order_by is not None:
+            out = out.sortWithinPartitions(order_by)
+    elif order_by is not None:
         out = out.orderBy(order_by)
     cols = [c for c in out.columns if c != order_by] if order_by else out.columns
-    out = out.select(cols[0])
-    if merge:
-        out = out.coalesce(1)
-    out.write.mode(mode).text(path)
+    out.select(cols[0]).write.mode(mode).text(path)
 
 
 def _join_doubles(arr: Column, sep: str = "\t") -> Column:
@@ -51,9 +53,20 @@ def _join_doubles(arr: Column, sep: str = "\t") -> Column:
 def moments_lines(moments: DataFrame, sep: str = "\t") -> DataFrame:
     """Two lines from the long moments frame: means, then std devs (K5).
 
-    The moments frame has one row per column (bounded by the record width).
+    The moments frame has one row per profiled column (bounded by the record
+    width). Place ``i`` of a line belongs to column ``i``; columns that were not
+    profiled are NaN, so positions never shift.
     """
-    packed = moments.agg(F.array_sort(F.collect_list(F.struct("col_idx", "mean", "std"))).alias("m"))
+    listed = moments.agg(
+        F.map_from_entries(F.collect_list(F.struct("col_idx", F.struct("mean", "std")))).alias("by_idx"), F.max("col_idx").alias("last")
+    )
+    nan = F.lit(float("nan"))
+
+    def at(i: Column) -> Column:
+        s = F.try_element_at(F.col("by_idx"), i.cast("int"))
+        return F.struct(F.coalesce(s["mean"], nan).alias("mean"), F.coalesce(s["std"], nan).alias("std"))
+
+    packed = listed.select(F.when(F.col("last").isNull(), F.array()).otherwise(F.transform(F.sequence(F.lit(0), F.col("last").cast("int")), at)).alias("m"))
     return packed.select(
         F.inline(
             F.array(

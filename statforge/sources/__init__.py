@@ -15,31 +15,13 @@ from statforge.sources.text import (
     parse_delimited,
     read_lines,
     redelimit,
-    skip_header,
-    union_sources,
 )
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition only when a scan has fewer partitions than the
-    cluster has task slots (a single large file or gzip input). A large input
-    already has many splits and is returned unchanged, so no shuffle is added
-    at scale. Column pruning still reaches the scan below the exchange.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
-
-
-def read_table(spark, sf_dir: str, name: str, spread_out: bool = True):
-    """One parquet test table (``{sf_dir}/{name}.parquet``)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_out else df
+def read_table(spark, sf_dir: str, name: str):
+    """One parquet test table (``{sf_dir}/{name}.parquet``); its splits follow
+    ``spark.sql.files.maxPartitionBytes`` and ``spark.sql.files.minPartitionNum``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 __all__ = [
@@ -56,7 +38,4 @@ __all__ = [
     "read_table",
     "read_variables",
     "redelimit",
-    "skip_header",
-    "spread",
-    "union_sources",
 ]

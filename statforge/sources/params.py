@@ -2,49 +2,36 @@
 
 These files are small by construction (k lines, one line, two lines). They are
 read with ``wholetext`` so line order is kept, parsed with Spark expressions,
-and their few values are fetched once to the driver, with a size check.
+and their values (as many as the caller's k, d and record width say) are
+fetched once to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statforge.functions.parse import WHITESPACE, parse_double, split_fields
 
-# Upper bound on the values a parameter file may hand to the driver.
-MAX_PARAMETER_VALUES = 1_000_000
-
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``DataFrame[line_no, line]``: non-blank lines numbered in file-name then
     line order (a directory of part files reads as one file).
 
     Each file is one ``wholetext`` row; lines are numbered within it by
-    ``posexplode`` and shifted by the number of lines in the files before it.
-    Those per-file counts (one row per file) are the only values fetched.
+    ``posexplode`` and shifted by the number of lines in the files before it,
+    a running sum over one row per file that is joined back by file name.
     """
     files = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     exploded = files.select("file", F.posexplode(F.split(F.col("value"), "\r?\n")).alias("pos", "line"))
     exploded = exploded.where(F.trim(F.col("line")) != "")
-    exploded = exploded.select("file", F.row_number().over(_per_file_order()).alias("n"), "line")
-    counts = sorted((r["file"], r["lines"]) for r in exploded.groupBy("file").agg(F.count(F.lit(1)).alias("lines")).collect())
-    offset, offsets = 0, {}
-    for name, lines in counts:
-        offsets[name] = offset
-        offset += lines
-    shift = F.lit(0)
-    for name, off in offsets.items():
-        shift = F.when(F.col("file") == name, F.lit(off)).otherwise(shift)
-    return exploded.select((shift + F.col("n") - 1).alias("line_no"), "line")
-
-
-def _per_file_order():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("file").orderBy("pos")
+    exploded = exploded.select("file", F.row_number().over(Window.partitionBy("file").orderBy("pos")).alias("n"), "line")
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    counts = exploded.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
+    offsets = counts.select("file", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("offset"))
+    return exploded.join(offsets, "file").select((F.col("offset") + F.col("n") - 1).alias("line_no"), "line")
 
 
 def _numbers(line_col: str = "line"):
@@ -73,11 +60,9 @@ def read_centroids(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def centroids_to_list(centroids: DataFrame, limit: int = MAX_PARAMETER_VALUES) -> list[list[float]]:
+def centroids_to_list(centroids: DataFrame) -> list[list[float]]:
     """Fetch a centroid frame (``cluster``, ``center``) as a k x d list, in cluster order."""
-    rows = centroids.select("cluster", "center").orderBy("cluster").limit(limit + 1).collect()
-    if sum(len(r["center"]) for r in rows) > limit or len(rows) > limit:
-        raise ValueError("centroid matrix too large to hand to the driver")
+    rows = centroids.select("cluster", "center").orderBy("cluster").collect()
     centers = [[float(x) for x in r["center"]] for r in rows]
     widths = {len(c) for c in centers}
     if len(widths) > 1:
@@ -112,11 +97,9 @@ def read_moments(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def moments_to_lists(moments: DataFrame, limit: int = MAX_PARAMETER_VALUES) -> tuple[list[float], list[float]]:
+def moments_to_lists(moments: DataFrame) -> tuple[list[float], list[float]]:
     """Fetch a moments frame as (means, stds) lists indexed by column position."""
-    rows = moments.select("col_idx", "mean", "std").orderBy("col_idx").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("moments too large to hand to the driver")
+    rows = moments.select("col_idx", "mean", "std").orderBy("col_idx").collect()
     width = (rows[-1]["col_idx"] + 1) if rows else 0
     means = [float("nan")] * width
     stds = [float("nan")] * width

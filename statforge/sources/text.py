@@ -17,13 +17,42 @@ from statforge.functions.parse import LAYOUTS, split_fields
 _AWK_BLANKS = "[ \t\n]+"
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str], line_sep: str | None = None) -> DataFrame:
-    """Scan text files (a file, a directory or a glob) as ``DataFrame[value]``."""
+# A separator no text line holds, so the CSV reader sees one column per line.
+_NO_SEPARATOR = "\x01\x02\x01"
+
+
+def read_lines(
+    spark: SparkSession, path: str | Sequence[str], line_sep: str | None = None, header: str | None = None
+) -> DataFrame:
+    """Scan text files (a file, a directory or a glob) as ``DataFrame[value]``.
+
+    ``header="each"`` leaves out the first line of every file, ``"first"`` the
+    first line of the first file by path. Lines are left out by their position,
+    never by their content; the reader that does so also passes over blank lines.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    if header == "each":
+        return _body_lines(spark, paths, line_sep)
     reader = spark.read
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
-    paths = [path] if isinstance(path, str) else list(path)
-    return reader.text(paths)
+    if header is None:
+        return reader.text(paths)
+    if header != "first":
+        raise ValueError(f"header must be None, 'each' or 'first', not {header!r}")
+    files = spark.read.format("binaryFile").load(paths)  # only names are read
+    first = files.agg(F.min("path")).first()[0]
+    if first is None:
+        return reader.text(paths)
+    rest = reader.text(paths).where(F.col("_metadata.file_path") != F.lit(first)).where(F.trim("value") != "")
+    return _body_lines(spark, [first], line_sep).unionByName(rest)
+
+
+def _body_lines(spark: SparkSession, paths: Sequence[str], line_sep: str | None) -> DataFrame:
+    reader = spark.read.schema("value STRING").option("header", True).option("enforceSchema", True).option("sep", _NO_SEPARATOR).option("quote", "").option("maxCharsPerColumn", -1)
+    if line_sep is not None:
+        reader = reader.option("lineSep", line_sep)
+    return reader.csv(list(paths))
 
 
 def lines_from_columns(df: DataFrame, columns: Sequence[str | Column], sep: str, name: str = "value") -> DataFrame:
@@ -51,7 +80,10 @@ def parse_delimited(
     filter through a projection by substituting the projected expression into
     every reference, which would split each line once per referenced field;
     a filter on generator output stays above it, so every line is split once.
+    A frame that already has ``out`` is returned as it is.
     """
+    if out in lines.columns:  # split by an earlier step of the same job
+        return lines
     delimiter = LAYOUTS.get(layout, layout)
     return with_columns_once(lines, {out: split_fields(F.col(column), delimiter, keep_trailing_empty)})
 
@@ -92,31 +124,6 @@ def fixed_width(
     return with_columns_once(df, cut).drop("_record")
 
 
-def union_sources(*frames: DataFrame) -> DataFrame:
-    """Union of several sources already projected to one schema (by name)."""
-    if not frames:
-        raise ValueError("need at least one source")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def skip_header(lines: DataFrame, header: str | None = None, column: str = "value") -> DataFrame:
-    """Drop the header line.
-
-    With ``header=None`` the header is the first line of the scan (one row
-    fetched). Every line equal to it is dropped, so a directory whose files
-    each begin with the same header is handled in one narrow filter.
-    """
-    if header is None:
-        first = lines.select(column).first()
-        if first is None:
-            return lines
-        header = first[0]
-    return lines.where(F.col(column) != F.lit(header))
-
-
 def redelimit(lines: DataFrame, out_sep: str = "\t", column: str = "value") -> DataFrame:
     """Rebuild each line with ``out_sep`` between its blank-separated fields.
 

@@ -13,7 +13,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from statforge.session import checkpoint_dir, get_session
 
-    s = get_session("local[4]", app_name="statforge-tests", shuffle_partitions=4)
+    shared = tempfile.mkdtemp(prefix="statforge-tests-")
+    conf = {"spark.checkpoint.dir": f"file://{shared}/checkpoints", "spark.sql.warehouse.dir": f"file://{shared}/warehouse"}
+    s = get_session("local[4]", app_name="statforge-tests", shuffle_partitions=4, extra=conf)
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s

@@ -63,7 +63,7 @@ def test_clustering_jobs(spark, workdir, capsys):
     cent = _write(os.path.join(workdir, "cent"), "0 0\n10 10\n")
     variables = _write(os.path.join(workdir, "vars"), "1 2 \n")
     main(["kmeans", data, cent, variables, os.path.join(workdir, "mom"), "20", os.path.join(workdir, "fit")], spark=spark)
-    assert "converge" in capsys.readouterr().out
+    assert "after iteration" in capsys.readouterr().out
     assert len(_read(os.path.join(workdir, "fit"))) == 2
     main(["assign", data, os.path.join(workdir, "fit"), variables, os.path.join(workdir, "mom"), os.path.join(workdir, "asg")], spark=spark)
     got = dict(line.split("\t", 1)[::-1] for line in _read(os.path.join(workdir, "asg")))
@@ -79,3 +79,27 @@ def test_cluster_job(spark, workdir):
     assert len(_read(os.path.join(workdir, "mom"))) == 2
     assert len(_read(os.path.join(workdir, "out", "centroids"))) == 2
     assert len(_read(os.path.join(workdir, "out", "assigned"))) == 40
+
+
+def test_cluster_job_on_a_headed_file_with_chosen_columns_and_given_moments(spark, workdir):
+    body = ["\t".join([f"r{i}", str(i % 5 + (30 if i % 2 else 0)), str(i % 3), "text"]) for i in range(40)]
+    data = _write(os.path.join(workdir, "headed.tsv"), "\n".join(["id\ta\tb\tc", *body]) + "\n")
+    out, mom = os.path.join(workdir, "out"), os.path.join(workdir, "mom")
+    main(["cluster", data, "2", "10", mom, out, "--header", "--vars", "2,3"], spark=spark)
+    assert len(_read(os.path.join(out, "assigned"))) == 40
+    assert _read(mom)[0].split("\t")[0] == "NaN"
+    again = os.path.join(workdir, "again")
+    main(["cluster", data, "2", "10", mom, again, "--header", "--vars", "2,3", "--given-moments"], spark=spark)
+    assert sorted(_read(os.path.join(again, "assigned"))) == sorted(_read(os.path.join(out, "assigned")))
+
+
+def test_jobs_that_prepare_the_clustering(spark, workdir):
+    raw = _write(os.path.join(workdir, "raw.txt"), " a  1 2  \n b 3   4\n c 5 6\n")
+    tabs, cut = os.path.join(workdir, "tabs"), os.path.join(workdir, "cut")
+    main(["redelimit", raw, tabs], spark=spark)
+    assert sorted(_read(tabs)) == ["a\t1\t2", "b\t3\t4", "c\t5\t6"]
+    main(["cut", tabs, "1,3", cut], spark=spark)
+    assert sorted(_read(cut)) == ["a\t2", "b\t4", "c\t6"]
+    variables, start = _write(os.path.join(workdir, "v"), "1 2\n"), os.path.join(workdir, "start")
+    main(["sample", tabs, "2", variables, start], spark=spark)
+    assert len(_read(start)) == 2 and set(_read(start)) <= {"1.0\t2.0", "3.0\t4.0", "5.0\t6.0"}

@@ -20,7 +20,6 @@ from statforge.sources import (
     read_moments,
     read_variables,
     redelimit,
-    skip_header,
 )
 from statforge.sources.text import cut_fields
 from statforge.functions.parse import split_fields
@@ -45,10 +44,10 @@ def test_read_plain_and_gzip(spark, workdir):
 
 
 def test_parameter_files(spark, workdir):
-    cpath = _write(os.path.join(workdir, "centroids"), "26.0285 26.5547 \n34.3725  25.4659\t\n")
-    assert centroids_to_list(read_centroids(spark, cpath)) == [[26.0285, 26.5547], [34.3725, 25.4659]]
-    vpath = _write(os.path.join(workdir, "vars"), "20 23 25 \n")
-    assert read_variables(spark, vpath) == [20, 23, 25]
+    cpath = _write(os.path.join(workdir, "centroids"), "1.25 -7.5 \n0.75  12.125\t\n")
+    assert centroids_to_list(read_centroids(spark, cpath)) == [[1.25, -7.5], [0.75, 12.125]]
+    vpath = _write(os.path.join(workdir, "vars"), "3 8 11 \n")
+    assert read_variables(spark, vpath) == [3, 8, 11]
     mpath = _write(os.path.join(workdir, "moments"), "1.5\tNaN\t2.0\n0.5\tNaN\t1.0\n")
     means, stds = moments_to_lists(read_moments(spark, mpath))
     assert means[0] == 1.5 and math.isnan(means[1]) and stds[2] == 1.0
@@ -69,10 +68,10 @@ def test_moments_and_centroid_files_round_trip(spark, workdir):
     back = {r["col_idx"]: r["mean"] for r in read_moments(spark, mpath).collect()}
     assert back[0] == 2.0 and math.isnan(back[1])
     cpath = os.path.join(workdir, "cent")
-    sinks.write_centroids(centroids_frame(spark, [[1.4995460878249698e9, 5.375085555857782e-05], [1.0, -2.5]]), cpath)
-    assert centroids_to_list(read_centroids(spark, cpath)) == [[1.4995460878249698e9, 5.375085555857782e-05], [1.0, -2.5]]
+    sinks.write_centroids(centroids_frame(spark, [[2.0000000000000004e9, 7.000000000000001e-05], [1.0, -2.5]]), cpath)
+    assert centroids_to_list(read_centroids(spark, cpath)) == [[2.0000000000000004e9, 7.000000000000001e-05], [1.0, -2.5]]
     part = [f for f in os.listdir(cpath) if f.startswith("part-")]
-    assert open(os.path.join(cpath, part[0])).read() == "1.4995460878249698E9\t5.375085555857782E-5\n1.0\t-2.5\n"
+    assert open(os.path.join(cpath, part[0])).read() == "2.0000000000000005E9\t7.000000000000001E-5\n1.0\t-2.5\n"
 
 
 def test_key_value_sink_and_modes(spark, workdir):
@@ -85,22 +84,33 @@ def test_key_value_sink_and_modes(spark, workdir):
     sinks.write_lines(sinks.key_value_lines(df, "k", "v"), path, mode="overwrite")
 
 
-def test_header_skip_redelimit_cut(spark):
-    df = lines(spark, ["h1\th2", "1\t2", "h1\th2", "3\t4"])
-    assert [r["value"] for r in skip_header(df).collect()] == ["1\t2", "3\t4"]
+def test_redelimit_cut(spark):
     red = redelimit(lines(spark, ["  0  1   2 ", "", "   ", "a\tb"]))
     assert [r["value"] for r in red.collect()] == ["0\t1\t2", "a\tb"]
     cut = lines(spark, ["a\tb\tc\td"]).select(cut_fields(split_fields(F.col("value"), "\t"), [1, 3, 9]).alias("c"))
     assert cut.first()["c"] == "a\tc"
 
 
-def test_spread_only_when_too_few_partitions(spark):
-    from statforge.sources import spread
-
-    few = spark.range(100).coalesce(1)
-    assert spread(few, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(8)
-    assert spread(many, 4) is many
+def test_header_is_left_out_by_position(spark, workdir):
+    # the larger file is scanned first and has no header of its own name
+    d = os.path.join(workdir, "headed")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.txt"), "name\tv\nx\t1\nname\tv\n")
+    _write(os.path.join(d, "b.txt"), "y\t2\n" * 2 + "".join(f"z{i}\t{i}\n" for i in range(50)))
+    every = sorted(r["value"] for r in read_lines(spark, d, header="each").collect())
+    assert every == sorted(["x\t1", "name\tv", "y\t2", *[f"z{i}\t{i}" for i in range(50)]])
+    first = sorted(r["value"] for r in read_lines(spark, d, header="first").collect())
+    assert first == sorted(["x\t1", "name\tv", "y\t2", "y\t2", *[f"z{i}\t{i}" for i in range(50)]])
+    odd = _write(os.path.join(workdir, "odd.txt"), 'h"ead,x\n"quoted, \\ line\n  padded  \n#no comment\n')
+    assert [r["value"] for r in read_lines(spark, odd, header="each").collect()] == ['"quoted, \\ line', "  padded  ", "#no comment"]
+
+
+def test_moments_keep_their_columns(spark, workdir):
+    mom = jobs.column_moments(lines(spark, ["9\t1\t9\t3", "9\t3\t9\t5"]), columns=[1, 3])
+    path = os.path.join(workdir, "some")
+    sinks.write_moments(mom, path)
+    means, stds = moments_to_lists(read_moments(spark, path))
+    assert math.isnan(means[0]) and means[1] == 2.0 and math.isnan(means[2]) and means[3] == 4.0 and stds[3] == 1.0
 
 
 def test_parameter_directory_of_part_files(spark, workdir):

@@ -190,3 +190,20 @@ def test_large_volumes_do_not_wrap(spark):
     assert got == {"1999 | nu": (2000000000 * 2 + 2147483647) / 3}
     sd = jobs.ngram_volume_stddev(lines(spark, uni), lines(spark, bi)).first()["stddev"]
     assert sd == pytest.approx(np.std([2000000000, 2000000000, 2147483647, 4000000000]), rel=1e-12)
+
+
+def test_short_records_that_match_nothing_are_not_read(spark):
+    uni, bi = lines(spark, ["foo", "nub 1999 1 10"]), lines(spark, ["the nut 1999 1 20"])
+    got = {r["tag_key"]: r["mean_volumes"] for r in jobs.ngram_substring_mean(uni, bi, ["nu"]).collect()}
+    assert got == {"1999 | nu": 15.0}
+    with pytest.raises(Exception, match="record has no field 1"):
+        jobs.ngram_substring_mean(lines(spark, ["nub"]), bi, ["nu"]).collect()
+
+
+def test_dropped_records_leave_no_shortened_keys(spark):
+    recs = ["k1,k2,1.0,false", "k1,2.0,false", "k1,k2,3.0,false"]
+    out = jobs.flag_group_mean(lines(spark, recs), value_index=2, key_indices=(0, 1, 3), on_bad="drop").collect()
+    assert [(r["group_key"], r["mean_value"]) for r in out] == [("k1, k2, false", 2.0)]
+    # a record too short for its key fails even if its flag would have dropped it
+    with pytest.raises(Exception, match="record has no field"):
+        jobs.flag_group_mean(lines(spark, ["k1,true"]), value_index=1, key_indices=(0, 5)).collect()

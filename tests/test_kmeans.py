@@ -60,7 +60,7 @@ def test_standardised_fit_matches_numpy(spark):
     c, it, conv = lloyd(z, zs, 20, 0.01, "squared_shift")
     assert res.iterations == it and res.converged == conv
     np.testing.assert_allclose(res.centers, c, rtol=1e-9, atol=1e-9)
-    assert "iterations to converge" in res.report()
+    assert f"after iteration {it}" in res.report() and "0 rows left out" in res.report()
 
 
 def test_tie_goes_to_lowest_index(spark):
@@ -89,7 +89,21 @@ def test_short_vector_goes_to_minus_one_and_is_left_out_of_fit(spark):
     out = {r["value"]: r["cluster"] for r in jobs.assign_clusters(lines(spark, recs), [[1.0, 1.0], [2.0, 2.0]], [0, 1]).collect()}
     assert out == {"1\t1": 0, "1": -1, "2\t2": 1}
     res = jobs.kmeans_raw(lines(spark, recs), [[1.0, 1.0], [2.0, 2.0]], [0, 1], delimiter="\t")
-    assert sum(res.sizes) == 2
+    assert sum(res.sizes) == 2 and res.left_out == 1
+
+
+def test_non_finite_rows_are_left_out_and_counted(spark):
+    recs = ["0 0", "0 1", "Infinity 1", "NaN 2", "10 -Infinity", "10 10", "10 11"]
+    res = jobs.kmeans_raw(lines(spark, recs), [[0.0, 0.0], [10.0, 10.0]], [0, 1], max_iter=5)
+    assert res.left_out == 3 and res.sizes == [2, 2]
+    assert res.centers == [[0.0, 0.5], [10.0, 10.5]]
+
+
+def test_forty_centroids_of_sixty_fields(spark):
+    recs = [" ".join(str((i * 31 + j * 17) % 101) for j in range(60)) for i in range(200)]
+    start = [[float((i * 31 + j * 17) % 101) for j in range(60)] for i in range(40)]
+    res = jobs.kmeans_raw(lines(spark, recs), start, list(range(60)), max_iter=2)
+    assert sum(res.sizes) == 200
 
 
 def test_nan_vector_assigned_to_zero(spark):
@@ -133,11 +147,11 @@ def test_clustering_end_to_end(spark):
     assert res.fit.iterations == it
 
 
-def test_clustering_header_and_given_moments(spark):
+def test_clustering_given_moments(spark):
     pts = _blobs(seed=9)
-    recs = ["name\ta\tb\tc"] + ["\t".join(["r"] + [f"{x}" for x in p]) for p in pts]
-    full = jobs.column_moments(lines(spark, recs[1:]))
-    res = run_clustering(lines(spark, recs), k=3, max_iter=5, variables=[1, 2, 3], header=True, moments=full)
+    recs = ["\t".join(["r"] + [f"{x}" for x in p]) for p in pts]
+    full = jobs.column_moments(lines(spark, recs))
+    res = run_clustering(lines(spark, recs), k=3, max_iter=5, variables=[1, 2, 3], moments=full)
     assert res.assignments.count() == len(pts)
     assert res.assignments.where("cluster < 0").count() == 0
 

@@ -14,7 +14,7 @@ def _plan(df) -> str:
 
 
 def test_map_only_jobs_have_no_exchange(spark):
-    li = spark.read.parquet(f"{SF}/lineitem.parquet")  # one partition: no spread exchange either
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
     from statforge.sources.text import lines_from_columns
 
     text = lines_from_columns(li, tables.LINEITEM_COLUMNS, "\t")
@@ -70,3 +70,19 @@ def test_reducer_output_sorted_without_extra_exchange(spark):
     assert "Sort [tag_key" in plan
     parts = out.rdd.glom().map(lambda rs: [r["tag_key"] for r in rs]).collect()
     assert all(p == sorted(p) for p in parts)
+
+
+def test_registered_map_only_queries_do_not_shuffle_their_input(spark):
+    from statforge.plans.queries import QUERIES
+
+    for name in ("year_range_project", "row_subset", "standardise", "cluster_assign"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert "RoundRobinPartitioning" not in plan and "Exchange" not in plan, name
+
+
+def test_each_line_is_split_once(spark):
+    from statforge.plans.queries import QUERIES
+
+    for name in ("header_skip", "text_roundtrip", "standardise", "cluster_assign", "row_subset", "csv_flag_mean"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1, name

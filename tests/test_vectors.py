@@ -1,24 +1,27 @@
-"""Vector expressions: exact literals, ties, NaN."""
+"""Nearest centroid: ties, NaN, infinities, widths."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
-from statforge.functions.vectors import _double_sql, nearest_centroid_array, nearest_centroid_sql
+from statforge.functions.vectors import nearest_centroid_array
+
+
+def _nearest(spark, points, centers):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "i INT, v ARRAY<DOUBLE>")
+    rows = df.select("i", nearest_centroid_array(F.col("v"), centers).alias("c")).collect()
+    return [c for _, c in sorted(tuple(r) for r in rows)]
+
+
+def test_ties_and_nan_go_to_the_lowest_index(spark):
+    pts = [[0.0, 0.0], [1.0, 0.0], [5.0, 5.0], [float("nan"), 1.0], [2.6, 2.4]]
+    assert _nearest(spark, pts, [[0.0, 0.0], [2.0, 0.0], [5.0, 5.0]]) == [0, 0, 2, 0, 1]
 
 
-def test_double_sql_round_trips(spark):
-    vals = [0.30000000000000004, -1e-05, 1e20, 5e-324, -2.5, 1.4995460878249698e9, 123456789.12345679]
-    row = spark.range(1).select(*[F.expr(_double_sql(v)).alias(f"v{i}") for i, v in enumerate(vals)]).first()
-    assert [row[f"v{i}"] for i in range(len(vals))] == vals
+def test_infinite_centroid_is_a_literal_like_others(spark):
+    assert _nearest(spark, [[1.0, 1.0]], [[float("inf"), 0.0], [2.0, 2.0]]) == [1]
 
 
-def test_sql_and_array_forms_agree(spark):
-    pts = [(0.0, 0.0), (1.0, 0.0), (5.0, 5.0), (float("nan"), 1.0), (2.6, 2.4)]
-    centers = [[0.0, 0.0], [2.0, 0.0], [5.0, 5.0]]
-    df = spark.createDataFrame(pts, "a DOUBLE, b DOUBLE").withColumn("v", F.array("a", "b"))
-    got = df.select(nearest_centroid_sql(["a", "b"], centers).alias("s"), nearest_centroid_array(F.col("v"), centers).alias("r")).collect()
-    assert [r["s"] for r in got] == [r["r"] for r in got] == [0, 0, 2, 0, 1]
-    assert not math.isnan(centers[0][0])
+def test_many_wide_centroids(spark):
+    centers = [[float(k)] * 60 for k in range(40)]
+    assert _nearest(spark, [[7.2] * 60, [38.9] * 60], centers) == [7, 39]
