@@ -188,16 +188,16 @@ def redacted(docs: DataFrame) -> DataFrame:
     Spans that overlap are replaced as one, under the name of the first of them.
     """
     columns = tuple(docs.columns)
-    rows = find_personal_data(docs, columns).select("spans", "row.*")
+    rows = find_personal_data(docs, columns).select(F.col("spans").alias("_spans_found"), "row.*")
     text = F.expr("""
         aggregate(
-          array_sort(transform(spans, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind))),
+          array_sort(transform(_spans_found, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind))),
           named_struct('at', 0L, 'out', ''),
           (a, s) -> named_struct(
             'at', greatest(a.at, s.end),
             'out', if(s.start >= a.at, concat(a.out, substring(text, cast(a.at + 1 AS int), cast(s.start - a.at AS int)), '<', upper(s.kind), '>'), a.out)),
           a -> concat(a.out, substring(text, cast(a.at + 1 AS int))))""")
-    clean = F.when(F.size("spans") > 0, text).otherwise(F.col("text"))
+    clean = F.when(F.size("_spans_found") > 0, text).otherwise(F.col("text"))
     new = {"text": clean, "n_chars": F.length(F.coalesce(clean, F.lit(""))).cast("long")}
     return rows.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
 

@@ -80,14 +80,15 @@ def _automaton():
 def _hex_runs(text: str) -> Iterator[tuple[int, int]]:
     done = 0
     for hit in _GRID_HEX.finditer(text[GRID - 1 :: GRID]):
-        start = GRID - 1 + hit.start() * GRID
-        if start < done:
-            continue
-        while start > 0 and text[start - 1] in "0123456789abcdef":
-            start -= 1
-        done = _HEX.match(text, start).end()
-        if done - start >= MIN_HEX:
-            yield start, done
+        # points of several runs may stand side by side on the grid
+        for start in range(GRID - 1 + hit.start() * GRID, GRID - 1 + hit.end() * GRID, GRID):
+            if start < done:
+                continue
+            while start > 0 and text[start - 1] in "0123456789abcdef":
+                start -= 1
+            done = _HEX.match(text, start).end()
+            if done - start >= MIN_HEX:
+                yield start, done
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:

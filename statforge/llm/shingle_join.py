@@ -10,22 +10,25 @@ similarity reaches ``PERCENT``. The work goes in steps, each a Spark job:
    the corpus last (their frequency comes from a fixed-size sketch of all shingles),
    so a passage that many texts hold seldom deals them together. Shingles shared by
    the very same classes deal them once.
-3. *Search.* The shingles of a set are hashed into groups, a power of two of them
-   that gives large sets two to four each; the group counts are a point. In each bucket the
-   points of one width are packed into an R-tree, those of twice the width that are
-   small enough to link folded into it. The overlap of two sets is at most the sum
-   over the groups of the smaller count, and for a node at most that with its box's
-   upper corner, so boxes and points that cannot reach the similarity are passed over.
+3. *Search.* The shingles of a set are hashed into groups; the group counts are a
+   point. In each bucket the points of one width are packed into an R-tree, those of
+   twice the width that are small enough to link folded into it. The overlap of two
+   sets is at most the sum over the groups of the smaller count, and for a node at
+   most that with its box's upper corner, so boxes and points that cannot reach the
+   similarity are passed over. Points travel as the fine codes they are counted
+   from (some 32 to 64 values a shingle, about a byte each); what survives the tree
+   is bounded again by the counts of these codes, which come close to the overlap.
 4. *Verification.* Surviving pairs are checked on their shingle sets.
 
-The search runs twice. First every point looks for one partner before it in the
-tree's order; the verified links join most classes into components. Then buckets
-that still hold several components are searched again for all pairs across them.
-After that no two sets of different components can link, and pairs within one
-component need no more work; so a group of near copies costs about its size, not
-its square. A bucket of more than ``BLOCK`` classes is dealt over several tasks:
-in the first search one class stands in all of its blocks, in the second all
-classes outside its largest component do, so every pair across still meets.
+The search runs twice. First every class looks in each bucket for one partner that
+comes before it (by size, then name) and keeps the best; the verified links join
+most classes into components. Then buckets that still hold several components are
+searched again for all pairs across them. After that no two sets of different
+components can link, and pairs within one component need no more work; so a group
+of near copies costs about its size, not its square. A bucket of more than ``BLOCK``
+classes is dealt over several tasks: in the first search one class stands in all of
+its blocks, in the second all classes outside its largest component do, so every
+pair across still meets.
 
 A null text, or one without words, has no shingles, links with nothing and is its
 own component. A text of fewer than five words is one shingle. Repeated rows share
@@ -48,6 +51,8 @@ from statforge.llm.common import materialise, mix, shingle_set, summed_chunks, t
 PERCENT = 75
 #: Least and most coordinates of a point, and shingles that a coordinate stands for.
 LEAST_GROUPS, MOST_GROUPS, LOAD = 128, 8192, 2
+#: Fine codes are drawn from 32 to 64 values a shingle.
+FINE = 32
 #: Counters of the frequency sketch, and rows it is shipped in.
 SKETCH_BITS, SKETCH_CHUNKS = 18, 64
 #: Classes of one bucket that one task holds.
@@ -57,6 +62,7 @@ LEAF, FANOUT = 32, 16
 
 DOCS = "doc_id long, n long, sig long, point binary, chunk int, counts binary"
 PAIR = "a long, b long"
+CANDIDATE = "own long, other long, likely double"
 
 
 # --------------------------------------------------------------------------- sets and points
@@ -72,18 +78,31 @@ def groups_of(n: int) -> int:
     return min(max(1 << (max(n // LOAD, 1).bit_length() - 1), LEAST_GROUPS), MOST_GROUPS)
 
 
-def point_of(s: np.ndarray) -> np.ndarray:
-    """Group counts of a set."""
-    width = groups_of(len(s))
-    counts = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width)
-    # a counter too small for its count would bound too much away; full ones bound nothing
-    return counts.astype(np.uint16) if counts.max(initial=0) < 65536 else np.full(width, 65535, np.uint16)
+def code_bits(n: int) -> int:
+    """Width of the fine codes of a set of ``n``."""
+    return max((FINE * n).bit_length(), 14)
+
+
+def packed_codes(s: np.ndarray) -> bytes:
+    """The sorted fine codes of a set (leading bits of its shingles) as gaps of a byte; 255 carries on."""
+    codes = (s >> np.uint64(64 - code_bits(len(s)))).astype(np.int64)
+    gaps = np.diff(codes, prepend=0)
+    ends = np.cumsum(gaps // 255 + 1)
+    out = np.full(ends[-1] if len(ends) else 0, 255, dtype=np.uint8)
+    out[ends - 1] = gaps % 255
+    return out.tobytes()
 
 
-def folded(point: np.ndarray) -> np.ndarray:
-    """A point in half as many groups."""
-    half = len(point) // 2
-    return np.minimum(point[:half].astype(np.int64) + point[half:], 65535).astype(np.uint16)
+def unpacked(raw) -> np.ndarray:
+    gaps = np.frombuffer(raw, np.uint8)
+    return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
+
+
+def point_of(codes: np.ndarray, bits: int, width: int) -> np.ndarray:
+    """Group counts: codes folded into ``width`` groups by their leading bits."""
+    counts = np.bincount(codes >> (bits - (width.bit_length() - 1)), minlength=width)
+    # a counter too small for its count would bound too much away; full ones bound nothing
+    return counts.astype(np.uint16) if counts.max(initial=0) < 65536 else np.full(width, 65535, np.uint16)
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -103,22 +122,23 @@ def batch_sets(column: pa.Array) -> Iterator[np.ndarray]:
 
 # --------------------------------------------------------------------------- R-tree
 class CountTree:
-    """A packed R-tree over count points, in an order that keeps like points together."""
+    """A packed R-tree over count points, in an order that keeps like points together.
+
+    ``rank`` orders the points; searches look only at points of lower rank.
+    """
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, percent: int = PERCENT):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, percent: int = PERCENT):
         self.percent = percent
         self.order = self._pack(points, sizes)
-        self.points = points[self.order]
+        self.points, self.rank = points[self.order], rank[self.order]
         self.sizes = sizes[self.order].astype(np.int64)
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         starts = np.arange(0, len(points), LEAF)
-        high, least, most = np.maximum.reduceat(self.points, starts), np.minimum.reduceat(self.sizes, starts), np.maximum.reduceat(self.sizes, starts)
-        self.levels.append((starts, high, least, most))
-        while len(starts) > FANOUT:
-            group = np.arange(0, len(starts), FANOUT)
-            starts, high = starts[group], np.maximum.reduceat(high, group)
-            least, most = np.minimum.reduceat(least, group), np.maximum.reduceat(most, group)
-            self.levels.append((starts, high, least, most))
+        level = [np.maximum.reduceat(self.points, starts), np.minimum.reduceat(self.sizes, starts), np.maximum.reduceat(self.sizes, starts), np.minimum.reduceat(self.rank, starts)]
+        self.levels = [level]
+        while len(level[1]) > FANOUT:
+            group = np.arange(0, len(level[1]), FANOUT)
+            level = [f.reduceat(x, group) for f, x in zip((np.maximum, np.minimum, np.maximum, np.minimum), level, strict=True)]
+            self.levels.append(level)
 
     @staticmethod
     def _pack(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -140,99 +160,97 @@ class CountTree:
                 stack += [ranked[half:], ranked[:half]]
         return np.concatenate(out)
 
-    def _open(self, nodes: np.ndarray, level: int, q: np.ndarray, size: int, before: int) -> tuple[np.ndarray, np.ndarray]:
-        """The nodes that may hold a partner before a place, and their bounds."""
-        starts, high, least, most = self.levels[level]
-        nodes = nodes[(starts[nodes] < before) & (100 * most[nodes] >= self.percent * size) & (self.percent * least[nodes] <= 100 * size)]
-        bound = np.minimum(high[nodes], q).sum(axis=1, dtype=np.int64)
+    def _open(self, nodes: np.ndarray, level: int, place: int) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes that may hold a partner of lower rank, and their bounds."""
+        high, least, most, first = self.levels[level]
+        size = self.sizes[place]
+        nodes = nodes[(first[nodes] < self.rank[place]) & (100 * most[nodes] >= self.percent * size) & (self.percent * least[nodes] <= 100 * size)]
+        bound = np.minimum(high[nodes], self.points[place]).sum(axis=1, dtype=np.int64)
         keep = (100 + self.percent) * bound >= needed(size, least[nodes], self.percent)
         return nodes[keep], bound[keep]
 
-    def _leaf(self, node: int, q: np.ndarray, size: int, before: int) -> tuple[np.ndarray, np.ndarray]:
-        at = self.levels[0][0][node]
-        places = np.arange(at, min(at + LEAF, before))
-        bound = np.minimum(self.points[places], q).sum(axis=1, dtype=np.int64)
-        keep = (100 + self.percent) * bound >= needed(size, self.sizes[places], self.percent)
-        return places[keep], bound[keep]
+    def _leaf(self, node: int, place: int) -> np.ndarray:
+        places = np.arange(node * LEAF, min(node * LEAF + LEAF, len(self.sizes)))
+        places = places[self.rank[places] < self.rank[place]]
+        bound = np.minimum(self.points[places], self.points[place]).sum(axis=1, dtype=np.int64)
+        return places[(100 + self.percent) * bound >= needed(self.sizes[place], self.sizes[places], self.percent)]
 
     def _children(self, nodes: np.ndarray, level: int) -> np.ndarray:
         kids = (nodes[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-        return kids[kids < len(self.levels[level - 1][0])]
+        return kids[kids < len(self.levels[level - 1][1])]
 
-    def one_before(self, place: int) -> int:
-        """A partner of likely high overlap before a place, or -1: best boxes first."""
-        q, size = self.points[place], int(self.sizes[place])
+    def leaves(self, place: int) -> Iterator[np.ndarray]:
+        """Leaf by leaf, best boxes first, the places of lower rank whose bound reaches the similarity."""
         top = len(self.levels) - 1
-        stack = [(top, np.arange(len(self.levels[top][0])))]
+        stack = [(top, np.arange(len(self.levels[top][1])))]
         while stack:
             level, nodes = stack.pop()
-            nodes, bound = self._open(nodes, level, q, size, place)
+            nodes, bound = self._open(nodes, level, place)
             nodes = nodes[np.argsort(bound, kind="stable")]
             if level:
                 stack += [(level - 1, self._children(nodes[k : k + 1], level)) for k in range(len(nodes))]
                 continue
             for node in nodes[::-1]:
-                places, bounds = self._leaf(int(node), q, size, place)
+                places = self._leaf(int(node), place)
                 if len(places):
-                    # overlap as a share of the joined size, largest first
-                    return int(places[np.argmax(bounds / (size + self.sizes[places]))])
-        return -1
-
-    def all_before(self, place: int) -> np.ndarray:
-        """All places before a place whose bound reaches the similarity."""
-        q, size = self.points[place], int(self.sizes[place])
-        level = len(self.levels) - 1
-        nodes, _ = self._open(np.arange(len(self.levels[level][0])), level, q, size, place)
-        while level:
-            nodes, _ = self._open(self._children(nodes, level), level - 1, q, size, place)
-            level -= 1
-        found = [self._leaf(int(k), q, size, place)[0] for k in nodes]
-        return np.concatenate(found) if found else np.zeros(0, np.int64)
-
-
-def _tree_pairs(sizes: np.ndarray, points: np.ndarray, part: np.ndarray | None, percent: int) -> Iterator[tuple[int, int]]:
-    """Candidate pairs (as row numbers) of points of one width."""
-    if len(sizes) <= LEAF:  # a single leaf
-        order = np.argsort(sizes, kind="stable")
-        p, n = points[order], sizes[order]
-        for i in range(1, len(order)):
-            bound = np.minimum(p[:i], p[i]).sum(axis=1, dtype=np.int64)
-            hit = np.flatnonzero((100 + percent) * bound >= needed(n[:i], n[i], percent))
-            if part is not None:
-                hit = hit[part[order[hit]] != part[order[i]]]
-            elif len(hit) > 1:
-                hit = hit[[np.argmax(bound[hit] / (n[hit] + n[i]))]]
-            yield from ((int(order[k]), int(order[i])) for k in hit)
-        return
-    tree = CountTree(points, sizes, percent)
-    for place in range(1, len(sizes)):
-        if part is None:
-            other = tree.one_before(place)
-            if other >= 0:
-                yield int(tree.order[other]), int(tree.order[place])
+                    yield places
+
+
+def _closer(codes: list[np.ndarray], bits: int, own: int, others: np.ndarray) -> np.ndarray:
+    """Bound of the overlap from the fine codes: how many of each other set's codes the own set has."""
+    mark = np.zeros(1 << bits, dtype=bool)
+    mark[codes[own]] = True
+    parts = [codes[k] for k in others]
+    starts = np.cumsum([0, *map(len, parts[:-1])])
+    return np.add.reduceat(mark[np.concatenate(parts)], starts, dtype=np.int64)
+
+
+def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray | None, percent: int) -> Iterator[tuple[int, int, float]]:
+    """``(row, row of a partner, bounded similarity)`` of sets whose codes have one width."""
+    rank = np.empty(len(sizes), dtype=np.int64)
+    rank[np.lexsort((sig, sizes))] = np.arange(len(sizes))
+    width = groups_of(int(sizes.min()))
+    tree = CountTree(np.stack([point_of(c, bits, width) for c in codes]), sizes, rank, percent) if len(sizes) > 2 else None
+    for place in range(len(sizes)):
+        if tree is None:
+            own, found = place, [np.flatnonzero(rank < rank[place])]
         else:
-            for other in tree.all_before(place):
-                if part[tree.order[other]] != part[tree.order[place]]:
-                    yield int(tree.order[other]), int(tree.order[place])
+            own, found = int(tree.order[place]), (tree.order[p] for p in tree.leaves(place))
+        for others in found:
+            if part is not None:
+                others = others[part[others] != part[own]]
+            if not len(others):
+                continue
+            bound = np.minimum(_closer(codes, bits, own, others), sizes[own])
+            near = (100 + percent) * bound >= needed(sizes[own], sizes[others], percent)
+            likely = bound[near] / (sizes[own] + sizes[others[near]] - bound[near])
+            if not len(likely):
+                continue
+            if part is None:  # one partner is enough
+                best = int(np.argmax(likely))
+                yield own, int(others[near][best]), float(likely[best])
+                break
+            yield from ((own, int(o), float(x)) for o, x in zip(others[near], likely, strict=True))
 
 
-def search_bucket(sig: np.ndarray, sizes: np.ndarray, points: list[np.ndarray], part: np.ndarray | None, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
-    """Candidate pairs of one bucket: one partner each, or (given components) all pairs across them.
+def search_bucket(sig: np.ndarray, sizes: np.ndarray, packed: list, part: np.ndarray | None, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
+    """Candidates of one bucket (class, partner, bounded similarity): one partner for
+    each class, or (given components) all pairs across them.
 
-    Linked sets differ in size by a third at most, so their points are of equal width
-    or one is twice as wide; each width's tree takes in the folded points it may need.
+    Linked sets differ in size by a third at most, so their codes are of one width or
+    one's are a bit wider; each width's tree takes in the shortened codes it may need.
     """
-    widths = np.array([len(p) for p in points])
-    for width in np.unique(widths):
-        own = np.flatnonzero(widths == width)
-        wider = np.flatnonzero((widths == 2 * width) & (percent * sizes <= 100 * sizes[own].max()))
+    widths = np.array([code_bits(int(n)) for n in sizes])
+    for bits in np.unique(widths):
+        own = np.flatnonzero(widths == bits)
+        wider = np.flatnonzero((widths == bits + 1) & (percent * sizes <= 100 * sizes[own].max()))
         rows = np.concatenate([own, wider])
         if len(rows) < 2:
             continue
-        flat = np.stack([points[i] for i in own] + [folded(points[i]) for i in wider])
-        for i, j in _tree_pairs(sizes[rows], flat, None if part is None else part[rows], percent):
+        codes = [unpacked(packed[i]) for i in own] + [unpacked(packed[i]) >> 1 for i in wider]
+        for i, j, likely in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), None if part is None else part[rows], percent):
             if i < len(own) or j < len(own):  # two wider ones meet in their own tree
-                yield int(sig[rows[i]]), int(sig[rows[j]])
+                yield int(sig[rows[i]]), int(sig[rows[j]]), likely
 
 
 # --------------------------------------------------------------------------- Spark steps
@@ -247,7 +265,7 @@ def described(docs: DataFrame) -> DataFrame:
             for s in batch_sets(b.column(1)):
                 n.append(len(s))
                 sig.append(signature(s))
-                point.append(point_of(s).tobytes())
+                point.append(packed_codes(s))
                 np.add.at(counters, (s >> shift).astype(np.int64), 1)
             k = len(n)
             yield pa.RecordBatch.from_arrays(
@@ -318,18 +336,18 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        found: list[tuple[int, int]] = []
+        found: set[tuple[int, int, float]] = set()
 
         def flush() -> None:
             sig, sizes, part = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5))
             if len(sig) > 1:
-                points = [np.frombuffer(p.as_buffer(), np.uint16) for h in held for p in h[4]]
-                found.extend((min(x), max(x)) for x in search_bucket(sig, sizes, points, part if across else None, percent))
+                packed = [p.as_buffer() for h in held for p in h[4]]
+                found.update(search_bucket(sig, sizes, packed, part if across else None, percent))
 
-        def pairs() -> pa.RecordBatch:
-            a, b = zip(*set(found), strict=True)
+        def candidates() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)]
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays(columns, names=["own", "other", "likely"])
 
         for b in batches:
             if not b.num_rows:
@@ -341,16 +359,16 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
                     flush()
                     held.clear()
                 held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy()))
-            if len(found) >= 10_000:
-                yield pairs()
+            if len(found) >= 50_000:
+                yield candidates()
         if held:
             flush()
         if found:
-            yield pairs()
+            yield candidates()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.select("bucket", "block", "sig", "n", "point", "part").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
-    return dealt.mapInArrow(run, PAIR).dropDuplicates(["a", "b"])
+    return dealt.mapInArrow(run, CANDIDATE)
 
 
 def _blocks(rows: DataFrame, everywhere) -> DataFrame:
@@ -362,9 +380,10 @@ def _blocks(rows: DataFrame, everywhere) -> DataFrame:
 
 
 def first_pairs(buckets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One candidate partner for every class in every bucket."""
+    """The best candidate partner of every class, over all its buckets."""
     rows = _blocks(buckets, F.col("sig") == F.col("least")).join(classes.select("sig", "n", "point"), "sig").withColumn("part", F.lit(0).cast("long"))
-    return _searched(rows, False, percent)
+    best = F.max_by("other", F.struct("likely", "other"))
+    return _searched(rows, False, percent).groupBy(F.col("own").alias("b")).agg(best.alias("a")).select("a", "b")
 
 
 def pairs_across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -379,7 +398,7 @@ def pairs_across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, perc
         .select("bucket", "main")
     )
     rows = _blocks(marked.join(several, "bucket"), F.col("part") != F.col("main")).join(classes.select("sig", "n", "point"), "sig")
-    return _searched(rows, True, percent)
+    return _searched(rows, True, percent).select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
