@@ -72,42 +72,45 @@ def _on(left: DataFrame, right: DataFrame, up: str, node: str):
     return left["tree"].eqNullSafe(right["tree_r"]) & (left[up] == right[node])
 
 
-def doubled(messages: DataFrame) -> list[DataFrame]:
-    """``tree, node, up, depth, total``: the message ``2**k`` above every message, for each round k.
-
-    ``depth`` and ``total`` are the number and the score of the messages from the
-    node up to, not including, ``up``; in the last round ``up`` is null wherever a
-    root is reached. Each round is written, so no round's plan holds the ones before.
+def doubled(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Doubling tables and what they add up to.
+
+    The first result has, for each round ``k``, ``tree, node, up``: the message
+    ``2**k`` above every message that has one. The second has ``tree, node, depth,
+    total``: number and summed score of the messages from the node to its root. A
+    round only joins the messages that do not yet see their root, and is written, so
+    no round's plan holds the ones before.
     """
     size = messages.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     ids = messages.select(F.col("tree").alias("tree_r"), F.col("node").alias("id"))
     own = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("total"))
-    base = own.join(ids, _on(own, ids, "parent", "id"), "left").select("tree", "node", F.col("id").alias("up"), F.lit(1).cast("long").alias("depth"), "total")
-    rounds = [materialise(base, "replies")]
-    while (1 << (len(rounds) - 1)) < size:
-        a = rounds[-1]
-        b = a.select(F.col("tree").alias("tree_r"), F.col("node").alias("id"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("gain"))
-        step = a.join(b, _on(a, b, "up", "id"), "left").select(
+    state = materialise(own.join(ids, _on(own, ids, "parent", "id"), "left").select("tree", "node", F.col("id").alias("up"), F.lit(1).cast("long").alias("depth"), "total"), "replies")
+    levels, done, active = [state], state.where("up IS NULL"), state.where("up IS NOT NULL")
+    while (1 << (len(levels) - 1)) < size and not active.isEmpty():
+        known = done.unionByName(active)
+        b = known.select(F.col("tree").alias("tree_r"), F.col("node").alias("id"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("gain"))
+        step = active.join(b, _on(active, b, "up", "id"), "left").select(
             "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("gain", F.lit(0.0))).alias("total")
         )
-        rounds.append(materialise(step, "replies"))
-    return rounds
+        state = materialise(step, "replies")
+        levels.append(state)
+        done, active = done.unionByName(state.where("up IS NULL")), state.where("up IS NOT NULL")
+    return [x.where("up IS NOT NULL").select("tree", "node", "up") for x in levels], done.select("tree", "node", "depth", "total")
 
 
-def best_branches(rounds: list[DataFrame], top: int = 1) -> DataFrame:
+def best_branches(levels: list[DataFrame], rooted: DataFrame, top: int = 1) -> DataFrame:
     """``tree, leaf, depth, rank``: the ``top`` branches of every tree."""
-    parents = rounds[0].where("up IS NOT NULL").select(F.col("tree").alias("tree_r"), F.col("up").alias("id")).distinct()
-    last = rounds[-1].where("up IS NULL")
-    leaves = last.join(parents, _on(last, parents, "node", "id"), "left_anti")
+    parents = levels[0].select(F.col("tree").alias("tree_r"), F.col("up").alias("id")).distinct()
+    leaves = rooted.join(parents, _on(rooted, parents, "node", "id"), "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc("total"), F.desc("depth"), "node")
     return leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("tree", F.col("node").alias("leaf"), "depth", "rank")
 
 
-def branch_messages(messages: DataFrame, rounds: list[DataFrame], branches: DataFrame) -> DataFrame:
+def branch_messages(messages: DataFrame, levels: list[DataFrame], branches: DataFrame) -> DataFrame:
     """``tree, leaf, place, role, text``: every message of the kept branches, place 1 at the root."""
     path = branches.select("tree", "leaf", F.col("leaf").alias("node"), F.col("depth").alias("place"))
-    for k in reversed(range(len(rounds))):
-        jump = rounds[k].where("up IS NOT NULL").select(F.col("tree").alias("tree_r"), F.col("node").alias("id"), "up")
+    for k in reversed(range(len(levels))):
+        jump = levels[k].select(F.col("tree").alias("tree_r"), F.col("node").alias("id"), "up")
         wide = path.join(jump, _on(path, jump, "node", "id"), "left")
         here = F.struct("node", "place")
         above = F.struct(F.col("up").alias("node"), (F.col("place") - F.lit(1 << k)).alias("place"))
@@ -153,8 +156,8 @@ def learned_text(conversation: Column, loss: Column) -> Column:
 
 def format_trees(messages: DataFrame, top: int = 1) -> DataFrame:
     """The best branches of every tree, formatted."""
-    rounds = doubled(messages)
-    return formatted(branch_messages(messages, rounds, best_branches(rounds, top)))
+    levels, rooted = doubled(messages)
+    return formatted(branch_messages(messages, levels, best_branches(levels, rooted, top)))
 
 
 def digest(output: DataFrame) -> DataFrame:
