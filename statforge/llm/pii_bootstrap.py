@@ -127,7 +127,7 @@ def located(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def mentions(found: DataFrame) -> DataFrame:
     """``rid, value, seed, start, end, before, after``: seeds, and tokens that no base mention touches.
 
-    A token with the form of a base kind but not its checks is marked ``failed``.
+    A token inside a match of a base kind that fails its check is marked ``failed``.
     """
     base = F.concat(*BASE_KINDS)
     touches = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
@@ -136,7 +136,8 @@ def mentions(found: DataFrame) -> DataFrame:
     )
     mark = lambda x, seed, failed: F.struct(seed.alias("seed"), failed.alias("failed"), x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("value"), x["before"].alias("before"), x["after"].alias("after"))
     seeds = F.transform("base", lambda x: mark(x, F.lit(True), F.lit(False)))
-    others = F.transform("token", lambda x: mark(x, F.lit(False), F.exists("failed", lambda f: touches(f, x))))
+    covers = lambda a, b: (a["start"] <= b["start"]) & (b["end"] <= a["end"])
+    others = F.transform("token", lambda x: mark(x, F.lit(False), F.exists("failed", lambda f: covers(f, x))))
     return rows.select("rid", F.explode(F.concat(seeds, others)).alias("x")).select("rid", "x.*")
 
 

@@ -168,7 +168,7 @@ def directory(f, size: int) -> dict[str, tuple[int, int, int]]:
     """``name -> (method, local header offset, packed size)`` from the central directory."""
     tail_at = max(0, size - 22 - 65535)
     tail = _at(f, tail_at, size - tail_at)
-    end = tail.rfind(END_SIG)
+    end = tail.rfind(END_SIG, 0, max(len(tail) - 18, 0))  # the end record has 22 bytes at least
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(END_SIG, 0, end)
     if end < 0:
