@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statforge.llm.common import materialise, mix, shingle_set, summed_chunks, text_buffers, word_hashes
+from statforge.llm.common import materialise, mix, shingle_set, text_buffers, word_hashes
 
 #: Similarity from which two sets link, in percent.
 PERCENT = 75
@@ -53,8 +53,8 @@ PERCENT = 75
 LEAST_GROUPS, MOST_GROUPS, LOAD = 128, 8192, 2
 #: Fine codes are drawn from 32 to 64 values a shingle.
 FINE = 32
-#: Counters of the frequency sketch, and rows it is shipped in.
-SKETCH_BITS, SKETCH_CHUNKS = 18, 64
+#: Counters of the frequency sketch (a byte each from every task), and rows it is shipped in.
+SKETCH_BITS, SKETCH_CHUNKS = 22, 64
 #: Classes of one bucket that one task holds.
 BLOCK = 4096
 #: Points in a leaf, children in a node.
@@ -93,16 +93,21 @@ def packed_codes(s: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def unpacked(raw) -> np.ndarray:
-    gaps = np.frombuffer(raw, np.uint8)
-    return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
+def unpacked(raw: np.ndarray, offsets: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The fine codes of several sets, whose gaps lie one after the other."""
+    total = np.cumsum(raw, dtype=np.int64)
+    base = np.append(0, total)[offsets[:-1]]
+    codes = total[raw != 255] - np.repeat(base, sizes)
+    return np.split(codes, np.cumsum(sizes)[:-1])
 
 
-def point_of(codes: np.ndarray, bits: int, width: int) -> np.ndarray:
-    """Group counts: codes folded into ``width`` groups by their leading bits."""
-    counts = np.bincount(codes >> (bits - (width.bit_length() - 1)), minlength=width)
-    # a counter too small for its count would bound too much away; full ones bound nothing
-    return counts.astype(np.uint16) if counts.max(initial=0) < 65536 else np.full(width, 65535, np.uint16)
+def points_of(codes: list[np.ndarray], bits: int, width: int) -> np.ndarray:
+    """Group counts of several sets: codes folded into ``width`` groups by their leading bits."""
+    place = np.repeat(np.arange(len(codes)) * width, list(map(len, codes)))
+    flat = np.concatenate(codes) >> (bits - (width.bit_length() - 1))
+    counts = np.bincount(place + flat, minlength=len(codes) * width).reshape(len(codes), width)
+    counts[counts.max(axis=1) > 65535] = 65535  # too large for a counter: full ones bound nothing away
+    return counts.astype(np.uint16)
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -205,27 +210,35 @@ def _closer(codes: list[np.ndarray], bits: int, own: int, others: np.ndarray) ->
     return np.add.reduceat(mark[np.concatenate(parts)], starts, dtype=np.int64)
 
 
+def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.ndarray | None, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+    """For each row that has any, the rows of lower rank (of other components) that the tree lets through, leaf by leaf."""
+    if len(sizes) <= LEAF:  # one leaf: all its bounds at once
+        bound = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2, dtype=np.int64)
+        hit = ((100 + percent) * bound >= needed(sizes[:, None], sizes[None, :], percent)) & (rank[None, :] < rank[:, None])
+        if part is not None:
+            hit &= part[:, None] != part[None, :]
+        for own in np.flatnonzero(hit.any(axis=1)):
+            yield int(own), iter([np.flatnonzero(hit[own])])
+        return
+    tree = CountTree(points, sizes, rank, percent)
+    for place in range(len(sizes)):
+        own = int(tree.order[place])
+        found = (tree.order[p] for p in tree.leaves(place))
+        yield own, (x for x in (o if part is None else o[part[o] != part[own]] for o in found) if len(x))
+
+
 def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray | None, percent: int) -> Iterator[tuple[int, int, float]]:
     """``(row, row of a partner, bounded similarity)`` of sets whose codes have one width."""
     rank = np.empty(len(sizes), dtype=np.int64)
     rank[np.lexsort((sig, sizes))] = np.arange(len(sizes))
-    width = groups_of(int(sizes.min()))
-    tree = CountTree(np.stack([point_of(c, bits, width) for c in codes]), sizes, rank, percent) if len(sizes) > 2 else None
-    for place in range(len(sizes)):
-        if tree is None:
-            own, found = place, [np.flatnonzero(rank < rank[place])]
-        else:
-            own, found = int(tree.order[place]), (tree.order[p] for p in tree.leaves(place))
+    points = points_of(codes, bits, groups_of(int(sizes.min())))
+    for own, found in _partners(points, sizes, rank, part, percent):
         for others in found:
-            if part is not None:
-                others = others[part[others] != part[own]]
-            if not len(others):
-                continue
             bound = np.minimum(_closer(codes, bits, own, others), sizes[own])
             near = (100 + percent) * bound >= needed(sizes[own], sizes[others], percent)
-            likely = bound[near] / (sizes[own] + sizes[others[near]] - bound[near])
-            if not len(likely):
+            if not near.any():
                 continue
+            likely = bound[near] / (sizes[own] + sizes[others[near]] - bound[near])
             if part is None:  # one partner is enough
                 best = int(np.argmax(likely))
                 yield own, int(others[near][best]), float(likely[best])
@@ -233,21 +246,21 @@ def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bit
             yield from ((own, int(o), float(x)) for o, x in zip(others[near], likely, strict=True))
 
 
-def search_bucket(sig: np.ndarray, sizes: np.ndarray, packed: list, part: np.ndarray | None, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
+def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray | None, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
     """Candidates of one bucket (class, partner, bounded similarity): one partner for
     each class, or (given components) all pairs across them.
 
     Linked sets differ in size by a third at most, so their codes are of one width or
     one's are a bit wider; each width's tree takes in the shortened codes it may need.
     """
-    widths = np.array([code_bits(int(n)) for n in sizes])
+    widths = np.array([code_bits(n) for n in sizes.tolist()])
     for bits in np.unique(widths):
         own = np.flatnonzero(widths == bits)
         wider = np.flatnonzero((widths == bits + 1) & (percent * sizes <= 100 * sizes[own].max()))
         rows = np.concatenate([own, wider])
         if len(rows) < 2:
             continue
-        codes = [unpacked(packed[i]) for i in own] + [unpacked(packed[i]) >> 1 for i in wider]
+        codes = [every[i] for i in own] + [every[i] >> 1 for i in wider]
         for i, j, likely in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), None if part is None else part[rows], percent):
             if i < len(own) or j < len(own):  # two wider ones meet in their own tree
                 yield int(sig[rows[i]]), int(sig[rows[j]]), likely
@@ -258,7 +271,7 @@ def described(docs: DataFrame) -> DataFrame:
     """Per document its set's size, name and point; per task the counters of its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        counters = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         shift = np.uint64(64 - SKETCH_BITS)
         for b in batches:
             n, sig, point = [], [], []
@@ -272,7 +285,8 @@ def described(docs: DataFrame) -> DataFrame:
                 [b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(point, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
                 names=["doc_id", "n", "sig", "point", "chunk", "counts"],
             )
-        chunks = [c.tobytes() for c in np.split(counters, SKETCH_CHUNKS)]
+        # only the order of shingles hangs on the counts, so a task's may end at 255
+        chunks = [c.tobytes() for c in np.split(np.minimum(counters, 255).astype(np.uint8), SKETCH_CHUNKS)]
         k = len(chunks)
         nothing = [pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
         yield pa.RecordBatch.from_arrays([*nothing, pa.array(range(k), pa.int32()), pa.array(chunks, pa.binary())], names=["doc_id", "n", "sig", "point", "chunk", "counts"])
@@ -281,13 +295,28 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def frequency_levels(rows: DataFrame) -> np.ndarray:
-    """For each counter, how many doublings its sum lies above twice the mean (one byte each)."""
+    """For each counter, how many doublings its sum lies above twice the mean (one byte each).
+
+    Every piece of the sketch is summed as a stream; only levels reach the driver.
+    """
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    floor = max(2 * total / (1 << SKETCH_BITS), 1.0)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for chunk, counts in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                own = np.frombuffer(counts.as_buffer(), np.uint8)
+                total[chunk] = total[chunk] + own if chunk in total else own.astype(np.int64)
+        if total:
+            levels = [np.ceil(np.log2(np.maximum(x / floor, 1.0))).astype(np.uint8).tobytes() for x in total.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(levels, pa.binary())], names=["chunk", "levels"])
 
-    flat = summed_chunks(rows, SKETCH_CHUNKS, "int64")
-    if not len(flat):  # an empty table has no tasks
-        flat = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    floor = max(2 * flat.mean(), 1.0)
-    return np.ceil(np.log2(np.maximum(flat / floor, 1.0))).astype(np.uint8)
+    dealt = rows.where("chunk IS NOT NULL").select("chunk", "counts").repartition(SKETCH_CHUNKS, "chunk")
+    out = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), dtype=np.uint8)
+    for r in dealt.mapInArrow(summed, "chunk int, levels binary").collect():
+        out[r["chunk"]] = np.frombuffer(r["levels"], np.uint8)
+    return out.ravel()
 
 
 def prefix_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
@@ -341,8 +370,8 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
         def flush() -> None:
             sig, sizes, part = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5))
             if len(sig) > 1:
-                packed = [p.as_buffer() for h in held for p in h[4]]
-                found.update(search_bucket(sig, sizes, packed, part if across else None, percent))
+                codes = [c for h in held for c in unpacked(*text_buffers(h[4]), h[3])]
+                found.update(search_bucket(sig, sizes, codes, part if across else None, percent))
 
         def candidates() -> pa.RecordBatch:
             columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)]
