@@ -125,11 +125,12 @@ class Pieces:
     def backtrack(self, text: str) -> list[int]:
         """The ids of a text all of whose characters are pieces."""
         n = len(text)
-        blocks = {0: self._longest(text, 0, min(n, BLOCK))}
+        near = self._longest(text, 0, min(n, BLOCK))
+        blocks: dict[int, list[int]] = {}
         failed = bytearray(n // 8 + 1)
         ids: list[int] = []
         fits, shorter, length = self.fits, self.shorter, self.length
-        at, last, i = 0, -1, blocks[0][0] if n else -1
+        at, last, i = 0, -1, near[0] if n else -1
         while at < n:
             row = self._same.get(last) or {}
             while i >= 0:
@@ -144,13 +145,17 @@ class Pieces:
             if i >= 0:
                 ids.append(i)
                 at, last = to, i
-                if at < n:
-                    k = at // BLOCK
-                    if k not in blocks:
-                        if len(blocks) >= 3:
-                            blocks.clear()
-                        blocks[k] = self._longest(text, k * BLOCK, min((k + 1) * BLOCK, n))
-                    i = blocks[k][at - k * BLOCK]
+                if at >= n:
+                    break
+                if at < BLOCK:
+                    i = near[at]
+                    continue
+                k = at // BLOCK
+                if k not in blocks:
+                    if len(blocks) >= 3:
+                        blocks.clear()
+                    blocks[k] = self._longest(text, k * BLOCK, min((k + 1) * BLOCK, n))
+                i = blocks[k][at - k * BLOCK]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 if not ids:
@@ -202,7 +207,9 @@ class Pieces:
         if known is None:
             ids = self._unit_ids(unit)
             known = " ".join(map(str, ids))
-            back = self.decode_marks(ids)
+            # pieces that spell the unit decode to it (byte pieces spell no character that needs them)
+            spelt = "".join(map(self.piece.__getitem__, ids)) == unit
+            back = unit.replace(BLANK, " ") if spelt else self.decode_marks(ids)
             if back != unit.replace(BLANK, " "):
                 if len(self._odd) >= MEMORY:  # what is noted and what is at hand go together
                     self._odd, self._units, self._older = {}, {}, {}
