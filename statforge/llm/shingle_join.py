@@ -5,11 +5,14 @@ similarity reaches ``PERCENT``. The work goes in steps, each a Spark job:
 
 1. *Classes.* Equal sets form one class; only classes are compared, so exact copies
    cost one comparison however many there are.
-2. *Dealing.* Sets that link share one of their first ``n - ceil(t n) + 1`` shingles
-   in any fixed order of all shingles. The order puts shingles that are frequent in
-   the corpus last (their frequency comes from a fixed-size sketch of all shingles),
-   so a passage that many texts hold seldom deals them together. Shingles shared by
-   the very same classes deal them once.
+2. *Dealing.* Take any fixed order of all shingles. Two sets that link share a shingle
+   that is among the first ``n - ceil(2t n / (1 + t)) + 1`` of the smaller one and the
+   first ``n - ceil(t n) + 1`` of the larger one. So sets are dealt by these first
+   shingles, and a shingle that is among the fewer ones of no set deals none. The order
+   puts shingles that are frequent in the corpus last (their frequency comes from a
+   fixed-size sketch of all shingles), so a passage that many texts hold seldom deals
+   them together. A shingle's bucket is named by the least class that has it: the many
+   shingles that near copies share mostly name one bucket, where each class stands once.
 3. *Search.* The shingles of a set are hashed into groups; the group counts are a
    point. In each bucket the points of one width are packed into an R-tree, those of
    twice the width that are small enough to link folded into it. The overlap of two
@@ -114,6 +117,11 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def short_prefix_length(n: int, percent: int = PERCENT) -> int:
+    """As :func:`prefix_length`, if the other set is at least as large."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
 def needed(a, b, percent: int = PERCENT):
     """Whether an overlap is enough is ``(100 + t) * overlap >= t * (a + b)``: the right side."""
     return percent * (a + b)
@@ -320,13 +328,13 @@ def frequency_levels(rows: DataFrame) -> np.ndarray:
 
 
 def prefix_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """``key, sig``: the first shingles of every set, frequent ones last."""
+    """``key, sig, short``: the first shingles of every set, frequent ones last, and whether a larger set must share one of these."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, shift = shared.value, np.uint64(64 - SKETCH_BITS)
         for b in batches:
-            keys, sigs, lens, met = [], [], [], set()
+            keys, sigs, lens, short, met = [], [], [], [], set()
             for s in batch_sets(b.column(0)):
                 if not len(s) or (name := signature(s)) in met:
                     continue
@@ -335,24 +343,19 @@ def prefix_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) ->
                 keys.append(s[:p] if not own.any() else s[np.argsort(own, kind="stable")[:p]])
                 sigs.append(name)
                 lens.append(p)
+                short.append(np.arange(p) < short_prefix_length(len(s), percent))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(sigs, np.int64), lens))], names=["key", "sig"])
+                columns = [np.concatenate(keys).view(np.int64), np.repeat(np.array(sigs, np.int64), lens), np.concatenate(short)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "sig", "short"])
 
-    return docs.select(F.col("text").alias("text")).mapInArrow(run, "key long, sig long")
+    return docs.select(F.col("text").alias("text")).mapInArrow(run, "key long, sig long, short boolean")
 
 
 def buckets_of(keys: DataFrame) -> DataFrame:
-    """``bucket, members, least, sig``: classes that share a key, once for each distinct membership."""
+    """``bucket, sig``: the classes that share a key, under the name of the least of them."""
     by_key = Window.partitionBy("key")
-    several = keys.withColumns({"lo": F.min("sig").over(by_key), "hi": F.max("sig").over(by_key)}).where("lo <> hi").select("key", "sig", "lo").dropDuplicates(["key", "sig"])
-    named = several.select(
-        "sig",
-        F.col("lo").alias("least"),
-        F.count(F.lit(1)).over(by_key).alias("members"),
-        F.expr("sum(xxhash64(sig) >> 20) OVER (PARTITION BY key)").alias("h1"),
-        F.expr("bit_xor(xxhash64(sig, 7L)) OVER (PARTITION BY key)").alias("h2"),
-    )
-    return named.select(F.xxhash64("members", "least", "h1", "h2").alias("bucket"), "members", "least", "sig").distinct()
+    shared = keys.withColumns({"bucket": F.min("sig").over(by_key), "last": F.max("sig").over(by_key), "deals": F.max("short").over(by_key)})
+    return shared.where("bucket <> last AND deals").select("bucket", "sig").distinct()
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -400,17 +403,18 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, CANDIDATE)
 
 
-def _blocks(rows: DataFrame, everywhere) -> DataFrame:
+def _blocks(rows: DataFrame, buckets: DataFrame, everywhere) -> DataFrame:
     """Deal the rows of a large bucket over blocks; rows marked ``everywhere`` stand in all."""
-    count = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+    large = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
+    count = F.coalesce(F.ceil(F.col("members") / F.lit(BLOCK)), F.lit(1)).cast("int")
     own = F.array(F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     spread = F.when((F.col("blocks") > 1) & everywhere, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)
-    return rows.withColumn("blocks", count).withColumn("block", F.explode(spread))
+    return rows.join(large, "bucket", "left").withColumn("blocks", count).withColumn("block", F.explode(spread))
 
 
 def first_pairs(buckets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The best candidate partner of every class, over all its buckets."""
-    rows = _blocks(buckets, F.col("sig") == F.col("least")).join(classes.select("sig", "n", "point"), "sig").withColumn("part", F.lit(0).cast("long"))
+    rows = _blocks(buckets, buckets, F.col("sig") == F.col("bucket")).join(classes.select("sig", "n", "point"), "sig").withColumn("part", F.lit(0).cast("long"))
     best = F.max_by("other", F.struct("likely", "other"))
     return _searched(rows, False, percent).groupBy(F.col("own").alias("b")).agg(best.alias("a")).select("a", "b")
 
@@ -426,14 +430,15 @@ def pairs_across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, perc
         .where("parts > 1")
         .select("bucket", "main")
     )
-    rows = _blocks(marked.join(several, "bucket"), F.col("part") != F.col("main")).join(classes.select("sig", "n", "point"), "sig")
+    rows = _blocks(marked.join(several, "bucket"), buckets, F.col("part") != F.col("main")).join(classes.select("sig", "n", "point"), "sig")
     return _searched(rows, True, percent).select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose shingle sets reach the similarity (``pairs`` is read more than once)."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    wanted = classes.select("sig", "first_doc").join(ends, "sig").select("first_doc").distinct()
+    # written first: where its size is small, the planner then broadcasts it and no text is shuffled
+    wanted = materialise(classes.select("sig", "first_doc").join(ends, "sig").select("first_doc").distinct(), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
