@@ -23,15 +23,16 @@ similarity reaches ``PERCENT``. The work goes in steps, each a Spark job:
    is bounded again by the counts of these codes, which come close to the overlap.
 4. *Verification.* Surviving pairs are checked on their shingle sets.
 
-The search runs twice. First every class looks in each bucket for one partner that
-comes before it (by size, then name) and keeps the best; the verified links join
-most classes into components. Then buckets that still hold several components are
-searched again for all pairs across them. After that no two sets of different
-components can link, and pairs within one component need no more work; so a group
-of near copies costs about its size, not its square. A bucket of more than ``BLOCK``
-classes is dealt over several tasks: in the first search one class stands in all of
-its blocks, in the second all classes outside its largest component do, so every
-pair across still meets.
+The search goes in rounds. In each, every class looks in its buckets for the best
+partner of another component that comes before it (by size, then name); candidates are
+verified, and links join components. Rounds go on over the buckets that still hold
+several components, without the pairs that failed, until no candidate is left; so in the
+end no two sets of different components can link. After a round of mostly failures a class
+names twice as many candidates, so their number of rounds is small. Pairs within one
+component need no work, and a group of near copies costs about its size, not its square.
+A bucket of more than ``BLOCK`` classes is dealt over several tasks: in the first round
+one class stands in all of its blocks, later all classes outside its largest component
+do, so every pair across still meets.
 
 A null text, or one without words, has no shingles, links with nothing and is its
 own component. A text of fewer than five words is one shingle. Repeated rows share
@@ -218,13 +219,12 @@ def _closer(codes: list[np.ndarray], bits: int, own: int, others: np.ndarray) ->
     return np.add.reduceat(mark[np.concatenate(parts)], starts, dtype=np.int64)
 
 
-def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.ndarray | None, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.ndarray, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
     """For each row that has any, the rows of lower rank (of other components) that the tree lets through, leaf by leaf."""
     if len(sizes) <= LEAF:  # one leaf: all its bounds at once
         bound = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2, dtype=np.int64)
         hit = ((100 + percent) * bound >= needed(sizes[:, None], sizes[None, :], percent)) & (rank[None, :] < rank[:, None])
-        if part is not None:
-            hit &= part[:, None] != part[None, :]
+        hit &= part[:, None] != part[None, :]
         for own in np.flatnonzero(hit.any(axis=1)):
             yield int(own), iter([np.flatnonzero(hit[own])])
         return
@@ -232,34 +232,39 @@ def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.
     for place in range(len(sizes)):
         own = int(tree.order[place])
         found = (tree.order[p] for p in tree.leaves(place))
-        yield own, (x for x in (o if part is None else o[part[o] != part[own]] for o in found) if len(x))
+        yield own, (x for x in (o[part[o] != part[own]] for o in found) if len(x))
 
 
-def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray | None, percent: int) -> Iterator[tuple[int, int, float]]:
-    """``(row, row of a partner, bounded similarity)`` of sets whose codes have one width."""
+def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray, failed: list, top: int, percent: int) -> Iterator[tuple[int, int, float]]:
+    """``(row, row of a partner, bounded similarity)`` of sets whose codes have one width, ``top`` for each row at most."""
     rank = np.empty(len(sizes), dtype=np.int64)
     rank[np.lexsort((sig, sizes))] = np.arange(len(sizes))
     points = points_of(codes, bits, groups_of(int(sizes.min())))
     for own, found in _partners(points, sizes, rank, part, percent):
+        met = 0
         for others in found:
+            if len(failed[own]):
+                others = others[~np.isin(sig[others], failed[own])]
+                if not len(others):
+                    continue
             bound = np.minimum(_closer(codes, bits, own, others), sizes[own])
             near = (100 + percent) * bound >= needed(sizes[own], sizes[others], percent)
             if not near.any():
                 continue
             likely = bound[near] / (sizes[own] + sizes[others[near]] - bound[near])
-            if part is None:  # one partner is enough
-                best = int(np.argmax(likely))
-                yield own, int(others[near][best]), float(likely[best])
+            for k in np.argsort(-likely, kind="stable")[: top - met]:
+                yield own, int(others[near][k]), float(likely[k])
+                met += 1
+            if met >= top:
                 break
-            yield from ((own, int(o), float(x)) for o, x in zip(others[near], likely, strict=True))
 
 
-def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray | None, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
-    """Candidates of one bucket (class, partner, bounded similarity): one partner for
-    each class, or (given components) all pairs across them.
+def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray, failed: list, top: int = 1, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
+    """Candidates of one bucket (class, partner of another component, bounded similarity).
 
     Linked sets differ in size by a third at most, so their codes are of one width or
     one's are a bit wider; each width's tree takes in the shortened codes it may need.
+    ``failed`` names for each class the partners that were verified in vain.
     """
     widths = np.array([code_bits(n) for n in sizes.tolist()])
     for bits in np.unique(widths):
@@ -269,9 +274,7 @@ def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], p
         if len(rows) < 2:
             continue
         codes = [every[i] for i in own] + [every[i] >> 1 for i in wider]
-        for i, j, likely in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), None if part is None else part[rows], percent):
-            if i < len(own) or j < len(own):  # two wider ones meet in their own tree
-                yield int(sig[rows[i]]), int(sig[rows[j]]), likely
+        yield from ((int(sig[rows[i]]), int(sig[rows[j]]), x) for i, j, x in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), part[rows], [failed[i] for i in rows], top, percent))
 
 
 # --------------------------------------------------------------------------- Spark steps
@@ -351,11 +354,17 @@ def prefix_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) ->
     return docs.select(F.col("text").alias("text")).mapInArrow(run, "key long, sig long, short boolean")
 
 
-def buckets_of(keys: DataFrame) -> DataFrame:
-    """``bucket, sig``: the classes that share a key, under the name of the least of them."""
+def buckets_of(keys: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``bucket, sig, n``: the classes that share a key, under the name of the least of them.
+
+    A class none of whose bucket's others is of a size that could link is left out.
+    """
     by_key = Window.partitionBy("key")
     shared = keys.withColumns({"bucket": F.min("sig").over(by_key), "last": F.max("sig").over(by_key), "deals": F.max("short").over(by_key)})
-    return shared.where("bucket <> last AND deals").select("bucket", "sig").distinct()
+    rows = shared.where("bucket <> last AND deals").select("bucket", "sig").distinct().join(classes.select("sig", "n"), "sig")
+    by_size = Window.partitionBy("bucket").orderBy("n", "sig")
+    close = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
+    return rows.withColumn("close", F.coalesce(close, F.lit(False))).where("close").select("bucket", "sig", "n")
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -363,7 +372,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
     return rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"), F.first("point").alias("point"))
 
 
-def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
+def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
     """Search every ``(bucket, block)``; the rows come sorted, so one is complete when the next begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +383,8 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
             sig, sizes, part = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5))
             if len(sig) > 1:
                 codes = [c for h in held for c in unpacked(*text_buffers(h[4]), h[3])]
-                found.update(search_bucket(sig, sizes, codes, part if across else None, percent))
+                failed = [f for h in held for f in h[6]]
+                found.update(search_bucket(sig, sizes, codes, part, failed, top, percent))
 
         def candidates() -> pa.RecordBatch:
             columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)]
@@ -390,7 +400,7 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
                 if held and held[0][:2] != (bucket[at], block[at]):
                     flush()
                     held.clear()
-                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy()))
+                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy(), b.column(6).slice(at, stop - at).to_pylist()))
             if len(found) >= 50_000:
                 yield candidates()
         if held:
@@ -399,7 +409,7 @@ def _searched(rows: DataFrame, across: bool, percent: int) -> DataFrame:
             yield candidates()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("bucket", "block", "sig", "n", "point", "part").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
+    dealt = rows.select("bucket", "block", "sig", "n", "point", "part", "failed").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
     return dealt.mapInArrow(run, CANDIDATE)
 
 
@@ -412,26 +422,35 @@ def _blocks(rows: DataFrame, buckets: DataFrame, everywhere) -> DataFrame:
     return rows.join(large, "bucket", "left").withColumn("blocks", count).withColumn("block", F.explode(spread))
 
 
-def first_pairs(buckets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The best candidate partner of every class, over all its buckets."""
-    rows = _blocks(buckets, buckets, F.col("sig") == F.col("bucket")).join(classes.select("sig", "n", "point"), "sig").withColumn("part", F.lit(0).cast("long"))
-    best = F.max_by("other", F.struct("likely", "other"))
-    return _searched(rows, False, percent).groupBy(F.col("own").alias("b")).agg(best.alias("a")).select("a", "b")
+def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None, failed: DataFrame | None, top: int = 1, percent: int = PERCENT) -> DataFrame:
+    """``a, b``: for every class ``b`` its best candidates ``a`` of other components, ``top`` at most.
 
-
-def pairs_across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """All candidate pairs across components, of the buckets that hold several."""
-    marked = buckets.join(labels.withColumnsRenamed({"v": "sig", "label": "part"}), "sig", "left").withColumn("part", F.coalesce("part", "sig"))
-    several = (
-        marked.groupBy("bucket", "part")
-        .agg(F.count(F.lit(1)).alias("k"))
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("k", "part")).alias("main"))
-        .where("parts > 1")
-        .select("bucket", "main")
-    )
-    rows = _blocks(marked.join(several, "bucket"), buckets, F.col("part") != F.col("main")).join(classes.select("sig", "n", "point"), "sig")
-    return _searched(rows, True, percent).select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
+    Without ``labels`` every class is a component. ``failed`` has the pairs that were
+    verified in vain.
+    """
+    if labels is None:
+        marked, everywhere = buckets.withColumn("part", F.col("sig")), F.col("sig") == F.col("bucket")
+    else:
+        parts = buckets.join(labels.withColumnsRenamed({"v": "sig", "label": "part"}), "sig", "left").withColumn("part", F.coalesce("part", "sig"))
+        several = (
+            parts.groupBy("bucket", "part")
+            .agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("k", "part")).alias("main"))
+            .where("parts > 1")
+            .select("bucket", "main")
+        )
+        marked, everywhere = parts.join(several, "bucket"), F.col("part") != F.col("main")
+    rows = _blocks(marked, buckets, everywhere).join(classes.select("sig", "point"), "sig")
+    none = F.array().cast("array<bigint>")
+    if failed is None:
+        rows = rows.withColumn("failed", none)
+    else:
+        vain = failed.groupBy(F.col("b").alias("sig")).agg(F.collect_set("a").alias("failed"))
+        rows = rows.join(vain, "sig", "left").withColumn("failed", F.coalesce("failed", none))
+    found = _searched(rows, top, percent).groupBy("own", "other").agg(F.max("likely").alias("likely"))
+    best = Window.partitionBy("own").orderBy(F.desc("likely"), "other")
+    return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top).select(F.col("other").alias("a"), F.col("own").alias("b"))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -484,14 +503,25 @@ def link_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The contract's columns: set size and component of every document."""
     rows = materialise(described(docs), "described")
     classes = materialise(classes_of(rows), "classes")
-    buckets = materialise(buckets_of(prefix_keys(docs, frequency_levels(rows), percent)), "buckets")
-    links = materialise(verified(materialise(first_pairs(buckets, classes, percent), "pairs"), classes, docs, percent), "links")
-    labels = components(links)
-    more = materialise(pairs_across(buckets, classes, labels, percent), "pairs")
-    if not more.isEmpty():
-        across = materialise(verified(more, classes, docs, percent), "links")
-        if not across.isEmpty():
-            labels = components(links.union(across))
+    buckets = materialise(buckets_of(prefix_keys(docs, frequency_levels(rows), percent), classes, percent), "buckets")
+    links = failed = labels = None
+    top = 1
+    while True:
+        pairs = materialise(candidates(buckets, classes, labels, failed, top, percent), "pairs")
+        n_pairs = pairs.count()
+        if not n_pairs:
+            break
+        good = materialise(verified(pairs, classes, docs, percent), "links")
+        bad = pairs.join(good, ["a", "b"], "left_anti")
+        failed = materialise(bad if failed is None else failed.union(bad), "failed")
+        n_good = good.count()
+        if 2 * n_good <= n_pairs:
+            top *= 2
+        if n_good:
+            links = good if links is None else links.union(good)
+            labels = components(links)
+    if labels is None:
+        labels = classes.select(F.col("sig").alias("v"), F.col("sig").alias("label")).limit(0)
     return named_groups(rows, classes, labels)
 
 
