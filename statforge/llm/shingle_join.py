@@ -26,8 +26,9 @@ similarity reaches ``PERCENT``. The work goes in steps, each a Spark job:
 The search goes in rounds. In each, every class looks in its buckets for the best
 partner of another component that comes before it (by size, then name); candidates are
 verified, and links join components. Rounds go on over the buckets that still hold
-several components, without the pairs that failed, until no candidate is left; so in the
-end no two sets of different components can link. After a round of mostly failures a class
+several components, for the classes that had a candidate in the round before (for the
+others none can appear) and without the pairs that failed, until no candidate is left; so
+in the end no two sets of different components can link. After a round of mostly failures a class
 names twice as many candidates, so their number of rounds is small. Pairs within one
 component need no work, and a group of near copies costs about its size, not its square.
 A bucket of more than ``BLOCK`` classes is dealt over several tasks: in the first round
@@ -219,28 +220,30 @@ def _closer(codes: list[np.ndarray], bits: int, own: int, others: np.ndarray) ->
     return np.add.reduceat(mark[np.concatenate(parts)], starts, dtype=np.int64)
 
 
-def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.ndarray, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
-    """For each row that has any, the rows of lower rank (of other components) that the tree lets through, leaf by leaf."""
+def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.ndarray, asks: np.ndarray, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+    """For each asking row that has any, the rows of lower rank (of other components) that the tree lets through, leaf by leaf."""
     if len(sizes) <= LEAF:  # one leaf: all its bounds at once
         bound = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2, dtype=np.int64)
         hit = ((100 + percent) * bound >= needed(sizes[:, None], sizes[None, :], percent)) & (rank[None, :] < rank[:, None])
-        hit &= part[:, None] != part[None, :]
+        hit &= (part[:, None] != part[None, :]) & asks[:, None]
         for own in np.flatnonzero(hit.any(axis=1)):
             yield int(own), iter([np.flatnonzero(hit[own])])
         return
     tree = CountTree(points, sizes, rank, percent)
     for place in range(len(sizes)):
         own = int(tree.order[place])
+        if not asks[own]:
+            continue
         found = (tree.order[p] for p in tree.leaves(place))
         yield own, (x for x in (o[part[o] != part[own]] for o in found) if len(x))
 
 
-def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray, failed: list, top: int, percent: int) -> Iterator[tuple[int, int, float]]:
+def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray, asks: np.ndarray, failed: list, top: int, percent: int) -> Iterator[tuple[int, int, float]]:
     """``(row, row of a partner, bounded similarity)`` of sets whose codes have one width, ``top`` for each row at most."""
     rank = np.empty(len(sizes), dtype=np.int64)
     rank[np.lexsort((sig, sizes))] = np.arange(len(sizes))
     points = points_of(codes, bits, groups_of(int(sizes.min())))
-    for own, found in _partners(points, sizes, rank, part, percent):
+    for own, found in _partners(points, sizes, rank, part, asks, percent):
         met = 0
         for others in found:
             if len(failed[own]):
@@ -259,12 +262,12 @@ def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bit
                 break
 
 
-def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray, failed: list, top: int = 1, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
+def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray, asks: np.ndarray, failed: list, top: int = 1, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
     """Candidates of one bucket (class, partner of another component, bounded similarity).
 
     Linked sets differ in size by a third at most, so their codes are of one width or
     one's are a bit wider; each width's tree takes in the shortened codes it may need.
-    ``failed`` names for each class the partners that were verified in vain.
+    Only classes that ``asks`` marks look for partners; ``failed`` names for each class the partners that were verified in vain.
     """
     widths = np.array([code_bits(n) for n in sizes.tolist()])
     for bits in np.unique(widths):
@@ -274,7 +277,7 @@ def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], p
         if len(rows) < 2:
             continue
         codes = [every[i] for i in own] + [every[i] >> 1 for i in wider]
-        yield from ((int(sig[rows[i]]), int(sig[rows[j]]), x) for i, j, x in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), part[rows], [failed[i] for i in rows], top, percent))
+        yield from ((int(sig[rows[i]]), int(sig[rows[j]]), x) for i, j, x in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), part[rows], asks[rows], [failed[i] for i in rows], top, percent))
 
 
 # --------------------------------------------------------------------------- Spark steps
@@ -381,10 +384,11 @@ def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
 
         def flush() -> None:
             sig, sizes, part = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5))
-            if len(sig) > 1:
+            asks = np.concatenate([h[7] for h in held])
+            if len(sig) > 1 and asks.any():
                 codes = [c for h in held for c in unpacked(*text_buffers(h[4]), h[3])]
                 failed = [f for h in held for f in h[6]]
-                found.update(search_bucket(sig, sizes, codes, part, failed, top, percent))
+                found.update(search_bucket(sig, sizes, codes, part, asks, failed, top, percent))
 
         def candidates() -> pa.RecordBatch:
             columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)]
@@ -394,13 +398,13 @@ def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            bucket, block, sig, sizes, part = (b.column(k).to_numpy() for k in (0, 1, 2, 3, 5))
+            bucket, block, sig, sizes, part, asks = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 5, 7))
             cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
             for at, stop in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)], strict=True):
                 if held and held[0][:2] != (bucket[at], block[at]):
                     flush()
                     held.clear()
-                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy(), b.column(6).slice(at, stop - at).to_pylist()))
+                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy(), b.column(6).slice(at, stop - at).to_pylist(), asks[at:stop].copy()))
             if len(found) >= 50_000:
                 yield candidates()
         if held:
@@ -409,7 +413,7 @@ def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
             yield candidates()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("bucket", "block", "sig", "n", "point", "part", "failed").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
+    dealt = rows.select("bucket", "block", "sig", "n", "point", "part", "failed", "asks").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
     return dealt.mapInArrow(run, CANDIDATE)
 
 
@@ -422,12 +426,15 @@ def _blocks(rows: DataFrame, buckets: DataFrame, everywhere) -> DataFrame:
     return rows.join(large, "bucket", "left").withColumn("blocks", count).withColumn("block", F.explode(spread))
 
 
-def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None, failed: DataFrame | None, top: int = 1, percent: int = PERCENT) -> DataFrame:
+def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None = None, failed: DataFrame | None = None, asking: DataFrame | None = None, top: int = 1, percent: int = PERCENT) -> DataFrame:
     """``a, b``: for every class ``b`` its best candidates ``a`` of other components, ``top`` at most.
 
     Without ``labels`` every class is a component. ``failed`` has the pairs that were
-    verified in vain.
+    verified in vain, ``asking`` the classes (``sig``) that look for partners, all if not given.
     """
+    every = buckets
+    if asking is not None:  # only buckets in which a class asks
+        buckets = buckets.join(buckets.join(asking, "sig").select("bucket").distinct(), "bucket", "left_semi")
     if labels is None:
         marked, everywhere = buckets.withColumn("part", F.col("sig")), F.col("sig") == F.col("bucket")
     else:
@@ -441,7 +448,11 @@ def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None,
             .select("bucket", "main")
         )
         marked, everywhere = parts.join(several, "bucket"), F.col("part") != F.col("main")
-    rows = _blocks(marked, buckets, everywhere).join(classes.select("sig", "point"), "sig")
+    rows = _blocks(marked, every, everywhere).join(classes.select("sig", "point"), "sig")
+    if asking is None:
+        rows = rows.withColumn("asks", F.lit(True))
+    else:
+        rows = rows.join(asking.withColumn("asks", F.lit(True)), "sig", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
     none = F.array().cast("array<bigint>")
     if failed is None:
         rows = rows.withColumn("failed", none)
@@ -504,25 +515,35 @@ def link_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = materialise(described(docs), "described")
     classes = materialise(classes_of(rows), "classes")
     buckets = materialise(buckets_of(prefix_keys(docs, frequency_levels(rows), percent), classes, percent), "buckets")
-    links = failed = labels = None
+    links = failed = labels = asking = None
+    # the first round compares large buckets only block by block, so all their classes ask again
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
+    unsettled = buckets.join(sizes, "bucket", "left_semi").select("sig")
+    alone = classes.select(F.col("sig").alias("v"), F.col("sig").alias("label")).where("false")
     top = 1
     while True:
-        pairs = materialise(candidates(buckets, classes, labels, failed, top, percent), "pairs")
+        pairs = materialise(candidates(buckets, classes, labels, failed, asking, top, percent), "pairs")
         n_pairs = pairs.count()
-        if not n_pairs:
+        asking = pairs.select(F.col("b").alias("sig"))
+        if unsettled is not None:
+            asking, unsettled, settled = asking.union(unsettled), None, unsettled.isEmpty()
+        else:
+            settled = True
+        asking = materialise(asking.distinct(), "asking")
+        if not n_pairs and settled:
             break
         good = materialise(verified(pairs, classes, docs, percent), "links")
         bad = pairs.join(good, ["a", "b"], "left_anti")
         failed = materialise(bad if failed is None else failed.union(bad), "failed")
         n_good = good.count()
-        if 2 * n_good <= n_pairs:
+        if n_pairs and 2 * n_good <= n_pairs:
             top *= 2
         if n_good:
             links = good if links is None else links.union(good)
             labels = components(links)
-    if labels is None:
-        labels = classes.select(F.col("sig").alias("v"), F.col("sig").alias("label")).limit(0)
-    return named_groups(rows, classes, labels)
+        elif labels is None:
+            labels = alone
+    return named_groups(rows, classes, alone if labels is None else labels)
 
 
 def named_groups(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
