@@ -5,8 +5,9 @@ mark-up between words do not matter. First all documents are counted for every
 word trigram of the test items. In each stretch of ``STRETCH`` neighbouring
 trigrams of an item the rarest one becomes a seed; a passage of an item thus holds
 a seed wherever it is cut, and the item's own rarest wording finds it even if a
-third of all documents hold the passage. Documents that share seeds with an item
-are aligned with it, word by word, around each place where the seeds point to.
+third of all documents hold the passage. Documents that share a seed with an item,
+however common, are aligned with it, word by word, around each place where seeds point
+to, unless too few of the item's words stand there for any alignment to be enough.
 
 A document is contaminated by an item when the local alignment's score reaches
 ``SHARE`` of the item's best possible score, or that of ``LONG`` words in a row.
@@ -33,8 +34,6 @@ from statforge.llm.common import PLAIN_WORDS, gram_hashes, summed_chunks, text_b
 
 #: Words in a seed, trigrams in a stretch that gives one seed.
 SEED, STRETCH = 3, 4
-#: One seed is enough if at most this share of documents has it; else two are needed.
-RARE = 0.001
 #: Scores of a word: equal, different, left out or put in.
 MATCH, OTHER, GAP = 2, -1, -1
 #: Share of an item's best score, or words in a row, that count as contamination.
@@ -135,7 +134,13 @@ def enough(score: int, matched: int, length: int) -> bool:
     return matched >= min(length, 8) and (score >= SHARE * MATCH * length or score >= MATCH * LONG)
 
 
-def compare(words: np.ndarray, seeds: Items, common: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+def in_reach(item: np.ndarray, text: np.ndarray) -> bool:
+    """Whether an alignment can be enough: it has at most the item's words that the text has, all equal."""
+    most = min(int(np.isin(item, text).sum()), int(np.isin(text, item).sum()))
+    return enough(MATCH * most, most, len(item))
+
+
+def compare(words: np.ndarray, seeds: Items) -> Iterator[tuple[int, int, int, int, int]]:
     """``(item, score, matched, first, last)`` of the items that contaminate one text."""
     at, gram = seeds.hits(gram_hashes(words, SEED))
     if not len(at):
@@ -143,9 +148,9 @@ def compare(words: np.ndarray, seeds: Items, common: np.ndarray) -> Iterator[tup
     counts = seeds.first[gram + 1] - seeds.first[gram]
     which = np.repeat(np.arange(len(at)), counts)
     posting = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + seeds.first[gram[which]]
-    item, start, used = seeds.item[posting], at[which] - seeds.place[posting], gram[which]
+    item, start = seeds.item[posting], at[which] - seeds.place[posting]
     order = np.lexsort((start, item))
-    item, start, used = item[order], start[order], used[order]
+    item, start = item[order], start[order]
     for lo, hi in _runs(item):
         own = int(item[lo])
         length = len(seeds.words[own])
@@ -153,11 +158,11 @@ def compare(words: np.ndarray, seeds: Items, common: np.ndarray) -> Iterator[tup
         best = None
         cut = np.flatnonzero(np.diff(start[lo:hi]) > length + 2 * pad) + 1
         for a, b in zip([lo, *(lo + cut)], [*(lo + cut), hi], strict=True):
-            kinds = np.unique(used[a:b])
-            if common[kinds].all() and len(kinds) < 2 and length > SEED + 1:
-                continue
             begin = max(int(start[a]) - pad, 0)
-            score, matched, first, last = align(seeds.words[own], words[begin : int(start[b - 1]) + length + pad])
+            text = words[begin : int(start[b - 1]) + length + pad]
+            if not in_reach(seeds.words[own], text):
+                continue
+            score, matched, first, last = align(seeds.words[own], text)
             if enough(score, matched, length) and (best is None or score > best[1]):
                 best = (own, score, matched, begin + first, begin + last)
         if best:
@@ -173,16 +178,15 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text")).alias("text"))
 
 
-def document_frequency(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
-    """For each trigram of a block, the documents that hold it; and the number of documents."""
+def document_frequency(docs: DataFrame, items: Items) -> np.ndarray:
+    """For each trigram of a block, the documents that hold it."""
     shared = docs.sparkSession.sparkContext.broadcast(items)  # one block of items
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        total = np.zeros(len(own.grams) + 1, dtype=np.int64)
+        total = np.zeros(len(own.grams), dtype=np.int64)
         for b in batches:
             hashes, bounds = plain_words(b.column(0))
-            total[-1] += b.num_rows
             for i in range(b.num_rows):
                 _, gram = own.hits(gram_hashes(hashes[bounds[i] : bounds[i + 1]], SEED))
                 total[np.unique(gram)] += 1
@@ -190,23 +194,21 @@ def document_frequency(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=["chunk", "counts"])
 
     total = summed_chunks(_plain(docs).select("text").mapInArrow(counted, "chunk int, counts binary"), COUNT_CHUNKS, "int64")
-    return (total[:-1], int(total[-1])) if len(total) else (np.zeros(len(items.grams), np.int64), 0)
+    return total if len(total) else np.zeros(len(items.grams), np.int64)
 
 
 def search(docs: DataFrame, items: Items) -> DataFrame:
     """All contaminated pairs for one block of items."""
-    frequency, n_docs = document_frequency(docs, items)
-    seeds = items.seeds(frequency)
-    common = frequency[np.searchsorted(items.grams, seeds.grams)] > max(RARE * n_docs, 2)
-    shared = docs.sparkSession.sparkContext.broadcast((seeds, common))  # one block of items
+    seeds = items.seeds(document_frequency(docs, items))
+    shared = docs.sparkSession.sparkContext.broadcast(seeds)  # one block of items
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, often = shared.value
+        own = shared.value
         for b in batches:
             hashes, bounds = plain_words(b.column(1))
             rows = []
             for i, doc_id in enumerate(b.column(0).to_pylist()):
-                for k, score, matched, first, last in compare(hashes[bounds[i] : bounds[i + 1]], own, often):
+                for k, score, matched, first, last in compare(hashes[bounds[i] : bounds[i + 1]], own):
                     rows.append((doc_id, own.ids[k], score / (MATCH * len(own.words[k])), score, matched, first, last))
             if rows:
                 kinds = [pa.int64(), pa.int64(), pa.float64(), *[pa.int64()] * 4]

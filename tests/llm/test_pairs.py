@@ -185,6 +185,28 @@ def test_planted_passages_are_found_and_clean_documents_left_alone(spark, docs_o
     assert {(x["doc_id"], x["item_id"]) for x in got.collect()} == want
 
 
+def test_short_items_in_a_third_of_all_documents_are_found(spark, docs_of):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    items = {n: [word() for _ in range(n)] for n in range(5, 10)}
+    items[40] = [word() for _ in range(40)]
+    rows, want = [], set()
+    for d in range(90):
+        text = [word() for _ in range(60)]
+        if d % 3 == 0:
+            for k in range(5, 10):
+                text[10 * k : 10 * k] = items[k]
+                want.add((d, k))
+            # of the long item only its first words are whole, so one distinct seed is kept
+            text += [w if k < 6 or k % 2 else word() for k, w in enumerate(items[40])]
+            want.add((d, 40))
+        elif d % 3 == 1:  # no more than a seed's words
+            text += items[40][:4]
+        rows.append((d, " ".join(text)))
+    bench = items_of(spark, [(k, " ".join(w)) for k, w in items.items()])
+    assert {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs_of(rows), bench).collect()} == want
+
+
 def test_many_blocks_of_items_and_empty_tables(spark, docs_of, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 40)
     items = [(k, " ".join(f"w{k}x{i}" for i in range(12))) for k in range(4)]
