@@ -8,9 +8,12 @@ words never seen). Over classes a log-bilinear model predicts the next class fro
 the two before it: context vectors, weighted per place and dimension, are added up
 and multiplied with the class vectors.
 
-Training runs in numpy inside Spark tasks over all training texts. Each task
-descends the noise-contrastive loss on its own texts from the shared start; the
-results are averaged by their numbers of tokens, and the next round starts there.
+Training runs in numpy inside Spark tasks over all training texts. A hash of the row
+deals the texts, once and as class numbers, to parts of about ``PART`` tokens, so the
+model does not hang on how the table is laid out in files. In each round every part
+descends the noise-contrastive loss from the shared start; the results (and the sums
+that set the step sizes) are averaged by their numbers of tokens, and the next round
+starts there, until the averaged loss falls by less than ``LEAST_GAIN`` of it.
 Then matrix products over all pairs of context classes give the normaliser of
 every context, so each token's log probability is exact and normalised.
 
@@ -34,7 +37,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +49,12 @@ FOLDS, HELD_OUT = 7, 2
 OWN, SHARED = 960, 64
 #: Words, at most, that every worker has at hand.
 HEAD = 150_000
-#: Vector length, tokens a step, noise samples a step, step size, rounds over the corpus.
-DIM, STEP, NOISE, RATE, ROUNDS = 16, 2048, 48, 0.15, 1
+#: Vector length, tokens a step, noise samples a step, step size.
+DIM, STEP, NOISE, RATE = 16, 2048, 48, 0.15
+#: Tokens, about, that one descent of a round sees; of so many steps, and of so many tokens in them, one's loss is taken.
+PART, LOSS_STEPS = 1 << 21, 8
+#: Share of the loss that a round must gain for another one.
+LEAST_GAIN = 0.002
 #: The end of a text as a word (no word holds a separator).
 END = b"\n"
 #: Words counted before a task passes them on.
@@ -203,14 +210,14 @@ def contexts(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Trainer:
     """Noise-contrastive descent (adaptive steps) over minibatches of tokens."""
 
-    def __init__(self, model: Bilinear, mass: np.ndarray, seed: int):
-        self.m = Bilinear(*(x.copy() for x in (model.context, model.target, model.near, model.far, model.bias)))
+    def __init__(self, model: Bilinear, square: Bilinear, mass: np.ndarray, seed: list[int]):
+        self.m, self.s = (Bilinear(*(x.copy() for x in (y.context, y.target, y.near, y.far, y.bias))) for y in (model, square))
         p = (mass + 1) / (mass + 1).sum()
         self.cdf = np.cumsum(p)
         self.log_noise = np.log(NOISE * p).astype(np.float32)
         self.rng = np.random.Generator(np.random.PCG64(seed))
-        self.square = [np.full_like(x, 1e-6) for x in (self.m.context, self.m.target, self.m.near, self.m.far, self.m.bias)]
-        self.tokens = 0
+        self.tokens = self.steps = self.loss_tokens = 0
+        self.loss = 0.0
 
     def _scatter(self, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
         k, d = self.m.context.shape
@@ -226,12 +233,20 @@ class Trainer:
         with np.errstate(over="ignore"):
             pull = 1 / (1 + np.exp(-((hidden * own).sum(axis=1) + m.bias[word] - self.log_noise[word]))) - 1
             push = 1 / (1 + np.exp(-(hidden @ other.T + m.bias[noise] - self.log_noise[noise])))
+        if self.steps % LOSS_STEPS == 0:  # the exact loss, of the same tokens in every round
+            some = slice(None, None, LOSS_STEPS)
+            every = (hidden[some] @ m.target.T + m.bias).astype(np.float64)
+            top = every.max(axis=1)
+            self.loss += float((np.log(np.exp(every - top[:, None]).sum(axis=1)) + top - every[np.arange(len(every)), word[some]]).sum())
+            self.loss_tokens += len(every)
+        self.steps += 1
         back = pull[:, None] * own + push @ other
         target = self._scatter(word, pull[:, None] * hidden)
         np.add.at(target, noise, push.T @ hidden)
         bias = np.bincount(word, weights=pull, minlength=len(m.bias)) + np.bincount(noise, weights=push.sum(axis=0), minlength=len(m.bias))
         grads = (self._scatter(near, back * m.near) + self._scatter(far, back * m.far), target, (back * a).sum(axis=0), (back * b).sum(axis=0), bias)
-        for x, g, s in zip((m.context, m.target, m.near, m.far, m.bias), grads, self.square, strict=True):
+        q = self.s
+        for x, g, s in zip((m.context, m.target, m.near, m.far, m.bias), grads, (q.context, q.target, q.near, q.far, q.bias), strict=True):
             g = g.astype(np.float32) / n
             s += g * g
             x -= np.float32(RATE) * g / np.sqrt(s)
@@ -268,30 +283,77 @@ def class_ids(words: list[bytes], index: dict[bytes, int], word_class: np.ndarra
     return places, out, rare_at
 
 
-def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Bilinear:
-    """Rounds of descent in all tasks over all training texts, averaged by tokens."""
-    sc = docs.sparkSession.sparkContext
-    mass, own = vocab.class_mass, vocab.classes - SHARED
+def dealt(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """``part, row, classes``: every training text as class numbers, in an order and parts set by hashes of the rows."""
+    own, kind = vocab.classes - SHARED, np.min_scalar_type(vocab.classes)
+    at_hand = docs.sparkSession.sparkContext.broadcast((vocab.index, vocab.word_class))  # at most HEAD words
+    parts = max(-(-vocab.tokens // PART), 1)
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, word_class = at_hand.value
+        for b in batches:
+            out: list[bytes] = []
+            for words, starts in grouped(encoded_of(b.column(2))):
+                classes = class_ids(words, index, word_class, own)[1].astype(kind)
+                out += [x.tobytes() for x in np.split(classes, starts[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["part", "row", "classes"])
+
+    row = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+    rows = training(docs).select(row.alias("row"), F.col("text").alias("text")).select(F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"), "row", "text")
+    return rows.mapInArrow(encoded, "part int, row long, classes binary").repartitionById(parts, F.col("part")).sortWithinPartitions("part", "row")
+
+
+def train(docs: DataFrame, vocab: Vocabulary) -> Bilinear:
+    """Rounds of descent over all training texts, averaged by tokens, until the loss stops improving."""
+    mass, kind = vocab.class_mass, np.min_scalar_type(vocab.classes)
     model = Bilinear.start(mass)
-    at_hand = sc.broadcast((vocab.index, vocab.word_class))  # at most HEAD words
-    for k in range(rounds):
-        flat = model.flat()
-
-        def learned(batches: Iterator[pa.RecordBatch], flat=flat, k=k) -> Iterator[pa.RecordBatch]:
-            index, word_class = at_hand.value
-            trainer = Trainer(Bilinear.of(flat, len(mass)), mass, seed=1000 * TaskContext.get().partitionId() + k)
-            for words, _ in grouped(text for b in batches for text in encoded_of(b.column(0))):
-                trainer.learn(class_ids(words, index, word_class, own)[1])
-            if trainer.tokens:
-                weighted = np.append(trainer.m.flat().astype(np.float64), 1.0) * trainer.tokens
-                parts = [x.tobytes() for x in np.array_split(weighted, PARAMETER_CHUNKS)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["chunk", "counts"])
-
-        rows = training(docs).select(F.col("text").alias("text")).mapInArrow(learned, "chunk int, counts binary")
-        total = summed_chunks(rows, PARAMETER_CHUNKS, "float64")
+    square = Bilinear.of(np.full(len(model.flat()), 1e-6), len(mass))
+    texts = dealt(docs, vocab).persist(StorageLevel.DISK_ONLY)
+    before, k = np.inf, 0
+    while True:
+
+        def learned(batches: Iterator[pa.RecordBatch], start=(model.flat(), square.flat()), k=k) -> Iterator[pa.RecordBatch]:
+            trainer, at, held, size = None, None, [], 0
+
+            def learn() -> None:
+                if held:
+                    trainer.learn(np.concatenate(held).astype(np.int32))
+                    held.clear()
+
+            def results() -> pa.RecordBatch:
+                flat = np.concatenate([trainer.m.flat(), trainer.s.flat()]).astype(np.float64)
+                weighted = np.append(np.append(flat, 1.0) * trainer.tokens, [trainer.loss, trainer.loss_tokens])
+                pieces = [x.tobytes() for x in np.array_split(weighted, PARAMETER_CHUNKS)]
+                return pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], names=["chunk", "counts"])
+
+            for b in batches:
+                for part, classes in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                    if part != at:
+                        if trainer:
+                            learn()
+                            yield results()
+                        trainer, at, size = Trainer(*(Bilinear.of(x, len(mass)) for x in start), mass, seed=[part, k]), part, 0
+                    held.append(np.frombuffer(classes.as_buffer(), kind))
+                    size += len(held[-1])
+                    if size >= GROUP:
+                        learn()
+                        size = 0
+            if trainer:
+                learn()
+                yield results()
+
+        total = summed_chunks(texts.select("part", "classes").mapInArrow(learned, "chunk int, counts binary"), PARAMETER_CHUNKS, "float64")
         if not len(total):
             break
-        model = Bilinear.of(total[:-1] / total[-1], len(mass))
+        loss = total[-2] / total[-1]
+        if loss >= before:
+            break
+        flat = total[:-3] / total[-3]
+        model, square = (Bilinear.of(x, len(mass)) for x in np.split(flat, 2))
+        if loss > (1 - LEAST_GAIN) * before:
+            break
+        before, k = loss, k + 1
+    texts.unpersist()
     return model
 
 

@@ -117,6 +117,13 @@ def test_contexts_do_not_cross_texts():
     assert near.tolist() == [0, 5, 6, 0, 7, 8] and far.tolist() == [0, 0, 5, 0, 0, 7]
 
 
+def test_scores_do_not_hang_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART", 20_000, raising=False)
+    docs = table(spark, SF, "documents")
+    got = [{r["doc_id"]: (r["score"], r["n_tokens"]) for r in lm.score_documents(f).collect()} for f in (docs.coalesce(1), docs.repartition(12, "n_chars"))]
+    assert all(abs(got[0][i][0] - got[1][i][0]) < 1e-3 * n for i, (_, n) in got[0].items())
+
+
 def test_language_model_edges(spark, docs_of):
     frame = docs_of([(1, None), (1, ""), (9, "a a rare" * 3), (None, "b")])
     got = lm.score_documents(frame).collect()
