@@ -32,8 +32,9 @@ in the end no two sets of different components can link. After a round of mostly
 names twice as many candidates, so their number of rounds is small. Pairs within one
 component need no work, and a group of near copies costs about its size, not its square.
 A bucket of more than ``BLOCK`` classes is dealt over several tasks: in the first round
-one class stands in all of its blocks, later all classes outside its largest component
-do, so every pair across still meets.
+block by block, with one class in all of its blocks; later as cells of two blocks, of
+which one at least is outside the bucket's largest component, so every pair across still
+meets, once, and no task holds more than about twice ``BLOCK`` classes of a bucket.
 
 A null text, or one without words, has no shingles, links with nothing and is its
 own component. A text of fewer than five words is one shingle. Repeated rows share
@@ -60,7 +61,7 @@ LEAST_GROUPS, MOST_GROUPS, LOAD = 128, 8192, 2
 FINE = 32
 #: Counters of the frequency sketch (a byte each from every task), and rows it is shipped in.
 SKETCH_BITS, SKETCH_CHUNKS = 22, 64
-#: Classes of one bucket that one task holds.
+#: Classes in a block of a bucket; one task holds one or two blocks.
 BLOCK = 4096
 #: Points in a leaf, children in a node.
 LEAF, FANOUT = 32, 16
@@ -220,12 +221,12 @@ def _closer(codes: list[np.ndarray], bits: int, own: int, others: np.ndarray) ->
     return np.add.reduceat(mark[np.concatenate(parts)], starts, dtype=np.int64)
 
 
-def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.ndarray, asks: np.ndarray, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
-    """For each asking row that has any, the rows of lower rank (of other components) that the tree lets through, leaf by leaf."""
+def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.ndarray, asks: np.ndarray, half: np.ndarray, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+    """For each asking row that has any, the rows of lower rank (of other components and, in a cell of two blocks, of the other block) that the tree lets through, leaf by leaf."""
     if len(sizes) <= LEAF:  # one leaf: all its bounds at once
         bound = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2, dtype=np.int64)
         hit = ((100 + percent) * bound >= needed(sizes[:, None], sizes[None, :], percent)) & (rank[None, :] < rank[:, None])
-        hit &= (part[:, None] != part[None, :]) & asks[:, None]
+        hit &= (part[:, None] != part[None, :]) & asks[:, None] & ((half[:, None] == 0) | (half[:, None] != half[None, :]))
         for own in np.flatnonzero(hit.any(axis=1)):
             yield int(own), iter([np.flatnonzero(hit[own])])
         return
@@ -235,15 +236,15 @@ def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.
         if not asks[own]:
             continue
         found = (tree.order[p] for p in tree.leaves(place))
-        yield own, (x for x in (o[part[o] != part[own]] for o in found) if len(x))
+        yield own, (x for x in (o[(part[o] != part[own]) & ((half[own] == 0) | (half[o] != half[own]))] for o in found) if len(x))
 
 
-def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray, asks: np.ndarray, failed: list, top: int, percent: int) -> Iterator[tuple[int, int, float]]:
+def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray, asks: np.ndarray, half: np.ndarray, failed: list, top: int, percent: int) -> Iterator[tuple[int, int, float]]:
     """``(row, row of a partner, bounded similarity)`` of sets whose codes have one width, ``top`` for each row at most."""
     rank = np.empty(len(sizes), dtype=np.int64)
     rank[np.lexsort((sig, sizes))] = np.arange(len(sizes))
     points = points_of(codes, bits, groups_of(int(sizes.min())))
-    for own, found in _partners(points, sizes, rank, part, asks, percent):
+    for own, found in _partners(points, sizes, rank, part, asks, half, percent):
         met = 0
         for others in found:
             if len(failed[own]):
@@ -262,12 +263,13 @@ def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bit
                 break
 
 
-def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray, asks: np.ndarray, failed: list, top: int = 1, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
+def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray, asks: np.ndarray, half: np.ndarray, failed: list, top: int = 1, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
     """Candidates of one bucket (class, partner of another component, bounded similarity).
 
     Linked sets differ in size by a third at most, so their codes are of one width or
     one's are a bit wider; each width's tree takes in the shortened codes it may need.
-    Only classes that ``asks`` marks look for partners; ``failed`` names for each class the partners that were verified in vain.
+    Only classes that ``asks`` marks look for partners; ``failed`` names for each class the partners that were verified in vain. Classes whose
+    ``half`` is equal and not 0 meet in another cell.
     """
     widths = np.array([code_bits(n) for n in sizes.tolist()])
     for bits in np.unique(widths):
@@ -277,7 +279,7 @@ def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], p
         if len(rows) < 2:
             continue
         codes = [every[i] for i in own] + [every[i] >> 1 for i in wider]
-        yield from ((int(sig[rows[i]]), int(sig[rows[j]]), x) for i, j, x in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), part[rows], asks[rows], [failed[i] for i in rows], top, percent))
+        yield from ((int(sig[rows[i]]), int(sig[rows[j]]), x) for i, j, x in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), part[rows], asks[rows], half[rows], [failed[i] for i in rows], top, percent))
 
 
 # --------------------------------------------------------------------------- Spark steps
@@ -384,11 +386,11 @@ def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
 
         def flush() -> None:
             sig, sizes, part = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5))
-            asks = np.concatenate([h[7] for h in held])
+            asks, half = (np.concatenate([h[k] for h in held]) for k in (7, 8))
             if len(sig) > 1 and asks.any():
                 codes = [c for h in held for c in unpacked(*text_buffers(h[4]), h[3])]
                 failed = [f for h in held for f in h[6]]
-                found.update(search_bucket(sig, sizes, codes, part, asks, failed, top, percent))
+                found.update(search_bucket(sig, sizes, codes, part, asks, half, failed, top, percent))
 
         def candidates() -> pa.RecordBatch:
             columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)]
@@ -398,13 +400,13 @@ def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            bucket, block, sig, sizes, part, asks = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 5, 7))
+            bucket, block, sig, sizes, part, asks, half = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 5, 7, 8))
             cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
             for at, stop in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)], strict=True):
                 if held and held[0][:2] != (bucket[at], block[at]):
                     flush()
                     held.clear()
-                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy(), b.column(6).slice(at, stop - at).to_pylist(), asks[at:stop].copy()))
+                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy(), b.column(6).slice(at, stop - at).to_pylist(), asks[at:stop].copy(), half[at:stop].copy()))
             if len(found) >= 50_000:
                 yield candidates()
         if held:
@@ -413,17 +415,34 @@ def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
             yield candidates()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("bucket", "block", "sig", "n", "point", "part", "failed", "asks").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
+    dealt = rows.select("bucket", "block", "sig", "n", "point", "part", "failed", "asks", "half").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
     return dealt.mapInArrow(run, CANDIDATE)
 
 
-def _blocks(rows: DataFrame, buckets: DataFrame, everywhere) -> DataFrame:
-    """Deal the rows of a large bucket over blocks; rows marked ``everywhere`` stand in all."""
-    large = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
-    count = F.coalesce(F.ceil(F.col("members") / F.lit(BLOCK)), F.lit(1)).cast("int")
-    own = F.array(F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-    spread = F.when((F.col("blocks") > 1) & everywhere, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)
-    return rows.join(large, "bucket", "left").withColumn("blocks", count).withColumn("block", F.explode(spread))
+def _blocks(rows: DataFrame, outside, first: bool) -> DataFrame:
+    """Deal the rows of a large bucket over cells (``block``) of one block (``half`` 0) or two (``half`` 1 and 2).
+
+    In the ``first`` round the cells are the blocks and rows marked ``outside`` stand in
+    all. Later the rows outside the main component have blocks of their own, numbered
+    after the others, and each of these makes a cell with every block.
+    """
+    rows = rows.withColumn("outside", outside)
+    members = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.count_if("outside").alias("out")).where(F.col("members") > BLOCK)
+    blocks = lambda n: F.coalesce(F.ceil(n / F.lit(BLOCK)), F.lit(1)).cast("long")
+    rows = rows.join(members, "bucket", "left")
+    if first:
+        rows = rows.withColumns({"inner": blocks(F.col("members")), "all": blocks(F.col("members"))})
+        own = F.pmod(F.xxhash64("sig"), F.col("all"))
+        dealt = F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("all") - 1)).otherwise(F.array(own))
+        cells = F.transform(dealt, lambda x: F.struct(x.alias("block"), F.lit(0).alias("half")))
+    else:
+        rows = rows.withColumns({"inner": blocks(F.col("members") - F.col("out")), "outer": blocks(F.col("out"))}).withColumn("all", F.col("inner") + F.col("outer"))
+        own = F.when(F.col("outside"), F.col("inner") + F.pmod(F.xxhash64("sig"), F.col("outer"))).otherwise(F.pmod(F.xxhash64("sig"), F.col("inner")))
+        least = F.when(F.col("outside"), F.lit(0).cast("long")).otherwise(F.col("inner"))
+        half = lambda y: F.when(y == own, 0).when(own < y, 1).otherwise(2)
+        cells = F.transform(F.sequence(least, F.col("all") - 1), lambda y: F.struct((F.least(own, y) * F.col("all") + F.greatest(own, y)).alias("block"), half(y).alias("half")))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("block"), F.lit(0).alias("half")))
+    return rows.withColumn("cell", F.explode(F.when(F.col("members").isNull(), whole).otherwise(cells))).select(*rows.columns, "cell.block", "cell.half")
 
 
 def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None = None, failed: DataFrame | None = None, asking: DataFrame | None = None, top: int = 1, percent: int = PERCENT) -> DataFrame:
@@ -432,11 +451,10 @@ def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None
     Without ``labels`` every class is a component. ``failed`` has the pairs that were
     verified in vain, ``asking`` the classes (``sig``) that look for partners, all if not given.
     """
-    every = buckets
     if asking is not None:  # only buckets in which a class asks
         buckets = buckets.join(buckets.join(asking, "sig").select("bucket").distinct(), "bucket", "left_semi")
     if labels is None:
-        marked, everywhere = buckets.withColumn("part", F.col("sig")), F.col("sig") == F.col("bucket")
+        marked, outside = buckets.withColumn("part", F.col("sig")), F.col("sig") == F.col("bucket")
     else:
         parts = buckets.join(labels.withColumnsRenamed({"v": "sig", "label": "part"}), "sig", "left").withColumn("part", F.coalesce("part", "sig"))
         several = (
@@ -447,8 +465,8 @@ def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None
             .where("parts > 1")
             .select("bucket", "main")
         )
-        marked, everywhere = parts.join(several, "bucket"), F.col("part") != F.col("main")
-    rows = _blocks(marked, every, everywhere).join(classes.select("sig", "point"), "sig")
+        marked, outside = parts.join(several, "bucket"), F.col("part") != F.col("main")
+    rows = _blocks(marked, outside, labels is None).join(classes.select("sig", "point"), "sig")
     if asking is None:
         rows = rows.withColumn("asks", F.lit(True))
     else:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from statforge.llm import decontaminate, shingle_join
 from statforge.llm.common import table
@@ -78,6 +79,27 @@ def test_blocks_of_large_buckets_lose_no_link(spark, docs_of, monkeypatch):
     assert grouped(docs_of(rows)) == brute_groups(rows)
 
 
+def test_later_rounds_of_large_buckets_hold_two_blocks_and_pairs_meet_once(spark, monkeypatch):
+    from itertools import combinations
+
+    monkeypatch.setattr(shingle_join, "BLOCK", 16)
+    held = {}
+
+    def noted(rows, top, percent):
+        for r in rows.collect():
+            held.setdefault((r["bucket"], r["block"]), []).append((r["sig"], r["half"] if "half" in r else 0))
+        return spark.createDataFrame([], shingle_join.CANDIDATE)
+
+    monkeypatch.setattr(shingle_join, "_searched", noted)
+    buckets = spark.createDataFrame([(1, s, 50) for s in range(1, 161)] + [(500, s, 50) for s in range(500, 510)], "bucket long, sig long, n long")
+    classes = buckets.select("sig", F.lit(b"").alias("point"))
+    labels = spark.createDataFrame([(s, 1) for s in range(1, 61)], "v long, label long")
+    shingle_join.candidates(buckets, classes, labels).count()
+    assert max(map(len, held.values())) <= 4 * 16  # two blocks, dealt by a hash
+    met = Counter(tuple(sorted((a, b))) for cell in held.values() for (a, x), (b, y) in combinations(cell, 2) if (x == 0 or x != y) and not (a <= 60 and b <= 60))
+    assert set(met.values()) == {1} and len(met) == 160 * 159 // 2 - 60 * 59 // 2 + 45
+
+
 def test_groups_of_the_test_documents(spark, documents):
     assert grouped(table(spark, SF, "documents")) == brute_groups(documents.items())
 
