@@ -60,6 +60,59 @@ SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.y) AS component_id
 FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+FILTER_AUDIT = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), f AS (
+  SELECT doc_id, part, len(ws) < 200 AS fa, 100 * len(list_distinct(ws)) < 50 * len(ws) AS fb,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS fc,
+         regexp_matches(text, '[#$%&*|]') AS fd,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS fe
+  FROM w
+), l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT f.part, f.fa, f.fb, f.fc, f.fd, f.fe, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic
+  FROM f LEFT JOIN l ON l.doc_id = f.doc_id
+), c AS (
+  SELECT part, fa::INT + 2 * fb::INT + 4 * fc::INT + 8 * fd::INT + 16 * fe::INT AS cell,
+         count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM d GROUP BY ALL
+), x AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit
+), o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM x a, x b, x c, x d, x e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), s AS (
+  SELECT filter_order, k AS step, bits[k] AS own, coalesce(list_sum(bits[1:k - 1]), 0)::INT AS before FROM o, range(1, 6) r(k)
+), g AS (
+  SELECT c.part, s.filter_order, s.step, s.own,
+         coalesce(sum(n) FILTER (cell & (before | own) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (cell & own > 0 AND cell & before = 0), 0) AS removed,
+         coalesce(sum(n) FILTER (cell & own > 0 AND cell & before > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (cell = own), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (cell & own > 0 AND cell & before = 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (cell & own > 0 AND cell & before = 0), 0) AS toxic_lost
+  FROM c, s GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM g
+"""
+
+DIGEST_MERGE = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS normal FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY normal) AS group_size,
+       row_number() OVER best = 1 AS kept, sha256(normal) AS text_sha256
+FROM n WINDOW best AS (PARTITION BY normal ORDER BY chars DESC, doc_id NULLS LAST)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_reply_trees": REPLY_TREES, "op9_shingle_join": SHINGLE_JOIN, "op10_web_archive": WEB_ARCHIVE}
+    return {"op8_reply_trees": REPLY_TREES, "op9_shingle_join": SHINGLE_JOIN, "op10_web_archive": WEB_ARCHIVE, "op11_filter_audit": FILTER_AUDIT, "op13_digest_merge": DIGEST_MERGE}

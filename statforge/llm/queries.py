@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statforge.llm import bilinear_lm, decontaminate, pieces, pii_bootstrap, quality_rules, quality_svm, reply_trees, secret_scan, shingle_join, web_archive
+from statforge.llm import bilinear_lm, decontaminate, digest_merge, filter_audit, periodic_runs, pieces, pii_bootstrap, quality_rules, quality_svm, reply_trees, secret_scan, shingle_join, web_archive
 from statforge.llm.common import table
 
 
@@ -65,6 +65,18 @@ def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web_archive.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find_runs(table(spark, sf_dir, "documents"))
+
+
+def op13_digest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_merge.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,5 +90,8 @@ QUERIES = {
         op8_reply_trees,
         op9_shingle_join,
         op10_web_archive,
+        op11_filter_audit,
+        op12_periodic_runs,
+        op13_digest_merge,
     )
 }
