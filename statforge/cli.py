@@ -75,7 +75,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
     if len(a) != need[job]:
         raise SystemExit(f"{job} takes {need[job]} arguments, got {len(a)}")
     header = "each" if args.header else None
-    lines = read_lines(spark, a[0], header=header)
+    lines = read_lines(spark, a[0], header=header, position=job in ("sample", "cluster"))  # samples are drawn by position
     if job == "flag-mean":
         _out(_kv(jobs.flag_group_mean(lines), "group_key", "mean_value"), a[1], mode)
     elif job == "station-max":
@@ -120,7 +120,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
         _out(jobs.assignment_lines(res.assignments), f"{a[4]}/assigned", mode)
         return res.fit.report()
     elif job == "sample":
-        rows = parse_delimited(sample_k(lines, int(a[1]), key="value"), "tab")
+        rows = parse_delimited(sample_k(lines, int(a[1])), "tab")
         picked = rows.select(F.array(*feature_columns("fields", read_variables(spark, a[2]))).alias("center"))
         start = [[float(x) for x in r["center"]] for r in picked.collect()]  # k rows
         sinks.write_centroids(centroids_frame(spark, start), a[3], mode=mode)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statforge.sources.position import POSITION, has_position, placed_rank, rank
+
 # The default break points of the first-character range
 # partitioner, and its default number of partitions.
 DEFAULT_BREAK_POINTS = ("F", "K", "P", "U")
@@ -84,16 +86,18 @@ def range_partitioned(
     return with_bucket.repartitionById(max(num_partitions, 1), bucket).sortWithinPartitions(key)
 
 
-def sample_k(df: DataFrame, k: int, key: Column | str | None = None, seed: int = 0) -> DataFrame:
-    """Exactly ``k`` rows (fewer if the input is smaller), chosen at random (O3).
+def sample_k(df: DataFrame, k: int, seed: int = 0) -> DataFrame:
+    """Exactly ``k`` rows (fewer if the input is smaller), each set of k rows equally likely (O3).
 
-    With ``key`` the choice is reproducible on any cluster layout: rows are
-    ranked by ``md5(seed || key)``, ties broken by the key. Without it, the
-    whole row (as JSON) is the key. Spark plans ``orderBy + limit`` as a per-task top-k
-    followed by one merge of at most k rows per task.
+    A row's rank is a hash of ``seed`` and of its position, never of what it holds: a
+    line that makes up most of the input is drawn as often as it stands there. With the
+    positions ``file`` and ``line_no`` (see ``statforge.sources.position``) a sample is the same
+    however the input is split; a frame without them is ranked by partition and row
+    number, which repeats for one layout. The k least ranks are a bottom-k sketch:
+    ``orderBy + limit`` keeps k rows a task and merges these.
     """
-    if key is None:
-        key = F.to_json(F.struct(*df.columns))
-    kc = (F.col(key) if isinstance(key, str) else key).cast("string")
-    salted = kc if seed == 0 else F.concat(F.lit(f"{seed}:"), kc)
-    return df.orderBy(F.md5(salted), kc).limit(k)
+    if has_position(df):
+        return df.orderBy(rank(seed), *POSITION).limit(k)
+    place = F.monotonically_increasing_id()
+    ranked = df.withColumn("_place", place).withColumn("_rank", placed_rank(F.col("_place"), seed))
+    return ranked.orderBy("_rank", "_place").limit(k).drop("_rank", "_place")

@@ -4,7 +4,7 @@ One function replaces the driver script of shell and HDFS steps. The text is
 scanned twice in total:
 
 1. one pass parses every line once into a compact cached frame holding, per
-   line, a sample key (md5 of the line) and the chosen raw features. The
+   line, a sample key (16 bytes, from its position) and the chosen raw features. The
    profile of those columns (one global aggregate, unless moments are
    supplied), the k-row sample (a per-task top-k) and every k-means
    iteration then run against that cache;
@@ -28,6 +28,7 @@ from statforge.operators import kmeans as km
 from statforge.operators import project as proj
 from statforge.plans import jobs
 from statforge.sources.params import moments_to_lists
+from statforge.sources.position import has_position, placed_rank, rank
 from statforge.sources.text import parse_delimited
 
 # The variables the driver script clusters on (1-based columns).
@@ -49,12 +50,6 @@ class ClusteringResult:
         return self.assignments.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _sample_key(seed: int):
-    line = F.col("value")
-    salted = line if seed == 0 else F.concat(F.lit(f"{seed}:"), line)
-    return F.unhex(F.md5(salted))  # 16 bytes; orders like the hex digest
-
-
 def run_clustering(
     lines: DataFrame,
     k: int,
@@ -76,8 +71,8 @@ def run_clustering(
     three). ``moments`` reuses a stored profile (for example of a larger table
     than ``lines``, I9); otherwise the chosen columns are profiled in the
     caching pass (``profile_all=True`` profiles every column in an extra pass,
-    for the full moments file). The k starting rows are drawn by the md5 of
-    their text (``seed`` salts it) unless ``init_centers_raw`` gives them.
+    for the full moments file). The k starting rows are drawn by the rank of
+    their position, as in ``sample_k`` (``seed`` salts it), unless ``init_centers_raw`` gives them.
     A file's header is left out when it is read (``read_lines(header=...)``).
     With ``width`` given, a record wider than that fails the profile, as in the
     full profile job; without it no probe of the first record is made (the
@@ -91,7 +86,7 @@ def run_clustering(
 
     rows = parse_delimited(lines, delimiter)
     d = len(chosen)
-    key = _sample_key(seed)
+    key = rank(seed) if has_position(rows) else placed_rank(F.monotonically_increasing_id(), seed)
     if width is not None:
         key = F.when(F.size("fields") <= width, key).otherwise(
             F.raise_error(F.lit(f"record wider than {width} fields")).cast("binary")

@@ -28,6 +28,7 @@ from statforge.operators import kmeans as km
 from statforge.operators import order
 from statforge.operators import predicates as pred
 from statforge.operators import project as proj
+from statforge.sources.position import carried
 from statforge.sources.text import fixed_width, parse_delimited, with_columns_once
 
 # ---------------------------------------------------------------------------
@@ -277,7 +278,8 @@ def subset_records(
     on_bad: str = "fail",
 ) -> DataFrame:
     """``DataFrame[value, fields]``: records within the numeric bounds (NaN passes)
-    and with the listed string values, with their fields for a next step. Map-only."""
+    and with the listed string values, with their fields (and positions, if known) for a
+    next step. Map-only."""
     rows = _fields(lines, delimiter)
     bound_pairs = []
     for i, b in bounds.items():
@@ -290,7 +292,7 @@ def subset_records(
         [(field("fields", i, on_bad), v) for i, v in equals.items()],
         [(field("fields", i, on_bad), vs) for i, vs in member.items()],
     )
-    return rows.where(F.coalesce(cond, F.lit(False))).select("value", "fields")
+    return rows.where(F.coalesce(cond, F.lit(False))).select("value", "fields", *carried(rows))
 
 
 def subset_rows(lines: DataFrame, *args, **kwargs) -> DataFrame:

@@ -128,6 +128,14 @@ def _raw_fit_ctes(k: int) -> list[str]:
     return kmeans_ctes(_RAW_POINTS, _RAW_INIT_FIRST.format(k=k), 3, RAW_MAX_ITER, TOLERANCE, "max_abs")
 
 
+# A row's number in its file; the file's path below the tables' folder is its name.
+_ROW_NUMBER = "row_number() OVER () - 1 AS line_no"
+
+
+def _position_rank(table: str) -> str:
+    return f"md5('0:{table}.parquet:' || line_no)"
+
+
 def _subset_where() -> str:
     return "l_quantity <= 25 AND l_extendedprice <= 50000 AND l_linestatus = 'O' AND l_returnflag IN ('A', 'R')"
 
@@ -136,9 +144,9 @@ def _clustering_sql(k: int, subset: bool) -> str:
     where = f"WHERE {_subset_where()}" if subset else ""
     points = "SELECT " + _ROW_ID + ", " + _Z + f" FROM lineitem {where}"
     init = (
-        "SELECT row_number() OVER (ORDER BY md5(line), line) - 1 AS cid, " + _Z + " FROM (SELECT *, "
-        + LINEITEM_LINE
-        + f" AS line FROM lineitem {where} ORDER BY md5(line), line LIMIT {k}) f"
+        "SELECT row_number() OVER (ORDER BY rank) - 1 AS cid, " + _Z + " FROM (SELECT *, "
+        + _position_rank("lineitem")
+        + f" AS rank FROM (SELECT *, {_ROW_NUMBER} FROM lineitem) n {where} ORDER BY rank LIMIT {k}) f"
     )
     ctes = [_MOMENTS_CTE] + kmeans_ctes(points, init, 3, q.STD_MAX_ITER, TOLERANCE, "squared_shift")
     last = q.STD_MAX_ITER
@@ -270,8 +278,8 @@ def oracle_sql() -> dict[str, str]:
         "clustering_given_moments": _clustering_sql(q.SUBSET_CLUSTER_K, subset=True),
         "kmeans_embeddings": _embeddings_sql(q.EMBED_K),
         "sample_k": (
-            f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), "
-            f"CAST(o_orderkey AS VARCHAR) LIMIT {q.SAMPLE_K}"
+            f"SELECT o_orderkey, o_custkey, o_totalprice FROM (SELECT *, {_ROW_NUMBER} FROM orders) n "
+            f"ORDER BY {_position_rank('orders')} LIMIT {q.SAMPLE_K}"
         ),
         "redelimit": (
             "SELECT concat_ws(chr(9), CAST(p_partkey AS VARCHAR), split_part(p_name, ' ', 1), split_part(p_name, ' ', 2), "

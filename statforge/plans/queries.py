@@ -180,14 +180,14 @@ def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustering_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = run_clustering(
-        tables.lineitem_tab_lines(spark, sf_dir), k=CLUSTER_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, width=LINEITEM_WIDTH
+        tables.lineitem_tab_lines(spark, sf_dir, position=True), k=CLUSTER_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, width=LINEITEM_WIDTH
     )
     return res.cluster_sizes()
 
 
 def clustering_given_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH, columns=STD_VARIABLES)
-    subset = jobs.subset_records(tables.lineitem_tab_lines(spark, sf_dir), bounds=SUBSET_BOUNDS, equals=SUBSET_EQUALS, member=SUBSET_MEMBER)
+    subset = jobs.subset_records(tables.lineitem_tab_lines(spark, sf_dir, position=True), bounds=SUBSET_BOUNDS, equals=SUBSET_EQUALS, member=SUBSET_MEMBER)
     res = run_clustering(
         subset, k=SUBSET_CLUSTER_K, max_iter=STD_MAX_ITER, variables=STD_VARIABLES, moments=full, width=LINEITEM_WIDTH
     )
@@ -216,8 +216,8 @@ def _vector_sums(spark: SparkSession, result: km.KMeansResult) -> DataFrame:
 def sample_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statforge.operators.order import sample_k as _sample
 
-    o = read_table(spark, sf_dir, "orders")
-    return _sample(o, SAMPLE_K, key=F.col("o_orderkey")).select("o_orderkey", "o_custkey", "o_totalprice")
+    o = read_table(spark, sf_dir, "orders", position=True)
+    return _sample(o, SAMPLE_K).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 def redelimit_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,9 +31,9 @@ LINEITEM_COLUMNS = (
 LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
-def lineitem_tab_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_tab_lines(spark: SparkSession, sf_dir: str, position: bool = False) -> DataFrame:
     """All lineitem columns, tab-separated, in schema order (fields 0..10)."""
-    return lines_from_columns(read_table(spark, sf_dir, "lineitem"), LINEITEM_COLUMNS, "\t")
+    return lines_from_columns(read_table(spark, sf_dir, "lineitem", position), LINEITEM_COLUMNS, "\t")
 
 
 def lineitem_flag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from statforge.sources.params import (
     read_moments,
     read_variables,
 )
+from statforge.sources.position import numbered_lines, numbered_rows
 from statforge.sources.text import (
     cut_fields,
     fixed_width,
@@ -18,10 +19,12 @@ from statforge.sources.text import (
 )
 
 
-def read_table(spark, sf_dir: str, name: str):
+def read_table(spark, sf_dir: str, name: str, position: bool = False):
     """One parquet test table (``{sf_dir}/{name}.parquet``); its splits follow
-    ``spark.sql.files.maxPartitionBytes`` and ``spark.sql.files.minPartitionNum``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    ``spark.sql.files.maxPartitionBytes`` and ``spark.sql.files.minPartitionNum``.
+    ``position`` adds the rows' ``file`` and ``line_no``."""
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return numbered_rows(table) if position else table
 
 
 __all__ = [
@@ -31,6 +34,8 @@ __all__ = [
     "fixed_width",
     "lines_from_columns",
     "moments_to_lists",
+    "numbered_lines",
+    "numbered_rows",
     "parse_delimited",
     "read_centroids",
     "read_lines",

@@ -12,56 +12,50 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statforge.functions.parse import LAYOUTS, split_fields
+from statforge.sources.position import carried, numbered_lines, without_headers
 
 # awk's default field separator: runs of blanks, tabs and newlines.
 _AWK_BLANKS = "[ \t\n]+"
 
 
-# A separator no text line holds, so the CSV reader sees one column per line.
-_NO_SEPARATOR = "\x01\x02\x01"
-
-
 def read_lines(
-    spark: SparkSession, path: str | Sequence[str], line_sep: str | None = None, header: str | None = None
+    spark: SparkSession, path: str | Sequence[str], line_sep: str | None = None, header: str | None = None, position: bool = False
 ) -> DataFrame:
     """Scan text files (a file, a directory or a glob) as ``DataFrame[value]``.
 
     ``header="each"`` leaves out the first line of every file, ``"first"`` the
-    first line of the first file by path. Lines are left out by their position,
-    never by their content; the reader that does so also passes over blank lines.
+    first line of the first file by path that has any. Lines are left out by their
+    position, never by their content, however the files are split. ``position``
+    adds ``file`` and ``line_no``. Either takes a pass that counts lines
+    (see ``statforge.sources.position``).
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if header == "each":
-        return _body_lines(spark, paths, line_sep)
-    reader = spark.read
-    if line_sep is not None:
-        reader = reader.option("lineSep", line_sep)
-    if header is None:
-        return reader.text(paths)
-    if header != "first":
+    if header not in (None, "each", "first"):
         raise ValueError(f"header must be None, 'each' or 'first', not {header!r}")
-    files = spark.read.format("binaryFile").load(paths)  # only names are read
-    first = files.agg(F.min("path")).first()[0]
-    if first is None:
-        return reader.text(paths)
-    rest = reader.text(paths).where(F.col("_metadata.file_path") != F.lit(first)).where(F.trim("value") != "")
-    return _body_lines(spark, [first], line_sep).unionByName(rest)
-
-
-def _body_lines(spark: SparkSession, paths: Sequence[str], line_sep: str | None) -> DataFrame:
-    reader = spark.read.schema("value STRING").option("header", True).option("enforceSchema", True).option("sep", _NO_SEPARATOR).option("quote", "").option("maxCharsPerColumn", -1)
+    reader = spark.read
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
-    return reader.csv(list(paths))
+    lines = reader.text(paths)
+    if position:
+        rows = numbered_lines(lines)
+        if header is None:
+            return rows
+        is_head = F.col("line_no") == 0
+        if header == "first":
+            first = rows.where(is_head).agg(F.min("file").alias("file")).first()["file"]
+            is_head = is_head & (F.col("file") == F.lit(first))
+        return rows.where(~F.coalesce(is_head, F.lit(False)))
+    return lines if header is None else without_headers(lines, header)
 
 
 def lines_from_columns(df: DataFrame, columns: Sequence[str | Column], sep: str, name: str = "value") -> DataFrame:
     """Render typed columns as delimited text lines (the ``read.text`` shape).
 
-    NULLs become empty fields, so field positions never shift.
+    NULLs become empty fields, so field positions never shift. The rows' positions
+    (``file``, ``line_no``) go along if the frame has them.
     """
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns]
-    return df.select(F.concat_ws(sep, *parts).alias(name))
+    return df.select(F.concat_ws(sep, *parts).alias(name), *carried(df))
 
 
 def parse_delimited(
