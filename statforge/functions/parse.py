@@ -115,14 +115,15 @@ def parse_double(text: Column | str) -> Column:
     )
 
 
-def or_fail(raw: Column, parsed: Column, what: str, cast: str = "double") -> Column:
+def or_fail(raw: Column, parsed: Column, what: str | Column, cast: str = "double") -> Column:
     """``parsed``, or a job failure when ``raw`` is present but did not parse.
 
     ``parsed`` is referenced once, so the parse is not duplicated in the plan.
     """
+    said = F.lit(f"{what} is not a number: ") if isinstance(what, str) else F.concat(what, F.lit(" is not a number: "))
     return F.coalesce(
         parsed,
-        F.when(raw.isNotNull(), F.raise_error(F.concat(F.lit(f"{what} is not a number: "), raw))).cast(cast),
+        F.when(raw.isNotNull(), F.raise_error(F.concat(said, raw))).cast(cast),
     )
 
 

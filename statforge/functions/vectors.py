@@ -14,6 +14,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def distance(vec: Column, center: Column) -> Column:
+    """Euclidean distance of two ``array<double>`` columns, summed from left to right."""
+    return F.sqrt(F.aggregate(F.zip_with(vec, center, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x))
+
+
+def _distances(vec: Column, centers: Sequence[Sequence[float]]) -> Column:
+    lit_centers = F.lit([[float(x) for x in c] for c in centers])  # infinities survive as array elements
+    return F.transform(lit_centers, lambda c: distance(vec, c))
+
+
+def _first_least(dists: Column) -> Column:
+    return (F.array_position(dists, F.array_min(dists)) - F.lit(1)).cast("int")
+
+
 def nearest_centroid_array(vec: Column, centers: Sequence[Sequence[float]]) -> Column:
     """Nearest centroid for an ``array<double>`` vector.
 
@@ -22,11 +36,16 @@ def nearest_centroid_array(vec: Column, centers: Sequence[Sequence[float]]) -> C
     centroid by ``transform``, then the first position of the minimum (ties
     to the lowest index; an all-NaN row gets 0).
     """
-    lit_centers = F.lit([[float(x) for x in c] for c in centers])  # infinities survive as array elements
-    dists = F.transform(
-        lit_centers,
-        lambda c: F.sqrt(
-            F.aggregate(F.zip_with(vec, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
-        ),
-    )
-    return (F.array_position(dists, F.array_min(dists)) - F.lit(1)).cast("int")
+    return _first_least(_distances(vec, centers))
+
+
+def two_nearest(vec: Column, centers: Sequence[Sequence[float]]) -> Column:
+    """``struct(cluster, upper, lower)``: the nearest centroid as above, its distance, and the distance
+    of the next one (infinite if there is none). The distances are computed once."""
+    held = F.transform(F.array(_distances(vec, centers)), _ranked)
+    return F.get(held, 0)
+
+
+def _ranked(dists: Column) -> Column:
+    ordered = F.array_sort(dists)
+    return F.struct(_first_least(dists).alias("cluster"), F.get(ordered, 0).alias("upper"), F.coalesce(F.get(ordered, 1), F.lit(float("inf"))).alias("lower"))

@@ -87,6 +87,24 @@ def profile_values(fields: Column | str, width: int, on_bad: str = "fail") -> li
     return out
 
 
+#: Above this many columns a profile is taken in the long form.
+WIDE_PROFILE = 64
+
+
+def _long_profile(src: DataFrame, fields: str, width: int, wanted: Sequence[int], on_bad: str) -> DataFrame:
+    """The profile of many columns: each record becomes (column, value) rows, whose moments
+    (count, mean, squared deviations) are combined in the task and merged by column.
+
+    The plan is the same for any width; a task holds one buffer for each column.
+    """
+    arr = F.col(fields)
+    at = lambda i: F.when(F.size(arr) > i, parse_double_or_nan(F.get(arr, i))).otherwise(F.lit(0.0))
+    pairs = F.transform(F.lit([int(i) for i in wanted]), lambda i: F.struct(i.alias("col_idx"), at(i).alias("x")))
+    if on_bad == "fail":
+        pairs = F.when(F.size(arr) <= width, pairs).otherwise(F.raise_error(F.lit(f"record wider than {width} fields")).cast("array<struct<col_idx:int,x:double>>"))
+    return src.select(F.inline(pairs)).groupBy("col_idx").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+
+
 def column_profile(
     df: DataFrame,
     fields: str = "fields",
@@ -99,9 +117,10 @@ def column_profile(
     Returns the long form ``DataFrame[col_idx INT, mean DOUBLE, std DOUBLE]``:
     one global aggregate with two buffers per column (partial aggregation in
     every task, one row per task through the exchange), then an unpivot of its
-    single row. ``width`` defaults to the first record's width (one row
-    fetched). ``columns`` restricts the work to those column positions. Empty
-    input gives no rows.
+    single row. More than ``WIDE_PROFILE`` columns are profiled in the long form
+    instead, whose plan does not grow with the width. ``width`` defaults to the first
+    record's width (one row fetched). ``columns`` restricts the work to those column
+    positions. Empty input gives no rows.
     """
     if width is None:
         first = df.select(F.size(fields).alias("w")).first()
@@ -112,6 +131,8 @@ def column_profile(
     src = df
     if on_bad == "drop":
         src = src.where(F.size(fields) <= width)
+    if len(wanted) > WIDE_PROFILE:
+        return _long_profile(src, fields, width, wanted, on_bad)
     xs = profile_values(fields, width, on_bad)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i in wanted:

@@ -1,6 +1,6 @@
 """k-means as Spark jobs.
 
-One iteration is one Spark job over the persisted feature frame:
+One iteration is one Spark job over the kept feature frame:
 
 * nearest centroid per row, centroids inlined as literals (map-side, J1);
 * ``groupBy(cluster)`` of (count, mean per feature): partial aggregation in
@@ -11,10 +11,22 @@ One iteration is one Spark job over the persisted feature frame:
 Nothing but those k rows reaches the driver, the data is scanned once per
 iteration, and the plan has a single tiny shuffle whatever the data size.
 A cluster holding a third of all rows is just one partial buffer per task.
+
+Most distances are never computed. The kept frame carries, beside each vector, its
+cluster, its distance to that centroid and its distance to the next best one, all
+measured from the *anchor*: the centroids of the round in which the frame was written.
+A centroid that has moved by ``m`` since then is at most ``m`` nearer or farther, so a row
+whose own centroid is, by these bounds, still nearer than any other needs no distance;
+a row that its exact distance settles needs one; only the others need all k. When such
+rows become many the frame is written anew, with the current centroids as anchor. The
+bounds have a margin for rounding, so clusters, centroids, sizes and iterations are those
+of the plain method.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import time
 from collections.abc import Sequence
@@ -24,7 +36,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statforge.functions.vectors import nearest_centroid_array
+from statforge.files import path_exists
+from statforge.functions.vectors import distance, nearest_centroid_array, two_nearest
+from statforge.sources.text import with_columns_once
 
 # Iteration cap of the raw-scale job, and the tolerance both
 # convergence tests use.
@@ -66,6 +80,10 @@ class Features:
     def nearest(self, centers: Sequence[Sequence[float]]) -> Column:
         return nearest_centroid_array(self.vector(), centers)
 
+    def bounded(self, centers: Sequence[Sequence[float]]) -> Column:
+        """``struct(cluster, upper, lower)``: nearest centroid, its distance, and that of the next one."""
+        return two_nearest(self.vector(), centers)
+
 
 def max_abs_shift(old: Sequence[Sequence[float]], new: Sequence[Sequence[float]]) -> float:
     """Largest coordinate move over all centroids (the raw job's test, I3)."""
@@ -94,6 +112,11 @@ class KMeansResult:
     trace: list[dict] = field(default_factory=list)
     left_out: int = 0  # rows with a missing, NaN or infinite feature
 
+    @property
+    def distances(self) -> int:
+        """Distances computed in all rounds (the plain method takes rows x clusters in each)."""
+        return sum(t["distances"] for t in self.trace)
+
     def report(self) -> str:
         """Convergence report (I5), and how many rows the fit could not use."""
         state = f"converged after iteration {self.iterations}" if self.converged else f"still moving after iteration {self.iterations}"
@@ -113,28 +136,134 @@ class KMeansResult:
         )
 
 
-def lloyd_step(data: DataFrame, features: Features, centers: Sequence[Sequence[float]]) -> tuple[list[list[float]], list[int], int]:
-    """One assignment + update pass: new centroids, their sizes, rows left out.
+#: Above this width the coordinates of a cluster are summed as one vector, not column by column.
+WIDE = 256
 
-    Empty clusters keep their old centroid. Unusable rows are counted in the same
-    pass, as a group of their own.
+
+def _cluster_means(assigned: DataFrame, dim: int) -> DataFrame:
+    """``cluster, n, distances, center`` of rows ``cluster, cost, x``.
+
+    Narrow vectors take one ``avg`` a coordinate (a hash aggregate); wide ones a
+    vector-valued sum, of which a task has one for each cluster, merged by element.
     """
-    k = len(centers)
-    cluster = F.when(features.valid(), features.nearest(centers)).otherwise(F.lit(-1))
-    # one parsed SQL expression per element keeps building the plan cheap
-    means = [F.expr(f"avg(get(_x, {j})) AS c{j}") for j in range(features.dim)]
-    stats = data.select(cluster.alias("cluster"), features.vector().alias("_x")).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *means).collect()
+    counted = [F.count(F.lit(1)).alias("n"), F.sum("cost").alias("distances")]
+    if dim <= WIDE:
+        # one parsed SQL expression per element keeps building the plan cheap
+        means = [F.expr(f"avg(get(x, {j})) AS c{j}") for j in range(dim)]
+        rows = assigned.groupBy("cluster").agg(*counted, *means)
+        return rows.select("cluster", "n", "distances", F.array(*[f"c{j}" for j in range(dim)]).alias("center"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    usable = F.when(F.col("cluster") >= 0, F.col("x")).otherwise(zeros)  # rows left out are only counted
+    rows = assigned.withColumn("v", array_to_vector(usable)).groupBy("cluster").agg(*counted, Summarizer.sum(F.col("v")).alias("total"))
+    return rows.select("cluster", "n", "distances", F.transform(vector_to_array("total"), lambda t: t / F.col("n")).alias("center"))
+
+
+def _update(assigned: DataFrame, centers: Sequence[Sequence[float]], dim: int) -> tuple[list[list[float]], list[int], int, int]:
+    """New centroids, their sizes, rows left out, and distances computed. Empty clusters keep their centroid."""
     new = [list(c) for c in centers]
-    sizes = [0] * k
-    left_out = 0
-    for r in stats:
+    sizes = [0] * len(centers)
+    left_out = distances = 0
+    for r in _cluster_means(assigned, dim).collect():
         i = int(r["cluster"])
+        distances += int(r["distances"])
         if i < 0:
             left_out = int(r["n"])
             continue
         sizes[i] = int(r["n"])
-        new[i] = [float(r[f"c{j}"]) for j in range(features.dim)]
-    return new, sizes, left_out
+        new[i] = [float(v) for v in r["center"]]
+    return new, sizes, left_out, distances
+
+
+def lloyd_step(data: DataFrame, features: Features, centers: Sequence[Sequence[float]]) -> tuple[list[list[float]], list[int], int]:
+    """One assignment + update pass without bounds: new centroids, their sizes, rows left out.
+
+    Empty clusters keep their old centroid. Unusable rows are counted in the same
+    pass, as a group of their own.
+    """
+    cluster = F.when(features.valid(), features.nearest(centers)).otherwise(F.lit(-1))
+    rows = data.select(cluster.alias("cluster"), F.lit(len(centers)).alias("cost"), features.vector().alias("x"))
+    return _update(rows, centers, features.dim)[:3]
+
+
+class BoundedRounds:
+    """Rounds over a frame that carries each row's bounds (see the module's text).
+
+    ``keep`` writes or persists a frame and gives it back with a function that frees it.
+    """
+
+    #: The frame is written anew when a round computed more than this share of all distances.
+    RENEW = 0.25
+
+    def __init__(self, points: DataFrame, features: Features, keep):
+        own = Features(array="x", width=features.dim)
+        # the vector is built once a row, however often the expressions below refer to it
+        self.vectors = with_columns_once(points.select(features.vector().alias("x")), {"x": F.col("x")}).select(F.when(own.valid(), F.col("x")).alias("x"))
+        self.dim, self.keep = features.dim, keep
+        self.frame: DataFrame | None = None
+        self.anchor: list[list[float]] = []
+        self.free = lambda: None
+        self.stale = True
+
+    def _renew(self, centers: list[list[float]]) -> None:
+        """Write the frame with ``centers`` as anchor. A row that cannot be used has cluster -1 and no vector."""
+        source = self.vectors if self.frame is None else self.frame.select("x")
+        own = Features(array="x", width=self.dim)
+        rows = source.select("x", F.when(F.col("x").isNotNull(), own.bounded(centers)).alias("b"))
+        frame, free = self.keep(rows.select("x", F.coalesce("b.cluster", F.lit(-1)).alias("cluster"), F.col("b.upper").alias("upper"), F.col("b.lower").alias("lower")))
+        self.frame, self.anchor, self.stale = frame, [list(c) for c in centers], False
+        self._free_before, self.free = self.free, free
+
+    def _assigned(self, centers: list[list[float]]) -> DataFrame:
+        """``cluster, cost, x``: the cluster of every row and the number of distances that it took."""
+        own, k = Features(array="x", width=self.dim), len(centers)
+        moved = [math.dist(a, c) for a, c in zip(self.anchor, centers)]
+        others = [max((m for j, m in enumerate(moved) if j != i), default=0.0) for i in range(k)]
+        slack = 4e-15 * (self.dim + 8)  # well above the relative error of a distance
+        cluster = F.col("cluster")
+        pick = lambda values: F.get(F.lit([float(v) for v in values]), cluster)
+        upper, lower = F.col("upper") + pick(moved), F.col("lower") - pick(others)
+        margin = F.lit(slack) * (F.col("upper") + F.col("lower") + F.lit(4 * max(moved)))
+        sure = (lower < F.lit(float("inf"))) & (upper + margin < lower)
+        exact = distance(F.col("x"), F.get(F.lit([[float(v) for v in c] for c in centers]), cluster))
+        settled = (lower < F.lit(float("inf"))) & (exact + margin < lower)
+        done = lambda c, cost: F.struct(c.cast("int").alias("cluster"), F.lit(cost).alias("cost"))
+        found = F.when((cluster < 0) | sure | F.lit(k == 1), done(cluster, 0)).when(settled, done(cluster, 1)).otherwise(done(own.nearest(centers), k + 1))
+        return self.frame.select(found.alias("f"), "x").select("f.cluster", "f.cost", "x")
+
+    def step(self, centers: list[list[float]]) -> tuple[list[list[float]], list[int], int, int]:
+        """One round: new centroids, sizes, rows left out, distances computed."""
+        renewed = self.stale
+        if renewed:
+            self._renew(centers)
+        new, sizes, left_out, distances = _update(self._assigned(centers), centers, self.dim)
+        every = len(centers) * sum(sizes)
+        if renewed:
+            self._free_before()
+            distances += every
+        else:
+            self.stale = distances > self.RENEW * every
+        return new, sizes, left_out, distances
+
+
+def _kept(cache: str):
+    """How a frame is kept: a function from a frame to it and to what frees it."""
+
+    def persisted(frame: DataFrame):
+        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+        return frame, frame.unpersist
+
+    def written(frame: DataFrame):
+        from statforge.session import checkpoint_dir
+
+        checkpoint_dir(frame.sparkSession)
+        return frame.checkpoint(eager=True), lambda: None
+
+    if cache not in ("persist", "checkpoint"):
+        raise ValueError(f"cache must be 'persist' or 'checkpoint', not {cache!r}")
+    return persisted if cache == "persist" else written
 
 
 def fit(
@@ -144,8 +273,8 @@ def fit(
     max_iter: int = RAW_MAX_ITER,
     tol: float = TOLERANCE,
     rule: str = "max_abs",
-    persist: bool = True,
     cache: str = "persist",
+    state: str | None = None,
 ) -> KMeansResult:
     """Lloyd iterations from given starting centroids (I1, I2 once standardised).
 
@@ -153,11 +282,16 @@ def fit(
     Rows with a missing, NaN or infinite feature are left out of the fit; the
     result says how many.
 
-    The parsed feature frame is kept for the iterations. ``cache="persist"``
+    The parsed feature frame with its bounds is kept for the iterations. ``cache="persist"``
     keeps it in executor memory, spilling to disk; a lost executor only
     recomputes its own blocks from their input splits. ``cache="checkpoint"``
-    writes it once to the shared checkpoint folder (``spark.checkpoint.dir``)
+    writes it to the shared checkpoint folder (``spark.checkpoint.dir``)
     and cuts the lineage, so a lost executor never re-reads the raw input.
+
+    ``state`` names a folder in which every finished round leaves its centroids. A fit
+    that finds whole rounds of the same start, rule and tolerance there goes on after
+    the last of them, with the trace of all; so a fit survives the loss of its driver, and
+    a larger ``max_iter`` carries on where a smaller one stopped. See ``RoundState``.
     """
     centers = [[float(x) for x in c] for c in init_centers]
     if not centers:
@@ -168,47 +302,96 @@ def fit(
         if not all(math.isfinite(x) for x in c):
             raise ValueError("NaN or infinity in a starting centroid")
 
-    # Parse once into the persisted frame; the iterations read its one array.
-    cached = points.select(features.vector().alias("x"))
-    if persist and cache == "checkpoint":
-        from statforge.session import checkpoint_dir
-
-        checkpoint_dir(cached.sparkSession)
-        cached = cached.checkpoint(eager=True)
-        persist = False
-    elif persist:
-        cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
-    own = Features(array="x", width=features.dim)
-    left_out = 0
-    trace: list[dict] = []
-    sizes = [0] * len(centers)
-    converged = False
-    iteration = 0
+    rounds = BoundedRounds(points, features, _kept(cache))
+    stored = RoundState(points.sparkSession, state, centers, rule, tol) if state else None
+    result = KMeansResult(centers=centers, sizes=[0] * len(centers), iterations=0, converged=False)
+    if stored:
+        stored.load(result, max_iter)
     try:
-        while not converged and iteration < max_iter:
+        while not result.converged and result.iterations < max_iter:
             started = time.perf_counter()
-            new, sizes, left_out = lloyd_step(cached, own, centers)
+            new, sizes, left_out, distances = rounds.step(result.centers)
             seconds = time.perf_counter() - started
-            sq = squared_shifts(centers, new)
-            mx = max_abs_shift(centers, new)
-            converged = has_converged(centers, new, rule, tol)
-            iteration += 1
-            trace.append(
+            sq = squared_shifts(result.centers, new)
+            result.converged = has_converged(result.centers, new, rule, tol)
+            result.iterations += 1
+            result.trace.append(
                 {
-                    "iteration": iteration,
-                    "max_abs_shift": mx,
-                    "max_squared_shift": max(sq) if sq else 0.0,
+                    "iteration": result.iterations,
+                    "max_abs_shift": max_abs_shift(result.centers, new),
+                    "max_squared_shift": max(sq, default=0.0),
                     "squared_shifts": sq,
                     "sizes": list(sizes),
-                    "converged": converged,
+                    "converged": result.converged,
                     "seconds": seconds,
+                    "distances": distances,
                 }
             )
-            centers = new
+            result.centers, result.sizes, result.left_out = new, sizes, left_out
+            if stored:
+                stored.save(result)
     finally:
-        if persist:
-            cached.unpersist()
-    return KMeansResult(centers=centers, sizes=sizes, iterations=iteration, converged=converged, trace=trace, left_out=left_out)
+        rounds.free()
+    return result
+
+
+class RoundState:
+    """The finished rounds of a fit, one small parquet folder each (``round-000001``, ...), a row a cluster.
+
+    A round is whole if it has all its rows; what a lost driver left half written is
+    passed over and written again. The folder belongs to one fit of one input: rounds of
+    another start, rule or tolerance are refused.
+    """
+
+    SCHEMA = (
+        "fit STRING, iteration INT, cluster INT, center ARRAY<DOUBLE>, n BIGINT, squared_shift DOUBLE, max_abs_shift DOUBLE, "
+        "converged BOOLEAN, left_out BIGINT, seconds DOUBLE, distances BIGINT"
+    )
+
+    def __init__(self, spark: SparkSession, path: str, start: list[list[float]], rule: str, tol: float):
+        self.spark, self.path, self.k = spark, path.rstrip("/"), len(start)
+        self.fit = hashlib.sha256(json.dumps([start, rule, tol]).encode()).hexdigest()
+
+    def _round(self, i: int) -> str:
+        return f"{self.path}/round-{i:06d}"
+
+    def _read(self, i: int) -> list:
+        if not path_exists(self.spark, self._round(i)):
+            return []
+        rows = self.spark.read.schema(self.SCHEMA).parquet(self._round(i)).orderBy("cluster").collect()  # k rows
+        if any(r["fit"] != self.fit for r in rows):
+            raise ValueError(f"{self.path} holds the rounds of another fit")
+        return rows if [r["cluster"] for r in rows] == list(range(self.k)) else []
+
+    def load(self, result: KMeansResult, max_iter: int) -> None:
+        """Put the whole rounds, from the first on and ``max_iter`` at most, into ``result``."""
+        while result.iterations < max_iter and not result.converged:
+            rows = self._read(result.iterations + 1)
+            if not rows:
+                return
+            first, sq = rows[0], [r["squared_shift"] for r in rows]
+            result.centers, result.sizes = [list(r["center"]) for r in rows], [r["n"] for r in rows]
+            result.iterations, result.converged, result.left_out = first["iteration"], first["converged"], first["left_out"]
+            result.trace.append(
+                {
+                    "iteration": first["iteration"],
+                    "max_abs_shift": first["max_abs_shift"],
+                    "max_squared_shift": max(sq, default=0.0),
+                    "squared_shifts": sq,
+                    "sizes": list(result.sizes),
+                    "converged": first["converged"],
+                    "seconds": first["seconds"],
+                    "distances": first["distances"],
+                }
+            )
+
+    def save(self, result: KMeansResult) -> None:
+        t = result.trace[-1]
+        rows = [
+            (self.fit, t["iteration"], i, c, n, t["squared_shifts"][i], t["max_abs_shift"], t["converged"], result.left_out, t["seconds"], t["distances"])
+            for i, (c, n) in enumerate(zip(result.centers, result.sizes))
+        ]
+        self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("overwrite").parquet(self._round(t["iteration"]))
 
 
 def assign(

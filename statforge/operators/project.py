@@ -61,6 +61,26 @@ def feature_columns(
     return out
 
 
+def feature_array(fields: Column | str, var_indices: Sequence[int], parse=parse_double, on_bad: str = "fail") -> Column:
+    """:func:`feature_columns` as one array; the expression stays small whatever the number of columns."""
+    arr = _arr(fields)
+
+    def value(i: Column) -> Column:
+        raw = F.get(arr, i)
+        parsed = parse(raw)
+        return or_fail(raw, parsed, F.concat(F.lit("field "), i.cast("string"))) if on_bad == "fail" else parsed
+
+    return F.transform(F.lit([int(i) for i in var_indices]), value)
+
+
+def standardised_array(values: Column, var_indices: Sequence[int], means: Sequence[float], stds: Sequence[float]) -> Column:
+    """:func:`standardise` for an array of the chosen columns."""
+    check_moments(var_indices, means, stds)
+    chosen = lambda xs: F.lit([float(xs[i]) for i in var_indices])
+    centred = F.zip_with(values, chosen(means), lambda v, m: v - m)
+    return F.zip_with(centred, chosen(stds), lambda v, s: v / s)
+
+
 def check_moments(var_indices: Sequence[int], means: Sequence[float], stds: Sequence[float]) -> None:
     """Standardising by a zero, NaN or missing std would poison every distance."""
     for i in var_indices:

@@ -64,6 +64,7 @@ def run_clustering(
     cache: str = "persist",
     width: int | None = None,
     keep: Mapping[str, Column] | None = None,
+    state: str | None = None,
 ) -> ClusteringResult:
     """Run the whole clustering on delimited records (tab by default).
 
@@ -77,7 +78,8 @@ def run_clustering(
     With ``width`` given, a record wider than that fails the profile, as in the
     full profile job; without it no probe of the first record is made (the
     chosen columns need none). ``keep`` names expressions over ``value`` and
-    ``fields`` that the assignments carry instead of the line.
+    ``fields`` that the assignments carry instead of the line. ``state`` names a
+    folder from which the fit goes on if an earlier run left whole rounds there.
     """
     spark = lines.sparkSession
     chosen = list(variables) if variables is not None else [v - 1 for v in DEFAULT_VARIABLES_1BASED]
@@ -138,7 +140,7 @@ def run_clustering(
         z = proj.standardise([F.get("x", j) for j in range(d)], chosen, means, stds)
         points = cached.select(F.array(*z).alias("x"))
         std_start = proj.standardise_centers(start, chosen, means, stds)
-        result = km.fit(points, km.Features(array="x", width=d), std_start, max_iter=max_iter, tol=tol, rule="squared_shift", persist=False)
+        result = km.fit(points, km.Features(array="x", width=d), std_start, max_iter=max_iter, tol=tol, rule="squared_shift", cache=cache, state=state)
     finally:
         if cache != "checkpoint":
             cached.unpersist()

@@ -26,11 +26,15 @@ from statforge.functions.parse import (
 from statforge.operators import aggregate as agg
 from statforge.operators import kmeans as km
 from statforge.operators import order
+from statforge.operators.counted import DropCounts, kept_rows
 from statforge.operators import predicates as pred
 from statforge.operators import project as proj
 from statforge.sources.position import carried
 from statforge.sources.text import fixed_width, parse_delimited, with_columns_once
 
+#: Above this many variables the feature vector is one array expression (unrolled code would be too large to compile).
+WIDE_FEATURES = 32
+
 # ---------------------------------------------------------------------------
 # Default record layouts and constants of the original jobs.
 # ---------------------------------------------------------------------------
@@ -72,6 +76,7 @@ def flag_group_mean(
     keep_flag: str = FLAG_KEEP,
     delimiter: str = COMMA,
     on_bad: str = "fail",
+    counts: DropCounts | None = None,
 ) -> DataFrame:
     """``DataFrame[group_key, mean_value]``: mean of one field per composite key,
     over records whose last field equals ``keep_flag`` (any case).
@@ -80,14 +85,14 @@ def flag_group_mean(
     key fails the job (or is dropped) whatever its flag says.
     """
     rows = with_columns_once(_fields(lines, delimiter), {"group_key": proj.composite_key("fields", key_indices, ", ", on_bad)})
-    rows = rows.where(F.col("group_key").isNotNull() & pred.last_field_equals_ci("fields", keep_flag))
+    rows = kept_rows(rows, {"too short for its key": F.col("group_key").isNotNull(), "flag": pred.last_field_equals_ci("fields", keep_flag)}, counts)
     raw = field("fields", value_index, on_bad)
     value = parse_double(raw)
     if on_bad == "fail":
         value = _fail_unparsed(raw, value, f"field {value_index}")
     keyed = rows.select("group_key", value.alias("v"))
     if on_bad == "drop":
-        keyed = keyed.where(pred.parsed(F.col("v")))
+        keyed = kept_rows(keyed, {"value is not a number": pred.parsed(F.col("v"))}, counts, "flagged records")
     return order.sorted_partitions(agg.grouped_mean(keyed, "group_key", "v", alias="mean_value"), "group_key")
 
 
@@ -101,6 +106,7 @@ def station_year_max(
     missing: int = STATION_MISSING,
     floor: int = STATION_FLOOR,
     on_bad: str = "fail",
+    counts: DropCounts | None = None,
 ) -> DataFrame:
     """``DataFrame[year, max_value]``: signed reading, quality in the list, not
     the missing sentinel; the maximum starts at ``floor``."""
@@ -113,7 +119,7 @@ def station_year_max(
     signed = proj.signed_value(F.col("sign"), reading)
     rows = cut.select(F.col("year"), signed.alias("t"), q.alias("q"))
     if on_bad == "drop":
-        rows = rows.where(pred.parsed(F.col("t"), F.col("q")))
+        rows = kept_rows(rows, {"reading is not an integer": pred.parsed(F.col("t")), "quality is not an integer": pred.parsed(F.col("q"))}, counts)
     rows = rows.where(pred.not_sentinel(F.col("t"), missing) & pred.in_list(F.col("q"), quality))
     return order.sorted_partitions(agg.grouped_max(rows, "year", "t", floor=floor, alias="max_value"), "year")
 
@@ -130,13 +136,14 @@ def year_range_projection(
     years: tuple[int, int] = SONG_YEARS,
     delimiter: str = COMMA,
     on_bad: str = "fail",
+    counts: DropCounts | None = None,
 ) -> DataFrame:
     """``DataFrame[artist, duration, title, year]`` (text fields, reordered) of
     records whose year parses as an integer within ``years``. No shuffle."""
     rows = _fields(lines, delimiter)
     y_text = field("fields", year, on_bad)
     y = parse_int(y_text)
-    kept = rows.where(pred.parsed(y) & pred.in_closed_range(y, years[0], years[1]))
+    kept = kept_rows(rows, {"year is not an integer": pred.parsed(y), "year out of range": pred.in_closed_range(y, years[0], years[1])}, counts)
     return kept.select(
         field("fields", artist, on_bad).alias("artist"),
         field("fields", duration, on_bad).alias("duration"),
@@ -153,16 +160,18 @@ def projection_lines(projected: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Grouped maximum floored at 0, optionally range-partitioned by first char.
 # ---------------------------------------------------------------------------
-def key_values(lines: DataFrame, key: int, value: int, delimiter: str = COMMA, on_bad: str = "fail") -> DataFrame:
+def key_values(lines: DataFrame, key: int, value: int, delimiter: str = COMMA, on_bad: str = "fail", counts: DropCounts | None = None) -> DataFrame:
     """(key text, parsed double) pairs; records whose value does not parse are dropped."""
     rows = _fields(lines, delimiter)
     pairs = rows.select(field("fields", key, on_bad).alias("key"), parse_double(field("fields", value, on_bad)).alias("v"))
-    return pairs.where(pred.parsed(F.col("v")) & F.col("key").isNotNull())
+    return kept_rows(pairs, {"value is not a number": pred.parsed(F.col("v")), "no key": F.col("key").isNotNull()}, counts)
 
 
-def group_max_floor(lines: DataFrame, key: int = SONG_ARTIST, value: int = SONG_DURATION, delimiter: str = COMMA, on_bad: str = "fail") -> DataFrame:
+def group_max_floor(
+    lines: DataFrame, key: int = SONG_ARTIST, value: int = SONG_DURATION, delimiter: str = COMMA, on_bad: str = "fail", counts: DropCounts | None = None
+) -> DataFrame:
     """``DataFrame[key, max_value]``: per-key maximum, at least 0, NaN ignored."""
-    return agg.grouped_max_floor_zero(key_values(lines, key, value, delimiter, on_bad), "key", "v", alias="max_value")
+    return agg.grouped_max_floor_zero(key_values(lines, key, value, delimiter, on_bad, counts), "key", "v", alias="max_value")
 
 
 def range_partitioned_max(
@@ -174,6 +183,7 @@ def range_partitioned_max(
     delimiter: str = COMMA,
     on_bad: str = "fail",
     parts_per_bucket: int = order.DEFAULT_PARTS_PER_BUCKET,
+    counts: DropCounts | None = None,
 ) -> DataFrame:
     """``DataFrame[key, max_value, bucket]``: each range bucket on a run of
     consecutive partitions in key order (``parts_per_bucket=1``: partition b
@@ -182,7 +192,7 @@ def range_partitioned_max(
     The aggregation runs first at full parallelism; only one row per key then
     moves to the range partitions.
     """
-    maxima = group_max_floor(lines, key, value, delimiter, on_bad)
+    maxima = group_max_floor(lines, key, value, delimiter, on_bad, counts)
     return order.range_partitioned(maxima, "key", break_points, num_partitions, parts_per_bucket=parts_per_bucket)
 
 
@@ -220,20 +230,21 @@ def ngram_substring_mean(
     bigrams: DataFrame,
     substrings: Sequence[str] = NGRAM_SUBSTRINGS,
     on_bad: str = "fail",
+    counts: DropCounts | None = None,
 ) -> DataFrame:
     """``DataFrame[tag_key, mean_volumes]`` with ``tag_key = "<year> | <substring>"``.
 
     A unigram counts once per substring its word holds; a bigram once per
     substring either word holds. Year and volumes must parse as integers; the
-    year is grouped as written.
+    year is grouped as written. ``counts`` counts matches, by source.
     """
     parts = []
-    for lines, words in ((unigrams, 1), (bigrams, 2)):
+    for lines, words, source in ((unigrams, 1, "unigrams"), (bigrams, 2, "bigrams")):
         r = _ngram_rows(lines, words, substrings, on_bad)
         year = parse_int(F.col("year_text"))
         vol = parse_int(F.col("volumes_text"))
         parts.append(
-            r.where(pred.parsed(year, vol)).select(
+            kept_rows(r, {"year is not an integer": pred.parsed(year), "volumes are not an integer": pred.parsed(vol)}, counts, source).select(
                 proj.tagged_key(F.col("year_text"), F.col("substring")).alias("tag_key"),
                 vol.cast("double").alias("volumes"),
             )
@@ -242,14 +253,14 @@ def ngram_substring_mean(
     return order.sorted_partitions(agg.grouped_mean(union, "tag_key", "volumes", alias="mean_volumes"), "tag_key")
 
 
-def ngram_volume_stddev(unigrams: DataFrame, bigrams: DataFrame, on_bad: str = "fail") -> DataFrame:
+def ngram_volume_stddev(unigrams: DataFrame, bigrams: DataFrame, on_bad: str = "fail", counts: DropCounts | None = None) -> DataFrame:
     """``DataFrame[stddev]``: population standard deviation of the volumes of
     both sources together; one row, none for empty input."""
     parts = []
-    for lines, index in ((unigrams, 3), (bigrams, 4)):
+    for lines, index, source in ((unigrams, 3, "unigrams"), (bigrams, 4, "bigrams")):
         rows = _fields(lines, WHITESPACE)
         vol = parse_long(field("fields", index, on_bad))
-        parts.append(rows.select(vol.alias("volumes")).where(pred.parsed(F.col("volumes"))))
+        parts.append(kept_rows(rows.select(vol.alias("volumes")), {"volumes are not an integer": pred.parsed(F.col("volumes"))}, counts, source))
     union = parts[0].unionByName(parts[1])
     return agg.global_stddev(union, "volumes", alias="stddev")
 
@@ -263,10 +274,16 @@ def column_moments(
     delimiter: str = TAB,
     on_bad: str = "fail",
     columns: Sequence[int] | None = None,
+    counts: DropCounts | None = None,
 ) -> DataFrame:
     """``DataFrame[col_idx, mean, std]`` over every column (or the listed
-    ones); text fields count as NaN."""
-    return agg.column_profile(_fields(lines, delimiter), "fields", width, on_bad, columns)
+    ones); text fields count as NaN, and ``counts`` says how many did."""
+    rows = _fields(lines, delimiter)
+    if counts is not None:
+        width = width if width is not None else (rows.select(F.size("fields")).first() or [0])[0]
+        listed = F.col("fields") if columns is None else F.filter(F.transform(F.lit([int(c) for c in columns]), lambda i: F.get("fields", i)), lambda x: x.isNotNull())
+        rows = counts.note(rows, {"fields that are not numbers": F.size(F.filter(listed, lambda x: parse_double(x).isNull()))})
+    return agg.column_profile(rows, "fields", width, on_bad, columns)
 
 
 def subset_records(
@@ -317,11 +334,17 @@ def feature_frame(
     that what else a job needs of a line comes from the same split.
     """
     rows = _fields(lines, delimiter)
-    values = proj.feature_columns("fields", variables, on_bad=on_bad)
-    if moments is not None:
-        values = proj.standardise(values, variables, moments[0], moments[1])
     kept = [c.alias(n) for n, c in (keep or {}).items()]
-    return rows.select(*kept, F.array(*values).alias("x")), km.Features(array="x", width=len(variables))
+    if len(variables) > WIDE_FEATURES:
+        vector = proj.feature_array("fields", variables, on_bad=on_bad)
+        if moments is not None:
+            vector = proj.standardised_array(vector, variables, moments[0], moments[1])
+    else:
+        values = proj.feature_columns("fields", variables, on_bad=on_bad)
+        if moments is not None:
+            values = proj.standardise(values, variables, moments[0], moments[1])
+        vector = F.array(*values)
+    return rows.select(*kept, vector.alias("x")), km.Features(array="x", width=len(variables))
 
 
 def kmeans_raw(
@@ -331,10 +354,11 @@ def kmeans_raw(
     max_iter: int = km.RAW_MAX_ITER,
     tol: float = km.TOLERANCE,
     delimiter: str = WHITESPACE,
+    state: str | None = None,
 ) -> km.KMeansResult:
     """k-means on raw columns; stop when no coordinate moves more than ``tol``."""
     data, features = feature_frame(lines, variables, delimiter)
-    return km.fit(data, features, init_centers, max_iter=max_iter, tol=tol, rule="max_abs")
+    return km.fit(data, features, init_centers, max_iter=max_iter, tol=tol, rule="max_abs", state=state)
 
 
 def kmeans_standardised(
@@ -346,12 +370,13 @@ def kmeans_standardised(
     max_iter: int,
     tol: float = km.TOLERANCE,
     delimiter: str = TAB,
+    state: str | None = None,
 ) -> km.KMeansResult:
     """k-means on standardised columns; the raw starting centroids are
     standardised once; stop when every centroid's squared move is <= ``tol``."""
     data, features = feature_frame(lines, variables, delimiter, moments=(means, stds))
     start = proj.standardise_centers(init_centers_raw, variables, means, stds)
-    return km.fit(data, features, start, max_iter=max_iter, tol=tol, rule="squared_shift")
+    return km.fit(data, features, start, max_iter=max_iter, tol=tol, rule="squared_shift", state=state)
 
 
 def assign_clusters(

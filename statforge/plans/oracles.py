@@ -221,6 +221,31 @@ def _trace_sql() -> str:
     )
 
 
+def _drop_counts_sql() -> str:
+    first, last = q.SONG_YEARS
+    year = f"year(o_orderdate) BETWEEN {first} AND {last}"
+    counted = {
+        ("year_range_projection", "records", "orders"): {
+            "read": "count(*)",
+            "kept": f"count(*) FILTER (o_orderstatus <> 'P' AND {year})",
+            "year is not an integer": "count(*) FILTER (o_orderstatus = 'P')",
+            "year out of range": f"count(*) FILTER (o_orderstatus <> 'P' AND NOT {year})",
+        },
+        ("ngram_volume_stddev", "unigrams", "customer"): {"read": "count(*)", "kept": "count(*)", "volumes are not an integer": "count(*) FILTER (false)"},
+        ("ngram_volume_stddev", "bigrams", "part"): {
+            "read": "count(*)",
+            "kept": "count(*) FILTER (p_type <> 'PROMO')",
+            "volumes are not an integer": "count(*) FILTER (p_type = 'PROMO')",
+        },
+        ("column_moments", "records", "lineitem"): {"read": "count(*)", "fields that are not numbers": "3 * count(*)"},
+    }
+    return "\nUNION ALL\n".join(
+        f"SELECT '{job}' AS job, '{source}' AS source, '{what}' AS what, CAST({n} AS BIGINT) AS n FROM {table}"
+        for (job, source, table), by in counted.items()
+        for what, n in by.items()
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     std_last = q.STD_MAX_ITER
     return {
@@ -269,6 +294,7 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_raw": _with(_raw_fit_ctes(q.K), _centers_select(RAW_MAX_ITER, 3)),
         "kmeans_standardised": _with(_std_fit_ctes(q.K), _centers_select(std_last, 3)),
         "kmeans_trace": _trace_sql(),
+        "kmeans_resumed": _trace_sql(),
         "cluster_assign": _with(
             _std_fit_ctes(q.K),
             f"SELECT p.l_orderkey, p.l_linenumber, CAST(z.cluster AS INTEGER) AS cluster "
@@ -291,7 +317,17 @@ def oracle_sql() -> dict[str, str]:
             "SELECT p_partkey AS partkey, p_name AS name, p_retailprice AS price FROM part "
             "UNION ALL SELECT NULL, 'p_name', NULL"  # the data row that equals the header
         ),
-        "value_lines": "SELECT DISTINCT concat_ws('/', o_orderpriority, o_orderstatus) AS priority_status FROM orders",
+        "value_lines": "SELECT concat_ws('/', o_orderkey, o_orderpriority, o_orderstatus) AS order_value FROM orders",
+        "merged_lines": (
+            "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS line_no, "
+            "concat_ws(chr(9), o_orderkey, o_orderstatus, o_orderpriority) AS value FROM orders"
+        ),
+        "drop_counts": _drop_counts_sql(),
+        "wide_profile": (
+            "SELECT CAST(j AS INTEGER) AS col_idx, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std FROM ("
+            "SELECT unnest(range(128)) AS j, unnest(list_concat(e, list_transform(e, lambda v: CAST(CAST(v AS FLOAT) * CAST(v AS FLOAT) AS DOUBLE)))) AS x "
+            "FROM (SELECT CAST(embedding AS DOUBLE[]) AS e FROM embeddings) a) b GROUP BY j"
+        ),
         "range_parts": (
             "SELECT p_name AS key, greatest(max(p_retailprice - 975.0), 0.0) AS max_value, "
             "CASE WHEN substr(p_name, 1, 1) < 'f' THEN 0 WHEN substr(p_name, 1, 1) < 'k' THEN 1 "

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from statforge.functions.parse import TAB, WHITESPACE, field, nan_to_null, parse_double, parse_int, parse_long
 from statforge.operators import kmeans as km
+from statforge.operators.counted import DropCounts
 from statforge.plans import jobs, tables
 from statforge.plans.clustering import run_clustering
 from statforge.session import scratch_path
@@ -167,9 +168,22 @@ def kmeans_standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _centers_df(spark, fit, len(STD_VARIABLES))
 
 
+def kmeans_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trace of a fit that stopped after two rounds and went on from the rounds it had left."""
+    means, stds = _lineitem_moments(spark, sf_dir)
+    start = _first_k_raw(spark, sf_dir, ("l_quantity", "l_extendedprice", "l_discount"), K)
+    state = scratch_path(spark, "rounds")
+    for max_iter in (2, STD_MAX_ITER):
+        fit = jobs.kmeans_standardised(tables.lineitem_tab_lines(spark, sf_dir), start, STD_VARIABLES, means, stds, max_iter=max_iter, state=state)
+    return _trace(spark, fit)
+
+
 def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _fit_standardised(spark, sf_dir).fit.trace_frame(spark)
-    return t.select(
+    return _trace(spark, _fit_standardised(spark, sf_dir).fit)
+
+
+def _trace(spark: SparkSession, fit: km.KMeansResult) -> DataFrame:
+    return fit.trace_frame(spark).select(
         "iteration", _r(F.col("max_abs_shift")).alias("max_abs_shift"), _r(F.col("max_squared_shift")).alias("max_squared_shift"), "converged"
     )
 
@@ -229,7 +243,7 @@ def redelimit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def header_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two headed text files of unequal size, one with a data row equal to the
-    header, written and read back without their first lines (S10)."""
+    header, each joined from part files (K3), read back without their first lines (S10)."""
     path = scratch_path(spark, "headed")
     for name, lines in tables.headed_part_files(spark, sf_dir).items():
         write_lines(lines, f"{path}/{name}", merge=True, order_by="line_no")
@@ -251,11 +265,45 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def value_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Value-only text output (K2) of the distinct order priorities and statuses, read back."""
+    """Value-only text output (K2): key, priority and status of every order as one value, read back."""
     orders = read_table(spark, sf_dir, "orders")
     path = scratch_path(spark, "values")
-    write_lines(single_column_lines(orders.select("o_orderpriority", "o_orderstatus").distinct(), F.concat_ws("/", "o_orderpriority", "o_orderstatus")), path)
-    return read_lines(spark, path).select(F.col("value").alias("priority_status"))
+    write_lines(single_column_lines(orders, F.concat_ws("/", "o_orderkey", "o_orderpriority", "o_orderstatus")), path)
+    return read_lines(spark, path).select(F.col("value").alias("order_value"))
+
+
+def merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as lines sorted by key in one file joined from its parts (K3, O1), read
+    back with every line's number in that file."""
+    orders = read_table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "merged")
+    lines = orders.select("o_orderkey", F.concat_ws("\t", "o_orderkey", "o_orderstatus", "o_orderpriority").alias("value"))
+    write_lines(lines, path, merge=True, order_by="o_orderkey")
+    return read_lines(spark, path, position=True).select("line_no", "value")
+
+
+def drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three jobs read, kept and dropped, by reason (F8) or as NaN."""
+    found = []
+    for job, run in {
+        "year_range_projection": lambda c: jobs.year_range_projection(
+            tables.orders_song_lines(spark, sf_dir), title=1, artist=2, duration=3, year=4, years=SONG_YEARS, counts=c
+        ),
+        "ngram_volume_stddev": lambda c: jobs.ngram_volume_stddev(tables.customer_unigram_lines(spark, sf_dir), tables.part_bigram_lines(spark, sf_dir), counts=c),
+        "column_moments": lambda c: jobs.column_moments(tables.lineitem_tab_lines(spark, sf_dir), width=LINEITEM_WIDTH, counts=c),
+    }.items():
+        counts = DropCounts()
+        run(counts).write.format("noop").mode("overwrite").save()
+        found += [(job, source, what, n) for source, by in counts.get().items() for what, n in by.items()]
+    return spark.createDataFrame(found, "job STRING, source STRING, what STRING, n BIGINT")
+
+
+def wide_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of records of 128 fields (each vector and its squares), taken in the long form."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    both = F.concat("embedding", F.transform("embedding", lambda x: x * x))
+    lines = vectors.select(F.array_join(F.transform(both, lambda x: x.cast("double").cast("string")), "\t").alias("value"))
+    return jobs.column_moments(lines).select("col_idx", _r("mean").alias("mean"), _r("std").alias("std"))
 
 
 def range_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_raw": kmeans_raw,
     "kmeans_standardised": kmeans_standardised,
     "kmeans_trace": kmeans_trace,
+    "kmeans_resumed": kmeans_resumed,
     "cluster_assign": cluster_assign,
     "clustering_end_to_end": clustering_end_to_end,
     "clustering_given_moments": clustering_given_moments,
@@ -337,6 +386,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "header_skip": header_skip,
     "text_roundtrip": text_roundtrip,
     "value_lines": value_lines,
+    "merged_lines": merged_lines,
+    "drop_counts": drop_counts,
+    "wide_profile": wide_profile,
     "range_parts": range_parts,
     "moments_positions": moments_positions,
     "kmeans_wide_text": kmeans_wide_text,

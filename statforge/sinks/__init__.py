@@ -1,8 +1,7 @@
 """Text sinks (K1-K6).
 
-Row-level results are written partitioned (one part file per task). Only
-results bounded by parameters (k centroids, one moments pair, a summary) are
-merged into one file.
+Results are written partitioned (one part file per task). Where one file is asked for,
+the part files are joined on the file system; no task holds them all.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statforge.files import merge_parts
+
 
 def _text(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
@@ -31,19 +32,15 @@ def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists", merge:
     """Write a one-column frame as text.
 
     ``mode="overwrite"`` replaces an existing output (K4); the default refuses
-    to, like a single job does. ``merge=True`` writes one file (K3), its lines
-    sorted by ``order_by``; it is for results that the job's parameters bound
-    (k centroids, two moments lines, one statistic), not for row-level output.
+    to, like a single job does. ``order_by`` sorts the lines over all part files.
+    ``merge=True`` leaves one file (K3): the parts are written as ever and then joined
+    in their order (see ``statforge.files``), so the output may be of any size.
     """
-    out = lines
-    if merge:
-        out = out.repartition(1)
-        if order_by is not None:
-            out = out.sortWithinPartitions(order_by)
-    elif order_by is not None:
-        out = out.orderBy(order_by)
+    out = lines.orderBy(order_by) if order_by is not None else lines
     cols = [c for c in out.columns if c != order_by] if order_by else out.columns
     out.select(cols[0]).write.mode(mode).text(path)
+    if merge:
+        merge_parts(lines.sparkSession, path)
 
 
 def _join_doubles(arr: Column, sep: str = "\t") -> Column:
