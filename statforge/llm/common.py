@@ -61,6 +61,46 @@ def crc_bucket(id_col, modulus: int):
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+#: Arrays that one task of a tree sum adds up.
+TREE_FANIN = 64
+
+
+def tree_summed(rows: DataFrame, kind: str, fanin: int = TREE_FANIN) -> DataFrame:
+    """``chunk, counts``: sums (as long integers) of the pieces of arrays that tasks emitted (``chunk, part, counts``).
+
+    ``part`` numbers the tasks. The pieces of ``fanin`` tasks are added up first, then ``fanin``
+    of these sums, and so on, so no task reads more than ``fanin`` arrays of a piece
+    however many tasks there are; each is added as it comes.
+    """
+
+    def summed(dtype: np.dtype):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[tuple[int, int], np.ndarray] = {}
+            for b in batches:
+                for chunk, part, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                    own = np.frombuffer(counts.as_buffer(), dtype)
+                    if (chunk, part) in total:
+                        total[chunk, part] += own
+                    else:
+                        total[chunk, part] = own.astype(np.int64)
+            if total:
+                columns = [pa.array([k[0] for k in total], pa.int32()), pa.array([k[1] for k in total], pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "part", "counts"])
+
+        return run
+
+    pieces = rows.where("chunk IS NOT NULL").select("chunk", "part", "counts")
+    tasks, dtype = (pieces.agg(F.max("part")).first()[0] or 0) + 1, np.dtype(kind)
+    while True:
+        tasks = -(-tasks // fanin)
+        grouped = pieces.withColumn("part", F.floor(F.col("part") / fanin).cast("int"))
+        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pieces = grouped.repartition(n, "chunk", "part").mapInArrow(summed(dtype), "chunk int, part int, counts binary")
+        dtype = np.dtype(np.int64)
+        if tasks == 1:
+            return pieces.select("chunk", "counts")
+
+
 def summed_chunks(rows: DataFrame, parts: int, kind: str) -> np.ndarray:
     """Sum of arrays that tasks emitted in ``parts`` pieces (``chunk int, counts binary``).
 

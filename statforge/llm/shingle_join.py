@@ -23,14 +23,16 @@ similarity reaches ``PERCENT``. The work goes in steps, each a Spark job:
    is bounded again by the counts of these codes, which come close to the overlap.
 4. *Verification.* Surviving pairs are checked on their shingle sets.
 
-The search goes in rounds. In each, every class looks in its buckets for the best
-partner of another component that comes before it (by size, then name); candidates are
-verified, and links join components. Rounds go on over the buckets that still hold
-several components, for the classes that had a candidate in the round before (for the
-others none can appear) and without the pairs that failed, until no candidate is left; so
-in the end no two sets of different components can link. After a round of mostly failures a class
-names twice as many candidates, so their number of rounds is small. Pairs within one
-component need no work, and a group of near copies costs about its size, not its square.
+The search goes in rounds. In each bucket it keeps a spanning forest: a surviving pair is a
+candidate only if it joins two trees, so a bucket names fewer candidates than it has
+classes, and parts of a bucket that are joined already are passed over, node by node of the
+R-tree. Candidates are verified, and links join components. If all candidates of a bucket
+hold, its forest is right and every other surviving pair of it lies within one component,
+so it is done. Buckets with a failed candidate are searched again, their components joined
+from the start and without the failed pairs, until none is left; so in the end no two sets
+of different components can link. After a round of mostly failures a bucket keeps twice as
+many forests, one within the other, so their number of rounds is small. A group of near
+copies costs about its size, not its square.
 A bucket of more than ``BLOCK`` classes is dealt over several tasks: in the first round
 block by block, with one class in all of its blocks; later as cells of two blocks, of
 which one at least is outside the bucket's largest component, so every pair across still
@@ -48,10 +50,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statforge.llm.common import materialise, mix, shingle_set, text_buffers, word_hashes
+from statforge.llm.common import materialise, mix, shingle_set, text_buffers, tree_summed, word_hashes
 
 #: Similarity from which two sets link, in percent.
 PERCENT = 75
@@ -65,10 +68,12 @@ SKETCH_BITS, SKETCH_CHUNKS = 22, 64
 BLOCK = 4096
 #: Points in a leaf, children in a node.
 LEAF, FANOUT = 32, 16
+#: Texts whose words are hashed at a time.
+SLICE = 256
 
-DOCS = "doc_id long, n long, sig long, point binary, chunk int, counts binary"
+DOCS = "doc_id long, n long, sig long, point binary, chunk int, part int, counts binary"
 PAIR = "a long, b long"
-CANDIDATE = "own long, other long, likely double"
+CANDIDATE = "bucket long, b long, a long"
 
 
 # --------------------------------------------------------------------------- sets and points
@@ -131,16 +136,20 @@ def needed(a, b, percent: int = PERCENT):
 
 
 def batch_sets(column: pa.Array) -> Iterator[np.ndarray]:
-    hashes, bounds = word_hashes(*text_buffers(column))
-    for i in range(len(column)):
-        yield shingle_set(hashes[bounds[i] : bounds[i + 1]])
+    """The shingle sets of a batch, some texts at a time."""
+    for at in range(0, len(column), SLICE):
+        part = column.slice(at, SLICE)
+        hashes, bounds = word_hashes(*text_buffers(part))
+        for i in range(len(part)):
+            yield shingle_set(hashes[bounds[i] : bounds[i + 1]])
 
 
 # --------------------------------------------------------------------------- R-tree
 class CountTree:
     """A packed R-tree over count points, in an order that keeps like points together.
 
-    ``rank`` orders the points; searches look only at points of lower rank.
+    ``rank`` orders the points; searches look only at points of lower rank, and pass over
+    nodes all of whose points have the label of the one that searches (see :meth:`label`).
     """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, percent: int = PERCENT):
@@ -155,6 +164,17 @@ class CountTree:
             group = np.arange(0, len(level[1]), FANOUT)
             level = [f.reduceat(x, group) for f, x in zip((np.maximum, np.minimum, np.maximum, np.minimum), level, strict=True)]
             self.levels.append(level)
+        self.labels: np.ndarray | None = None
+
+    def label(self, labels: np.ndarray) -> None:
+        """Give the points labels (in their original order)."""
+        self.labels = labels[self.order]
+        low = high = self.labels
+        self.spans = []
+        for k, level in enumerate(self.levels):
+            starts = np.arange(0, len(low), FANOUT if k else LEAF)
+            low, high = np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
+            self.spans.append((low, high))
 
     @staticmethod
     def _pack(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -180,6 +200,9 @@ class CountTree:
         """The nodes that may hold a partner of lower rank, and their bounds."""
         high, least, most, first = self.levels[level]
         size = self.sizes[place]
+        if self.labels is not None:
+            low, top = self.spans[level]
+            nodes = nodes[(low[nodes] != self.labels[place]) | (top[nodes] != self.labels[place])]
         nodes = nodes[(first[nodes] < self.rank[place]) & (100 * most[nodes] >= self.percent * size) & (self.percent * least[nodes] <= 100 * size)]
         bound = np.minimum(high[nodes], self.points[place]).sum(axis=1, dtype=np.int64)
         keep = (100 + self.percent) * bound >= needed(size, least[nodes], self.percent)
@@ -221,57 +244,82 @@ def _closer(codes: list[np.ndarray], bits: int, own: int, others: np.ndarray) ->
     return np.add.reduceat(mark[np.concatenate(parts)], starts, dtype=np.int64)
 
 
-def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, part: np.ndarray, asks: np.ndarray, half: np.ndarray, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
-    """For each asking row that has any, the rows of lower rank (of other components and, in a cell of two blocks, of the other block) that the tree lets through, leaf by leaf."""
+class Forests:
+    """``deep`` spanning forests over the rows of a cell, each within the one before.
+
+    Rows of one ``part`` are joined from the start. A pair goes to the first forest in which
+    its ends are apart; so ends that are joined in the last forest are joined in all.
+    """
+
+    def __init__(self, part: np.ndarray, deep: int = 1):
+        self.labels = np.tile(np.unique(part, return_inverse=True)[1], (deep, 1))
+        self.joined = 0
+
+    def apart(self, own: int, others: np.ndarray) -> np.ndarray:
+        last = self.labels[-1]
+        return last[others] != last[own]
+
+    def join(self, own: int, other: int) -> bool:
+        for labels in self.labels:
+            if labels[own] != labels[other]:
+                labels[labels == labels[other]] = labels[own]
+                self.joined += 1
+                return True
+        return False
+
+
+def _partners(points: np.ndarray, sizes: np.ndarray, rank: np.ndarray, rows: np.ndarray, half: np.ndarray, forests: Forests, percent: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+    """For each row the rows of lower rank (not joined to it and, in a cell of two blocks, of the other block) that the tree lets through, leaf by leaf."""
+
+    def elsewhere(own: int, others: np.ndarray) -> np.ndarray:
+        return others[forests.apart(rows[own], rows[others]) & ((half[own] == 0) | (half[others] != half[own]))]
+
     if len(sizes) <= LEAF:  # one leaf: all its bounds at once
         bound = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2, dtype=np.int64)
         hit = ((100 + percent) * bound >= needed(sizes[:, None], sizes[None, :], percent)) & (rank[None, :] < rank[:, None])
-        hit &= (part[:, None] != part[None, :]) & asks[:, None] & ((half[:, None] == 0) | (half[:, None] != half[None, :]))
-        for own in np.flatnonzero(hit.any(axis=1)):
-            yield int(own), iter([np.flatnonzero(hit[own])])
+        for own in np.flatnonzero(hit.any(axis=1)).tolist():
+            if len(others := elsewhere(own, np.flatnonzero(hit[own]))):
+                yield own, iter([others])
         return
-    tree = CountTree(points, sizes, rank, percent)
+    tree, joined = CountTree(points, sizes, rank, percent), -1
     for place in range(len(sizes)):
         own = int(tree.order[place])
-        if not asks[own]:
-            continue
-        found = (tree.order[p] for p in tree.leaves(place))
-        yield own, (x for x in (o[(part[o] != part[own]) & ((half[own] == 0) | (half[o] != half[own]))] for o in found) if len(x))
+        if joined != forests.joined:
+            tree.label(forests.labels[-1][rows])
+            joined = forests.joined
+        yield own, (x for x in (elsewhere(own, tree.order[p]) for p in tree.leaves(place)) if len(x))
 
 
-def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, part: np.ndarray, asks: np.ndarray, half: np.ndarray, failed: list, top: int, percent: int) -> Iterator[tuple[int, int, float]]:
-    """``(row, row of a partner, bounded similarity)`` of sets whose codes have one width, ``top`` for each row at most."""
+def _tree_pairs(sig: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray], bits: int, rows: np.ndarray, half: np.ndarray, failed: list, forests: Forests, percent: int) -> Iterator[tuple[int, int]]:
+    """``(row, row of a partner)`` of sets whose codes have one width: the surviving pairs that join trees."""
     rank = np.empty(len(sizes), dtype=np.int64)
     rank[np.lexsort((sig, sizes))] = np.arange(len(sizes))
     points = points_of(codes, bits, groups_of(int(sizes.min())))
-    for own, found in _partners(points, sizes, rank, part, asks, half, percent):
-        met = 0
+    for own, found in _partners(points, sizes, rank, rows, half, forests, percent):
         for others in found:
+            others = others[forests.apart(rows[own], rows[others])]
             if len(failed[own]):
                 others = others[~np.isin(sig[others], failed[own])]
-                if not len(others):
-                    continue
+            if not len(others):
+                continue
             bound = np.minimum(_closer(codes, bits, own, others), sizes[own])
             near = (100 + percent) * bound >= needed(sizes[own], sizes[others], percent)
-            if not near.any():
-                continue
             likely = bound[near] / (sizes[own] + sizes[others[near]] - bound[near])
-            for k in np.argsort(-likely, kind="stable")[: top - met]:
-                yield own, int(others[near][k]), float(likely[k])
-                met += 1
-            if met >= top:
-                break
+            for other in others[near][np.argsort(-likely, kind="stable")].tolist():
+                if forests.join(int(rows[own]), int(rows[other])):
+                    yield own, other
 
 
-def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray, asks: np.ndarray, half: np.ndarray, failed: list, top: int = 1, percent: int = PERCENT) -> Iterator[tuple[int, int, float]]:
-    """Candidates of one bucket (class, partner of another component, bounded similarity).
+def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], part: np.ndarray, half: np.ndarray, failed: list, deep: int = 1, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
+    """Candidates of one bucket: pairs of classes that make ``deep`` spanning forests of its surviving pairs.
 
     Linked sets differ in size by a third at most, so their codes are of one width or
     one's are a bit wider; each width's tree takes in the shortened codes it may need.
-    Only classes that ``asks`` marks look for partners; ``failed`` names for each class the partners that were verified in vain. Classes whose
+    ``failed`` names for each class the partners that were verified in vain. Classes whose
     ``half`` is equal and not 0 meet in another cell.
     """
     widths = np.array([code_bits(n) for n in sizes.tolist()])
+    forests = Forests(part, deep)
     for bits in np.unique(widths):
         own = np.flatnonzero(widths == bits)
         wider = np.flatnonzero((widths == bits + 1) & (percent * sizes <= 100 * sizes[own].max()))
@@ -279,7 +327,7 @@ def search_bucket(sig: np.ndarray, sizes: np.ndarray, every: list[np.ndarray], p
         if len(rows) < 2:
             continue
         codes = [every[i] for i in own] + [every[i] >> 1 for i in wider]
-        yield from ((int(sig[rows[i]]), int(sig[rows[j]]), x) for i, j, x in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), part[rows], asks[rows], half[rows], [failed[i] for i in rows], top, percent))
+        yield from ((int(sig[rows[i]]), int(sig[rows[j]])) for i, j in _tree_pairs(sig[rows], sizes[rows], codes, int(bits), rows, half[rows], [failed[i] for i in rows], forests, percent))
 
 
 # --------------------------------------------------------------------------- Spark steps
@@ -289,6 +337,7 @@ def described(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         shift = np.uint64(64 - SKETCH_BITS)
+        names = [c.split()[0] for c in DOCS.split(", ")]
         for b in batches:
             n, sig, point = [], [], []
             for s in batch_sets(b.column(1)):
@@ -298,39 +347,32 @@ def described(docs: DataFrame) -> DataFrame:
                 np.add.at(counters, (s >> shift).astype(np.int64), 1)
             k = len(n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(point, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                names=["doc_id", "n", "sig", "point", "chunk", "counts"],
+                [b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(point, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                names=names,
             )
         # only the order of shingles hangs on the counts, so a task's may end at 255
         chunks = [c.tobytes() for c in np.split(np.minimum(counters, 255).astype(np.uint8), SKETCH_CHUNKS)]
         k = len(chunks)
         nothing = [pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
-        yield pa.RecordBatch.from_arrays([*nothing, pa.array(range(k), pa.int32()), pa.array(chunks, pa.binary())], names=["doc_id", "n", "sig", "point", "chunk", "counts"])
+        part = pa.array([TaskContext.get().partitionId()] * k, pa.int32())
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array(range(k), pa.int32()), part, pa.array(chunks, pa.binary())], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, DOCS)
 
 
 def frequency_levels(rows: DataFrame) -> np.ndarray:
-    """For each counter, how many doublings its sum lies above twice the mean (one byte each).
-
-    Every piece of the sketch is summed as a stream; only levels reach the driver.
-    """
+    """For each counter, how many doublings its sum lies above twice the mean (one byte each); only levels reach the driver."""
     total = rows.agg(F.sum("n")).first()[0] or 0
     floor = max(2 * total / (1 << SKETCH_BITS), 1.0)
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+    def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, counts in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                own = np.frombuffer(counts.as_buffer(), np.uint8)
-                total[chunk] = total[chunk] + own if chunk in total else own.astype(np.int64)
-        if total:
-            levels = [np.ceil(np.log2(np.maximum(x / floor, 1.0))).astype(np.uint8).tobytes() for x in total.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(levels, pa.binary())], names=["chunk", "levels"])
-
-    dealt = rows.where("chunk IS NOT NULL").select("chunk", "counts").repartition(SKETCH_CHUNKS, "chunk")
+            counts = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column(1)]
+            levels = [np.ceil(np.log2(np.maximum(x / floor, 1.0))).astype(np.uint8).tobytes() for x in counts]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(levels, pa.binary())], names=["chunk", "levels"])
+
     out = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), dtype=np.uint8)
-    for r in dealt.mapInArrow(summed, "chunk int, levels binary").collect():
+    for r in tree_summed(rows, "u1").mapInArrow(level, "chunk int, levels binary").collect():
         out[r["chunk"]] = np.frombuffer(r["levels"], np.uint8)
     return out.ravel()
 
@@ -342,19 +384,21 @@ def prefix_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, shift = shared.value, np.uint64(64 - SKETCH_BITS)
         for b in batches:
-            keys, sigs, lens, short, met = [], [], [], [], set()
-            for s in batch_sets(b.column(0)):
-                if not len(s) or (name := signature(s)) in met:
-                    continue
-                met.add(name)
-                own, p = level[s >> shift], prefix_length(len(s), percent)
-                keys.append(s[:p] if not own.any() else s[np.argsort(own, kind="stable")[:p]])
-                sigs.append(name)
-                lens.append(p)
-                short.append(np.arange(p) < short_prefix_length(len(s), percent))
-            if keys:
-                columns = [np.concatenate(keys).view(np.int64), np.repeat(np.array(sigs, np.int64), lens), np.concatenate(short)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "sig", "short"])
+            met: set[int] = set()
+            for at in range(0, b.num_rows, SLICE):
+                keys, sigs, lens, short = [], [], [], []
+                for s in batch_sets(b.column(0).slice(at, SLICE)):
+                    if not len(s) or (name := signature(s)) in met:
+                        continue
+                    met.add(name)
+                    own, p = level[s >> shift], prefix_length(len(s), percent)
+                    keys.append(s[:p] if not own.any() else s[np.argsort(own, kind="stable")[:p]])
+                    sigs.append(name)
+                    lens.append(p)
+                    short.append(np.arange(p) < short_prefix_length(len(s), percent))
+                if keys:
+                    columns = [np.concatenate(keys).view(np.int64), np.repeat(np.array(sigs, np.int64), lens), np.concatenate(short)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "sig", "short"])
 
     return docs.select(F.col("text").alias("text")).mapInArrow(run, "key long, sig long, short boolean")
 
@@ -362,14 +406,17 @@ def prefix_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) ->
 def buckets_of(keys: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``bucket, sig, n``: the classes that share a key, under the name of the least of them.
 
-    A class none of whose bucket's others is of a size that could link is left out.
+    A class none of whose bucket's others is of a size that could link is left out. Keys
+    and sizes are combined in the tasks before they are exchanged; what a common one has
+    is joined back, where a large side may be split.
     """
-    by_key = Window.partitionBy("key")
-    shared = keys.withColumns({"bucket": F.min("sig").over(by_key), "last": F.max("sig").over(by_key), "deals": F.max("short").over(by_key)})
-    rows = shared.where("bucket <> last AND deals").select("bucket", "sig").distinct().join(classes.select("sig", "n"), "sig")
-    by_size = Window.partitionBy("bucket").orderBy("n", "sig")
-    close = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
-    return rows.withColumn("close", F.coalesce(close, F.lit(False))).where("close").select("bucket", "sig", "n")
+    named = keys.groupBy("key").agg(F.min("sig").alias("bucket"), F.max("sig").alias("last"), F.max("short").alias("deals")).where("bucket <> last AND deals")
+    rows = materialise(keys.join(named.select("key", "bucket"), "key").select("bucket", "sig").distinct().join(classes.select("sig", "n"), "sig"), "members")
+    by_size = Window.partitionBy("bucket").orderBy("n")  # a bucket has as many rows here as it has sizes
+    sizes = rows.groupBy("bucket", "n").agg(F.count(F.lit(1)).alias("k"))
+    close = (F.col("k") > 1) | (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
+    kept = sizes.withColumn("close", F.coalesce(close, F.lit(False))).where("close").select("bucket", "n")
+    return rows.join(kept, ["bucket", "n"]).select("bucket", "sig", "n")
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -377,36 +424,35 @@ def classes_of(rows: DataFrame) -> DataFrame:
     return rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"), F.first("point").alias("point"))
 
 
-def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
+def _searched(rows: DataFrame, deep: int, percent: int) -> DataFrame:
     """Search every ``(bucket, block)``; the rows come sorted, so one is complete when the next begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        found: set[tuple[int, int, float]] = set()
+        found: list[tuple[int, int, int]] = []
 
         def flush() -> None:
-            sig, sizes, part = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5))
-            asks, half = (np.concatenate([h[k] for h in held]) for k in (7, 8))
-            if len(sig) > 1 and asks.any():
+            sig, sizes, part, half = (np.concatenate([h[k] for h in held]) for k in (2, 3, 5, 7))
+            if len(sig) > 1:
                 codes = [c for h in held for c in unpacked(*text_buffers(h[4]), h[3])]
                 failed = [f for h in held for f in h[6]]
-                found.update(search_bucket(sig, sizes, codes, part, asks, half, failed, top, percent))
+                found.extend((int(held[0][0]), own, other) for own, other in search_bucket(sig, sizes, codes, part, half, failed, deep, percent))
 
         def candidates() -> pa.RecordBatch:
-            columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)]
+            columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
             found.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["own", "other", "likely"])
+            return pa.RecordBatch.from_arrays(columns, names=["bucket", "b", "a"])
 
         for b in batches:
             if not b.num_rows:
                 continue
-            bucket, block, sig, sizes, part, asks, half = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 5, 7, 8))
+            bucket, block, sig, sizes, part, half = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 5, 7))
             cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
             for at, stop in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)], strict=True):
                 if held and held[0][:2] != (bucket[at], block[at]):
                     flush()
                     held.clear()
-                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy(), b.column(6).slice(at, stop - at).to_pylist(), asks[at:stop].copy(), half[at:stop].copy()))
+                held.append((bucket[at], block[at], sig[at:stop].copy(), sizes[at:stop].copy(), b.column(4).slice(at, stop - at), part[at:stop].copy(), b.column(6).slice(at, stop - at).to_pylist(), half[at:stop].copy()))
             if len(found) >= 50_000:
                 yield candidates()
         if held:
@@ -415,7 +461,7 @@ def _searched(rows: DataFrame, top: int, percent: int) -> DataFrame:
             yield candidates()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("bucket", "block", "sig", "n", "point", "part", "failed", "asks", "half").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
+    dealt = rows.select("bucket", "block", "sig", "n", "point", "part", "failed", "half").repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block", "sig")
     return dealt.mapInArrow(run, CANDIDATE)
 
 
@@ -445,18 +491,18 @@ def _blocks(rows: DataFrame, outside, first: bool) -> DataFrame:
     return rows.withColumn("cell", F.explode(F.when(F.col("members").isNull(), whole).otherwise(cells))).select(*rows.columns, "cell.block", "cell.half")
 
 
-def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None = None, failed: DataFrame | None = None, asking: DataFrame | None = None, top: int = 1, percent: int = PERCENT) -> DataFrame:
-    """``a, b``: for every class ``b`` its best candidates ``a`` of other components, ``top`` at most.
+def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None = None, failed: DataFrame | None = None, first: bool = False, deep: int = 1, percent: int = PERCENT) -> DataFrame:
+    """``bucket, a, b``: the pairs that make ``deep`` spanning forests of each bucket (of each cell of a large one).
 
-    Without ``labels`` every class is a component. ``failed`` has the pairs that were
-    verified in vain, ``asking`` the classes (``sig``) that look for partners, all if not given.
+    Without ``labels`` every class is a component. ``failed`` has the pairs that were verified in vain.
     """
-    if asking is not None:  # only buckets in which a class asks
-        buckets = buckets.join(buckets.join(asking, "sig").select("bucket").distinct(), "bucket", "left_semi")
     if labels is None:
-        marked, outside = buckets.withColumn("part", F.col("sig")), F.col("sig") == F.col("bucket")
+        parts = buckets.withColumn("part", F.col("sig"))
     else:
         parts = buckets.join(labels.withColumnsRenamed({"v": "sig", "label": "part"}), "sig", "left").withColumn("part", F.coalesce("part", "sig"))
+    if first:
+        marked, outside = parts, F.col("sig") == F.col("bucket")
+    else:
         several = (
             parts.groupBy("bucket", "part")
             .agg(F.count(F.lit(1)).alias("k"))
@@ -466,66 +512,72 @@ def candidates(buckets: DataFrame, classes: DataFrame, labels: DataFrame | None
             .select("bucket", "main")
         )
         marked, outside = parts.join(several, "bucket"), F.col("part") != F.col("main")
-    rows = _blocks(marked, outside, labels is None).join(classes.select("sig", "point"), "sig")
-    if asking is None:
-        rows = rows.withColumn("asks", F.lit(True))
-    else:
-        rows = rows.join(asking.withColumn("asks", F.lit(True)), "sig", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    rows = _blocks(marked, outside, first).join(classes.select("sig", "point"), "sig")
     none = F.array().cast("array<bigint>")
     if failed is None:
         rows = rows.withColumn("failed", none)
     else:
         vain = failed.groupBy(F.col("b").alias("sig")).agg(F.collect_set("a").alias("failed"))
         rows = rows.join(vain, "sig", "left").withColumn("failed", F.coalesce("failed", none))
-    found = _searched(rows, top, percent).groupBy("own", "other").agg(F.max("likely").alias("likely"))
-    best = Window.partitionBy("own").orderBy(F.desc("likely"), "other")
-    return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top).select(F.col("other").alias("a"), F.col("own").alias("b"))
+    return _searched(rows, deep, percent)
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose shingle sets reach the similarity (``pairs`` is read more than once)."""
+    """The pairs whose shingle sets reach the similarity (``pairs`` is read more than once).
+
+    One text of each class travels, not its set: compressed it is a fraction of it.
+    """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     # written first: where its size is small, the planner then broadcasts it and no text is shuffled
     wanted = materialise(classes.select("sig", "first_doc").join(ends, "sig").select("first_doc").distinct(), "wanted")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = list(batch_sets(b.column(0)))
-            yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())], names=["sig", "members"])
+            yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in batch_sets(b.column(0))], pa.int64()), b.column(0)], names=["sig", "text"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for x, y in zip(batch_sets(b.column(2)), batch_sets(b.column(3)), strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append((100 + percent) * both >= needed(len(x), len(y), percent))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["first_doc"]), "left_semi")
-    found = materialise(texts.select("text").mapInArrow(sets, "sig long, members binary").dropDuplicates(["sig"]), "sets")
-    left, right = (found.withColumnsRenamed({"sig": s, "members": f"set_{s}"}) for s in ("a", "b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(compared, PAIR)
+    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["first_doc"]), "left_semi").where("text IS NOT NULL")
+    found = materialise(texts.select("text").mapInArrow(named, "sig long, text string"), "texts")
+    left, right = (found.withColumnsRenamed({"sig": s, "text": f"text_{s}"}) for s in ("a", "b"))
+    # an id that stands for several rows may give a class several texts of one set
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(compared, PAIR).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``v, label``: the least name that links lead to, for every end of a link.
+def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """``v, label``: the least name that links lead to, for every end of a link; ``labels`` are those of the links before.
 
-    Labels take the least of their neighbours' and then their label's label, until
-    nothing changes; every round is written, so the lineage stays short.
+    Only links between different labels are followed: labels take the least of their neighbours'
+    and then their label's label, until nothing changes; every round is written, so the
+    lineage stays short.
     """
+    if labels is not None:
+        for end in ("a", "b"):
+            named = labels.select(F.col("v").alias(end), F.col("label").alias(f"{end}_label"))
+            links = links.join(named, end, "left").withColumn(end, F.coalesce(f"{end}_label", end)).drop(f"{end}_label")
+    links = links.where("a <> b")
     edges = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = materialise(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = edges.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
-        stepped = labels.join(near, "v").select("v", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("v").alias("label"), F.col("label").alias("further"))
+    now = materialise(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    changed = True
+    while changed:
+        near = edges.join(now.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
+        stepped = now.join(near, "v").select("v", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        jump = now.select(F.col("v").alias("label"), F.col("label").alias("further"))
         moved = materialise(stepped.join(jump, "label", "left").select("v", "was", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
-        changed = moved.where("was <> label").limit(1).count()
-        labels = moved.select("v", "label")
-        if not changed:
-            return labels
+        changed = not moved.where("was <> label").limit(1).isEmpty()
+        now = moved.select("v", "label")
+    if labels is None:
+        return now
+    further = now.select(F.col("v").alias("label"), F.col("label").alias("further"))
+    old = labels.join(further, "label", "left").select("v", F.coalesce("further", "label").alias("label"))
+    return materialise(old.unionByName(now.join(labels.select("v"), "v", "left_anti")), "labels")
 
 
 def link_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -533,35 +585,30 @@ def link_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = materialise(described(docs), "described")
     classes = materialise(classes_of(rows), "classes")
     buckets = materialise(buckets_of(prefix_keys(docs, frequency_levels(rows), percent), classes, percent), "buckets")
-    links = failed = labels = asking = None
-    # the first round compares large buckets only block by block, so all their classes ask again
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
-    unsettled = buckets.join(sizes, "bucket", "left_semi").select("sig")
-    alone = classes.select(F.col("sig").alias("v"), F.col("sig").alias("label")).where("false")
-    top = 1
+    # the first round compares large buckets only block by block, so they are searched again
+    large = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK).select("bucket")
+    failed = labels = None
+    pending, first, deep = buckets, True, 1
     while True:
-        pairs = materialise(candidates(buckets, classes, labels, failed, asking, top, percent), "pairs")
-        n_pairs = pairs.count()
-        asking = pairs.select(F.col("b").alias("sig"))
-        if unsettled is not None:
-            asking, unsettled, settled = asking.union(unsettled), None, unsettled.isEmpty()
-        else:
-            settled = True
-        asking = materialise(asking.distinct(), "asking")
-        if not n_pairs and settled:
-            break
+        found = materialise(candidates(pending, classes, labels, failed, first, deep, percent), "found")
+        pairs = materialise(found.select("a", "b").distinct(), "pairs")
         good = materialise(verified(pairs, classes, docs, percent), "links")
-        bad = pairs.join(good, ["a", "b"], "left_anti")
-        failed = materialise(bad if failed is None else failed.union(bad), "failed")
-        n_good = good.count()
-        if n_pairs and 2 * n_good <= n_pairs:
-            top *= 2
+        bad = found.join(good, ["a", "b"], "left_anti")
+        n_good, n_pairs = good.count(), pairs.count()
         if n_good:
-            links = good if links is None else links.union(good)
-            labels = components(links)
-        elif labels is None:
-            labels = alone
-    return named_groups(rows, classes, alone if labels is None else labels)
+            labels = components(good, labels)
+        again = bad.select("bucket").union(large).distinct() if first else bad.select("bucket").distinct()
+        pending = materialise(buckets.join(again, "bucket", "left_semi"), "pending")
+        if pending.isEmpty():
+            break
+        lost = bad.select("a", "b").distinct()
+        failed = materialise(lost if failed is None else failed.union(lost), "failed")
+        first = False
+        if 2 * n_good <= n_pairs:
+            deep *= 2
+    if labels is None:
+        labels = classes.select(F.col("sig").alias("v"), F.col("sig").alias("label")).where("false")
+    return named_groups(rows, classes, labels)
 
 
 def named_groups(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
