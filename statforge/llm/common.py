@@ -9,7 +9,7 @@ column with array operations only, working through the bytes in bounded pieces.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,8 @@ from statforge.session import scratch_path
 
 #: Bytes of text whose temporaries are in memory at once (a longer word makes a longer piece).
 PIECE_BYTES = 1 << 20
+#: Rows, at most, of an Arrow batch.
+BATCH_ROWS = 1000
 #: Shingle length in words for everything that compares texts by word shingles.
 SHINGLE_WORDS = 5
 
@@ -36,6 +38,9 @@ def on_workers(spark: SparkSession) -> None:
     A cluster submit ships the package with ``--py-files``; on one machine, or
     on a shared folder, the driver's own path is enough.
     """
+    # texts reach the workers in batches of a few megabytes, not of ten thousand documents
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
     root = package_root()
     have = env.get("PYTHONPATH", "")
@@ -65,15 +70,17 @@ def crc_bucket(id_col, modulus: int):
 TREE_FANIN = 64
 
 
-def tree_summed(rows: DataFrame, kind: str, fanin: int = TREE_FANIN) -> DataFrame:
-    """``chunk, counts``: sums (as long integers) of the pieces of arrays that tasks emitted (``chunk, part, counts``).
+def tree_summed(rows: DataFrame, kind: str, finish: Callable[[np.ndarray], np.ndarray] | None = None, fanin: int = TREE_FANIN) -> DataFrame:
+    """``chunk, counts``: sums of the pieces of arrays that tasks emitted (``chunk, part, counts``).
 
-    ``part`` numbers the tasks. The pieces of ``fanin`` tasks are added up first, then ``fanin``
-    of these sums, and so on, so no task reads more than ``fanin`` arrays of a piece
-    however many tasks there are; each is added as it comes.
+    ``part`` numbers the tasks (a task may emit a piece again). The pieces of ``fanin`` tasks
+    are added up first, then ``fanin`` of these sums, and so on, so the load of a summing task
+    does not grow with the number of tasks; each array is added as it comes. Sums are long
+    integers, or doubles if the pieces are; ``finish`` makes of them what is returned.
     """
+    wide = np.dtype(np.float64 if np.dtype(kind).kind == "f" else np.int64)
 
-    def summed(dtype: np.dtype):
+    def summed(dtype: np.dtype, last):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[tuple[int, int], np.ndarray] = {}
             for b in batches:
@@ -82,45 +89,30 @@ def tree_summed(rows: DataFrame, kind: str, fanin: int = TREE_FANIN) -> DataFram
                     if (chunk, part) in total:
                         total[chunk, part] += own
                     else:
-                        total[chunk, part] = own.astype(np.int64)
+                        total[chunk, part] = own.astype(wide)
             if total:
-                columns = [pa.array([k[0] for k in total], pa.int32()), pa.array([k[1] for k in total], pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
+                sums = [last(x) if last else x for x in total.values()]
+                columns = [pa.array([k[0] for k in total], pa.int32()), pa.array([k[1] for k in total], pa.int32()), pa.array([x.tobytes() for x in sums], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["chunk", "part", "counts"])
 
         return run
 
     pieces = rows.where("chunk IS NOT NULL").select("chunk", "part", "counts")
-    tasks, dtype = (pieces.agg(F.max("part")).first()[0] or 0) + 1, np.dtype(kind)
+    tasks, dtype = rows.rdd.getNumPartitions(), np.dtype(kind)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
         tasks = -(-tasks // fanin)
-        grouped = pieces.withColumn("part", F.floor(F.col("part") / fanin).cast("int"))
-        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        pieces = grouped.repartition(n, "chunk", "part").mapInArrow(summed(dtype), "chunk int, part int, counts binary")
-        dtype = np.dtype(np.int64)
+        pieces = pieces.withColumn("part", F.pmod("part", F.lit(tasks)).cast("int")).repartition(n, "chunk", "part").mapInArrow(summed(dtype, finish if tasks == 1 else None), "chunk int, part int, counts binary")
+        dtype = wide
         if tasks == 1:
             return pieces.select("chunk", "counts")
 
 
-def summed_chunks(rows: DataFrame, parts: int, kind: str) -> np.ndarray:
-    """Sum of arrays that tasks emitted in ``parts`` pieces (``chunk int, counts binary``).
-
-    Each piece is summed as a stream, so memory is one array however many tasks
-    emitted one; only the sum, of fixed size, reaches the driver.
-    """
-    dtype = np.dtype(kind)
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for chunk, counts in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                own = np.frombuffer(counts.as_buffer(), dtype)
-                total[chunk] = total[chunk] + own if chunk in total else own.copy()
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["chunk", "counts"])
-
-    dealt = rows.where("chunk IS NOT NULL").select("chunk", "counts").repartition(parts, "chunk")
-    got = {r["chunk"]: np.frombuffer(r["counts"], dtype) for r in dealt.mapInArrow(summed, "chunk int, counts binary").collect()}
-    return np.concatenate([got[k] for k in sorted(got)]) if got else np.zeros(0, dtype)
+def summed_chunks(rows: DataFrame, kind: str) -> np.ndarray:
+    """The sum of arrays that tasks emitted in pieces (see :func:`tree_summed`); it is of fixed size and comes to the driver."""
+    wide = np.float64 if np.dtype(kind).kind == "f" else np.int64
+    got = {r["chunk"]: np.frombuffer(r["counts"], wide) for r in tree_summed(rows, kind).collect()}
+    return np.concatenate([got[k] for k in sorted(got)]) if got else np.zeros(0, wide)
 
 
 # --------------------------------------------------------------------------- Arrow side

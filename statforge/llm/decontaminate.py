@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,30 +105,34 @@ class Items:
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     """Best local alignment: score, equal words, first and last word of the text in it.
 
-    Rows are computed whole: a gap along the text is a running maximum. The way back
-    from the best cell counts the equal words.
+    Rows are computed whole, and only two are held: a cell carries the place where its
+    alignment begins and its number of equal words. A gap along the text is a running
+    maximum; its cells take what the cell at which the maximum was reached carries.
     """
-    m, n = len(item), len(text)
-    table = np.zeros((m + 1, n + 1), dtype=np.int32)
-    slope = GAP * np.arange(n + 1, dtype=np.int32)
-    for i in range(1, m + 1):
-        same = np.where(text == item[i - 1], MATCH, OTHER)
-        row = np.maximum(table[i - 1] + GAP, 0)
-        np.maximum(row[1:], table[i - 1, :-1] + same, out=row[1:])
-        table[i] = np.maximum.accumulate(row - slope) + slope
-    i, j = np.unravel_index(int(np.argmax(table)), table.shape)
-    best, last, equal, first = int(table[i, j]), int(j) - 1, 0, int(j)
-    while i and j and table[i, j] > 0:
-        alike = item[i - 1] == text[j - 1]
-        if table[i, j] == table[i - 1, j - 1] + (MATCH if alike else OTHER):
-            i, j = i - 1, j - 1
-            equal += int(alike)
-            first = int(j)
-        elif table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return best, equal, first, last
+    n = len(text)
+    places = np.arange(n + 1)
+    slope = GAP * places
+    row, first, equal = np.zeros(n + 1, dtype=np.int64), places.copy(), np.zeros(n + 1, dtype=np.int64)
+    best = (0, 0, 0, -1)
+    for word in item:
+        alike = text == word
+        across = row[:-1] + np.where(alike, MATCH, OTHER)
+        down = row + GAP
+        fresh = down <= 0
+        score, begin, count = np.where(fresh, 0, down), np.where(fresh, places, first), np.where(fresh, 0, equal)
+        better = across >= np.maximum(score[1:], 1)
+        score[1:] = np.where(better, across, score[1:])
+        begin[1:] = np.where(better, first[:-1], begin[1:])
+        count[1:] = np.where(better, equal[:-1] + alike, count[1:])
+        level = score - slope
+        source = np.maximum.accumulate(np.where(level >= np.maximum.accumulate(level), places, 0))
+        row = level[source] + slope
+        empty = row <= 0
+        first, equal = np.where(empty, places, begin[source]), np.where(empty, 0, count[source])
+        last = int(np.argmax(row))
+        if row[last] > best[0]:
+            best = (int(row[last]), int(equal[last]), int(first[last]), last - 1)
+    return best
 
 
 def enough(score: int, matched: int, length: int) -> bool:
@@ -156,7 +161,9 @@ def compare(words: np.ndarray, seeds: Items) -> Iterator[tuple[int, int, int, in
         length = len(seeds.words[own])
         pad = length // 4 + 2
         best = None
-        cut = np.flatnonzero(np.diff(start[lo:hi]) > length + 2 * pad) + 1
+        # every place to which seeds point lies in a window with room for the whole item around it
+        window = start[lo:hi] // (length + 2 * pad)
+        cut = np.flatnonzero(np.diff(window)) + 1
         for a, b in zip([lo, *(lo + cut)], [*(lo + cut), hi], strict=True):
             begin = max(int(start[a]) - pad, 0)
             text = words[begin : int(start[b - 1]) + length + pad]
@@ -191,9 +198,10 @@ def document_frequency(docs: DataFrame, items: Items) -> np.ndarray:
                 _, gram = own.hits(gram_hashes(hashes[bounds[i] : bounds[i + 1]], SEED))
                 total[np.unique(gram)] += 1
         parts = np.array_split(total, COUNT_CHUNKS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=["chunk", "counts"])
+        task = pa.array([TaskContext.get().partitionId()] * len(parts), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), task, pa.array([x.tobytes() for x in parts], pa.binary())], names=["chunk", "part", "counts"])
 
-    total = summed_chunks(_plain(docs).select("text").mapInArrow(counted, "chunk int, counts binary"), COUNT_CHUNKS, "int64")
+    total = summed_chunks(_plain(docs).select("text").mapInArrow(counted, "chunk int, part int, counts binary"), "int64")
     return total if len(total) else np.zeros(len(items.grams), np.int64)
 
 
