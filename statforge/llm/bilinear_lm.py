@@ -1,8 +1,8 @@
 """Language-model scoring with a log-bilinear neural model trained by noise contrast.
 
 Corpus counts come first: every training text's tokens are counted in Spark. From
-them the model takes its classes: the ``OWN`` most frequent words (and the text's
-end) stand alone, every other word falls into one of ``SHARED`` classes by a hash,
+them the model takes its classes: the most frequent words (and the text's end) stand
+alone, the more of them the more distinct words the corpus has (``own_classes``), every other word falls into one of ``SHARED`` classes by a hash,
 where its probability is its smoothed share of the class (one count is kept for
 words never seen). Over classes a log-bilinear model predicts the next class from
 the two before it: context vectors, weighted per place and dimension, are added up
@@ -10,10 +10,12 @@ and multiplied with the class vectors.
 
 Training runs in numpy inside Spark tasks over all training texts. A hash of the row
 deals the texts, once and as class numbers, to parts of about ``PART`` tokens, so the
-model does not hang on how the table is laid out in files. In each round every part
-descends the noise-contrastive loss from the shared start; the results (and the sums
+model does not hang on how the table is laid out in files. In each round parts
+descend the noise-contrastive loss from the shared start; the results (and the sums
 that set the step sizes) are averaged by their numbers of tokens, and the next round
-starts there, until the averaged loss falls by less than ``LEAST_GAIN`` of it.
+starts there. The first round takes an eighth of the parts, each further one twice as
+many, until one has taken all; from then on rounds take all parts, until the averaged
+loss falls by less than ``LEAST_GAIN`` of it. So every training text is learnt from.
 Then matrix products over all pairs of context classes give the normaliser of
 every context, so each token's log probability is exact and normalised.
 
@@ -45,8 +47,10 @@ from statforge.llm.common import crc_bucket, encoded_of, materialise, summed_chu
 
 #: The fold rule: rows whose id hashes to ``HELD_OUT`` of ``FOLDS`` are never learnt from.
 FOLDS, HELD_OUT = 7, 2
-#: Words with a class of their own (the end included), and classes that the others share.
-OWN, SHARED = 960, 64
+#: Words with a class of their own (the end included), least and most, and classes that the others share.
+OWN, MOST_OWN, SHARED = 960, 1984, 64
+#: The first round takes one part in so many.
+FIRST_SHARE = 8
 #: Words, at most, that every worker has at hand.
 HEAD = 150_000
 #: Vector length, tokens a step, noise samples a step, step size.
@@ -118,6 +122,12 @@ class Vocabulary:
         return len(self.class_mass)
 
 
+def own_classes(types: int) -> int:
+    """Words with a class of their own: twice the square root of the distinct words, within limits (the
+    normalisers of all contexts are a table of classes squared)."""
+    return int(min(max(2 * np.sqrt(types), OWN), MOST_OWN))
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """Totals, head and classes from the written counts."""
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -133,7 +143,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     head = sorted(((r["word"].encode(), r["c"]) for r in head), key=lambda x: (-x[1], x[0]))
     mass = {r["k"]: (r["c"], r["v"]) for r in counts.groupBy((F.crc32(F.col("word").cast("binary")) % SHARED).alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()}
 
-    own = [END, *[w for w, _ in head if w != END][: OWN - 1]]
+    own = [END, *[w for w, _ in head if w != END][: own_classes(int(total["v"])) - 1]]
     number = {w: k for k, w in enumerate(own)}
     index = {w: k for k, (w, _) in enumerate(head)}
     count = np.array([c for _, c in head], dtype=np.int64)
@@ -221,8 +231,10 @@ class Trainer:
 
     def _scatter(self, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
         k, d = self.m.context.shape
-        place = (rows.astype(np.int64)[:, None] * d + np.arange(d)).ravel()
-        return np.bincount(place, weights=values.ravel(), minlength=k * d).reshape(k, d).astype(np.float32)
+        out = np.empty((k, d), np.float32)
+        for j in range(d):
+            out[:, j] = np.bincount(rows, weights=values[:, j], minlength=k)
+        return out
 
     def step(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> None:
         m, n = self.m, len(word)
@@ -235,16 +247,17 @@ class Trainer:
             push = 1 / (1 + np.exp(-(hidden @ other.T + m.bias[noise] - self.log_noise[noise])))
         if self.steps % LOSS_STEPS == 0:  # the exact loss, of the same tokens in every round
             some = slice(None, None, LOSS_STEPS)
-            every = (hidden[some] @ m.target.T + m.bias).astype(np.float64)
+            every = hidden[some] @ m.target.T + m.bias
             top = every.max(axis=1)
-            self.loss += float((np.log(np.exp(every - top[:, None]).sum(axis=1)) + top - every[np.arange(len(every)), word[some]]).sum())
+            total = np.exp(every - top[:, None]).sum(axis=1, dtype=np.float64)
+            self.loss += float((np.log(total) + top - every[np.arange(len(every)), word[some]]).sum())
             self.loss_tokens += len(every)
         self.steps += 1
         back = pull[:, None] * own + push @ other
-        target = self._scatter(word, pull[:, None] * hidden)
-        np.add.at(target, noise, push.T @ hidden)
+        target = self._scatter(np.concatenate([word, noise]), np.concatenate([pull[:, None] * hidden, push.T @ hidden]))
         bias = np.bincount(word, weights=pull, minlength=len(m.bias)) + np.bincount(noise, weights=push.sum(axis=0), minlength=len(m.bias))
-        grads = (self._scatter(near, back * m.near) + self._scatter(far, back * m.far), target, (back * a).sum(axis=0), (back * b).sum(axis=0), bias)
+        context = self._scatter(np.concatenate([near, far]), np.concatenate([back * m.near, back * m.far]))
+        grads = (context, target, (back * a).sum(axis=0), (back * b).sum(axis=0), bias)
         q = self.s
         for x, g, s in zip((m.context, m.target, m.near, m.far, m.bias), grads, (q.context, q.target, q.near, q.far, q.bias), strict=True):
             g = g.astype(np.float32) / n
@@ -309,8 +322,11 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Bilinear:
     model = Bilinear.start(mass)
     square = Bilinear.of(np.full(len(model.flat()), 1e-6), len(mass))
     texts = dealt(docs, vocab).persist(StorageLevel.DISK_ONLY)
-    before, k = np.inf, 0
+    parts = max(-(-vocab.tokens // PART), 1)
+    before, k, taken = np.inf, 0, 0
     while True:
+        whole = taken == parts  # the round before took all parts
+        taken = min(-(-parts * 2**k // FIRST_SHARE), parts)
 
         def learned(batches: Iterator[pa.RecordBatch], start=(model.flat(), square.flat()), k=k) -> Iterator[pa.RecordBatch]:
             trainer, at, held, size = None, None, [], 0
@@ -324,7 +340,7 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Bilinear:
                 flat = np.concatenate([trainer.m.flat(), trainer.s.flat()]).astype(np.float64)
                 weighted = np.append(np.append(flat, 1.0) * trainer.tokens, [trainer.loss, trainer.loss_tokens])
                 pieces = [x.tobytes() for x in np.array_split(weighted, PARAMETER_CHUNKS)]
-                return pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], names=["chunk", "counts"])
+                return pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array([at] * len(pieces), pa.int32()), pa.array(pieces, pa.binary())], names=["chunk", "part", "counts"])
 
             for b in batches:
                 for part, classes in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -342,15 +358,15 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Bilinear:
                 learn()
                 yield results()
 
-        total = summed_chunks(texts.select("part", "classes").mapInArrow(learned, "chunk int, counts binary"), PARAMETER_CHUNKS, "float64")
+        total = summed_chunks(texts.where(F.col("part") < taken).select("part", "classes").mapInArrow(learned, "chunk int, part int, counts binary"), "float64")
         if not len(total):
             break
         loss = total[-2] / total[-1]
-        if loss >= before:
+        if whole and loss >= before:
             break
         flat = total[:-3] / total[-3]
         model, square = (Bilinear.of(x, len(mass)) for x in np.split(flat, 2))
-        if loss > (1 - LEAST_GAIN) * before:
+        if whole and loss > (1 - LEAST_GAIN) * before:
             break
         before, k = loss, k + 1
     texts.unpersist()
