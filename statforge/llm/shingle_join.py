@@ -64,6 +64,8 @@ LEAST_GROUPS, MOST_GROUPS, LOAD = 128, 8192, 2
 FINE = 32
 #: Counters of the frequency sketch (a byte each from every task), and rows it is shipped in.
 SKETCH_BITS, SKETCH_CHUNKS = 22, 64
+#: Doublings above twice the sketch's mean from which a key counts as common, and parts that it is dealt in.
+COMMON, SALTS = 6, 64
 #: Classes in a block of a bucket; one task holds one or two blocks.
 BLOCK = 4096
 #: Points in a leaf, children in a node.
@@ -365,20 +367,17 @@ def frequency_levels(rows: DataFrame) -> np.ndarray:
     total = rows.agg(F.sum("n")).first()[0] or 0
     floor = max(2 * total / (1 << SKETCH_BITS), 1.0)
 
-    def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column(1)]
-            levels = [np.ceil(np.log2(np.maximum(x / floor, 1.0))).astype(np.uint8).tobytes() for x in counts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(levels, pa.binary())], names=["chunk", "levels"])
+    def level(x: np.ndarray) -> np.ndarray:
+        return np.ceil(np.log2(np.maximum(x / floor, 1.0))).astype(np.uint8)
 
     out = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), dtype=np.uint8)
-    for r in tree_summed(rows, "u1").mapInArrow(level, "chunk int, levels binary").collect():
-        out[r["chunk"]] = np.frombuffer(r["levels"], np.uint8)
+    for r in tree_summed(rows, "u1", level).collect():
+        out[r["chunk"]] = np.frombuffer(r["counts"], np.uint8)
     return out.ravel()
 
 
 def prefix_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """``key, sig, short``: the first shingles of every set, frequent ones last, and whether a larger set must share one of these."""
+    """``key, sig, short, level``: the first shingles of every set, frequent ones last, whether a larger set must share one of these, and how frequent they are."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,32 +385,44 @@ def prefix_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) ->
         for b in batches:
             met: set[int] = set()
             for at in range(0, b.num_rows, SLICE):
-                keys, sigs, lens, short = [], [], [], []
+                keys, sigs, lens, short, often = [], [], [], [], []
                 for s in batch_sets(b.column(0).slice(at, SLICE)):
                     if not len(s) or (name := signature(s)) in met:
                         continue
                     met.add(name)
                     own, p = level[s >> shift], prefix_length(len(s), percent)
-                    keys.append(s[:p] if not own.any() else s[np.argsort(own, kind="stable")[:p]])
+                    order = np.arange(p) if not own.any() else np.argsort(own, kind="stable")[:p]
+                    keys.append(s[order])
+                    often.append(own[order])
                     sigs.append(name)
                     lens.append(p)
                     short.append(np.arange(p) < short_prefix_length(len(s), percent))
                 if keys:
-                    columns = [np.concatenate(keys).view(np.int64), np.repeat(np.array(sigs, np.int64), lens), np.concatenate(short)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "sig", "short"])
+                    columns = [np.concatenate(keys).view(np.int64), np.repeat(np.array(sigs, np.int64), lens), np.concatenate(short), np.concatenate(often).astype(np.int8)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "sig", "short", "level"])
 
-    return docs.select(F.col("text").alias("text")).mapInArrow(run, "key long, sig long, short boolean")
+    return docs.select(F.col("text").alias("text")).mapInArrow(run, "key long, sig long, short boolean, level byte")
 
 
 def buckets_of(keys: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``bucket, sig, n``: the classes that share a key, under the name of the least of them.
 
-    A class none of whose bucket's others is of a size that could link is left out. Keys
-    and sizes are combined in the tasks before they are exchanged; what a common one has
-    is joined back, where a large side may be split.
+    A class none of whose bucket's others is of a size that could link is left out. The
+    keys are exchanged once, those that the sketch calls common salted by the class; what
+    the salted parts of such a key say is combined and joined back, where a large side may
+    be split.
     """
-    named = keys.groupBy("key").agg(F.min("sig").alias("bucket"), F.max("sig").alias("last"), F.max("short").alias("deals")).where("bucket <> last AND deals")
-    rows = materialise(keys.join(named.select("key", "bucket"), "key").select("bucket", "sig").distinct().join(classes.select("sig", "n"), "sig"), "members")
+    common = F.col("level") > COMMON
+    salt = F.when(common, F.pmod("sig", F.lit(SALTS))).otherwise(0)
+    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keys.select("key", "sig", "short", common.alias("common"), salt.cast("int").alias("salt")).repartition(n, "key", "salt")
+    here = Window.partitionBy("key", "salt")
+    seen = dealt.withColumns({"least": F.min("sig").over(here), "last": F.max("sig").over(here), "deals": F.max("short").over(here)})
+    seen = materialise(seen.where("common OR (least <> last AND deals)").select("key", "sig", "least", "last", "deals", "common"), "shared")
+    whole = seen.where("common").groupBy("key").agg(F.min("least").alias("bucket"), F.max("last").alias("last"), F.max("deals").alias("deals")).where("bucket <> last AND deals")
+    often = seen.where("common").select("key", "sig").join(whole.select("key", "bucket"), "key").select("bucket", "sig")
+    dealt_out = seen.where("NOT common").select(F.col("least").alias("bucket"), "sig").union(often).distinct()
+    rows = materialise(dealt_out.join(classes.select("sig", "n"), "sig"), "members")
     by_size = Window.partitionBy("bucket").orderBy("n")  # a bucket has as many rows here as it has sizes
     sizes = rows.groupBy("bucket", "n").agg(F.count(F.lit(1)).alias("k"))
     close = (F.col("k") > 1) | (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
