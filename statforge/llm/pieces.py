@@ -22,6 +22,7 @@ table an empty result, and extra columns are passed over.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -167,7 +168,33 @@ class Pieces:
         return ids
 
     def _blanks(self, n: int) -> list[str]:
-        return self.merge(BLANK * n)
+        """Pieces of a run of blank marks: merged by definition, candidates held in a heap.
+
+        A part is known by its length alone; a candidate counts only if both of its
+        parts are still as long as they were when it was made.
+        """
+        following, before, length = list(range(1, n + 1)), list(range(-1, n - 1)), [1] * n
+        heap: list[tuple[float, int, int, int]] = []
+
+        def consider(i: int) -> None:
+            j = following[i] if i >= 0 else n
+            if j < n and (score := self.score.get(BLANK * (length[i] + length[j])) if length[i] + length[j] <= self.longest else None) is not None:
+                heapq.heappush(heap, (-score, i, length[i], length[j]))
+
+        for i in range(n - 1):
+            consider(i)
+        while heap:
+            _, i, own, next_ = heapq.heappop(heap)
+            j = following[i]
+            if length[i] != own or j >= n or length[j] != next_:
+                continue
+            length[i], length[j] = own + next_, 0  # a part that is used up has no length
+            following[i] = following[j]
+            if following[j] < n:
+                before[following[j]] = i
+            consider(before[i])
+            consider(i)
+        return [BLANK * k for k in length if k]
 
     def _unit_ids(self, unit: str) -> list[int]:
         """Ids of one unit: its known stretches encoded, other characters as bytes."""

@@ -90,7 +90,7 @@ def test_pieces_equal_the_library(library, documents):
     letters = "abcdetheion  ▁\n\té日🙂ÃÂ=-_/*#.0123\x00́"
     made = ["".join(r.choice(letters) for _ in range(r.randint(0, 25))) for _ in range(3000)]
     made += [" " * k + s for k in range(40) for s in ("", "a", "é", "\n", "日", "ł")]
-    made += ["".join(r.choice("ab=-Â") for _ in range(5000)), "a" * 5000, " " * 5000, "=" * 300, "<0x0A></s><unk>"]
+    made += ["".join(r.choice("ab=-Â") for _ in range(5000)), "a" * 5000, " " * 5000, " " * 100_000 + "end", "=" * 300, "<0x0A></s><unk>"]
     for t in [*made, *documents.values()]:
         ids = library.encode(t) + [2]
         assert p.encode(t) == ids
