@@ -98,7 +98,7 @@ def tree_summed(rows: DataFrame, kind: str, finish: Callable[[np.ndarray], np.nd
         return run
 
     pieces = rows.where("chunk IS NOT NULL").select("chunk", "part", "counts")
-    tasks, dtype = rows.rdd.getNumPartitions(), np.dtype(kind)
+    tasks, dtype = max(rows.rdd.getNumPartitions(), 1), np.dtype(kind)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
         tasks = -(-tasks // fanin)

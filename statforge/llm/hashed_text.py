@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -120,11 +122,12 @@ class Sample:
         return Sample(np.concatenate(parts) if parts else np.zeros(0, np.int32), np.cumsum([0, *map(len, parts)]), self.label[rows])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, grams: Grams, per_class: int, folds: int, held_out: int, label_col: str = "quality") -> tuple[Sample, dict[int, int]]:
-    """Features of a bounded sample of labelled texts, in the order of their ids.
+def fitted(docs: DataFrame, labels: DataFrame, grams: Grams, per_class: int, folds: int, held_out: int, learn: Callable[[Sample, dict[int, int]], Any], label_col: str = "quality") -> Any:
+    """What ``learn`` makes of a bounded sample of labelled texts, in the order of their ids, and of the classes' sizes.
 
     The sampled ids are at most ``2 * per_class`` rows, so they are broadcast and
-    the texts are read in place; only feature sets of sampled texts reach the driver.
+    the texts are read in place. The feature sets of the sampled texts meet in one
+    task, which learns; only what it has learnt reaches the driver.
     """
     ids, sizes = labelled_ids(labels, label_col, per_class, folds, held_out)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).join(F.broadcast(ids), "doc_id")
@@ -134,12 +137,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, grams: Grams, per_class:
             sets = [s.tobytes() for s in feature_sets(*text_buffers(b.column(1)), grams)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sets, pa.binary())], names=["doc_id", "label", "slots"])
 
-    got = rows.select("doc_id", "text", "label").mapInArrow(featured, "doc_id long, label int, slots binary").toArrow()
-    slots = [np.frombuffer(x.as_buffer(), np.int32) for x in got["slots"]]  # views, not copies
-    order = sorted(range(len(slots)), key=lambda i: (got["doc_id"][i].as_py(), slots[i].tobytes()))
-    label = np.array([got["label"][i].as_py() for i in order], dtype=np.int64)
-    parts = [slots[i] for i in order]
-    return Sample(np.concatenate(parts) if parts else np.zeros(0, np.int32), np.cumsum([0, *map(len, parts)]), label), sizes
+    def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((i, s, y) for b in batches for i, y, s in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        parts = [np.frombuffer(s, np.int32) for _, s, _ in rows]
+        sample = Sample(np.concatenate(parts) if parts else np.zeros(0, np.int32), np.cumsum([0, *map(len, parts)]), np.array([y for _, _, y in rows], dtype=np.int64))
+        del rows, parts
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(sample, sizes))], pa.binary())], names=["model"])
+
+    features = rows.select("doc_id", "text", "label").mapInArrow(featured, "doc_id long, label int, slots binary")
+    got = features.repartition(1).mapInArrow(learnt, "model binary").collect()  # one task of at most 2 * per_class rows
+    if got:
+        return pickle.loads(got[0]["model"])
+    return learn(Sample(np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64)), sizes)
 
 
 def fold_of(n: int, folds: int, seed: int) -> np.ndarray:

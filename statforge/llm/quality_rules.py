@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statforge.llm.common import gram_hashes, text_buffers, word_hashes
-from statforge.llm.hashed_text import Grams, Sample, calibrate, feature_sets, fold_of, labelled_sample, probability
+from statforge.llm.hashed_text import Grams, Sample, calibrate, feature_sets, fitted, fold_of, probability
 
 #: Labelled texts a class in the sample that the model is fitted on.
 PER_CLASS = 2000
@@ -120,24 +120,27 @@ def fit_margin(sample: Sample, width: int, seed: int = 6) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, grams: Grams = Grams(), per_class: int = PER_CLASS) -> Model | None:
-    """Fit on labelled rows outside the held-out fold; ``None`` without rows of both classes."""
-    sample, sizes = labelled_sample(docs, labels, grams, per_class, FOLDS, HELD_OUT)
-    if len(set(sample.label.tolist())) < 2:
-        return None
-    fold = fold_of(len(sample), CALIBRATION_FOLDS, seed=4)
-    margins = np.zeros(len(sample))
-    for k in range(CALIBRATION_FOLDS):
-        inner = fit_margin(sample.take(np.flatnonzero(fold != k)), grams.width)
-        for i in np.flatnonzero(fold == k):
-            margins[i] = inner.margin(sample.row(i))
-    model = fit_margin(sample, grams.width)
-    model.slope, model.offset = calibrate(margins, sample.label, sizes)
-    return model
+    """Fit on labelled rows outside the held-out fold, in one task; ``None`` without rows of both classes."""
+
+    def learn(sample: Sample, sizes: dict[int, int]) -> Model | None:
+        if len(set(sample.label.tolist())) < 2:
+            return None
+        fold = fold_of(len(sample), CALIBRATION_FOLDS, seed=4)
+        margins = np.zeros(len(sample))
+        for k in range(CALIBRATION_FOLDS):
+            inner = fit_margin(sample.take(np.flatnonzero(fold != k)), grams.width)
+            for i in np.flatnonzero(fold == k):
+                margins[i] = inner.margin(sample.row(i))
+        model = fit_margin(sample, grams.width)
+        slope, offset = calibrate(margins, sample.label, sizes)
+        return Model(model.weight.astype(np.float32), model.intercept, slope, offset)
+
+    return fitted(docs, labels, grams, per_class, FOLDS, HELD_OUT, learn)
 
 
 def judge(docs: DataFrame, model: Model | None, grams: Grams = Grams(), threshold: float = THRESHOLD) -> DataFrame:
     """The contract's columns for every document, and the model's probability."""
-    weight = docs.sparkSession.sparkContext.broadcast(model.weight.astype(np.float32) if model else None)  # one array of the hashed width
+    weight = docs.sparkSession.sparkContext.broadcast(model.weight if model else None)  # one array of the hashed width
     numbers = (model.intercept, model.slope, model.offset) if model else (0.0, 1.0, 0.0)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

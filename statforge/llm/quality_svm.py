@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statforge.llm.common import crc_bucket, text_buffers
-from statforge.llm.hashed_text import Grams, Sample, calibrate, feature_sets, fold_of, labelled_sample, probability
+from statforge.llm.hashed_text import Grams, Sample, calibrate, feature_sets, fitted, fold_of, probability
 
 #: Labelled texts a class in the sample that the model is fitted on.
 PER_CLASS = 2000
@@ -93,27 +93,30 @@ def fit_margin(sample: Sample, width: int, seed: int = 5) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, grams: Grams = Grams(), per_class: int = PER_CLASS) -> Model:
-    """Fit on the labelled rows outside the held-out fold."""
-    sample, sizes = labelled_sample(docs, labels, grams, per_class, FOLDS, HELD_OUT)
-    if len(set(sample.label.tolist())) < 2:
-        n1 = int(sample.label.sum())
-        share = np.log((n1 + 1.0) / (len(sample) - n1 + 1.0))
-        return Model(np.zeros(grams.width), np.zeros(grams.width), 0.0, 1.0, float(share))
-    fold = fold_of(len(sample), CALIBRATION_FOLDS, seed=3)
-    margins = np.zeros(len(sample))
-    for k in range(CALIBRATION_FOLDS):
-        inner = fit_margin(sample.take(np.flatnonzero(fold != k)), grams.width)
-        for i in np.flatnonzero(fold == k):
-            margins[i] = inner.margin(sample.row(i))
-    model = fit_margin(sample, grams.width)
-    model.slope, model.offset = calibrate(margins, sample.label, sizes)
-    return model
+    """Fit on the labelled rows outside the held-out fold, in one task."""
+
+    def learn(sample: Sample, sizes: dict[int, int]) -> Model:
+        if len(set(sample.label.tolist())) < 2:
+            n1 = int(sample.label.sum())
+            share = np.log((n1 + 1.0) / (len(sample) - n1 + 1.0))
+            return Model(np.zeros(grams.width, np.float32), np.zeros(grams.width, np.float32), 0.0, 1.0, float(share))
+        fold = fold_of(len(sample), CALIBRATION_FOLDS, seed=3)
+        margins = np.zeros(len(sample))
+        for k in range(CALIBRATION_FOLDS):
+            inner = fit_margin(sample.take(np.flatnonzero(fold != k)), grams.width)
+            for i in np.flatnonzero(fold == k):
+                margins[i] = inner.margin(sample.row(i))
+        model = fit_margin(sample, grams.width)
+        slope, offset = calibrate(margins, sample.label, sizes)
+        return Model(model.weight.astype(np.float32), model.square.astype(np.float32), model.intercept, slope, offset)
+
+    return fitted(docs, labels, grams, per_class, FOLDS, HELD_OUT, learn)
 
 
 def score(docs: DataFrame, model: Model, grams: Grams = Grams(), threshold: float = THRESHOLD) -> DataFrame:
     """The contract's columns for every document."""
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((model.weight.astype(np.float32), model.square.astype(np.float32)))  # two arrays of the hashed width
+    shared = sc.broadcast((model.weight, model.square))  # two arrays of the hashed width
     intercept, slope, offset = model.intercept, model.slope, model.offset
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +140,7 @@ def score(docs: DataFrame, model: Model, grams: Grams = Grams(), threshold: floa
 
 def filtered(docs: DataFrame, model: Model, grams: Grams = Grams(), threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the model predicts good, in place: no text is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), model.square.astype(np.float32)))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.square))
     intercept, slope, offset = model.intercept, model.slope, model.offset
     at = docs.columns.index("text")
 
