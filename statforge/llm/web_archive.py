@@ -46,8 +46,8 @@ MIN_REVISIT_BYTES = 0
 PACKAGE_BYTES = 256 << 20
 #: Bytes of neighbouring records read as one range.
 RANGE_BYTES = 4 << 20
-#: Salts over which the rows of one payload are dealt.
-SALTS = 16
+#: A payload of more than one in so many pages is common; there are fewer of these than this.
+COMMON = 1000
 
 # Fixed values of the formats: member names, header names and record signatures.
 DATA_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -245,25 +245,28 @@ def _arrow(schema: str, spark) -> pa.Schema:
 def with_references(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """``page_id, url, html, refers_to`` (null for responses).
 
-    Only payloads that occur more than once are joined back; the rows of each are
-    dealt over ``SALTS`` join keys, so one very common payload is no single task.
+    Only payloads that occur more than once are looked up. Those that make up more than
+    one in ``COMMON`` of all pages are at most ``COMMON``; they are broadcast, and their pages
+    are spread over all tasks. The others are written first, so the planner knows their
+    size and shuffles the pages only where it must; none of them is a large group.
     """
     p = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.coalesce(F.col("url"), F.lit("")).alias("url"),
         F.coalesce(F.col("html"), F.lit("")).alias("html"),
     ).withColumn("payload_key", F.sha1(F.col("html").cast("binary")))
-    again = (
-        p.where(F.octet_length("html") >= min_revisit_bytes)
-        .groupBy("payload_key")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("keeper"))
-        .where("n > 1")
-        .select("payload_key", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    )
-    salted = p.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(again, ["payload_key", "salt"], "left")
-    other = F.col("keeper").isNotNull() & ~F.col("keeper").eqNullSafe(F.col("page_id"))
-    return joined.select("page_id", "url", "html", F.when(other, F.col("keeper")).alias("refers_to"))
+    again = p.where(F.octet_length("html") >= min_revisit_bytes).groupBy("payload_key").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("keeper")).where("n > 1")
+    again = materialise(again, "payloads")
+    often = F.col("n") * COMMON > pages.count()
+    common = again.where(often).select("payload_key", F.col("keeper").alias("common_keeper"), F.lit(True).alias("common"))
+    found = p.join(F.broadcast(common), "payload_key", "left")
+    # pages of a common payload are looked up under names that nothing has, each task's share of them under its own
+    spread = F.concat(F.lit("#"), F.xxhash64("page_id", "url").cast("string"))
+    found = found.withColumn("payload_key", F.when(F.col("common"), spread).otherwise(F.col("payload_key")))
+    joined = found.join(again.where(~often).select("payload_key", "keeper"), "payload_key", "left")
+    keeper = F.when(F.col("common"), F.col("common_keeper")).otherwise(F.col("keeper"))
+    other = keeper.isNotNull() & ~keeper.eqNullSafe(F.col("page_id"))
+    return joined.select("page_id", "url", "html", F.when(other, keeper).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:

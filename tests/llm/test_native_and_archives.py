@@ -206,6 +206,18 @@ def test_round_trip_and_revisits(spark):
     assert web_archive.round_trip(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("common", [1, 20, 1000])
+def test_a_payload_of_a_third_of_all_pages(spark, monkeypatch, common):
+    monkeypatch.setattr(web_archive, "COMMON", common)
+    pages = [(i, f"http://p{i}", "same" if i % 3 == 0 else f"pair {i // 10}" if i % 10 in (1, 2) else f"own {i}") for i in range(900)]
+    frame = spark.createDataFrame(pages, "page_id LONG, url STRING, html STRING").repartition(6)
+    keeper = {}
+    for i, _, html in pages:
+        keeper[html] = max(i, keeper.get(html, i))
+    rows = web_archive.with_references(frame).collect()
+    assert {r["page_id"]: r["refers_to"] for r in rows} == {i: keeper[h] if keeper[h] != i else None for i, _, h in pages} and len(rows) == 900
+
+
 def test_payloads_come_back_and_packages_are_plain_zip(spark, workdir, monkeypatch):
     monkeypatch.setattr(web_archive, "RANGE_BYTES", 300)
     frame = spark.createDataFrame(PAGES, "page_id LONG, url STRING, html STRING")
