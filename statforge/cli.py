@@ -36,6 +36,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from statforge import sinks
+from statforge.operators.counted import DropCounts
 from statforge.operators.order import DEFAULT_PARTS_PER_BUCKET, sample_k
 from statforge.operators.project import feature_columns
 from statforge.plans import jobs
@@ -63,6 +64,11 @@ def _kv(df, key, value):
     return sinks.key_value_lines(df, key, value)
 
 
+def _said(counts: DropCounts) -> str:
+    """One line for each source: what was read, kept, and dropped for which reason."""
+    return "\n".join(f"{source}: " + ", ".join(f"{n} {what}" for what, n in by.items()) for source, by in counts.get().items())
+
+
 def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
     mode = "overwrite" if args.overwrite else "errorifexists"
     job, a = args.job, args.args
@@ -76,33 +82,39 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
         raise SystemExit(f"{job} takes {need[job]} arguments, got {len(a)}")
     header = "each" if args.header else None
     lines = read_lines(spark, a[0], header=header, position=job in ("sample", "cluster"))  # samples are drawn by position
+    counts = DropCounts()
     if job == "flag-mean":
-        _out(_kv(jobs.flag_group_mean(lines), "group_key", "mean_value"), a[1], mode)
-    elif job == "station-max":
+        _out(_kv(jobs.flag_group_mean(lines, counts=counts), "group_key", "mean_value"), a[1], mode)
+        return _said(counts)
+    if job == "station-max":
         _out(_kv(jobs.station_year_max(lines), "year", "max_value"), a[1], mode)
     elif job == "year-project":
-        _out(jobs.projection_lines(jobs.year_range_projection(lines)), a[1], mode)
+        _out(jobs.projection_lines(jobs.year_range_projection(lines, counts=counts)), a[1], mode)
+        return _said(counts)
     elif job == "range-max":
-        maxima = jobs.range_partitioned_max(lines, parts_per_bucket=args.parts_per_bucket)
+        maxima = jobs.range_partitioned_max(lines, parts_per_bucket=args.parts_per_bucket, counts=counts)
         _out(maxima.select(F.concat_ws("\t", "key", F.col("max_value").cast("string")).alias("value")), a[1], mode)
+        return _said(counts)
     elif job == "substring-mean":
-        _out(_kv(jobs.ngram_substring_mean(lines, read_lines(spark, a[1], header=header)), "tag_key", "mean_volumes"), a[2], mode)
+        _out(_kv(jobs.ngram_substring_mean(lines, read_lines(spark, a[1], header=header), counts=counts), "tag_key", "mean_volumes"), a[2], mode)
+        return _said(counts)
     elif job == "volume-stddev":
-        out = jobs.ngram_volume_stddev(lines, read_lines(spark, a[1], header=header))
+        out = jobs.ngram_volume_stddev(lines, read_lines(spark, a[1], header=header), counts=counts)
         _out(sinks.single_column_lines(out, "stddev"), a[2], mode, merge=True)
+        return _said(counts)
     elif job == "moments":
         sinks.write_moments(jobs.column_moments(lines), a[1], mode=mode)
     elif job == "subset":
         _out(jobs.subset_rows(lines), a[1], mode)
     elif job == "kmeans-raw":
         start = centroids_to_list(read_centroids(spark, a[1]))
-        result = jobs.kmeans_raw(lines, start, read_variables(spark, a[2]))
+        result = jobs.kmeans_raw(lines, start, read_variables(spark, a[2]), state=args.state)
         sinks.write_centroids(centroids_frame(spark, result.centers), a[3], mode=mode)
         return result.report()
     elif job == "kmeans":
         start = centroids_to_list(read_centroids(spark, a[1]))
         means, stds = moments_to_lists(read_moments(spark, a[3]))
-        result = jobs.kmeans_standardised(lines, start, read_variables(spark, a[2]), means, stds, max_iter=int(a[4]))
+        result = jobs.kmeans_standardised(lines, start, read_variables(spark, a[2]), means, stds, max_iter=int(a[4]), state=args.state)
         sinks.write_centroids(centroids_frame(spark, result.centers), a[5], mode=mode)
         return result.report()
     elif job == "assign":
@@ -113,14 +125,14 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str | None:
     elif job == "cluster":
         given = read_moments(spark, a[3]) if args.given_moments else None
         variables = [int(v) - 1 for v in args.vars.split(",")] if args.vars else None
-        res = run_clustering(lines, k=int(a[1]), max_iter=int(a[2]), variables=variables, moments=given, profile_all=given is None)
+        res = run_clustering(lines, k=int(a[1]), max_iter=int(a[2]), variables=variables, moments=given, profile_all=given is None, seed=args.seed, state=args.state)
         if given is None:
             sinks.write_moments(res.moments, a[3], mode=mode)
         sinks.write_centroids(centroids_frame(spark, res.fit.centers), f"{a[4]}/centroids", mode=mode)
         _out(jobs.assignment_lines(res.assignments), f"{a[4]}/assigned", mode)
         return res.fit.report()
     elif job == "sample":
-        rows = parse_delimited(sample_k(lines, int(a[1])), "tab")
+        rows = parse_delimited(sample_k(lines, int(a[1]), seed=args.seed), "tab")
         picked = rows.select(F.array(*feature_columns("fields", read_variables(spark, a[2]))).alias("center"))
         start = [[float(x) for x in r["center"]] for r in picked.collect()]  # k rows
         sinks.write_centroids(centroids_frame(spark, start), a[3], mode=mode)
@@ -146,6 +158,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--header", action="store_true", help="leave out the first line of every input file")
     p.add_argument("--vars", default=None, help="cluster: 1-based columns, comma-separated")
     p.add_argument("--given-moments", action="store_true", help="cluster: read MOMENTS instead of profiling the data")
+    p.add_argument("--seed", type=int, default=0, help="sample, cluster: another sample")
+    p.add_argument("--state", default=None, help="kmeans, kmeans-raw, cluster: folder for the finished rounds, from which a stopped fit goes on")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     return p
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,8 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a folder every
-    executor can reach); a session without one uses a folder in its warehouse,
-    which executors share as well. No folder is made up on the local machine.
+    executor can reach), and a session without one is refused. Only a session on one
+    machine (a local master) may do without; it uses a folder in its warehouse.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,7 +57,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-        if not warehouse:
+        if not warehouse or not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = f"{warehouse.rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(configured)

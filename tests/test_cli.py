@@ -103,3 +103,27 @@ def test_jobs_that_prepare_the_clustering(spark, workdir):
     variables, start = _write(os.path.join(workdir, "v"), "1 2\n"), os.path.join(workdir, "start")
     main(["sample", tabs, "2", variables, start], spark=spark)
     assert len(_read(start)) == 2 and set(_read(start)) <= {"1.0\t2.0", "3.0\t4.0", "5.0\t6.0"}
+
+
+def test_jobs_say_what_they_dropped(spark, workdir, capsys):
+    recs = _write(os.path.join(workdir, "m.csv"), "0,t,Abba,1.5\n0,t,Abba,x\n0,t,Kiss,3.0\n")
+    main(["range-max", recs, os.path.join(workdir, "o")], spark=spark)
+    assert capsys.readouterr().out == "records: 3 read, 2 kept, 1 value is not a number, 0 no key\n"
+    uni = _write(os.path.join(workdir, "uni.txt"), "nub 1999 1 10\nnub 1999 1 y\n")
+    bi = _write(os.path.join(workdir, "bi.txt"), "the nut 1999 1 20\n")
+    main(["volume-stddev", uni, bi, os.path.join(workdir, "s")], spark=spark)
+    assert "unigrams: 2 read, 1 kept, 1 volumes are not an integer" in capsys.readouterr().out
+
+
+def test_a_fit_goes_on_from_its_state(spark, workdir, capsys):
+    rows = [f"r{i}\t{(i * 37) % 101}\t{(i * 53) % 89}" for i in range(200)]
+    data = _write(os.path.join(workdir, "data.tsv"), "\n".join(rows) + "\n")
+    mom, state = os.path.join(workdir, "mom"), f"file://{workdir}/state"
+    run = lambda n, out, *more: main(["cluster", data, "4", str(n), mom, os.path.join(workdir, out), "--vars", "2,3", "--overwrite", "--seed", "7", *more], spark=spark)
+    run(20, "whole")
+    run(2, "part", "--state", state)
+    run(20, "rest", "--state", state)
+    whole, part, rest = capsys.readouterr().out.splitlines()
+    assert whole == rest and "iteration 2;" in part
+    assert _read(os.path.join(workdir, "whole", "centroids")) == _read(os.path.join(workdir, "rest", "centroids"))
+    assert sorted(os.listdir(os.path.join(workdir, "state")))[:2] == ["round-000001", "round-000002"]
