@@ -38,7 +38,7 @@ SEED, STRETCH = 3, 4
 #: Scores of a word: equal, different, left out or put in.
 MATCH, OTHER, GAP = 2, -1, -1
 #: Share of an item's best score, or words in a row, that count as contamination.
-SHARE, LONG = 0.5, 13
+SHARE, LONG = 0.4, 13
 #: Bytes of item text indexed at a time.
 BLOCK_BYTES = 4 << 20
 COUNT_CHUNKS = 8

@@ -104,6 +104,20 @@ def test_groups_of_the_test_documents(spark, documents):
     assert grouped(table(spark, SF, "documents")) == brute_groups(documents.items())
 
 
+def test_long_texts_and_a_key_in_a_third_of_the_rows(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(shingle_join, "COMMON", -1)  # every shared key goes the way of common ones
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(4))
+    long = [word() for _ in range(60_000)]
+    edited = list(long)
+    for _ in range(1000):
+        edited[r.randrange(len(edited))] = word()
+    line = " ".join(word() for _ in range(9))
+    rows = [(1, " ".join(long)), (2, " ".join(edited)), (3, " ".join(long[:30_000]))]
+    rows += [(10 + i, f"{line} {word()}" if i % 3 == 0 else " ".join(word() for _ in range(12))) for i in range(240)]
+    assert grouped(docs_of(rows)) == brute_groups(rows)
+
+
 def test_empty_table_and_null_ids(spark, docs_of):
     assert shingle_join.link_groups(docs_of([])).count() == 0
     got = shingle_join.link_groups(docs_of([(None, "a b c d e f"), (4, "a b c d e f"), (None, None)])).collect()
@@ -229,6 +243,59 @@ def test_short_items_in_a_third_of_all_documents_are_found(spark, docs_of):
     assert {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs_of(rows), bench).collect()} == want
 
 
+def test_whole_result_equals_aligning_every_document_with_every_item(spark, documents):
+    items = [tuple(r) for r in table(spark, SF, "benchmark").collect()]
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    number = defaultdict(lambda: len(number) + 1)
+    coded = {k: np.array([number[w] for w in words(t)]) for k, t in items}
+    want = set()
+    for i, t in documents.items():
+        text = np.array([number[w] for w in words(t)], dtype=np.int64)
+        have = Counter(text.tolist())
+        for k, item in coded.items():
+            if len(item) >= 3 and sum((Counter(item.tolist()) & have).values()) >= min(len(item), 8):
+                score, matched, *_ = decontaminate.align(item, text)
+                if decontaminate.enough(score, matched, len(item)):
+                    want.add((i, k))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table(spark, SF, "documents"), table(spark, SF, "benchmark")).collect()}
+    assert got == want and want
+
+
+@pytest.mark.parametrize("share, least", [(0.1, 0.99), (0.2, 0.97), (0.3, 0.9)])
+def test_recall_of_copies_with_changed_words(spark, share, least):
+    import pyarrow as pa
+
+    items = decontaminate.Items.of([(r["item_id"], r["text"].lower()) for r in table(spark, SF, "benchmark").collect()])
+    hashes, bounds = decontaminate.plain_words(pa.array([r["text"].lower() for r in table(spark, SF, "documents").collect()]))
+    hosts = [hashes[bounds[i] : bounds[i + 1]] for i in range(len(bounds) - 1)]
+    frequency = np.zeros(len(items.grams), np.int64)
+    for w in hosts:
+        frequency[np.unique(items.hits(decontaminate.gram_hashes(w, decontaminate.SEED))[1])] += 1
+    seeds, rng, found = items.seeds(frequency), np.random.default_rng(3), 0
+    for _ in range(300):
+        k, host = int(rng.integers(len(items.words))), hosts[rng.integers(len(hosts))]
+        copy = items.words[k].copy()
+        changed = rng.random(len(copy)) < share
+        copy[changed] = rng.choice(hashes, int(changed.sum()))
+        at = int(rng.integers(len(host) + 1))
+        found += k in {x[0] for x in decontaminate.compare(np.concatenate([host[:at], copy, host[at:]]), seeds)}
+    assert found >= least * 300
+
+
+def test_a_long_text_that_repeats_an_item_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    item = rng.integers(1, 2**60, 60).astype(np.uint64)
+    items = decontaminate.Items.index([7], [item], [decontaminate.gram_hashes(item, 3)], [np.arange(58)])
+    text = np.tile(np.concatenate([item[:40], rng.integers(1, 2**60, 20).astype(np.uint64)]), 5000)
+    tracemalloc.start()
+    found = list(decontaminate.compare(text, items))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(x[0], x[2]) for x in found] == [(0, 40)] and peak < 150e6
+
+
 def test_many_blocks_of_items_and_empty_tables(spark, docs_of, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 40)
     items = [(k, " ".join(f"w{k}x{i}" for i in range(12))) for k in range(4)]
