@@ -30,8 +30,8 @@ R-tree. Candidates are verified, and links join components. If all candidates of
 hold, its forest is right and every other surviving pair of it lies within one component,
 so it is done. Buckets with a failed candidate are searched again, their components joined
 from the start and without the failed pairs, until none is left; so in the end no two sets
-of different components can link. After a round of mostly failures a bucket keeps twice as
-many forests, one within the other, so their number of rounds is small. A group of near
+of different components can link. In each round a bucket keeps ``MORE`` times as many forests as
+before (``MOST_FORESTS`` at most), one within the other, so the number of rounds is small. A group of near
 copies costs about its size, not its square.
 A bucket of more than ``BLOCK`` classes is dealt over several tasks: in the first round
 block by block, with one class in all of its blocks; later as cells of two blocks, of
@@ -70,6 +70,8 @@ COMMON, SALTS = 6, 64
 BLOCK = 4096
 #: Points in a leaf, children in a node.
 LEAF, FANOUT = 32, 16
+#: Spanning forests of a bucket: times as many in each round, and at most so many.
+MORE, MOST_FORESTS = 16, 256
 #: Texts whose words are hashed at a time.
 SLICE = 256
 
@@ -254,7 +256,7 @@ class Forests:
     """
 
     def __init__(self, part: np.ndarray, deep: int = 1):
-        self.labels = np.tile(np.unique(part, return_inverse=True)[1], (deep, 1))
+        self.labels = np.tile(np.unique(part, return_inverse=True)[1].astype(np.int32), (deep, 1))
         self.joined = 0
 
     def apart(self, own: int, others: np.ndarray) -> np.ndarray:
@@ -605,8 +607,7 @@ def link_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         pairs = materialise(found.select("a", "b").distinct(), "pairs")
         good = materialise(verified(pairs, classes, docs, percent), "links")
         bad = found.join(good, ["a", "b"], "left_anti")
-        n_good, n_pairs = good.count(), pairs.count()
-        if n_good:
+        if not good.isEmpty():
             labels = components(good, labels)
         again = bad.select("bucket").union(large).distinct() if first else bad.select("bucket").distinct()
         pending = materialise(buckets.join(again, "bucket", "left_semi"), "pending")
@@ -614,9 +615,7 @@ def link_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
         lost = bad.select("a", "b").distinct()
         failed = materialise(lost if failed is None else failed.union(lost), "failed")
-        first = False
-        if 2 * n_good <= n_pairs:
-            deep *= 2
+        first, deep = False, min(deep * MORE, MOST_FORESTS)
     if labels is None:
         labels = classes.select(F.col("sig").alias("v"), F.col("sig").alias("label")).where("false")
     return named_groups(rows, classes, labels)
