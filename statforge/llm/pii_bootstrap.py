@@ -106,11 +106,10 @@ def valid(kind: str, value: Column) -> Column:
     return F.length(_digits(value)).between(9, 15)
 
 
-def numbered(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``rid, doc_id, text`` of every row, and the columns of ``keep`` under ``row``; written, so that a row keeps its number."""
-    kept = [F.struct(*keep).alias("row")] if keep else []
-    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    return materialise(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), text, *kept), "numbered")
+def numbered(docs: DataFrame, keep: bool = False) -> DataFrame:
+    """``rid, doc_id, text`` of every row, and its other columns under ``row`` if asked; written, so that a row keeps its number."""
+    kept = [F.struct(*[c for c in docs.columns if c != "text"]).alias("row")] if keep else []
+    return materialise(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text", *kept), "numbered")
 
 
 def located(rows: DataFrame) -> DataFrame:
@@ -205,18 +204,22 @@ def discovered(graph: DataFrame) -> DataFrame:
         known = count
 
 
-def find_personal_data(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``rid, doc_id, spans``, and ``text, row`` if asked: all spans by kind (the base kinds, then ``id``), then start."""
-    rows = numbered(docs, keep)
+def span_rows(rows: DataFrame) -> DataFrame:
+    """``rid, place, start, end, kind`` of all spans of numbered rows; ``place`` orders the kinds (the base kinds, then ``id``)."""
     found = materialise(located(rows), "located")
     seen = materialise(mentions(found), "mentions")
     new = seen.where("NOT seed AND NOT failed").join(discovered(materialise(edges(seen), "edges")), "value")
     order = F.array_position(F.array(*map(F.lit, BASE_KINDS)), F.col("kind")).cast("int")
     spans = found.where("kind <> 'token' AND ok").select("rid", order.alias("place"), "start", "end", "kind")
-    spans = spans.unionByName(new.select("rid", F.lit(len(BASE_KINDS) + 1).alias("place"), "start", "end", F.lit(KIND).alias("kind")))
-    whole = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("place", "start", "end", "kind"))).alias("spans"))
+    return spans.unionByName(new.select("rid", F.lit(len(BASE_KINDS) + 1).alias("place"), "start", "end", F.lit(KIND).alias("kind")))
+
+
+def find_personal_data(docs: DataFrame) -> DataFrame:
+    """``rid, doc_id, spans``: all spans by kind (the base kinds, then ``id``), then start."""
+    rows = numbered(docs)
+    whole = span_rows(rows).groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("place", "start", "end", "kind"))).alias("spans"))
     named = F.transform(F.coalesce("spans", F.array().cast("array<struct<place:int,start:bigint,end:bigint,kind:string>>")), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    return rows.join(whole, "rid", "left").select("rid", "doc_id", named.alias("spans"), *(["text", "row"] if keep else []))
+    return rows.select("rid", "doc_id").join(whole, "rid", "left").select("rid", "doc_id", named.alias("spans"))
 
 
 def _cut(begin: Column, end: Column) -> Column:
@@ -234,21 +237,18 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     Spans that overlap are replaced as one, under the name of the first of them.
     """
-    columns = tuple(docs.columns)
-    rows = find_personal_data(docs, columns)
-    some = rows.where(F.size("spans") > 0)
+    rows = numbered(docs, keep=True)
     # each span with the end of all spans before it: where that is beyond its start, it is part of them
     before = Window.partitionBy("rid").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    each = some.select("rid", F.inline("spans")).withColumn("at", F.coalesce(F.max("end").over(before), F.lit(0).cast("long")))
+    each = span_rows(rows).withColumn("at", F.coalesce(F.max("end").over(before), F.lit(0).cast("long")))
     cuts = each.groupBy("rid").agg(F.sort_array(F.collect_list(F.when(F.col("start") >= F.col("at"), F.struct("start", "at", "kind")))).alias("cuts"), F.max("end").alias("rest"))
-    chunks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
-    held = some.select("rid", "text").join(cuts, "rid").select("rid", "cuts", "rest", chunks.alias("chunks"), F.length("text").cast("long").alias("n"))
+    # the texts are exchanged once, for this join
+    held = rows.join(cuts, "rid", "left").select("row", "text", "cuts", "rest", F.when(F.col("cuts").isNotNull(), F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).alias("chunks"))
     parts = F.transform("cuts", lambda c: F.concat(_cut(c["at"], c["start"]), F.lit("<"), F.upper(c["kind"]), F.lit(">")))
-    clean = held.select("rid", F.concat(F.array_join(parts, ""), _cut(F.col("rest"), F.col("n"))).alias("_clean"))
-    out = rows.join(clean, "rid", "left").select("_clean", "row.*")
-    text = F.coalesce("_clean", F.col("text"))
-    new = {"text": text, "n_chars": F.length(F.coalesce(text, F.lit(""))).cast("long")}
-    return out.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
+    clean = F.concat(F.array_join(parts, ""), _cut(F.col("rest"), F.length("text").cast("long")))
+    out = held.select("row", F.when(F.col("cuts").isNotNull(), clean).otherwise(F.col("text")).alias("clean"))
+    new = {"text": F.col("clean"), "n_chars": F.length(F.coalesce("clean", F.lit(""))).cast("long")}
+    return out.select(*[new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def span_text(spans: Column) -> Column:
