@@ -2,8 +2,10 @@
 
 Centroids arrive as Python lists (k x d values, bounded by the parameters) and
 are inlined as one literal, so the nearest-centroid step is map-side: no join, no
-shuffle. There is one form for every width, over an ``array<double>`` column: the
-expression stays small whatever k and d are.
+shuffle. The general form is over an ``array<double>`` column: the expression stays small
+whatever k and d are. A few short centroids are written out over one double column a
+coordinate instead, which Spark compiles (functions over arrays are interpreted a row);
+both forms give the same values.
 """
 
 from __future__ import annotations
@@ -49,3 +51,30 @@ def two_nearest(vec: Column, centers: Sequence[Sequence[float]]) -> Column:
 def _ranked(dists: Column) -> Column:
     ordered = F.array_sort(dists)
     return F.struct(_first_least(dists).alias("cluster"), F.get(ordered, 0).alias("upper"), F.coalesce(F.get(ordered, 1), F.lit(float("inf"))).alias("lower"))
+
+
+def distance_columns(values: Sequence[Column], center: Sequence[Column]) -> Column:
+    """:func:`distance` written out over single columns, summed in the same order."""
+    total = None
+    for v, c in zip(values, center, strict=True):
+        term = (v - c) * (v - c)
+        total = term if total is None else total + term
+    return F.sqrt(total)
+
+
+def distances_columns(values: Sequence[Column], centers: Sequence[Sequence[float]]) -> list[Column]:
+    """The distances to all centroids, a column each."""
+    return [distance_columns(values, [F.lit(float(x)) for x in c]) for c in centers]
+
+
+def least_of(dists: Sequence[Column]) -> Column:
+    return F.least(*dists) if len(dists) > 1 else dists[0]
+
+
+def first_least_columns(dists: Sequence[Column]) -> Column:
+    """Number of the first least of single columns (NaN: greatest, and equal to itself)."""
+    least, found = least_of(dists), None
+    for i, d in enumerate(dists[:-1]):
+        found = F.when(d == least, F.lit(i)) if found is None else found.when(d == least, F.lit(i))
+    last = F.lit(len(dists) - 1)
+    return last if found is None else found.otherwise(last)

@@ -21,6 +21,9 @@ a row that its exact distance settles needs one; only the others need all k. Whe
 rows become many the frame is written anew, with the current centroids as anchor. The
 bounds have a margin for rounding, so clusters, centroids, sizes and iterations are those
 of the plain method.
+
+A few short centroids (``UNROLLED``) are worked on as one double column a coordinate: the
+kept frame then has primitive columns alone and a round is compiled as a whole.
 """
 
 from __future__ import annotations
@@ -37,7 +40,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statforge.files import path_exists
-from statforge.functions.vectors import distance, nearest_centroid_array, two_nearest
+from statforge.functions.vectors import (
+    distance,
+    distance_columns,
+    distances_columns,
+    first_least_columns,
+    least_of,
+    nearest_centroid_array,
+    two_nearest,
+)
 from statforge.sources.text import with_columns_once
 
 # Iteration cap of the raw-scale job, and the tolerance both
@@ -138,10 +149,16 @@ class KMeansResult:
 
 #: Above this width the coordinates of a cluster are summed as one vector, not column by column.
 WIDE = 256
+#: Up to so many values of all centroids, distances are written out column by column (more would be too large to compile).
+UNROLLED = 64
+
+
+def _unrolled(k: int, dim: int) -> bool:
+    return 0 < k * dim <= UNROLLED
 
 
 def _cluster_means(assigned: DataFrame, dim: int) -> DataFrame:
-    """``cluster, n, distances, center`` of rows ``cluster, cost, x``.
+    """``cluster, n, distances, center`` of rows ``cluster, cost, x`` or ``cluster, cost, x0, x1, ...``.
 
     Narrow vectors take one ``avg`` a coordinate (a hash aggregate); wide ones a
     vector-valued sum, of which a task has one for each cluster, merged by element.
@@ -149,7 +166,8 @@ def _cluster_means(assigned: DataFrame, dim: int) -> DataFrame:
     counted = [F.count(F.lit(1)).alias("n"), F.sum("cost").alias("distances")]
     if dim <= WIDE:
         # one parsed SQL expression per element keeps building the plan cheap
-        means = [F.expr(f"avg(get(x, {j})) AS c{j}") for j in range(dim)]
+        value = "get(x, {})" if "x" in assigned.columns else "x{}"
+        means = [F.expr(f"avg({value.format(j)}) AS c{j}") for j in range(dim)]
         rows = assigned.groupBy("cluster").agg(*counted, *means)
         return rows.select("cluster", "n", "distances", F.array(*[f"c{j}" for j in range(dim)]).alias("center"))
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -197,27 +215,57 @@ class BoundedRounds:
     #: The frame is written anew when a round computed more than this share of all distances.
     RENEW = 0.25
 
-    def __init__(self, points: DataFrame, features: Features, keep):
+    def __init__(self, points: DataFrame, features: Features, keep, k: int, free_points=None):
         own = Features(array="x", width=features.dim)
         # the vector is built once a row, however often the expressions below refer to it
-        self.vectors = with_columns_once(points.select(features.vector().alias("x")), {"x": F.col("x")}).select(F.when(own.valid(), F.col("x")).alias("x"))
+        vectors = with_columns_once(points.select(features.vector().alias("x")), {"x": F.col("x")})
         self.dim, self.keep = features.dim, keep
+        #: The coordinates' columns, if distances are written out.
+        self.columns = [f"x{j}" for j in range(features.dim)] if _unrolled(k, features.dim) else []
+        if self.columns:
+            value = [F.get("x", j) for j in range(self.dim)]
+            usable = F.size("x") == F.lit(self.dim)
+            for v in value:
+                usable = usable & (F.abs(v) < F.lit(float("inf")))  # not for NaN, the greatest
+            usable = F.coalesce(usable, F.lit(False))
+            # no nulls in any column: a row that cannot be used has zeros, and cluster -1 throughout
+            given = vectors.select(usable.alias("usable"), *[v.alias(c) for c, v in zip(self.columns, value)])
+            self.vectors = given.select("usable", *[F.coalesce(F.when(F.col("usable"), F.col(c)), F.lit(0.0)).alias(c) for c in self.columns])
+        else:
+            self.vectors = vectors.select(F.when(own.valid(), F.col("x")).alias("x"))
         self.frame: DataFrame | None = None
         self.anchor: list[list[float]] = []
-        self.free = lambda: None
+        #: Frees what the next frame is written from: at first the points, if they are kept for the fit alone.
+        self.free = free_points or (lambda: None)
         self.stale = True
 
-    def _renew(self, centers: list[list[float]]) -> None:
-        """Write the frame with ``centers`` as anchor. A row that cannot be used has cluster -1 and no vector."""
+    def _renewed(self, centers: list[list[float]]) -> DataFrame:
+        """Vectors, cluster and bounds. A row that cannot be used has cluster -1 and no vector."""
+        if self.columns:
+            usable = F.col("usable") if self.frame is None else F.col("cluster") >= 0
+            source = self.vectors if self.frame is None else self.frame
+            named = [f"d{i}" for i in range(len(centers))]
+            dists = distances_columns([F.col(c) for c in self.columns], centers)
+            # each step refers to columns of the step before, so that nothing is computed twice
+            rows = source.select(*self.columns, usable.alias("usable"), *[d.alias(n) for d, n in zip(dists, named)])
+            cols = [F.col(n) for n in named]
+            rows = rows.select("*", first_least_columns(cols).alias("best"))
+            infinite = F.lit(float("inf"))
+            others = least_of([F.when(F.col("best") == i, infinite).otherwise(d) for i, d in enumerate(cols)])
+            return rows.select(*self.columns, F.when(F.col("usable"), F.col("best")).otherwise(F.lit(-1)).alias("cluster"), least_of(cols).alias("upper"), others.alias("lower"))
         source = self.vectors if self.frame is None else self.frame.select("x")
         own = Features(array="x", width=self.dim)
         rows = source.select("x", F.when(F.col("x").isNotNull(), own.bounded(centers)).alias("b"))
-        frame, free = self.keep(rows.select("x", F.coalesce("b.cluster", F.lit(-1)).alias("cluster"), F.col("b.upper").alias("upper"), F.col("b.lower").alias("lower")))
+        return rows.select("x", F.coalesce("b.cluster", F.lit(-1)).alias("cluster"), F.col("b.upper").alias("upper"), F.col("b.lower").alias("lower"))
+
+    def _renew(self, centers: list[list[float]]) -> None:
+        """Write the frame with ``centers`` as anchor."""
+        frame, free = self.keep(self._renewed(centers))
         self.frame, self.anchor, self.stale = frame, [list(c) for c in centers], False
         self._free_before, self.free = self.free, free
 
     def _assigned(self, centers: list[list[float]]) -> DataFrame:
-        """``cluster, cost, x``: the cluster of every row and the number of distances that it took."""
+        """``cluster, cost`` and the vector: the cluster of every row and the number of distances that it took."""
         own, k = Features(array="x", width=self.dim), len(centers)
         moved = [math.dist(a, c) for a, c in zip(self.anchor, centers)]
         others = [max((m for j, m in enumerate(moved) if j != i), default=0.0) for i in range(k)]
@@ -227,8 +275,19 @@ class BoundedRounds:
         upper, lower = F.col("upper") + pick(moved), F.col("lower") - pick(others)
         margin = F.lit(slack) * (F.col("upper") + F.col("lower") + F.lit(4 * max(moved)))
         sure = (lower < F.lit(float("inf"))) & (upper + margin < lower)
-        exact = distance(F.col("x"), F.get(F.lit([[float(v) for v in c] for c in centers]), cluster))
+        if self.columns:
+            values = [F.col(c) for c in self.columns]
+            exact = distance_columns(values, [pick([c[j] for c in centers]) for j in range(self.dim)])
+        else:
+            exact = distance(F.col("x"), F.get(F.lit([[float(v) for v in c] for c in centers]), cluster))
         settled = (lower < F.lit(float("inf"))) & (exact + margin < lower)
+        if self.columns:
+            # one number says cluster and cost (below k: none, below 2k: one, others: k + 1), and is computed once a row
+            best = first_least_columns(distances_columns(values, centers))
+            code = F.when((cluster < 0) | sure | F.lit(k == 1), cluster).when(settled, cluster + F.lit(k)).otherwise(best + F.lit(2 * k))
+            coded = self.frame.select(code.alias("code"), *self.columns)
+            cost = F.when(F.col("code") < k, F.lit(0)).when(F.col("code") < 2 * k, F.lit(1)).otherwise(F.lit(k + 1))
+            return coded.select(F.when(F.col("code") < 0, F.lit(-1)).otherwise(F.col("code") % k).alias("cluster"), cost.alias("cost"), *self.columns)
         done = lambda c, cost: F.struct(c.cast("int").alias("cluster"), F.lit(cost).alias("cost"))
         found = F.when((cluster < 0) | sure | F.lit(k == 1), done(cluster, 0)).when(settled, done(cluster, 1)).otherwise(done(own.nearest(centers), k + 1))
         return self.frame.select(found.alias("f"), "x").select("f.cluster", "f.cost", "x")
@@ -275,6 +334,7 @@ def fit(
     rule: str = "max_abs",
     cache: str = "persist",
     state: str | None = None,
+    free_points=None,
 ) -> KMeansResult:
     """Lloyd iterations from given starting centroids (I1, I2 once standardised).
 
@@ -292,6 +352,9 @@ def fit(
     that finds whole rounds of the same start, rule and tolerance there goes on after
     the last of them, with the trace of all; so a fit survives the loss of its driver, and
     a larger ``max_iter`` carries on where a smaller one stopped. See ``RoundState``.
+
+    ``free_points`` frees ``points`` if these are kept for the fit alone; it is called as
+    soon as the fit has a frame of its own.
     """
     centers = [[float(x) for x in c] for c in init_centers]
     if not centers:
@@ -302,7 +365,7 @@ def fit(
         if not all(math.isfinite(x) for x in c):
             raise ValueError("NaN or infinity in a starting centroid")
 
-    rounds = BoundedRounds(points, features, _kept(cache))
+    rounds = BoundedRounds(points, features, _kept(cache), len(centers), free_points)
     stored = RoundState(points.sparkSession, state, centers, rule, tol) if state else None
     result = KMeansResult(centers=centers, sizes=[0] * len(centers), iterations=0, converged=False)
     if stored:
@@ -404,6 +467,18 @@ def assign(
 
     A row whose vector is incomplete gets cluster -1; an all-NaN vector gets 0.
     """
+    if _unrolled(len(centers), features.dim):
+        # each step refers to columns of the step before, so that nothing is computed twice
+        given = with_columns_once(points, {"__vector": features.vector()})
+        values = [F.get("__vector", j) for j in range(features.dim)]
+        complete = F.size("__vector") == F.lit(features.dim)
+        for v in values:
+            complete = complete & v.isNotNull()
+        named = [f"__d{i}" for i in range(len(centers))]
+        dists = [d.alias(n) for d, n in zip(distances_columns(values, centers), named)]
+        rows = given.select(*points.columns, F.coalesce(complete, F.lit(False)).alias("__complete"), *dists)
+        nearest = first_least_columns([F.col(n) for n in named])
+        return rows.withColumn(out, F.when(F.col("__complete"), nearest).otherwise(F.lit(-1)).cast("int")).drop("__complete", *named)
     return points.withColumn(
         out, F.when(features.complete(), features.nearest(centers)).otherwise(F.lit(-1)).cast("int")
     )

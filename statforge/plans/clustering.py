@@ -4,7 +4,8 @@ One function replaces the driver script of shell and HDFS steps. The text is
 scanned twice in total:
 
 1. one pass parses every line once into a compact cached frame holding, per
-   line, a sample key (16 bytes, from its position) and the chosen raw features. The
+   line, the chosen raw features and, if the start is drawn, a sample key (16 bytes, from
+   its position); it is freed once the fit has a frame of its own. The
    profile of those columns (one global aggregate, unless moments are
    supplied), the k-row sample (a per-task top-k) and every k-means
    iteration then run against that cache;
@@ -88,15 +89,17 @@ def run_clustering(
 
     rows = parse_delimited(lines, delimiter)
     d = len(chosen)
-    key = rank(seed) if has_position(rows) else placed_rank(F.monotonically_increasing_id(), seed)
-    if width is not None:
-        key = F.when(F.size("fields") <= width, key).otherwise(
-            F.raise_error(F.lit(f"record wider than {width} fields")).cast("binary")
-        )
-    cols = [key.alias("_h")]
-    cols.append(F.array(*proj.feature_columns("fields", chosen, on_bad="fail")).alias("x"))
+    names = [f"x{j}" for j in range(d)]
+    values = proj.feature_columns("fields", chosen, on_bad="fail")
+    if width is not None and values:
+        too_wide = F.raise_error(F.lit(f"record wider than {width} fields")).cast("double")
+        values[0] = F.when(F.size("fields") <= width, values[0]).otherwise(too_wide)
+    cols = [v.alias(n) for v, n in zip(values, names)]
+    if init_centers_raw is None:
+        key = rank(seed) if has_position(rows) else placed_rank(F.monotonically_increasing_id(), seed)
+        cols.append(key.alias("_h"))
     profiled = moments is None
-    # 16 bytes + d doubles per line. The profile value of a chosen column is
+    # d doubles (and the key's 16 bytes) per line. The profile value of a chosen column is
     # the feature itself, or 0 for a missing trailing field (an unparsable one
     # fails the pass either way), so it is derived from the cache, not stored.
     cached = rows.select(*cols)
@@ -111,7 +114,7 @@ def run_clustering(
         if profiled:
             aggs = [F.count(F.lit(1)).alias("_n")]
             for j in range(d):
-                p = F.coalesce(F.get("x", j), F.lit(0.0))
+                p = F.coalesce(F.col(names[j]), F.lit(0.0))
                 aggs += [F.avg(p).alias(f"m{j}"), F.stddev_pop(p).alias(f"s{j}")]
             stats = cached.agg(*aggs).first()
             if not stats or stats["_n"] == 0:
@@ -130,17 +133,20 @@ def run_clustering(
         if init_centers_raw is not None:
             start = [[float(x) for x in c] for c in init_centers_raw]
         else:
-            picked = cached.orderBy("_h", "x").limit(k).select("x").collect()
+            picked = cached.orderBy("_h", *names).limit(k).select(*names).collect()
             start = []
             for r in picked:
-                if any(v is None for v in r["x"]):
+                if any(v is None for v in r):
                     raise ValueError("sampled row lacks a chosen variable")
-                start.append([float(v) for v in r["x"]])
+                start.append([float(v) for v in r])
 
-        z = proj.standardise([F.get("x", j) for j in range(d)], chosen, means, stds)
+        z = proj.standardise([F.col(n) for n in names], chosen, means, stds)
         points = cached.select(F.array(*z).alias("x"))
         std_start = proj.standardise_centers(start, chosen, means, stds)
-        result = km.fit(points, km.Features(array="x", width=d), std_start, max_iter=max_iter, tol=tol, rule="squared_shift", cache=cache, state=state)
+        result = km.fit(
+            points, km.Features(array="x", width=d), std_start, max_iter=max_iter, tol=tol, rule="squared_shift", cache=cache, state=state,
+            free_points=None if cache == "checkpoint" else cached.unpersist,
+        )
     finally:
         if cache != "checkpoint":
             cached.unpersist()

@@ -158,3 +158,70 @@ def test_rounds_of_another_fit_are_refused(spark, workdir, problem):
     for other in ({"tol": 0.5}, {"rule": "squared_shift"}, {"start": start[::-1]}):
         with pytest.raises(ValueError, match="another fit"):
             km.fit(points, features, other.pop("start", start), max_iter=2, state=state, **other)
+
+
+# --------------------------------------------------------------------------- short centroids, written out
+def test_short_centroids_keep_primitive_columns_and_compiled_rounds(spark):
+    rng = random.Random(5)
+    rows = _blobs(rng, 60, 3, 4)
+    rounds = km.BoundedRounds(_points(spark, rows), km.Features(array="x", width=3), km._kept("persist"), 4)
+    rounds.step(rows[:4])
+    assert dict(rounds.frame.dtypes) == {"x0": "double", "x1": "double", "x2": "double", "cluster": "int", "upper": "double", "lower": "double"}
+    plan = km._cluster_means(rounds._assigned(rows[4:8]), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+    rounds.free()
+
+
+@pytest.mark.parametrize("k, d", [(1, 1), (1, 3), (4, 3), (6, 2)])
+def test_written_out_form_equals_array_form(spark, monkeypatch, k, d):
+    rng, nan, inf = random.Random(k * 10 + d), float("nan"), float("inf")
+    rows = [[float(round(v)) for v in r] for r in _blobs(rng, 120, d, k)]
+    start = rows[:k]
+    rows += [None, [], [nan] * d, [inf] * d, [-inf] * d, [1.0] * (d + 1), [None] * d, [nan] + [1.0] * (d - 1), [1e200] * d]
+    points, features = _points(spark, rows), km.Features(array="x", width=d)
+
+    def found():
+        fit = km.fit(points, features, start, max_iter=6, tol=1e-9)
+        labels = km.assign(points, features, fit.centers)
+        assert labels.columns == ["x", "cluster"] and labels.schema["cluster"].dataType.simpleString() == "int"
+        counts = [[t[c] for c in ("sizes", "distances", "squared_shifts")] for t in fit.trace]
+        return fit.centers, fit.left_out, counts, [(str(r["x"]), r["cluster"]) for r in labels.collect()]
+
+    written_out = found()
+    monkeypatch.setattr(km, "UNROLLED", 0)
+    assert written_out == found()
+
+
+def test_assignment_of_short_centroids_is_compiled(spark):
+    frame = spark.range(5).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("x"))
+    plan = km.assign(frame, km.Features(array="x", width=2), [[0.0, 1.0], [4.0, 1.0]])._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+
+
+def test_points_kept_for_a_fit_are_freed_after_its_first_round(spark, monkeypatch):
+    rng = random.Random(8)
+    rows, done = _blobs(rng, 50, 2, 3), []
+    step = km.BoundedRounds.step
+
+    def noted(self, centers):
+        found = step(self, centers)
+        done.append("round")
+        return found
+
+    monkeypatch.setattr(km.BoundedRounds, "step", noted)
+    result = km.fit(_points(spark, rows), km.Features(array="x", width=2), rows[:3], max_iter=4, tol=0.0, free_points=lambda: done.append("freed"))
+    assert done.count("freed") == 1 and done.index("freed") == 0 and result.sizes and sum(result.sizes) == 50
+
+
+def test_given_start_needs_no_sample_key(spark, monkeypatch):
+    from statforge.plans import clustering
+
+    def unwanted(*_):
+        raise AssertionError("ranked")
+
+    monkeypatch.setattr(clustering, "placed_rank", unwanted)
+    lines = spark.createDataFrame([(f"{i % 7}\t{i % 5}",) for i in range(40)], "value STRING")
+    result = clustering.run_clustering(lines, 2, 5, variables=(0, 1), init_centers_raw=[[0.0, 0.0], [6.0, 4.0]], width=2)
+    assert sum(result.fit.sizes) == 40
+    with pytest.raises(Exception, match="wider than 1"):
+        clustering.run_clustering(lines, 2, 5, variables=(0,), init_centers_raw=[[0.0], [6.0]], width=1)
