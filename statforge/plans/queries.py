@@ -129,7 +129,8 @@ def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_k_raw(spark: SparkSession, sf_dir: str, columns, k: int) -> list[list[float]]:
-    rows = tables.first_rows(read_table(spark, sf_dir, "lineitem"), tables.LINEITEM_ORDER, k)
+    table = read_table(spark, sf_dir, "lineitem").select(*dict.fromkeys([*tables.LINEITEM_ORDER, *columns]))
+    rows = tables.first_rows(table, tables.LINEITEM_ORDER, k)
     return [[float(r[c]) for c in columns] for r in rows]
 
 

@@ -85,3 +85,14 @@ def test_parse_double_overflow_is_infinity(spark):
 def test_parse_or_nan(spark):
     got = _eval(spark, ["3.25", "A", "1995-01-02 00:00:00"], parse_double_or_nan)
     assert got[0] == 3.25 and math.isnan(got[1]) and math.isnan(got[2])
+
+
+def test_only_lines_that_end_with_a_delimiter_are_trimmed(spark):
+    texts = ["a\tb", "a\tb\t\t", "\t\t", "", "\ta", "a\t ", None, " ", "é\t"]
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING").coalesce(1)
+    tabs = [r["f"] for r in df.select(split_fields("value", "\t").alias("f")).collect()]
+    assert tabs == [["a", "b"], ["a", "b"], [], [""], ["", "a"], ["a", " "], None, [" "], ["é"]]
+    blanks = [r["f"] for r in df.select(split_fields("value", r"\s+").alias("f")).collect()]
+    assert blanks == [["a", "b"], ["a", "b"], [], [""], ["", "a"], ["a"], None, [], ["é"]]
+    plan = df.select(split_fields("value", "\t").alias("f"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("EndsWith" if "EndsWith" in plan else "endswith") < plan.index("rtrim" if "rtrim" in plan else "trim")
