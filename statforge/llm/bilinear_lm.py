@@ -228,6 +228,7 @@ class Trainer:
         self.rng = np.random.Generator(np.random.PCG64(seed))
         self.tokens = self.steps = self.loss_tokens = 0
         self.loss = 0.0
+        self.room = np.empty((0, len(mass)), np.float32)
 
     def _scatter(self, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
         k, d = self.m.context.shape
@@ -236,36 +237,56 @@ class Trainer:
             out[:, j] = np.bincount(rows, weights=values[:, j], minlength=k)
         return out
 
+    def _add_loss(self, hidden: np.ndarray, word: np.ndarray) -> None:
+        """The exact loss of every so many of the tokens, over all classes."""
+        hidden, word = np.ascontiguousarray(hidden[::LOSS_STEPS]), word[::LOSS_STEPS]
+        if len(self.room) < len(hidden):
+            self.room = np.empty((len(hidden), len(self.m.bias)), np.float32)
+        every = np.matmul(hidden, self.m.target.T, out=self.room[: len(hidden)])
+        every += self.m.bias
+        top, taken = every.max(axis=1), every[np.arange(len(every)), word]
+        every -= top[:, None]
+        total = np.exp(every, out=every).sum(axis=1, dtype=np.float64)
+        self.loss += float((np.log(total) + top - taken).sum())
+        self.loss_tokens += len(every)
+
     def step(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> None:
+        """One descent; tables are worked on in place, in the order of operations of the plain formulas."""
         m, n = self.m, len(word)
         noise = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE)), len(self.cdf) - 1)
-        a, b = m.context[near], m.context[far]
-        hidden = a * m.near + b * m.far
-        own, other = m.target[word], m.target[noise]
+        a, b = m.context.take(near, axis=0), m.context.take(far, axis=0)
+        hidden = a * m.near
+        hidden += b * m.far
+        own, other = m.target.take(word, axis=0), m.target.take(noise, axis=0)
         with np.errstate(over="ignore"):
             pull = 1 / (1 + np.exp(-((hidden * own).sum(axis=1) + m.bias[word] - self.log_noise[word]))) - 1
-            push = 1 / (1 + np.exp(-(hidden @ other.T + m.bias[noise] - self.log_noise[noise])))
-        if self.steps % LOSS_STEPS == 0:  # the exact loss, of the same tokens in every round
-            some = slice(None, None, LOSS_STEPS)
-            every = hidden[some] @ m.target.T + m.bias
-            top = every.max(axis=1)
-            total = np.exp(every - top[:, None]).sum(axis=1, dtype=np.float64)
-            self.loss += float((np.log(total) + top - every[np.arange(len(every)), word[some]]).sum())
-            self.loss_tokens += len(every)
+            push = hidden @ other.T  # 1 / (1 + exp(-(scores + bias - log noise)))
+            push += m.bias[noise]
+            push -= self.log_noise[noise]
+            np.negative(push, out=push)
+            np.exp(push, out=push)
+            push += 1
+            np.divide(1, push, out=push)
+        if self.steps % LOSS_STEPS == 0:  # of the same tokens in every round
+            self._add_loss(hidden, word)
         self.steps += 1
-        back = pull[:, None] * own + push @ other
+        back = pull[:, None] * own
+        back += push @ other
         target = self._scatter(np.concatenate([word, noise]), np.concatenate([pull[:, None] * hidden, push.T @ hidden]))
         bias = np.bincount(word, weights=pull, minlength=len(m.bias)) + np.bincount(noise, weights=push.sum(axis=0), minlength=len(m.bias))
         context = self._scatter(np.concatenate([near, far]), np.concatenate([back * m.near, back * m.far]))
-        grads = (context, target, (back * a).sum(axis=0), (back * b).sum(axis=0), bias)
+        grads = (context, target, (back * a).sum(axis=0), (back * b).sum(axis=0), bias.astype(np.float32))
         q = self.s
         for x, g, s in zip((m.context, m.target, m.near, m.far, m.bias), grads, (q.context, q.target, q.near, q.far, q.bias), strict=True):
-            g = g.astype(np.float32) / n
+            g /= n
             s += g * g
-            x -= np.float32(RATE) * g / np.sqrt(s)
+            g *= np.float32(RATE)
+            g /= np.sqrt(s)
+            x -= g
         self.tokens += n
 
     def learn(self, classes: np.ndarray) -> None:
+        classes = classes.astype(np.intp)  # what indexing and counting take without a copy
         near, far = contexts(classes)
         for at in range(0, len(classes), STEP):
             self.step(near[at : at + STEP], far[at : at + STEP], classes[at : at + STEP])
@@ -358,7 +379,7 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Bilinear:
                 learn()
                 yield results()
 
-        total = summed_chunks(texts.where(F.col("part") < taken).select("part", "classes").mapInArrow(learned, "chunk int, part int, counts binary"), "float64")
+        total = summed_chunks(texts.where(F.col("part") < taken).select("part", "classes").mapInArrow(learned, "chunk int, part int, counts binary"), "float64", PARAMETER_CHUNKS)
         if not len(total):
             break
         loss = total[-2] / total[-1]

@@ -70,13 +70,14 @@ def crc_bucket(id_col, modulus: int):
 TREE_FANIN = 64
 
 
-def tree_summed(rows: DataFrame, kind: str, finish: Callable[[np.ndarray], np.ndarray] | None = None, fanin: int = TREE_FANIN) -> DataFrame:
+def tree_summed(rows: DataFrame, kind: str, finish: Callable[[np.ndarray], np.ndarray] | None = None, fanin: int = TREE_FANIN, chunks: int | None = None) -> DataFrame:
     """``chunk, counts``: sums of the pieces of arrays that tasks emitted (``chunk, part, counts``).
 
     ``part`` numbers the tasks (a task may emit a piece again). The pieces of ``fanin`` tasks
     are added up first, then ``fanin`` of these sums, and so on, so the load of a summing task
     does not grow with the number of tasks; each array is added as it comes. Sums are long
     integers, or doubles if the pieces are; ``finish`` makes of them what is returned.
+    ``chunks``, if known, is the number of different chunks: no more summing tasks are started than there are sums.
     """
     wide = np.dtype(np.float64 if np.dtype(kind).kind == "f" else np.int64)
 
@@ -102,16 +103,17 @@ def tree_summed(rows: DataFrame, kind: str, finish: Callable[[np.ndarray], np.nd
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
         tasks = -(-tasks // fanin)
-        pieces = pieces.withColumn("part", F.pmod("part", F.lit(tasks)).cast("int")).repartition(n, "chunk", "part").mapInArrow(summed(dtype, finish if tasks == 1 else None), "chunk int, part int, counts binary")
+        parts = n if chunks is None else min(n, chunks * tasks)
+        pieces = pieces.withColumn("part", F.pmod("part", F.lit(tasks)).cast("int")).repartition(parts, "chunk", "part").mapInArrow(summed(dtype, finish if tasks == 1 else None), "chunk int, part int, counts binary")
         dtype = wide
         if tasks == 1:
             return pieces.select("chunk", "counts")
 
 
-def summed_chunks(rows: DataFrame, kind: str) -> np.ndarray:
+def summed_chunks(rows: DataFrame, kind: str, chunks: int | None = None) -> np.ndarray:
     """The sum of arrays that tasks emitted in pieces (see :func:`tree_summed`); it is of fixed size and comes to the driver."""
     wide = np.float64 if np.dtype(kind).kind == "f" else np.int64
-    got = {r["chunk"]: np.frombuffer(r["counts"], wide) for r in tree_summed(rows, kind).collect()}
+    got = {r["chunk"]: np.frombuffer(r["counts"], wide) for r in tree_summed(rows, kind, chunks=chunks).collect()}
     return np.concatenate([got[k] for k in sorted(got)]) if got else np.zeros(0, wide)
 
 

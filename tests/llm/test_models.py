@@ -250,3 +250,50 @@ def test_language_model_edges(spark, docs_of):
     assert sorted(r["n_tokens"] for r in got) == [1, 1, 2, 8]
     assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in got)
     assert lm.score_documents(docs_of([])).count() == 0
+
+
+def test_a_step_of_the_language_model_follows_the_plain_formulas():
+    rng, classes = np.random.default_rng(3), 40
+    mass = 1e4 / np.arange(1, classes + 1)
+    start = lm.Bilinear.start(mass)
+    square = lm.Bilinear.of(np.full(len(start.flat()), 1e-6), classes)
+    trainer = lm.Trainer(start, square, mass, seed=[1, 2])
+    word = rng.integers(0, classes, 500)
+    near, far = lm.contexts(word)
+    trainer.step(near, far, word)
+
+    p = (mass + 1) / (mass + 1).sum()
+    noise = np.searchsorted(np.cumsum(p), np.random.Generator(np.random.PCG64([1, 2])).random(lm.NOISE))
+    c, t, bias, shift = (x.astype(np.float64) for x in (start.context, start.target, start.bias, np.log(lm.NOISE * p)))
+    hidden = c[near] * start.near + c[far] * start.far
+    pull = 1 / (1 + np.exp(-((hidden * t[word]).sum(axis=1) + bias[word] - shift[word]))) - 1
+    push = 1 / (1 + np.exp(-(hidden @ t[noise].T + bias[noise] - shift[noise])))
+    back = pull[:, None] * t[word] + push @ t[noise]
+    grads = [np.zeros((classes, lm.DIM)), np.zeros((classes, lm.DIM)), (back * c[near]).sum(axis=0), (back * c[far]).sum(axis=0), np.zeros(classes)]
+    np.add.at(grads[0], near, back * start.near)
+    np.add.at(grads[0], far, back * start.far)
+    np.add.at(grads[1], word, pull[:, None] * hidden)
+    np.add.at(grads[1], noise, push.T @ hidden)
+    np.add.at(grads[4], word, pull)
+    np.add.at(grads[4], noise, push.sum(axis=0))
+    for name, g in zip(("context", "target", "near", "far", "bias"), grads, strict=True):
+        g = g / len(word)
+        want = getattr(start, name) - lm.RATE * g / np.sqrt(1e-6 + g * g)
+        assert np.allclose(getattr(trainer.m, name), want, rtol=1e-3, atol=1e-4), name
+    some = slice(None, None, lm.LOSS_STEPS)
+    every = hidden[some] @ t.T + bias
+    loss = (np.log(np.exp(every).sum(axis=1)) - every[np.arange(len(every)), word[some]]).sum()
+    assert trainer.loss == pytest.approx(loss, rel=1e-5) and trainer.loss_tokens == len(every)
+
+
+def test_sums_of_known_chunks_start_no_empty_tasks(spark):
+    from statforge.llm.common import tree_summed
+
+    rows = spark.createDataFrame([(c, p, bytes(8)) for c in range(2) for p in range(3)], "chunk INT, part INT, counts BINARY")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert tree_summed(rows, "float64", chunks=2).rdd.getNumPartitions() == 2
+        assert sorted(r["chunk"] for r in tree_summed(rows, "float64", chunks=2).collect()) == [0, 1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
