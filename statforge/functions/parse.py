@@ -51,19 +51,14 @@ def split_fields(line: Column | str, delimiter: str, keep_trailing_empty: bool =
     if keep_trailing_empty:
         return F.split(c, delimiter)
     trim_set = _TRIM_SETS.get(delimiter)
-    if trim_set is None:
+    if trim_set is not None:
+        # trimming costs as much as splitting, and few lines end with a delimiter
+        ends = reduce(or_, [c.endswith(x) for x in trim_set])
+        stripped = F.when(ends, F.rtrim(c, F.lit(trim_set))).otherwise(c)
+    else:
         stripped = F.regexp_replace(c, f"(?:{delimiter})+$", "")
-        return (
-            F.when(c == "", F.array(F.lit("")))
-            .when(stripped == "", F.array().cast("array<string>"))
-            .otherwise(F.split(stripped, delimiter))
-        )
-    # trimming costs as much as splitting, and few lines end with a delimiter
-    ends = reduce(or_, [c.endswith(x) for x in trim_set])
-    stripped = F.rtrim(c, F.lit(trim_set))
     return (
         F.when(c == "", F.array(F.lit("")))
-        .when(~ends, F.split(c, delimiter))
         .when(stripped == "", F.array().cast("array<string>"))
         .otherwise(F.split(stripped, delimiter))
     )

@@ -68,6 +68,8 @@ def crc_bucket(id_col, modulus: int):
 
 #: Arrays that one task of a tree sum adds up.
 TREE_FANIN = 64
+#: Pieces, about, in which an array that comes to the driver is summed.
+FEW_CHUNKS = 16
 
 
 def tree_summed(rows: DataFrame, kind: str, finish: Callable[[np.ndarray], np.ndarray] | None = None, fanin: int = TREE_FANIN, chunks: int | None = None) -> DataFrame:
@@ -110,10 +112,10 @@ def tree_summed(rows: DataFrame, kind: str, finish: Callable[[np.ndarray], np.nd
             return pieces.select("chunk", "counts")
 
 
-def summed_chunks(rows: DataFrame, kind: str, chunks: int | None = None) -> np.ndarray:
+def summed_chunks(rows: DataFrame, kind: str) -> np.ndarray:
     """The sum of arrays that tasks emitted in pieces (see :func:`tree_summed`); it is of fixed size and comes to the driver."""
     wide = np.float64 if np.dtype(kind).kind == "f" else np.int64
-    got = {r["chunk"]: np.frombuffer(r["counts"], wide) for r in tree_summed(rows, kind, chunks=chunks).collect()}
+    got = {r["chunk"]: np.frombuffer(r["counts"], wide) for r in tree_summed(rows, kind, chunks=FEW_CHUNKS).collect()}
     return np.concatenate([got[k] for k in sorted(got)]) if got else np.zeros(0, wide)
 
 
