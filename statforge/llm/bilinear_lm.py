@@ -32,18 +32,18 @@ are passed over.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statforge.llm.common import crc_bucket, encoded_of, materialise, summed_chunks
+from statforge.llm.common import crc_bucket, materialise, summed_chunks, text_buffers
 
 #: The fold rule: rows whose id hashes to ``HELD_OUT`` of ``FOLDS`` are never learnt from.
 FOLDS, HELD_OUT = 7, 2
@@ -57,14 +57,16 @@ HEAD = 150_000
 DIM, STEP, NOISE, RATE = 16, 2048, 48, 0.15
 #: Tokens, about, that one descent of a round sees; of so many steps, and of so many tokens in them, one's loss is taken.
 PART, LOSS_STEPS = 1 << 21, 8
+#: Tokens whose scores of all classes are in memory at once.
+LOSS_ROWS = 32
 #: Share of the loss that a round must gain for another one.
 LEAST_GAIN = 0.002
 #: The end of a text as a word (no word holds a separator).
 END = b"\n"
-#: Words counted before a task passes them on.
-FLUSH = 300_000
-#: Tokens, about, that are looked up at a time.
-GROUP = 1 << 17
+#: Words, about, that a task counts at a time.
+FLUSH = 1 << 21
+#: Bytes of text, about, whose words are looked up at a time, and tokens that a descent works on at a time.
+GROUP_BYTES, GROUP = 1 << 22, 1 << 17
 PARAMETER_CHUNKS = 16
 
 COUNTED = "word string, n long"
@@ -72,9 +74,25 @@ SCORED = "rid long, word string, n long, doc struct<doc_id:long,held_out:boolean
 
 
 # --------------------------------------------------------------------------- counts and vocabulary
-def words_of(text: bytes) -> list[bytes]:
-    """Lower-cased (``A-Z`` only) words; ``bytes`` splits at exactly the separators of a word."""
-    return text.lower().split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased (``A-Z`` only) words of all texts in order, and how many each text has (null: none).
+
+    Arrow's ASCII white space is exactly the separators of a word; what is empty between them is left out.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts if pa.types.is_string(texts.type) else texts.cast(pa.string())))
+    words, sizes = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    filled = pc.greater(pc.binary_length(words), 0)
+    owner = np.repeat(np.arange(len(texts)), sizes)[filled.to_numpy(zero_copy_only=False)]
+    return words.filter(filled), np.bincount(owner, minlength=len(texts))
+
+
+def grouped(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in stretches of about ``GROUP_BYTES`` (of one text at least)."""
+    offsets, at = text_buffers(texts)[1], 0
+    while at < len(texts):
+        stop = max(int(np.searchsorted(offsets, offsets[at] + GROUP_BYTES, side="right")) - 1, at + 1)
+        yield texts.slice(at, stop - at)
+        at = stop
 
 
 def training(docs: DataFrame) -> DataFrame:
@@ -85,20 +103,23 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``word, c`` over the training texts, the end of a text included."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count: Counter[bytes] = Counter()
+        held: list[pa.Array] = []
 
         def rows() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()).cast(pa.string()), pa.array(list(count.values()), pa.int64())], names=["word", "n"])
-            count.clear()
-            return out
+            found = pa.chunked_array(held, pa.string()).value_counts()
+            held.clear()
+            return pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "n"])
 
+        tokens = ends = 0
         for b in batches:
-            for text in encoded_of(b.column(0)):
-                count.update(words_of(text))
-                count[END] += 1
-                if len(count) >= FLUSH:
+            for texts in grouped(b.column(0)):
+                held.append(words_of(texts)[0])
+                tokens, ends = tokens + len(held[-1]), ends + len(texts)
+                if tokens >= FLUSH:
                     yield rows()
-        if count:
+                    tokens = 0
+        if ends:
+            held.append(pa.array([END.decode()] * ends, pa.string()))
             yield rows()
 
     texts = training(docs).select(F.col("text").alias("text"))
@@ -121,6 +142,10 @@ class Vocabulary:
     def classes(self) -> int:
         return len(self.class_mass)
 
+    def words(self) -> pa.Array:
+        """The words at hand, in the order of their places."""
+        return pa.array(list(self.index), pa.binary()).cast(pa.string())
+
 
 def own_classes(types: int) -> int:
     """Words with a class of their own: twice the square root of the distinct words, within limits (the
@@ -218,66 +243,107 @@ def contexts(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Trainer:
-    """Noise-contrastive descent (adaptive steps) over minibatches of tokens."""
+    """Noise-contrastive descent (adaptive steps) over minibatches of tokens.
+
+    Tables have two more columns than vectors have dimensions (1 and 1 after a
+    context's, the bias and minus the log of the noise after a class's), so one product gives a whole score; only the bias of these is learnt.
+    Gradients are added up in double precision, two columns at a time as the parts of a complex number.
+    """
 
     def __init__(self, model: Bilinear, square: Bilinear, mass: np.ndarray, seed: list[int]):
-        self.m, self.s = (Bilinear(*(x.copy() for x in (y.context, y.target, y.near, y.far, y.bias))) for y in (model, square))
+        k, self.wide = len(mass), DIM + 2 + DIM % 2
         p = (mass + 1) / (mass + 1).sum()
         self.cdf = np.cumsum(p)
         self.log_noise = np.log(NOISE * p).astype(np.float32)
+
+        def tables(y: Bilinear, rest: float) -> tuple[Bilinear, list[np.ndarray]]:
+            context, target = np.full((2, k, self.wide), rest, np.float32)
+            near, far = np.full((2, self.wide), rest, np.float32)
+            context[:, :DIM], target[:, :DIM], target[:, DIM], near[:DIM], far[:DIM] = y.context, y.target, y.bias, y.near, y.far
+            return Bilinear(context[:, :DIM], target[:, :DIM], near[:DIM], far[:DIM], target[:, DIM]), [context, target, near, far]
+
+        self.m, self.tables = tables(model, 0)
+        self.s, self.squares = tables(square, 1)
+        context, target, near, _ = self.tables
+        context[:, DIM : DIM + 2] = near[DIM : DIM + 2] = 1
+        target[:, DIM + 1] = -self.log_noise
         self.rng = np.random.Generator(np.random.PCG64(seed))
         self.tokens = self.steps = self.loss_tokens = 0
         self.loss = 0.0
-        self.room = np.empty((0, len(mass)), np.float32)
-
-    def _scatter(self, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
-        k, d = self.m.context.shape
-        out = np.empty((k, d), np.float32)
-        for j in range(d):
-            out[:, j] = np.bincount(rows, weights=values[:, j], minlength=k)
+        self.room = np.empty((LOSS_ROWS, k), np.float32)
+        self.sums = np.empty((self.wide // 2, k), np.complex128)
+
+    def _scatter(self, rows: np.ndarray, values: np.ndarray, columns: int) -> np.ndarray:
+        pairs = values.view(np.complex64).T[: -(-columns // 2)].astype(np.complex128, order="C")
+        sums = self.sums[: len(pairs)]
+        sums.fill(0)
+        for total, pair in zip(sums, pairs, strict=True):
+            np.add.at(total, rows, pair)
+        out = np.zeros((sums.shape[1], self.wide), np.float32)
+        out.view(np.complex64)[:, : len(pairs)] = sums.T
+        out[:, columns:] = 0
         return out
 
     def _add_loss(self, hidden: np.ndarray, word: np.ndarray) -> None:
         """The exact loss of every so many of the tokens, over all classes."""
-        hidden, word = np.ascontiguousarray(hidden[::LOSS_STEPS]), word[::LOSS_STEPS]
-        if len(self.room) < len(hidden):
-            self.room = np.empty((len(hidden), len(self.m.bias)), np.float32)
-        every = np.matmul(hidden, self.m.target.T, out=self.room[: len(hidden)])
-        every += self.m.bias
-        top, taken = every.max(axis=1), every[np.arange(len(every)), word]
-        every -= top[:, None]
-        total = np.exp(every, out=every).sum(axis=1, dtype=np.float64)
-        self.loss += float((np.log(total) + top - taken).sum())
-        self.loss_tokens += len(every)
+        hidden, word = np.ascontiguousarray(hidden[::LOSS_STEPS, : DIM + 1]), word[::LOSS_STEPS]
+        target = self.tables[1][:, : DIM + 1].T
+        for at in range(0, len(word), LOSS_ROWS):  # few enough to stay in the cache
+            some = word[at : at + LOSS_ROWS]
+            every = np.matmul(hidden[at : at + LOSS_ROWS], target, out=self.room[: len(some)])
+            top, taken = every.max(axis=1), every[np.arange(len(some)), some]
+            every -= top[:, None]
+            total = np.exp(every, out=every).sum(axis=1).astype(np.float64)
+            self.loss += float((np.log(total) + top - taken).sum())
+        self.loss_tokens += len(word)
 
     def step(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> None:
-        """One descent; tables are worked on in place, in the order of operations of the plain formulas."""
-        m, n = self.m, len(word)
-        noise = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE)), len(self.cdf) - 1)
-        a, b = m.context.take(near, axis=0), m.context.take(far, axis=0)
-        hidden = a * m.near
-        hidden += b * m.far
-        own, other = m.target.take(word, axis=0), m.target.take(noise, axis=0)
+        """One descent on tokens that follow each other, with the contexts that :func:`contexts` gives them.
+
+        A token is the nearer context of the next one and mostly the farther of the one after, so what it
+        is due as a context is added up before it is scattered; the few other farther contexts come last.
+        """
+        n, (context, target, by_near, by_far) = len(word), self.tables
+        noise = np.minimum(np.searchsorted(self.cdf, np.sort(self.rng.random(NOISE))), len(self.cdf) - 1)
+        first = np.flatnonzero(np.append(True, noise[1:] != noise[:-1]))
+        noise, times = noise[first], np.diff(np.append(first, NOISE)).astype(np.float32)[:, None]
+        hidden = (context * by_near).take(near, axis=0)
+        hidden += (context * by_far).take(far, axis=0)
+        own, other = target.take(word, axis=0), target.take(noise, axis=0)
         with np.errstate(over="ignore"):
-            pull = 1 / (1 + np.exp(-((hidden * own).sum(axis=1) + m.bias[word] - self.log_noise[word]))) - 1
-            push = hidden @ other.T  # 1 / (1 + exp(-(scores + bias - log noise)))
-            push += m.bias[noise]
-            push -= self.log_noise[noise]
-            np.negative(push, out=push)
+            pull = (hidden * own) @ np.ones(self.wide, np.float32)  # 1 / (1 + exp(-(scores + bias - log noise))) - 1
+            np.negative(pull, out=pull)
+            pull = 1 / (1 + np.exp(pull, out=pull)) - 1
+            push = hidden @ (-other).T  # 1 / (1 + exp(-(scores + bias - log noise)))
             np.exp(push, out=push)
             push += 1
             np.divide(1, push, out=push)
         if self.steps % LOSS_STEPS == 0:  # of the same tokens in every round
             self._add_loss(hidden, word)
         self.steps += 1
-        back = pull[:, None] * own
-        back += push @ other
-        target = self._scatter(np.concatenate([word, noise]), np.concatenate([pull[:, None] * hidden, push.T @ hidden]))
-        bias = np.bincount(word, weights=pull, minlength=len(m.bias)) + np.bincount(noise, weights=push.sum(axis=0), minlength=len(m.bias))
-        context = self._scatter(np.concatenate([near, far]), np.concatenate([back * m.near, back * m.far]))
-        grads = (context, target, (back * a).sum(axis=0), (back * b).sum(axis=0), bias.astype(np.float32))
-        q = self.s
-        for x, g, s in zip((m.context, m.target, m.near, m.far, m.bias), grads, (q.context, q.target, q.near, q.far, q.bias), strict=True):
+        back = push @ (other * times)
+        own *= pull[:, None]
+        back += own  # of the last places nothing is read
+        against = push.T @ hidden
+        against *= times
+        hidden *= pull[:, None]
+        to_target = self._scatter(np.concatenate([word, noise]), np.concatenate([hidden, against]), DIM + 1)
+
+        before = np.concatenate([far[:1], near[:1], word])  # two places ahead of the words
+        odd = np.flatnonzero(far != before[:n])
+        due = np.zeros((n + 2 + len(odd), self.wide), np.float32)
+        np.multiply(back, by_near, out=due[1 : n + 1])
+        farther = back * by_far
+        due[n + 2 :] = farther[odd]
+        farther[odd] = 0
+        due[:n] += farther
+        to_context = self._scatter(np.concatenate([before, far[odd]]), due, DIM)
+
+        one = np.ones(n, np.float32)
+        places = [one @ (back * context.take(x, axis=0)) for x in (near, far)]
+        for g in places:
+            g[DIM:] = 0
+        for x, g, s in zip(self.tables, (to_context, to_target, *places), self.squares, strict=True):
             g /= n
             s += g * g
             g *= np.float32(RATE)
@@ -292,45 +358,40 @@ class Trainer:
             self.step(near[at : at + STEP], far[at : at + STEP], classes[at : at + STEP])
 
 
-def grouped(texts: Iterator[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """Words of several texts at a time, the end after each, and where each text's tokens begin."""
-    words: list[bytes] = []
-    starts: list[int] = []
-    for text in texts:
-        starts.append(len(words))
-        words += words_of(text)
-        words.append(END)
-        if len(words) >= GROUP:
-            yield words, np.array(starts)
-            words, starts = [], []
-    if starts:
-        yield words, np.array(starts)
-
-
-def class_ids(words: list[bytes], index: dict[bytes, int], word_class: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place among the words at hand (-1: not there) and class of every token, and the tokens not at hand."""
-    places = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
-    rare_at = np.flatnonzero(places < 0)
-    out = word_class[places] if len(word_class) else np.zeros(len(places), np.int32)
-    for i in rare_at.tolist():
-        out[i] = own + zlib.crc32(words[i]) % SHARED if words[i] != END else 0
-    return places, out, rare_at
+def class_ids(words: pa.Array, sizes: np.ndarray, at_hand: pa.Array, word_class: np.ndarray, own: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Tokens of texts, the end after each: place among the words at hand (-1: not there; the end's is ``end``)
+    and class of every token, and where each text's tokens begin; text and word of every word not at hand."""
+    found = pc.fill_null(pc.index_in(words, value_set=at_hand), -1).to_numpy()
+    rare_at = np.flatnonzero(found < 0)
+    rare = words.take(pa.array(rare_at))
+    classes = word_class[found] if len(word_class) else np.zeros(len(found), np.int32)
+    raw, offsets = text_buffers(rare)
+    raw, cuts = memoryview(raw), offsets.tolist()
+    classes[rare_at] = own + np.fromiter((zlib.crc32(raw[a:b]) % SHARED for a, b in pairwise(cuts)), np.int32, len(rare))
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(found)) + text  # one end for every text before
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    places, out = np.full(len(found) + len(sizes), end, np.int64), np.zeros(len(found) + len(sizes), np.int32)
+    places[at], out[at] = found, classes
+    return places, out, starts, text[rare_at], rare
 
 
 def dealt(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     """``part, row, classes``: every training text as class numbers, in an order and parts set by hashes of the rows."""
     own, kind = vocab.classes - SHARED, np.min_scalar_type(vocab.classes)
-    at_hand = docs.sparkSession.sparkContext.broadcast((vocab.index, vocab.word_class))  # at most HEAD words
+    at_hand = docs.sparkSession.sparkContext.broadcast((vocab.words(), vocab.word_class))  # at most HEAD words
     parts = max(-(-vocab.tokens // PART), 1)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, word_class = at_hand.value
+        words_at_hand, word_class = at_hand.value
         for b in batches:
-            out: list[bytes] = []
-            for words, starts in grouped(encoded_of(b.column(2))):
-                classes = class_ids(words, index, word_class, own)[1].astype(kind)
-                out += [x.tobytes() for x in np.split(classes, starts[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["part", "row", "classes"])
+            at = 0
+            for texts in grouped(b.column(2)):
+                _, classes, starts, *_ = class_ids(*words_of(texts), words_at_hand, word_class, own, -1)
+                cuts = (np.append(starts, len(classes)) * kind.itemsize).astype(np.int32)
+                out = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(cuts), pa.py_buffer(classes.astype(kind))])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), b.column(1).slice(at, len(texts)), out], names=["part", "row", "classes"])
+                at += len(texts)
 
     row = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
     rows = training(docs).select(row.alias("row"), F.col("text").alias("text")).select(F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"), "row", "text")
@@ -400,40 +461,43 @@ def scores(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Bilinea
     sc = docs.sparkSession.sparkContext
     near_table, far_table = model.tables()
     norm = model.normalisers().astype(np.float32)
-    shared = sc.broadcast((vocab.index, vocab.count, vocab.word_class, vocab.class_log, near_table, far_table, norm))  # HEAD words, three tables of classes squared
+    shared = sc.broadcast((vocab.words(), vocab.count, vocab.word_class, vocab.class_log, near_table, far_table, norm))  # HEAD words, three tables of classes squared
     own = vocab.classes - SHARED
+    end = vocab.index.get(END, -1)
     to_log10 = 1 / np.log(10)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, count, word_class, class_log, near_table, far_table, norm = shared.value
+        at_hand, count, word_class, class_log, near_table, far_table, norm = shared.value
         log_count = np.append(np.log10(count + 1.0), 0.0)  # the last place: not at hand
         alone = np.append(word_class < own, False)
+        kind = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
         for b in batches:
-            rid, word, n, doc = [], [], [], []
-            ids, doc_ids, held = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
             row = 0
-            for words, starts in grouped(encoded_of(b.column(3))):
-                places, classes, rare_at = class_ids(words, index, word_class, own)
+            for texts in grouped(b.column(3)):
+                places, classes, starts, text, rare = class_ids(*words_of(texts), at_hand, word_class, own, end)
                 near, far = contexts(classes)
                 logs = (near_table[near, classes].astype(np.float64) + far_table[far, classes] - norm[near, far]) * to_log10
                 inside = log_count[places]
                 logs += np.where(alone[places], 0.0, inside) - class_log[classes]
-                sizes = np.diff(np.append(starts, len(words)))
-                totals = [np.add.reduceat(x, starts).tolist() for x in (logs, inside, (places >= 0).astype(np.int64))]
-                for k, (size, score, base, known) in enumerate(zip(sizes.tolist(), *totals, strict=True)):
-                    rid.append(ids[row + k])
-                    word.append(b"\n%d" % ids[row + k])  # no word, so it meets no count, and one for each row
-                    n.append(0)
-                    doc.append({"doc_id": doc_ids[row + k], "held_out": held[row + k], "n_tokens": size, "known": known, "base": base, "score": score})
-                texts = np.searchsorted(starts, rare_at, side="right") - 1
-                for (k, w), times in Counter(zip(texts.tolist(), map(words.__getitem__, rare_at.tolist()), strict=True)).items():
-                    rid.append(ids[row + k])
-                    word.append(w)
-                    n.append(times)
-                    doc.append(None)
-                row += len(starts)
-            kind = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-            yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(word, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(doc, kind)], names=["rid", "word", "n", "doc"])
+                score, base, known = (np.add.reduceat(x, starts) for x in (logs, inside, (places >= 0).astype(np.int64)))
+                if end < 0:  # the end is not at hand either
+                    text, rare = np.append(text, np.arange(len(texts))), pa.concat_arrays([rare, pa.array([END.decode()] * len(texts), pa.string())])
+                coded = rare.dictionary_encode()
+                pairs, times = np.unique(text * len(coded.dictionary) + coded.indices.to_numpy(), return_counts=True)
+                text, code = np.divmod(pairs, max(len(coded.dictionary), 1))
+
+                # a row for each document, with a word that is none, so it meets no count; then its words not at hand
+                n, more = len(texts), len(pairs)
+                ids, doc_ids, held = (b.column(k).slice(row, n) for k in range(3))
+                one = pa.array([f"\n{i}" for i in ids.to_pylist()], pa.string())
+                padded = lambda x, to: pa.concat_arrays([x if isinstance(x, pa.Array) else pa.array(x), pa.nulls(more, to)])
+                fields = [padded(x, f.type) for x, f in zip((doc_ids, held, np.diff(np.append(starts, len(classes))), known, base, score), kind, strict=True)]
+                doc = pa.StructArray.from_arrays(fields, fields=list(kind), mask=pa.array(np.arange(n + more) >= n))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.append(ids.to_numpy(), ids.to_numpy()[text])), pa.concat_arrays([one, coded.dictionary.take(pa.array(code))]), pa.array(np.append(np.zeros(n, np.int64), times)), doc],
+                    names=["rid", "word", "n", "doc"],
+                )
+                row += n
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"),
