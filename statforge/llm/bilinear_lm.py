@@ -57,8 +57,8 @@ HEAD = 150_000
 DIM, STEP, NOISE, RATE = 16, 2048, 48, 0.15
 #: Tokens, about, that one descent of a round sees; of so many steps, and of so many tokens in them, one's loss is taken.
 PART, LOSS_STEPS = 1 << 21, 8
-#: Tokens whose scores of all classes are in memory at once.
-LOSS_ROWS = 32
+#: Rows that are scaled at once.
+ROWS = 64
 #: Share of the loss that a round must gain for another one.
 LEAST_GAIN = 0.002
 #: The end of a text as a word (no word holds a separator).
@@ -242,6 +242,15 @@ def contexts(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return near, np.where(near == 0, 0, far)
 
 
+def scaled(rows: np.ndarray, same: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Rows times one row, of which ``same`` holds copies: as many rows at a time, as short ones are slow one by one."""
+    many = len(rows) // len(same) * len(same)
+    np.multiply(rows[:many].reshape(-1, same.size), same.reshape(-1), out=out[:many].reshape(-1, same.size))
+    if many < len(rows):
+        np.multiply(rows[many:], same[0], out=out[many:])
+    return out
+
+
 class Trainer:
     """Noise-contrastive descent (adaptive steps) over minibatches of tokens.
 
@@ -250,7 +259,7 @@ class Trainer:
     Gradients are added up in double precision, two columns at a time as the parts of a complex number.
     """
 
-    def __init__(self, model: Bilinear, square: Bilinear, mass: np.ndarray, seed: list[int]):
+    def __init__(self, model: Bilinear, square: Bilinear, mass: np.ndarray, seed: list[int], with_loss: bool = True):
         k, self.wide = len(mass), DIM + 2 + DIM % 2
         p = (mass + 1) / (mass + 1).sum()
         self.cdf = np.cumsum(p)
@@ -269,17 +278,17 @@ class Trainer:
         target[:, DIM + 1] = -self.log_noise
         self.rng = np.random.Generator(np.random.PCG64(seed))
         self.tokens = self.steps = self.loss_tokens = 0
-        self.loss = 0.0
-        self.room = np.empty((LOSS_ROWS, k), np.float32)
-        self.sums = np.empty((self.wide // 2, k), np.complex128)
+        self.loss, self.with_loss = 0.0, with_loss
+        self.room = np.empty((0, k), np.float32)
+        self.same = np.empty((2, ROWS, self.wide), np.float32)
+        self.seen, self.place = np.zeros(k, bool), np.zeros(k, np.intp)
 
-    def _scatter(self, rows: np.ndarray, values: np.ndarray, columns: int) -> np.ndarray:
+    def _scatter(self, rows: np.ndarray, values: np.ndarray, columns: int, size: int) -> np.ndarray:
         pairs = values.view(np.complex64).T[: -(-columns // 2)].astype(np.complex128, order="C")
-        sums = self.sums[: len(pairs)]
-        sums.fill(0)
+        sums = np.zeros((len(pairs), size), np.complex128)
         for total, pair in zip(sums, pairs, strict=True):
             np.add.at(total, rows, pair)
-        out = np.zeros((sums.shape[1], self.wide), np.float32)
+        out = np.zeros((size, self.wide), np.float32)
         out.view(np.complex64)[:, : len(pairs)] = sums.T
         out[:, columns:] = 0
         return out
@@ -287,29 +296,51 @@ class Trainer:
     def _add_loss(self, hidden: np.ndarray, word: np.ndarray) -> None:
         """The exact loss of every so many of the tokens, over all classes."""
         hidden, word = np.ascontiguousarray(hidden[::LOSS_STEPS, : DIM + 1]), word[::LOSS_STEPS]
-        target = self.tables[1][:, : DIM + 1].T
-        for at in range(0, len(word), LOSS_ROWS):  # few enough to stay in the cache
-            some = word[at : at + LOSS_ROWS]
-            every = np.matmul(hidden[at : at + LOSS_ROWS], target, out=self.room[: len(some)])
-            top, taken = every.max(axis=1), every[np.arange(len(some)), some]
-            every -= top[:, None]
-            total = np.exp(every, out=every).sum(axis=1).astype(np.float64)
-            self.loss += float((np.log(total) + top - taken).sum())
-        self.loss_tokens += len(word)
-
-    def step(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> None:
+        if len(self.room) < len(hidden):
+            self.room = np.empty((len(hidden), len(self.cdf)), np.float32)
+        every = np.matmul(hidden, self.tables[1][:, : DIM + 1].T, out=self.room[: len(hidden)])
+        top, taken = every.max(axis=1), every[np.arange(len(every)), word]
+        every -= top[:, None]
+        total = (np.exp(every, out=every) @ np.ones(len(self.cdf), np.float32)).astype(np.float64)
+        self.loss += float((np.log(total) + top - taken).sum())
+        self.loss_tokens += len(every)
+
+    def noise(self, steps: int) -> tuple[np.ndarray, np.ndarray]:
+        """Noise of some steps, each one's sorted, and the number of each among the different ones of its step."""
+        found = np.searchsorted(self.cdf, np.sort(self.rng.random((steps, NOISE)), axis=1))
+        found = np.minimum(found, len(self.cdf) - 1)
+        number = np.zeros(found.shape, np.intp)
+        np.cumsum(found[:, 1:] != found[:, :-1], axis=1, out=number[:, 1:])
+        return found, number
+
+    def step(self, near: np.ndarray, far: np.ndarray, word: np.ndarray, drawn: tuple[np.ndarray, np.ndarray] | None = None) -> None:
         """One descent on tokens that follow each other, with the contexts that :func:`contexts` gives them.
 
         A token is the nearer context of the next one and mostly the farther of the one after, so what it
         is due as a context is added up before it is scattered; the few other farther contexts come last.
+        Only the classes that the step meets are worked on: the others' gradients are zero.
         """
         n, (context, target, by_near, by_far) = len(word), self.tables
-        noise = np.minimum(np.searchsorted(self.cdf, np.sort(self.rng.random(NOISE))), len(self.cdf) - 1)
-        first = np.flatnonzero(np.append(True, noise[1:] != noise[:-1]))
-        noise, times = noise[first], np.diff(np.append(first, NOISE)).astype(np.float32)[:, None]
-        hidden = (context * by_near).take(near, axis=0)
-        hidden += (context * by_far).take(far, axis=0)
-        own, other = target.take(word, axis=0), target.take(noise, axis=0)
+        noise, number = drawn or (x[0] for x in self.noise(1))
+        times = np.bincount(number)
+        noise, times = noise[np.cumsum(times) - times], times.astype(np.float32)[:, None]
+
+        before = np.concatenate([far[:1], near[:1], word])  # two places ahead of the words
+        odd = np.flatnonzero(far != before[:n])
+        every = np.concatenate([before, far[odd], noise])
+        self.seen[every] = True
+        met = np.flatnonzero(self.seen)
+        self.seen[met] = False
+        self.place[met] = np.arange(len(met))
+        every = self.place[every]  # from here on classes are numbered among those met
+        before, other_far, noise = np.split(every, [n + 2, n + 2 + len(odd)])
+        far, near, met_word = before[:n].copy(), before[1 : n + 1], before[2:]
+        far[odd] = other_far
+
+        vectors, classes = context.take(met, axis=0), target.take(met, axis=0)
+        hidden = (vectors * by_near).take(near, axis=0)
+        hidden += (vectors * by_far).take(far, axis=0)
+        own, other = classes.take(met_word, axis=0), classes.take(noise, axis=0)
         with np.errstate(over="ignore"):
             pull = (hidden * own) @ np.ones(self.wide, np.float32)  # 1 / (1 + exp(-(scores + bias - log noise))) - 1
             np.negative(pull, out=pull)
@@ -318,44 +349,50 @@ class Trainer:
             np.exp(push, out=push)
             push += 1
             np.divide(1, push, out=push)
-        if self.steps % LOSS_STEPS == 0:  # of the same tokens in every round
+        if self.with_loss and self.steps % LOSS_STEPS == 0:  # of the same tokens in every round
             self._add_loss(hidden, word)
         self.steps += 1
+        times /= n  # gradients are means over the tokens
+        pull /= n
         back = push @ (other * times)
         own *= pull[:, None]
         back += own  # of the last places nothing is read
         against = push.T @ hidden
         against *= times
         hidden *= pull[:, None]
-        to_target = self._scatter(np.concatenate([word, noise]), np.concatenate([hidden, against]), DIM + 1)
-
-        before = np.concatenate([far[:1], near[:1], word])  # two places ahead of the words
-        odd = np.flatnonzero(far != before[:n])
-        due = np.zeros((n + 2 + len(odd), self.wide), np.float32)
-        np.multiply(back, by_near, out=due[1 : n + 1])
-        farther = back * by_far
+        to_target = self._scatter(met_word, hidden, DIM + 1, len(met))
+        to_target[noise, : DIM + 1] += against[:, : DIM + 1]
+
+        due = np.empty((n + 2 + len(odd), self.wide), np.float32)
+        due[0] = due[n + 1] = 0
+        self.same[0], self.same[1] = by_near, by_far
+        scaled(back, self.same[0], due[1 : n + 1])
+        farther = scaled(back, self.same[1], own)
         due[n + 2 :] = farther[odd]
         farther[odd] = 0
         due[:n] += farther
-        to_context = self._scatter(np.concatenate([before, far[odd]]), due, DIM)
+        to_context = self._scatter(every[: len(due)], due, DIM, len(met))
 
         one = np.ones(n, np.float32)
-        places = [one @ (back * context.take(x, axis=0)) for x in (near, far)]
+        places = [one @ (back * vectors.take(x, axis=0)) for x in (near, far)]
         for g in places:
             g[DIM:] = 0
-        for x, g, s in zip(self.tables, (to_context, to_target, *places), self.squares, strict=True):
-            g /= n
+        squares = [*(x.take(met, axis=0) for x in self.squares[:2]), *self.squares[2:]]
+        for x, g, s in zip((vectors, classes, by_near, by_far), (to_context, to_target, *places), squares, strict=True):
             s += g * g
             g *= np.float32(RATE)
             g /= np.sqrt(s)
             x -= g
+        for table, rows in zip((context, target, *self.squares[:2]), (vectors, classes, *squares[:2]), strict=True):
+            table[met] = rows
         self.tokens += n
 
     def learn(self, classes: np.ndarray) -> None:
         classes = classes.astype(np.intp)  # what indexing and counting take without a copy
         near, far = contexts(classes)
-        for at in range(0, len(classes), STEP):
-            self.step(near[at : at + STEP], far[at : at + STEP], classes[at : at + STEP])
+        noise, number = self.noise(-(-len(classes) // STEP))
+        for k, at in enumerate(range(0, len(classes), STEP)):
+            self.step(near[at : at + STEP], far[at : at + STEP], classes[at : at + STEP], (noise[k], number[k]))
 
 
 def class_ids(words: pa.Array, sizes: np.ndarray, at_hand: pa.Array, word_class: np.ndarray, own: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -410,7 +447,7 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Bilinear:
         whole = taken == parts  # the round before took all parts
         taken = min(-(-parts * 2**k // FIRST_SHARE), parts)
 
-        def learned(batches: Iterator[pa.RecordBatch], start=(model.flat(), square.flat()), k=k) -> Iterator[pa.RecordBatch]:
+        def learned(batches: Iterator[pa.RecordBatch], start=(model.flat(), square.flat()), k=k, all_parts=taken == parts) -> Iterator[pa.RecordBatch]:
             trainer, at, held, size = None, None, [], 0
 
             def learn() -> None:
@@ -430,7 +467,7 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Bilinear:
                         if trainer:
                             learn()
                             yield results()
-                        trainer, at, size = Trainer(*(Bilinear.of(x, len(mass)) for x in start), mass, seed=[part, k]), part, 0
+                        trainer, at, size = Trainer(*(Bilinear.of(x, len(mass)) for x in start), mass, [part, k], all_parts), part, 0
                     held.append(np.frombuffer(classes.as_buffer(), kind))
                     size += len(held[-1])
                     if size >= GROUP:
@@ -443,7 +480,7 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Bilinear:
         total = summed_chunks(texts.where(F.col("part") < taken).select("part", "classes").mapInArrow(learned, "chunk int, part int, counts binary"), "float64")
         if not len(total):
             break
-        loss = total[-2] / total[-1]
+        loss = total[-2] / total[-1] if taken == parts else np.inf  # compared only after a round over all parts
         if whole and loss >= before:
             break
         flat = total[:-3] / total[-3]

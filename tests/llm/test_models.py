@@ -297,3 +297,64 @@ def test_sums_of_known_chunks_start_no_empty_tasks(spark):
         assert sorted(r["chunk"] for r in tree_summed(rows, "float64", chunks=2).collect()) == [0, 1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_words_are_cut_at_the_separators_alone():
+    import pyarrow as pa
+
+    texts = ["A b\tC\x0b\x0cd\r\ne  É x y \x1c z", None, "", "  ", "x" * 5000 + " ÀB", "\x1f\x85 İ"]
+    plain = [(t or "").encode().lower().split() for t in texts]
+    for part in (slice(None), slice(1, 5)):
+        words, sizes = lm.words_of(pa.array(["pad me", *texts], pa.string()).slice(1)[part])
+        assert [w.encode() for w in words.to_pylist()] == [w for t in plain[part] for w in t]
+        assert sizes.tolist() == [len(t) for t in plain[part]]
+
+
+def test_places_and_classes_equal_a_plain_version(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["b a zz b", None, "yy zz", ""]
+    at_hand, word_class = pa.array(["a", "\n", "b"]), np.array([2, 0, 1], np.int32)
+    places, classes, starts, text, rare = lm.class_ids(*lm.words_of(pa.array(texts)), at_hand, word_class, 3, 1)
+    shared = [3 + zlib.crc32(w) % lm.SHARED for w in (b"zz", b"yy", b"zz")]
+    assert places.tolist() == [2, 0, -1, 2, 1, 1, -1, -1, 1, 1] and starts.tolist() == [0, 5, 6, 9]
+    assert classes.tolist() == [1, 2, shared[0], 1, 0, 0, shared[1], shared[2], 0, 0]
+    assert text.tolist() == [0, 2, 2] and rare.to_pylist() == ["zz", "yy", "zz"]
+    monkeypatch.setattr(lm, "GROUP_BYTES", 3)
+    assert [len(t) for t in lm.grouped(pa.array(texts))] == [1, 1, 1, 1]
+
+
+def test_a_step_leaves_the_classes_it_does_not_meet_alone():
+    """Contexts that cross a text's end are class 0; a second step starts in the middle of a text."""
+    rng, classes = np.random.default_rng(5), 3000
+    mass = np.append(np.full(50, 1e6), np.zeros(classes - 50))
+    start, word = lm.Bilinear.start(mass), rng.integers(0, 50, 700)
+    square = lm.Bilinear.of(np.full(len(start.flat()), 1e-6), classes)
+    one, two = lm.Trainer(start, square, mass, [1, 2]), lm.Trainer(start, square, mass, [1, 2])
+    near, far = lm.contexts(word)
+    drawn = one.noise(2)
+    for k, at in enumerate((0, 400)):
+        some = slice(at, at + 400)
+        one.step(near[some], far[some], word[some], (drawn[0][k], drawn[1][k]))
+        two.step(near[some], far[some], word[some])
+    assert all(np.array_equal(a, b) for a, b in ((one.m.flat(), two.m.flat()), (one.s.flat(), two.s.flat())))
+    unmet = np.setdiff1d(np.arange(classes), np.r_[word, drawn[0].ravel()])
+    assert len(unmet) > 2000 and not np.array_equal(one.m.context[:50], start.context[:50])
+    for now, then in ((one.m, start), (one.s, square)):
+        assert all(np.array_equal(getattr(now, x)[unmet], getattr(then, x)[unmet]) for x in ("context", "target", "bias"))
+
+
+def test_rounds_over_a_share_of_the_parts_take_no_loss(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART", 50_000)
+    docs = table(spark, SF, "documents")
+    vocab = lm.vocabulary(materialise(lm.word_counts(docs), "counts"))
+    seen, whole = [], lm.summed_chunks
+
+    def noted(rows, kind):
+        out = whole(rows, kind)
+        seen.append((out[-3], out[-1]))
+        return out
+
+    monkeypatch.setattr(lm, "summed_chunks", noted)
+    lm.train(docs, vocab)
+    assert len(seen) >= 4 and all((loss_tokens > 0) == (tokens == vocab.tokens) for tokens, loss_tokens in seen)
